@@ -76,19 +76,22 @@ def abandoned_per_group(df: DataFrame, keys: Sequence[str], as_of, arrival: str
 
 
 def regular_percentage(df: DataFrame, keys: Sequence[str], as_of, reg_date: str,
-                       arrival: str = "vehicle_in_date", out: str = "regular") -> DataFrame:
+                       arrival: str = "vehicle_in_date", out: str = "regular",
+                       tie_break: Sequence[str] = ()) -> DataFrame:
     """Per group (D23): expected visits = years from the registration date of
     the earliest visit to ``as_of`` minus 1. Null registration → status
     ``NULL``; expected < 1 → status ``<2years``; else status ``pct`` with
     ``min(100, visits / expected · 100)``. Two typed columns replace the
-    original's mixed column: ``{out}_status`` and ``{out}_pct``."""
+    original's mixed column: ``{out}_status`` and ``{out}_pct``. The earliest visit is the first by
+    arrival (nulls last), then ``tie_break``."""
     keys = list(keys)
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     as_of_c = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
     g = df.filter(cond).groupBy(*keys).agg(
-        F.min_by(F.col(reg_date), F.struct(F.col(arrival).isNull(), F.col(arrival))).alias("_reg"),
+        F.min_by(F.col(reg_date), F.struct(F.col(arrival).isNull(), F.col(arrival),
+                                           *[F.col(c) for c in tie_break])).alias("_reg"),
         F.count(F.lit(1)).alias("_n"))
     expected = whole_days(F.col("_reg"), as_of_c) / F.lit(DAYS_PER_YEAR) - F.lit(1.0)
     status = (F.when(F.col("_reg").isNull(), F.lit("NULL"))

@@ -189,3 +189,218 @@ def undersample(spark: SparkSession, d: str) -> DataFrame:
     """K5: random under-sampling to the smallest class."""
     s = si.sales(spark, d).withColumn("sale_id", F.concat_ws(":", *si.SALE_KEY))
     return sampling.undersample(s, "new_score", "sale_id", seed=42).select("sale_id", "new_score")
+
+
+# ---------------------------------------------------------------- visits / segmentation
+from ..functions.text import last_n, strip_char  # noqa: E402
+from ..operators import clean, joins  # noqa: E402
+from ..operators import visits as V  # noqa: E402
+from . import segmentation as seg  # noqa: E402
+
+
+@query
+def normalise_keys(spark: SparkSession, d: str) -> DataFrame:
+    """H1/H2: plate without dashes, chassis reduced to its last 7 characters."""
+    v = si.visits(spark, d)
+    r = F.col("registration_number")
+    dashed = F.concat(F.substring(r, 1, 2), F.lit("-"), F.substring(r, 3, 2), F.lit("-"), F.substring(r, 5, 10))
+    return v.select("o_orderkey", strip_char(dashed, "-").alias("registration_number"),
+                    last_n("chassis_number", 7).alias("chassis_number"))
+
+
+@query
+def null_safe_exclude(spark: SparkSession, d: str) -> DataFrame:
+    """Drop accounts 4 and 6, keep null accounts."""
+    v = si.visits(spark, d).select("o_orderkey", "slr_document_account")
+    return clean.exclude_values(v, "slr_document_account", [4, 6])
+
+
+@query
+def key_error_flag(spark: SparkSession, d: str) -> DataFrame:
+    """Drop null plates, flag wrong length and placeholder plates."""
+    v = si.visits(spark, d)
+    plate = F.when(F.col("priority") == "3-MEDIUM", F.substring("registration_number", 2, 10)) \
+             .otherwise(F.col("registration_number"))
+    v = v.select("o_orderkey", plate.alias("registration_number"))
+    return clean.registration_flag(v)
+
+
+@query
+def sales_cleanup(spark: SparkSession, d: str) -> DataFrame:
+    """Plate of length 6, account not in 6/4/0/1 (null kept), total > 0."""
+    v = si.visits(spark, d).select("o_orderkey", "registration_number",
+                                   F.col("slr_document_account").cast("string").alias("slr_account"), "total")
+    return rounded(clean.sales_cleanup(v))
+
+
+@query
+def ffill_bfill(spark: SparkSession, d: str) -> DataFrame:
+    """Forward then backward fill of priority and registration date
+    within each plate, in visit order."""
+    v = si.visits(spark, d).select("o_orderkey", "registration_number", "priority", "registration_date_pse")
+    return V.fill_within(v, "registration_number", ["o_orderkey"], ["priority", "registration_date_pse"],
+                         chunk=F.floor(F.col("o_orderkey") / 1024))
+
+
+@query
+def contract_left_join(spark: SparkSession, d: str) -> DataFrame:
+    """Visits left-joined to contracts on the plate, removal date
+    overriding the end date, colliding columns taken from the left."""
+    v = si.visits(spark, d).select("o_orderkey", "registration_number", "chassis_number")
+    c = seg.contracts_clean(si.contracts(spark, d))
+    return rounded(joins.left_join_drop_collisions(v, c, ["registration_number"]))
+
+
+@query
+def null_matching_join(spark: SparkSession, d: str) -> DataFrame:
+    """Left join on the 7-character chassis; null keys do not match."""
+    v = si.visits(spark, d).select("o_orderkey", last_n("chassis_number", 7).alias("chassis_number"))
+    c = si.contracts(spark, d).select("chassis_number", "cm_years")
+    return rounded(joins.left_join_null_keys(v, c, "chassis_number"))
+
+
+@query
+def semi_membership(spark: SparkSession, d: str) -> DataFrame:
+    """C4: visits whose chassis has a contract; count and distinct contract chassis."""
+    v = si.visits(spark, d).select("o_orderkey", last_n("chassis_number", 7).alias("chassis_number"))
+    c = si.contracts(spark, d).select("chassis_number")
+    return joins.semi_membership_counts(v, c, "chassis_number")
+
+
+@query
+def warranty_flag(spark: SparkSession, d: str) -> DataFrame:
+    """Warranty visit flags for the two brand codes."""
+    v = si.visits(spark, d)
+    out = V.warranty_flags(v, V.warranty_table(spark))
+    return out.select("o_orderkey", "nlr_code", "warranty_visit_pse", "warranty_visit_vhe")
+
+
+@query
+def contract_flag(spark: SparkSession, d: str) -> DataFrame:
+    """Contract visit flag after the contract join."""
+    v = si.visits(spark, d).drop("chassis_number")
+    j = joins.left_join_drop_collisions(v, seg.contracts_clean(si.contracts(spark, d)), ["registration_number"])
+    return V.contract_flag(j).select("o_orderkey", "contract_visit")
+
+
+@query
+def abandoned_flag(spark: SparkSession, d: str) -> DataFrame:
+    """Abandoned per (customer, plate) as of 2001-08-01."""
+    return V.abandoned_per_group(si.visits(spark, d), ["customer", "registration_number"], si.AS_OF)
+
+
+@query
+def regular_pct(spark: SparkSession, d: str) -> DataFrame:
+    """Regular-visit percentage per (customer, plate)."""
+    v = si.visits(spark, d)
+    return rounded(V.regular_percentage(v, ["customer", "registration_number"], si.AS_OF,
+                                        "registration_date_pse", tie_break=["o_orderkey"]))
+
+
+@query
+def joinback_agg(spark: SparkSession, d: str) -> DataFrame:
+    """Per-group abandonment joined back to the visits."""
+    v = si.visits(spark, d)
+    ab = V.abandoned_per_group(v, ["customer", "registration_number"], si.AS_OF)
+    return joins.join_back(v.select("o_orderkey", "customer", "registration_number"), ab,
+                           ["customer", "registration_number"])
+
+
+@query
+def segmentation_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Entry 1 end to end: warranty, contract and abandonment flags per visit."""
+    v = si.visits(spark, d).drop("chassis_number")
+    out = seg.segmentation(v, si.contracts(spark, d), V.warranty_table(spark), si.AS_OF)
+    return out.select("o_orderkey", "warranty_visit_pse", "warranty_visit_vhe", "contract_visit", "abandoned")
+
+
+# ---------------------------------------------------------------- option lines / vehicles
+from ..operators import options  # noqa: E402
+from . import stock  # noqa: E402
+
+_FEATURE_KW = dict(flag_words=si.FLAG_WORDS, exterior_vocab=si.EXTERIOR_VOCAB,
+                   interior_vocab=si.INTERIOR_VOCAB, model_lead=si.MODEL_LEAD)
+
+
+def _vehicles(spark, d, **kw):
+    kwargs = dict(_FEATURE_KW)
+    kwargs.update(kw)
+    return options.vehicle_features(si.option_lines(spark, d), "l_orderkey", si.LINE_ORDER,
+                                    "opcional", "cor", "interior", "modelo", "custo", **kwargs)
+
+
+@query
+def token_flags(spark: SparkSession, d: str) -> DataFrame:
+    """H7: equipment flags per vehicle from option-line tokens."""
+    return _vehicles(spark, d).select("l_orderkey", *si.FLAG_WORDS)
+
+
+@query
+def first_vocab_match(spark: SparkSession, d: str) -> DataFrame:
+    """H8: exterior colour = first vocabulary word in the first line."""
+    return _vehicles(spark, d).select("l_orderkey", "cor_exterior")
+
+
+@query
+def ruleset_override(spark: SparkSession, d: str) -> DataFrame:
+    """H9: interior colour, as coded and with the intended rule list."""
+    a = _vehicles(spark, d).select("l_orderkey", F.col("cor_interior").alias("cor_interior_as_coded"))
+    b = _vehicles(spark, d, ruleset="intended").select("l_orderkey", F.col("cor_interior").alias("cor_interior_intended"))
+    return a.join(b, "l_orderkey")
+
+
+@query
+def last_line_max(spark: SparkSession, d: str) -> DataFrame:
+    """Wheel size of the last line naming one, largest in that line."""
+    return _vehicles(spark, d).select("l_orderkey", "jantes")
+
+
+@query
+def model_shorten(spark: SparkSession, d: str) -> DataFrame:
+    """Shortened model of the first line."""
+    return _vehicles(spark, d).select("l_orderkey", "modelo")
+
+
+@query
+def price_total(spark: SparkSession, d: str) -> DataFrame:
+    """Summed line cost per vehicle."""
+    return rounded(score.price_total(si.option_lines(spark, d), "l_orderkey", "custo"))
+
+
+@query
+def margin_pct(spark: SparkSession, d: str) -> DataFrame:
+    """Vehicle margin over the vehicle's summed cost, on every line."""
+    lines = si.option_lines(spark, d).join(si.orders_meta(spark, d), "l_orderkey")
+    out = score.margin_percentage(lines, "l_orderkey", "custo", "margem")
+    return rounded(out.select("l_orderkey", *si.LINE_ORDER[:-1], "margem_percentagem"))
+
+
+@query
+def first_per_key(spark: SparkSession, d: str) -> DataFrame:
+    """First option line of each vehicle (keep-first de-duplication)."""
+    lines = si.option_lines(spark, d).select("l_orderkey", *si.LINE_ORDER, "opcional", "custo")
+    return rounded(options.first_per_key(lines, "l_orderkey", si.LINE_ORDER))
+
+
+@query
+def unmapped_report(spark: SparkSession, d: str) -> DataFrame:
+    """Unknown exterior colours: raw values, lines and vehicles removed."""
+    lines = si.option_lines(spark, d)
+    v = _vehicles(spark, d).select("l_orderkey", "cor_exterior")
+    first_cor = lines.groupBy("l_orderkey").agg(
+        F.min_by(F.lower("cor"), F.struct(*si.LINE_ORDER)).alias("first_cor"))
+    j = lines.select("l_orderkey").join(v, "l_orderkey").join(first_cor, "l_orderkey")
+    r = profile.unmapped_report(j, "cor_exterior", "first_cor", "l_orderkey")
+    return r.select(F.array_join("unknown_values", ",").alias("unknown_values"),
+                    F.col("rows_removed").cast("bigint").alias("rows_removed"), "keys_removed")
+
+
+@query
+def vehicle_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Entry 2 end to end: one scored feature row per vehicle."""
+    lines = si.option_lines(spark, d)
+    v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
+                            "l_shipdate", _FEATURE_KW)
+    return rounded(v.select("l_orderkey", *si.FLAG_WORDS, "cor_exterior", "cor_interior", "jantes", "modelo",
+                            "price_total", "stock_days", "margem_percentagem", "score",
+                            "buy_day", "buy_month", "buy_year", "sell_day", "sell_month", "sell_year"))

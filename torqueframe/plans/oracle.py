@@ -199,3 +199,290 @@ r AS (SELECT {SALE_ID} AS sale_id, new_score,
         count(*) OVER (PARTITION BY new_score) AS nc FROM sales),
 m AS (SELECT min(nc) AS mn FROM r)
 SELECT sale_id, new_score FROM r, m WHERE rk <= mn"""
+
+# ---------------------------------------------------------------- visits / segmentation
+VISITS = """visits AS (
+  SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer,
+    CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL
+         ELSE lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS registration_number,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'WBA' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') END AS chassis_number,
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS vehicle_in_date,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL
+         ELSE TIMESTAMP '1994-06-01' + to_days(CAST(c_nationkey * 40 AS INTEGER)) END AS registration_date_pse,
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+         ELSE TIMESTAMP '1995-01-01' + to_days(CAST(c_nationkey * 25 AS INTEGER)) END AS registration_date_vhe,
+    CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 101 WHEN 'MACHINERY' THEN 701 END AS BIGINT) AS nlr_code,
+    CAST(floor(o_totalprice / 10) AS BIGINT) AS kms,
+    CAST(c_nationkey AS DOUBLE) / 4 AS anos_viatura,
+    CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE c_nationkey END AS BIGINT) AS slr_document_account,
+    nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority,
+    o_totalprice - 100000.0 AS total
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+CONTRACTS = """contracts AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS registration_number,
+    CASE WHEN c_acctbal < 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS chassis_number,
+    CAST(c_nationkey AS DOUBLE) / 5 + 1 AS cm_years,
+    c_acctbal * 5 + 20000 AS cm_km,
+    TIMESTAMP '1994-01-01' AS cm_date_start,
+    coalesce(CASE WHEN c_acctbal < 0 THEN TIMESTAMP '1995-06-01' + to_days(CAST(c_nationkey * 20 AS INTEGER)) END,
+             TIMESTAMP '1996-01-01' + to_days(CAST(c_nationkey * 73 AS INTEGER))) AS cm_date_end
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
+
+SQL["normalise_keys"] = f"""
+WITH {VISITS}
+SELECT o_orderkey,
+  replace(substr(registration_number, 1, 2) || '-' || substr(registration_number, 3, 2) || '-'
+          || substr(registration_number, 5, 10), '-', '') AS registration_number,
+  right(chassis_number, 7) AS chassis_number
+FROM visits"""
+
+SQL["null_safe_exclude"] = f"""
+WITH {VISITS}
+SELECT o_orderkey, slr_document_account FROM visits
+WHERE slr_document_account IS DISTINCT FROM 4 AND slr_document_account IS DISTINCT FROM 6"""
+
+SQL["key_error_flag"] = f"""
+WITH {VISITS},
+p AS (SELECT o_orderkey, CASE WHEN priority = '3-MEDIUM' THEN substr(registration_number, 2, 10)
+                              ELSE registration_number END AS registration_number FROM visits)
+SELECT o_orderkey, registration_number,
+  CAST(CASE WHEN length(registration_number) <> 6 OR registration_number IN ('000000', '000001', '++++++')
+            THEN 1 ELSE 0 END AS BIGINT) AS registration_number_error_flag
+FROM p WHERE registration_number IS NOT NULL"""
+
+SQL["sales_cleanup"] = f"""
+WITH {VISITS}
+SELECT o_orderkey, registration_number, CAST(slr_document_account AS VARCHAR) AS slr_account, round(total, 6) AS total
+FROM visits
+WHERE length(registration_number) = 6 AND total > 0
+  AND coalesce(CAST(slr_document_account AS VARCHAR) NOT IN ('6', '4', '0', '1'), true)"""
+
+SQL["ffill_bfill"] = f"""
+WITH {VISITS}
+SELECT o_orderkey, registration_number,
+  CASE WHEN registration_number IS NULL THEN priority ELSE coalesce(
+    last_value(priority IGNORE NULLS) OVER (PARTITION BY registration_number ORDER BY o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(priority IGNORE NULLS) OVER (PARTITION BY registration_number ORDER BY o_orderkey
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) END AS priority,
+  CASE WHEN registration_number IS NULL THEN registration_date_pse ELSE coalesce(
+    last_value(registration_date_pse IGNORE NULLS) OVER (PARTITION BY registration_number ORDER BY o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(registration_date_pse IGNORE NULLS) OVER (PARTITION BY registration_number ORDER BY o_orderkey
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) END AS registration_date_pse
+FROM visits"""
+
+SQL["contract_left_join"] = f"""
+WITH {VISITS}, {CONTRACTS}
+SELECT v.o_orderkey, v.registration_number, v.chassis_number, round(c.cm_years, 6) AS cm_years,
+       round(c.cm_km, 6) AS cm_km, c.cm_date_start, c.cm_date_end
+FROM visits v LEFT JOIN contracts c ON v.registration_number = c.registration_number"""
+
+SQL["null_matching_join"] = f"""
+WITH {VISITS}, {CONTRACTS}
+SELECT v.o_orderkey, right(v.chassis_number, 7) AS chassis_number, round(c.cm_years, 6) AS cm_years
+FROM visits v LEFT JOIN contracts c ON right(v.chassis_number, 7) = c.chassis_number"""
+
+SQL["semi_membership"] = f"""
+WITH {VISITS}, {CONTRACTS}
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM visits
+        WHERE right(chassis_number, 7) IN (SELECT chassis_number FROM contracts)) AS matching_rows,
+       CAST(count(DISTINCT chassis_number) AS BIGINT) AS distinct_keys FROM contracts"""
+
+_WARRANTY = """
+w AS (SELECT v.*, y.wy FROM visits v JOIN (VALUES (101, 5), (701, 2)) y(code, wy) ON v.nlr_code = y.code),
+wf AS (SELECT *,
+  CAST(CASE WHEN registration_date_pse IS NULL OR vehicle_in_date IS NULL THEN NULL
+            WHEN vehicle_in_date < registration_date_pse + to_days(CAST(wy * 365 AS INTEGER)) THEN 1 ELSE 0 END
+       AS BIGINT) AS warranty_visit_pse,
+  CAST(CASE WHEN registration_date_vhe IS NULL OR vehicle_in_date IS NULL THEN NULL
+            WHEN vehicle_in_date < registration_date_vhe + to_days(CAST(wy * 365 AS INTEGER)) THEN 1 ELSE 0 END
+       AS BIGINT) AS warranty_visit_vhe
+  FROM w)"""
+
+SQL["warranty_flag"] = f"""
+WITH {VISITS}, {_WARRANTY}
+SELECT o_orderkey, nlr_code, warranty_visit_pse, warranty_visit_vhe FROM wf"""
+
+_CONTRACT_FLAG = """CAST(CASE WHEN c.cm_date_end IS NULL OR v.vehicle_in_date IS NULL THEN NULL
+  WHEN v.vehicle_in_date <= c.cm_date_end AND v.anos_viatura <= c.cm_years AND v.kms <= c.cm_km THEN 1
+  ELSE 0 END AS BIGINT)"""
+
+SQL["contract_flag"] = f"""
+WITH {VISITS}, {CONTRACTS}
+SELECT v.o_orderkey, {_CONTRACT_FLAG} AS contract_visit
+FROM visits v LEFT JOIN contracts c ON v.registration_number = c.registration_number"""
+
+_ABANDONED = """ab AS (
+  SELECT customer, registration_number,
+    CAST(CASE WHEN bool_or(vehicle_in_date IS NULL) THEN NULL
+              WHEN date_diff('day', max(vehicle_in_date), TIMESTAMP '2001-08-01') / 365.25 <= 2 THEN 0
+              ELSE 1 END AS BIGINT) AS abandoned
+  FROM visits WHERE customer IS NOT NULL AND registration_number IS NOT NULL
+  GROUP BY customer, registration_number)"""
+
+SQL["abandoned_flag"] = f"WITH {VISITS}, {_ABANDONED} SELECT * FROM ab"
+
+SQL["regular_pct"] = f"""
+WITH {VISITS},
+f AS (SELECT customer, registration_number, registration_date_pse,
+        row_number() OVER (PARTITION BY customer, registration_number
+                           ORDER BY vehicle_in_date ASC NULLS LAST, o_orderkey) AS rn,
+        count(*) OVER (PARTITION BY customer, registration_number) AS n
+      FROM visits WHERE customer IS NOT NULL AND registration_number IS NOT NULL),
+e AS (SELECT *, date_diff('day', registration_date_pse, TIMESTAMP '2001-08-01') / 365.25 - 1 AS expected
+      FROM f WHERE rn = 1)
+SELECT customer, registration_number,
+  CASE WHEN registration_date_pse IS NULL THEN 'NULL' WHEN expected < 1 THEN '<2years' ELSE 'pct' END AS regular_status,
+  round(CASE WHEN expected >= 1 THEN least(100.0, n / expected * 100.0) END, 6) AS regular_pct
+FROM e"""
+
+SQL["joinback_agg"] = f"""
+WITH {VISITS}, {_ABANDONED}
+SELECT v.o_orderkey, v.customer, v.registration_number, ab.abandoned
+FROM visits v JOIN ab ON v.customer = ab.customer AND v.registration_number = ab.registration_number"""
+
+SQL["segmentation_flags"] = f"""
+WITH {VISITS}, {CONTRACTS}, {_WARRANTY}, {_ABANDONED}
+SELECT v.o_orderkey, v.warranty_visit_pse, v.warranty_visit_vhe, {_CONTRACT_FLAG} AS contract_visit, ab.abandoned
+FROM wf v LEFT JOIN contracts c ON v.registration_number = c.registration_number
+JOIN ab ON v.customer = ab.customer AND v.registration_number = ab.registration_number"""
+
+# ---------------------------------------------------------------- option lines / vehicles
+LINES = """lines AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+    concat_ws(' ', p_type, p_name, CAST(p_size AS VARCHAR)) AS opcional, p_name AS cor,
+    concat_ws(' ', p_name, p_type) AS interior,
+    concat_ws(' ', p_brand, p_type, p_name, CAST(p_size AS VARCHAR)) AS modelo,
+    l_extendedprice AS custo
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+LORD = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
+
+
+def _tok(x: str) -> str:
+    return (f"list_filter(string_split_regex(trim(regexp_replace({x}, '([,;:()\\[\\]\"!?])', ' \\1 ', 'g')), "
+            f"'\\s+'), lambda t: t <> '')")
+
+
+def _first_match(tok: str, words) -> str:
+    arr = "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    return f"list_filter({arr}, lambda w: list_contains({tok}, w))"
+
+
+FIRST = f"""first AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LORD}) AS rn FROM lines)
+  WHERE rn = 1)"""
+
+SQL["token_flags"] = f"""
+WITH {LINES}, t AS (SELECT l_orderkey, {_tok('lower(opcional)')} AS tok FROM lines)
+SELECT l_orderkey,
+  CAST(max(CAST(list_contains(tok, 'widget') AS INT)) AS BIGINT) AS navegacao,
+  CAST(max(CAST(list_contains(tok, 'gear') AS INT)) AS BIGINT) AS sensores,
+  CAST(max(CAST(list_contains(tok, 'economy') AS INT)) AS BIGINT) AS caixa_auto
+FROM t GROUP BY l_orderkey"""
+
+_EXT = (f"coalesce({_first_match('tok', ['red', 'blue'])}[1], "
+        f"{_first_match('tok', ['hot', 'cold', 'new'])}[1])")
+
+SQL["first_vocab_match"] = f"""
+WITH {LINES}, {FIRST}, t AS (SELECT l_orderkey, {_tok('lower(cor)')} AS tok FROM first)
+SELECT l_orderkey, {_EXT} AS cor_exterior FROM t"""
+
+_MP = _first_match("tok", ["red", "blue", "hot", "gear", "bolt"])
+_MS = _first_match("tok", ["cold", "new", "ring"])
+_MULTI_INTENDED = "NULL"
+for _words, _res in [(["dakota"], "dakota"), (["nevada"], "nevada"), (["preto", "antracite"], "preto/antracite"),
+                     (["beje", "havanna"], "beje"), (["bege", "veneto"], "bege"), (["bege", "preto"], "bege"),
+                     (["bege", "sonoma/preto"], "bege"), (["dacota", "bege"], "dakota"),
+                     (["bege", "zagora/preto"], "bege"), (["bege", "veneto"], "bege"),
+                     (["vernasca", "anthtacite/preto"], "vernasca")]:
+    _cond = " AND ".join(f"list_contains(tok, '{w}')" for w in _words)
+    _MULTI_INTENDED = f"CASE WHEN {_cond} THEN '{_res}' ELSE {_MULTI_INTENDED} END"
+
+
+def _interior(multi: str) -> str:
+    return f"""CASE WHEN list_contains(tok, 'standard') THEN 'preto' WHEN list_contains(tok, 'truffle') THEN 'truffle'
+      WHEN len(m) = 0 THEN NULL WHEN len(m) > 1 THEN {multi} ELSE m[1] END"""
+
+
+INTERIOR = f"""ti AS (SELECT l_orderkey, tok, CASE WHEN len({_MP}) > 0 THEN {_MP} ELSE {_MS} END AS m
+  FROM (SELECT l_orderkey, {_tok('lower(interior)')} AS tok FROM first))"""
+
+SQL["ruleset_override"] = f"""
+WITH {LINES}, {FIRST}, {INTERIOR}
+SELECT l_orderkey, {_interior("'vernasca'")} AS cor_interior_as_coded,
+       {_interior(_MULTI_INTENDED)} AS cor_interior_intended FROM ti"""
+
+_SIZES = "['15', '16', '17', '18', '19', '20']"
+WHEELS = f"""sz AS (SELECT l_orderkey, {LORD},
+    list_max(list_transform(list_filter({_SIZES}, lambda s: list_contains(tok, s)), lambda s: CAST(s AS INTEGER))) AS size
+  FROM (SELECT *, {_tok('lower(opcional)')} AS tok FROM lines)),
+wl AS (SELECT l_orderkey, size FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LORD.replace(', ', ' DESC, ')} DESC) AS rn
+  FROM sz WHERE size IS NOT NULL) WHERE rn = 1),
+wheels AS (SELECT v.l_orderkey, coalesce(CAST(wl.size AS VARCHAR), 'standard') AS jantes
+  FROM (SELECT DISTINCT l_orderkey FROM lines) v LEFT JOIN wl USING (l_orderkey))"""
+
+SQL["last_line_max"] = f"WITH {LINES}, {WHEELS} SELECT * FROM wheels"
+
+MODEL = f"""mt AS (SELECT l_orderkey, {_tok('modelo')} AS tok FROM first),
+model AS (SELECT l_orderkey,
+  array_to_string(tok[1:CASE WHEN tok[1] = 'Brand#1' THEN 2 ELSE greatest(len(tok) - 3, 0) END], ' ') AS modelo FROM mt)"""
+
+SQL["model_shorten"] = f"WITH {LINES}, {FIRST}, {MODEL} SELECT * FROM model"
+
+SQL["price_total"] = f"""
+WITH {LINES} SELECT l_orderkey, round(sum(custo), 6) AS price_total FROM lines GROUP BY l_orderkey"""
+
+SQL["margin_pct"] = f"""
+WITH {LINES}, t AS (SELECT l_orderkey, sum(custo) AS tot FROM lines GROUP BY l_orderkey)
+SELECT l.l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+       round(o_totalprice * 0.05 / nullif(tot, 0) * 100.0, 6) AS margem_percentagem
+FROM lines l JOIN t USING (l_orderkey) JOIN orders ON l.l_orderkey = o_orderkey"""
+
+SQL["first_per_key"] = f"""
+WITH {LINES}, {FIRST}
+SELECT l_orderkey, {LORD}, opcional, round(custo, 6) AS custo FROM first"""
+
+SQL["unmapped_report"] = f"""
+WITH {LINES}, {FIRST}, t AS (SELECT l_orderkey, lower(cor) AS first_cor, {_tok('lower(cor)')} AS tok FROM first),
+e AS (SELECT l_orderkey, first_cor, {_EXT} AS cor_exterior FROM t),
+bad AS (SELECT l.l_orderkey, e.first_cor FROM lines l JOIN e USING (l_orderkey) WHERE e.cor_exterior IS NULL)
+SELECT coalesce(array_to_string(list_sort(list_distinct(list(first_cor))), ','), '') AS unknown_values,
+       CAST(count(*) AS BIGINT) AS rows_removed, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS keys_removed FROM bad"""
+
+_CANON = ("CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in [
+    ("black", "preto"), ("preto/silver", "preto/prateado"), ("tartufo", "truffle"),
+    ("preto/laranja/preto/lara", "preto/laranja"), ("dacota", "dakota"), ("white", "branco"), ("blue", "azul"),
+    ("red", "vermelho"), ("grey", "cinzento"), ("silver", "prateado"), ("orange", "laranja"), ("green", "verde"),
+    ("anthrazit", "antracite"), ("antracit", "antracite"), ("brown", "castanho"), ("antracito", "antracite"),
+    ("âmbar/preto/pr", "ambar/preto/preto"), ("beige", "bege"), ("kaschmirsilber", "cashmere"),
+    ("beje", "bege")]) + " ELSE {c} END")
+
+SQL["vehicle_scores"] = f"""
+WITH {LINES}, {FIRST}, {INTERIOR}, {WHEELS}, {MODEL},
+fl AS (SELECT l_orderkey,
+  CAST(max(CAST(list_contains(tok, 'widget') AS INT)) AS BIGINT) AS navegacao,
+  CAST(max(CAST(list_contains(tok, 'gear') AS INT)) AS BIGINT) AS sensores,
+  CAST(max(CAST(list_contains(tok, 'economy') AS INT)) AS BIGINT) AS caixa_auto,
+  sum(custo) AS price_total, max(l_shipdate) AS sell_date
+  FROM (SELECT *, {_tok('lower(opcional)')} AS tok FROM lines) GROUP BY l_orderkey),
+ex AS (SELECT l_orderkey, {_EXT} AS c FROM (SELECT l_orderkey, {_tok('lower(cor)')} AS tok FROM first)),
+it AS (SELECT l_orderkey, {_interior("'vernasca'")} AS c FROM ti),
+v AS (SELECT fl.*, {_CANON.format(c='ex.c')} AS cor_exterior, {_CANON.format(c='it.c')} AS cor_interior,
+        wheels.jantes, model.modelo, o_orderdate AS buy_date, o_totalprice * 0.05 AS margem
+      FROM fl JOIN ex USING (l_orderkey) JOIN it USING (l_orderkey) JOIN wheels USING (l_orderkey)
+      JOIN model USING (l_orderkey) JOIN orders ON fl.l_orderkey = o_orderkey
+      WHERE ex.c IS NOT NULL AND it.c IS NOT NULL AND sell_date >= o_orderdate),
+s AS (SELECT *, CAST(date_diff('day', buy_date, sell_date) AS BIGINT) AS stock_days,
+             margem / nullif(price_total, 0) * 100.0 AS margem_percentagem FROM v),
+m AS (SELECT min(stock_days) dmin, max(stock_days) dmax, min(margem_percentagem) mmin, max(margem_percentagem) mmax FROM s)
+SELECT l_orderkey, navegacao, sensores, caixa_auto, cor_exterior, cor_interior, jantes, modelo,
+  round(price_total, 6) AS price_total, stock_days, round(margem_percentagem, 6) AS margem_percentagem,
+  round((1 - (stock_days - dmin) / nullif(CAST(dmax - dmin AS DOUBLE), 0))
+        * ((margem_percentagem - mmin) / nullif(mmax - mmin, 0)), 6) AS score,
+  CAST(day(buy_date) AS BIGINT) AS buy_day, CAST(month(buy_date) AS BIGINT) AS buy_month,
+  CAST(year(buy_date) AS BIGINT) AS buy_year, CAST(day(sell_date) AS BIGINT) AS sell_day,
+  CAST(month(sell_date) AS BIGINT) AS sell_month, CAST(year(sell_date) AS BIGINT) AS sell_year
+FROM s, m"""
