@@ -114,3 +114,19 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         sel.append((F.col("_rn") + F.col("_n0")).cast("bigint").alias(position))
     sel += [(F.col(f"_l_{c}") + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"cum_{c}") for c in cols]
     return joined.select(*sel)
+
+
+def sorted_positions(df: DataFrame, order: Sequence[Column], chunk: Column,
+                     position: str = "position") -> DataFrame:
+    """Global 1-based position of each row in ``order`` (a list of sort
+    Columns, nulls placement stated), computed with a chunked scan instead of
+    a single-task global window. ``chunk`` must be non-decreasing in that order
+    (e.g. a prefix of the first sort key)."""
+    w = Window.partitionBy(CHUNK).orderBy(*order)
+    with_c = with_chunk(df, chunk)
+    summary = with_c.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = summary.select(CHUNK, F.coalesce(F.sum("_n").over(
+        Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_n0"))
+    local = with_c.select("*", F.row_number().over(w).alias("_rn"))
+    out = local.join(F.broadcast(offsets), on=CHUNK, how="inner")
+    return out.select(*df.columns, (F.col("_rn") + F.col("_n0")).cast("bigint").alias(position))

@@ -404,3 +404,237 @@ def vehicle_scores(spark: SparkSession, d: str) -> DataFrame:
     return rounded(v.select("l_orderkey", *si.FLAG_WORDS, "cor_exterior", "cor_interior", "jantes", "modelo",
                             "price_total", "stock_days", "margem_percentagem", "score",
                             "buy_day", "buy_month", "buy_year", "sell_day", "sell_month", "sell_year"))
+
+
+# ---------------------------------------------------------------- profiles, sets, sorts
+from ..functions.dates import date_from_parts, date_parts  # noqa: E402
+from ..functions.classes import keep_or_other as _keep_or_other  # noqa: E402
+from ..functions.text import INTERIOR_REPLACEMENTS, remove_suffix_text, replace_chain  # noqa: E402
+from ..operators import report, clustering  # noqa: E402
+
+
+def _visits_profiled(spark, d):
+    v = si.visits(spark, d)
+    return v.select("customer", "registration_number", "vehicle_in_date", "nlr_code", "kms",
+                    "slr_document_account", "priority", F.lit(1).cast("bigint").alias("source_rank"))
+
+
+@query
+def value_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per priority, nulls excluded."""
+    return profile.value_counts(si.visits(spark, d), "priority")
+
+
+@query
+def null_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Type, null count and null % per column."""
+    return rounded(profile.null_profile(_visits_profiled(spark, d)))
+
+
+@query
+def zero_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Count and % of zeros per column."""
+    return rounded(profile.zero_profile(_visits_profiled(spark, d)))
+
+
+@query
+def constant_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct non-null values per column (1 = constant)."""
+    return clean.constant_column_table(_visits_profiled(spark, d))
+
+
+@query
+def distinct_count(spark: SparkSession, d: str) -> DataFrame:
+    """Number of distinct plates."""
+    return profile.distinct_count(si.visits(spark, d), "registration_number")
+
+
+@query
+def union_missing_cols(spark: SparkSession, d: str) -> DataFrame:
+    """Union of two extracts by name; missing columns become null."""
+    v = si.visits(spark, d)
+    a = v.filter(F.col("nlr_code") == 101).select("o_orderkey", "registration_number", "kms",
+                                                  F.lit(1).cast("bigint").alias("source_rank"))
+    b = v.filter(F.col("nlr_code") == 701).select("o_orderkey", "registration_number", "total",
+                                                  F.lit(2).cast("bigint").alias("source_rank"))
+    return rounded(a.unionByName(b, allowMissingColumns=True))
+
+
+@query
+def sort_nulls_last(spark: SparkSession, d: str) -> DataFrame:
+    """Key columns first, rows sorted by them ascending with nulls
+    last; the global position is part of the result."""
+    v = clean.move_first(si.visits(spark, d).select("o_orderkey", "customer", "slr_document_account",
+                                                    "registration_number"),
+                         ["customer", "slr_document_account", "registration_number"])
+    order = [F.asc_nulls_last("customer"), F.asc_nulls_last("slr_document_account"),
+             F.asc_nulls_last("registration_number"), F.asc("o_orderkey")]
+    chunk = F.coalesce(F.substring("customer", 1, 2), F.lit("￿"))
+    return ordered.sorted_positions(v, order, chunk)
+
+
+@query
+def head_preview(spark: SparkSession, d: str) -> DataFrame:
+    """first five visits after an explicit sort."""
+    v = si.visits(spark, d).select("o_orderkey", "customer", "vehicle_in_date")
+    return v.orderBy(F.desc_nulls_last("vehicle_in_date"), F.asc("o_orderkey")).limit(5)
+
+
+@query
+def keep_or_other(spark: SparkSession, d: str) -> DataFrame:
+    """Keep listed priorities, others → 'outros', null stays."""
+    v = si.visits(spark, d)
+    return v.select("o_orderkey", _keep_or_other("priority", ["1-URGENT", "2-HIGH"]).alias("priority_new"))
+
+
+_COLOUR_GROUPS = [("warm", ["red", "hot"]), ("cool", ["blue", "cold"]), ("size", ["large", "small"]),
+                  ("outros", ["red", "new"])]
+
+
+@query
+def group_map(spark: SparkSession, d: str) -> DataFrame:
+    """List grouping; a value in two lists takes the later one,
+    unlisted values → null."""
+    s = si.sales(spark, d).select(*si.SALE_KEY, "cfg_colour")
+    return options.group_map(s, "cfg_colour", options.group_table(spark, _COLOUR_GROUPS))
+
+
+@query
+def lookup_map(spark: SparkSession, d: str) -> DataFrame:
+    """Canonical names by lookup, unmapped values kept."""
+    s = si.sales(spark, d).select(*si.SALE_KEY, "cfg_colour")
+    t = joins.mapping_table(spark, {"red": "vermelho", "blue": "azul", "old": "antigo"})
+    return joins.lookup_replace(s, "cfg_colour", t)
+
+
+@query
+def date_parts_query(spark: SparkSession, d: str) -> DataFrame:
+    """Day, month, year of buy and sell dates, and the sell date
+    rebuilt from its parts."""
+    s = si.sales(spark, d).select(*si.SALE_KEY, "buy_date", "sell_date")
+    s = s.select(*si.SALE_KEY, *date_parts("buy", "buy_date"), *date_parts("sell", "sell_date"))
+    return s.withColumn("sell_date_rebuilt", date_from_parts("sell_year", "sell_month", "sell_day"))
+
+
+@query
+def symbol_replace(spark: SparkSession, d: str) -> DataFrame:
+    """H3/H4/H5: lower-case, ordered symbol replacement and suffix removal on
+    whole document texts; length and md5 of the result."""
+    t = table_docs(spark, d)
+    out = replace_chain(F.lower("text"), INTERIOR_REPLACEMENTS)
+    out = remove_suffix_text(out, " - não utilizar")
+    return t.select("doc_id", F.length(out).cast("bigint").alias("n_chars_clean"), F.md5(out).alias("md5_clean"))
+
+
+def table_docs(spark, d):
+    from ..sources.tables import table
+    return table(spark, d, "documents")
+
+
+# ---------------------------------------------------------------- metrics
+def _predictions(spark, d):
+    from ..sources.tables import table
+    lab = table(spark, d, "labels")
+    docs = table(spark, d, "documents").select("doc_id", "n_chars")
+    return lab.join(docs, "doc_id").select("doc_id", F.col("quality").alias("gt"),
+                                           F.col("toxic").alias("pred"), F.col("n_chars").cast("double").alias("score"))
+
+
+@query
+def confusion(spark: SparkSession, d: str) -> DataFrame:
+    """Confusion counts with row-normalised rates."""
+    return rounded(metrics.confusion_counts(_predictions(spark, d), "gt", "pred", normalize=True))
+
+
+@query
+def binary_confusion(spark: SparkSession, d: str) -> DataFrame:
+    """TN, FP, FN, TP and specificity."""
+    return rounded(metrics.binary_confusion(_predictions(spark, d), "gt", "pred"))
+
+
+@query
+def f1_report(spark: SparkSession, d: str) -> DataFrame:
+    """Micro and macro F1 over predicted labels, accuracy."""
+    return rounded(metrics.f1_summary(_predictions(spark, d), "gt", "pred"))
+
+
+@query
+def class_report(spark: SparkSession, d: str) -> DataFrame:
+    """Precision, recall, F1, support per class and weighted average."""
+    return rounded(metrics.class_report(_predictions(spark, d), "gt", "pred"))
+
+
+@query
+def roc_points(spark: SparkSession, d: str) -> DataFrame:
+    """ROC points per distinct score threshold."""
+    return rounded(metrics.roc_points(_predictions(spark, d), "gt", "score"))
+
+
+@query
+def auc(spark: SparkSession, d: str) -> DataFrame:
+    """Area under the ROC curve."""
+    return rounded(metrics.auc(_predictions(spark, d), "gt", "score"))
+
+
+def _priced_lines(spark, d):
+    from ..sources.tables import table
+    li = table(spark, d, "lineitem")
+    p = table(spark, d, "part").select("p_partkey", "p_retailprice")
+    return li.join(p, li.l_partkey == p.p_partkey)
+
+
+@query
+def mse_r2(spark: SparkSession, d: str) -> DataFrame:
+    """MSE and R² of list price × quantity against the line price (in
+    thousands)."""
+    j = _priced_lines(spark, d).select((F.col("l_extendedprice") / 1000).alias("y"),
+                                       (F.col("l_quantity") * F.col("p_retailprice") / 1000).alias("pred"))
+    return rounded(metrics.mse_r2(j, "y", "pred"))
+
+
+@query
+def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Pearson correlation of all pairs of line measures."""
+    from ..sources.tables import table
+    li = table(spark, d, "lineitem")
+    return rounded(metrics.correlation_matrix(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+
+
+@query
+def simple_regression(spark: SparkSession, d: str) -> DataFrame:
+    """K26 (one feature): slope and intercept of price on quantity."""
+    j = _priced_lines(spark, d)
+    return rounded(j.agg(F.regr_slope("l_extendedprice", "l_quantity").alias("slope"),
+                         F.regr_intercept("l_extendedprice", "l_quantity").alias("intercept")))
+
+
+@query
+def dense_calendar_total(spark: SparkSession, d: str) -> DataFrame:
+    """Orders per month × priority on a dense calendar plus month totals."""
+    from ..sources.tables import table
+    o = table(spark, d, "orders")
+    return report.monthly_counts_dense(o, "o_orderdate", "o_orderpriority", "1995-01-01", "2001-08-01")
+
+
+@query
+def silhouette_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Squared-Euclidean silhouette per vector, clusters = labels."""
+    from ..sources.tables import table
+    e = table(spark, d, "embeddings")
+    return rounded(clustering.silhouette_samples(e, "embedding", "label", "vec_id"))
+
+
+@query
+def cluster_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors per cluster."""
+    from ..sources.tables import table
+    return clustering.cluster_sizes(table(spark, d, "embeddings"), "label")
+
+
+@query
+def sigmoid_values(spark: SparkSession, d: str) -> DataFrame:
+    """Logistic function and its derivative of the scaled margin."""
+    from ..functions.numeric import sigmoid
+    s = si.sales(spark, d).select(*si.SALE_KEY, (F.col("margem_percentagem") - 5).alias("x"))
+    return rounded(s.select(*si.SALE_KEY, sigmoid("x").alias("sig"),
+                            sigmoid(sigmoid("x"), derivative=True).alias("sig_deriv")))

@@ -486,3 +486,194 @@ SELECT l_orderkey, navegacao, sensores, caixa_auto, cor_exterior, cor_interior,
   CAST(year(buy_date) AS BIGINT) AS buy_year, CAST(day(sell_date) AS BIGINT) AS sell_day,
   CAST(month(sell_date) AS BIGINT) AS sell_month, CAST(year(sell_date) AS BIGINT) AS sell_year
 FROM s, m"""
+
+# ---------------------------------------------------------------- profiles, sets, sorts
+PROFILED = """prof AS (SELECT customer, registration_number, vehicle_in_date, nlr_code, kms, slr_document_account,
+  priority, CAST(1 AS BIGINT) AS source_rank FROM visits)"""
+_PCOLS = [("customer", "string"), ("registration_number", "string"), ("vehicle_in_date", "timestamp_ntz"),
+          ("nlr_code", "bigint"), ("kms", "bigint"), ("slr_document_account", "bigint"), ("priority", "string"),
+          ("source_rank", "bigint")]
+
+SQL["value_counts"] = f"""
+WITH {VISITS} SELECT priority, count(*) AS n FROM visits WHERE priority IS NOT NULL GROUP BY priority"""
+
+SQL["null_profile"] = f"""
+WITH {VISITS}, {PROFILED}, t AS (SELECT count(*) AS n FROM prof)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS column_type, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL) / CAST(count(*) AS DOUBLE) * 100, 6) AS pct_n_null FROM prof"
+    for c, t in _PCOLS)
+
+SQL["zero_profile"] = f"""
+WITH {VISITS}, {PROFILED}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS column_type, "
+    + (f"CAST(count(*) FILTER (WHERE {c} = 0) AS BIGINT)" if t == "bigint" else "CAST(0 AS BIGINT)")
+    + " AS n_zero, round("
+    + (f"count(*) FILTER (WHERE {c} = 0)" if t == "bigint" else "0")
+    + " / CAST(count(*) AS DOUBLE) * 100, 6) AS pct_n_zero FROM prof"
+    for c, t in _PCOLS)
+
+SQL["constant_columns"] = f"""
+WITH {VISITS}, {PROFILED}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM prof" for c, _ in _PCOLS)
+
+SQL["distinct_count"] = f"""
+WITH {VISITS} SELECT CAST(count(DISTINCT registration_number) AS BIGINT) AS n_distinct FROM visits"""
+
+SQL["union_missing_cols"] = f"""
+WITH {VISITS}
+SELECT o_orderkey, registration_number, kms, CAST(1 AS BIGINT) AS source_rank FROM visits WHERE nlr_code = 101
+UNION ALL BY NAME
+SELECT o_orderkey, registration_number, round(total, 6) AS total, CAST(2 AS BIGINT) AS source_rank
+FROM visits WHERE nlr_code = 701"""
+
+SQL["sort_nulls_last"] = f"""
+WITH {VISITS}
+SELECT customer, slr_document_account, registration_number, o_orderkey,
+  CAST(row_number() OVER (ORDER BY customer ASC NULLS LAST, slr_document_account ASC NULLS LAST,
+                          registration_number ASC NULLS LAST, o_orderkey) AS BIGINT) AS position
+FROM visits"""
+
+SQL["head_preview"] = f"""
+WITH {VISITS} SELECT o_orderkey, customer, vehicle_in_date FROM visits
+ORDER BY vehicle_in_date DESC NULLS LAST, o_orderkey LIMIT 5"""
+
+SQL["keep_or_other"] = f"""
+WITH {VISITS} SELECT o_orderkey,
+  CASE WHEN priority IS NULL OR priority IN ('1-URGENT', '2-HIGH') THEN priority ELSE 'outros' END AS priority_new
+FROM visits"""
+
+SQL["group_map"] = f"""
+WITH {SALES} SELECT {KEY}, cfg_colour,
+  CASE cfg_colour WHEN 'hot' THEN 'warm' WHEN 'blue' THEN 'cool' WHEN 'cold' THEN 'cool' WHEN 'large' THEN 'size'
+    WHEN 'small' THEN 'size' WHEN 'red' THEN 'outros' WHEN 'new' THEN 'outros' END AS cfg_colour_new
+FROM sales"""
+
+SQL["lookup_map"] = f"""
+WITH {SALES} SELECT {KEY},
+  CASE cfg_colour WHEN 'red' THEN 'vermelho' WHEN 'blue' THEN 'azul' WHEN 'old' THEN 'antigo' ELSE cfg_colour END
+    AS cfg_colour
+FROM sales"""
+
+SQL["date_parts_query"] = f"""
+WITH {SALES} SELECT {KEY},
+  CAST(day(buy_date) AS BIGINT) AS buy_day, CAST(month(buy_date) AS BIGINT) AS buy_month,
+  CAST(year(buy_date) AS BIGINT) AS buy_year, CAST(day(sell_date) AS BIGINT) AS sell_day,
+  CAST(month(sell_date) AS BIGINT) AS sell_month, CAST(year(sell_date) AS BIGINT) AS sell_year,
+  CAST(make_date(year(sell_date), month(sell_date), day(sell_date)) AS TIMESTAMP) AS sell_date_rebuilt
+FROM sales"""
+
+_CLEAN = ("replace(replace(replace(replace(replace(replace(regexp_replace(replace(lower(text), '|', '/'), "
+          "'ind.', '', 'g'), ']', '/'), '.', ' '), '''merino''', 'merino'), ''' merino''', 'merino'), "
+          "'''vernasca''', 'vernasca'), ' - não utilizar', '')")
+SQL["symbol_replace"] = f"""
+SELECT doc_id, CAST(length({_CLEAN}) AS BIGINT) AS n_chars_clean, md5({_CLEAN}) AS md5_clean FROM documents"""
+
+# ---------------------------------------------------------------- metrics
+PRED = """pred AS (SELECT l.doc_id, quality AS gt, toxic AS pred, CAST(n_chars AS DOUBLE) AS score
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+SQL["confusion"] = f"""
+WITH {PRED}, c AS (SELECT gt, pred, count(*) AS n FROM pred GROUP BY gt, pred)
+SELECT gt, pred, n, round(n / CAST(sum(n) OVER (PARTITION BY gt) AS DOUBLE), 6) AS rate FROM c"""
+
+SQL["binary_confusion"] = f"""
+WITH {PRED}, c AS (SELECT
+  CAST(count(*) FILTER (WHERE gt <> 1 AND pred <> 1) AS BIGINT) AS tn,
+  CAST(count(*) FILTER (WHERE gt <> 1 AND pred = 1) AS BIGINT) AS fp,
+  CAST(count(*) FILTER (WHERE gt = 1 AND pred <> 1) AS BIGINT) AS fn,
+  CAST(count(*) FILTER (WHERE gt = 1 AND pred = 1) AS BIGINT) AS tp FROM pred)
+SELECT tn, fp, fn, tp, round(tn / nullif(CAST(tn + fp AS DOUBLE), 0), 6) AS specificity FROM c"""
+
+PER_LABEL = """lab AS (SELECT label, sum(hit) AS tp, sum(in_gt) AS support, sum(in_pred) AS predicted FROM (
+  SELECT gt AS label, 1 AS in_gt, 0 AS in_pred, CAST(gt = pred AS INT) AS hit FROM pred
+  UNION ALL SELECT pred, 0, 1, 0 FROM pred) GROUP BY label)"""
+
+SQL["f1_report"] = f"""
+WITH {PRED}, {PER_LABEL},
+p AS (SELECT tp, predicted - tp AS fp, support - tp AS fn FROM lab WHERE predicted > 0)
+SELECT round(2.0 * sum(tp) / nullif(2 * sum(tp) + sum(fp) + sum(fn), 0), 6) AS micro_f1,
+  round(avg(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0)), 6) AS macro_f1,
+  round((SELECT avg(CAST(gt = pred AS DOUBLE)) FROM pred), 6) AS accuracy FROM p"""
+
+SQL["class_report"] = f"""
+WITH {PRED}, {PER_LABEL},
+r AS (SELECT CAST(label AS VARCHAR) AS class, coalesce(tp / nullif(CAST(predicted AS DOUBLE), 0), 0) AS precision,
+        coalesce(tp / nullif(CAST(support AS DOUBLE), 0), 0) AS recall, support FROM lab),
+f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1_score FROM r)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, CAST(support AS BIGINT) AS support,
+       round(f1_score, 6) AS f1_score FROM f
+UNION ALL
+SELECT 'avg/total', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT), round(sum(f1_score * support) / sum(support), 6) FROM f"""
+
+ROC = """t AS (SELECT score AS threshold, sum(CAST(gt = 1 AS BIGINT)) AS pos, sum(CAST(gt <> 1 AS BIGINT)) AS neg
+  FROM pred GROUP BY score),
+tot AS (SELECT sum(pos) AS p, sum(neg) AS n FROM t),
+roc AS (SELECT threshold, pos, neg,
+  sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+  sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM t)"""
+
+SQL["roc_points"] = f"""
+WITH {PRED}, {ROC}
+SELECT round(threshold, 6) AS threshold, pos, neg, round(cn / nullif(CAST(n AS DOUBLE), 0), 6) AS fpr,
+       round(cp / nullif(CAST(p AS DOUBLE), 0), 6) AS tpr FROM roc, tot"""
+
+SQL["auc"] = f"""
+WITH {PRED}, {ROC},
+pts AS (SELECT roc.*, lag(cn, 1, 0) OVER (ORDER BY threshold DESC) AS cn0,
+               lag(cp, 1, 0) OVER (ORDER BY threshold DESC) AS cp0 FROM roc)
+SELECT round(sum((cn - cn0) * (cp + cp0) / 2.0) / (max(p) * max(n)), 6) AS auc FROM pts, tot"""
+
+PRICED = """pl AS (SELECT l_extendedprice, l_quantity, l_quantity * p_retailprice AS pred
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+SQL["mse_r2"] = f"""
+WITH {PRICED}, k AS (SELECT l_extendedprice / 1000 AS y, pred / 1000 AS p FROM pl),
+m AS (SELECT avg(y) AS my FROM k)
+SELECT round(avg((y - p) ^ 2), 6) AS mse, round(1 - sum((y - p) ^ 2) / nullif(sum((y - my) ^ 2), 0), 6) AS r2
+FROM k, m"""
+
+_MEAS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+SQL["corr_matrix"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM lineitem"
+    for a in _MEAS for b in _MEAS)
+
+SQL["simple_regression"] = f"""
+WITH {PRICED} SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+  round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept FROM pl"""
+
+SQL["dense_calendar_total"] = """
+WITH cal AS (SELECT CAST(m AS DATE) AS month FROM generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH) g(m)),
+cats AS (SELECT DISTINCT o_orderpriority AS category FROM orders WHERE o_orderpriority IS NOT NULL),
+cnt AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority AS category, count(*) AS n
+        FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY ALL),
+dense AS (SELECT cal.month, cats.category, coalesce(cnt.n, 0) AS n FROM cal, cats
+          LEFT JOIN cnt ON cnt.month = cal.month AND cnt.category = cats.category)
+SELECT strftime(month, '%Y-%m') AS month, category, CAST(n AS BIGINT) AS n FROM dense
+UNION ALL
+SELECT strftime(month, '%Y-%m'), 'Month Total', CAST(sum(n) AS BIGINT) FROM dense GROUP BY month"""
+
+SQL["silhouette_exact"] = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+pq AS (SELECT vec_id, label, list_sum(list_transform(v, lambda t: t * t)) AS sq FROM e),
+cs AS (SELECT label AS c, i, sum(x) AS s FROM d GROUP BY label, i),
+cn AS (SELECT label AS c, count(*) AS n, sum(sq) AS sq FROM pq GROUP BY label),
+dots AS (SELECT d.vec_id, cs.c, sum(d.x * cs.s) AS dot FROM d JOIN cs ON d.i = cs.i GROUP BY d.vec_id, cs.c),
+m AS (SELECT pq.vec_id, pq.label, dots.c, cn.n, pq.sq * cn.n - 2 * dots.dot + cn.sq AS tot
+      FROM pq JOIN dots ON pq.vec_id = dots.vec_id JOIN cn ON dots.c = cn.c),
+ab AS (SELECT vec_id, label, max(CASE WHEN c = label THEN tot / nullif(n - 1, 0) END) AS a,
+         min(CASE WHEN c <> label THEN tot / n END) AS b, max(CASE WHEN c = label THEN n END) AS own_n
+       FROM m GROUP BY vec_id, label)
+SELECT vec_id, label, round(a, 6) AS a, round(b, 6) AS b,
+  round(CASE WHEN own_n <= 1 THEN 0.0 ELSE (b - a) / nullif(greatest(a, b), 0) END, 6) AS silhouette FROM ab"""
+
+SQL["cluster_sizes"] = "SELECT label, count(*) AS size FROM embeddings GROUP BY label"
+
+SQL["sigmoid_values"] = f"""
+WITH {SALES}, x AS (SELECT {KEY}, margem_percentagem - 5 AS x FROM sales),
+s AS (SELECT *, 1 / (1 + exp(-x)) AS sig FROM x)
+SELECT {KEY}, round(sig, 6) AS sig, round(sig * (1 - sig), 6) AS sig_deriv FROM s"""
