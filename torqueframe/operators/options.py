@@ -42,7 +42,10 @@ def interior_colour(tokens, primary=vocab.COLOURS_PT, secondary=vocab.COLOURS_EN
     tok = tokens if isinstance(tokens, Column) else F.col(tokens)
     m_p = F.array_intersect(_arr(primary), tok)
     m_s = F.array_intersect(_arr(secondary), tok)
-    matches = F.when(F.size(m_p) > 0, m_p).otherwise(m_s)
+    return resolve_interior(tok, F.when(F.size(m_p) > 0, m_p).otherwise(m_s), ruleset)
+
+
+def resolve_interior(tok: Column, matches: Column, ruleset: str = "as_coded") -> Column:
     forced = None
     for word, result in vocab.INTERIOR_FORCE:   # later forced value wins
         forced = (F.when(F.array_contains(tok, word), F.lit(result)) if forced is None
@@ -66,7 +69,7 @@ def line_wheel_size(tokens, sizes: Sequence[str] = vocab.WHEEL_SIZES) -> Column:
     """Largest listed size among a line's tokens, null if none."""
     tok = tokens if isinstance(tokens, Column) else F.col(tokens)
     found = F.filter(_arr(sizes), lambda s: F.array_contains(tok, s))
-    return F.when(F.size(found) > 0, F.array_max(F.transform(found, lambda s: s.cast("int"))))
+    return F.array_max(F.transform(found, lambda s: s.cast("int")))
 
 
 def vehicle_features(lines: DataFrame, vehicle: str, line_order: Sequence[str],
@@ -76,36 +79,53 @@ def vehicle_features(lines: DataFrame, vehicle: str, line_order: Sequence[str],
                      interior_vocab: tuple = (vocab.COLOURS_PT, vocab.COLOURS_EN),
                      wheel_sizes: Sequence[str] = vocab.WHEEL_SIZES,
                      ruleset: str = "as_coded", model_lead: str = "Série",
-                     first_line_cols: Sequence[str] = ()) -> DataFrame:
+                     first_line_cols: Sequence[str] = (), extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per vehicle (H7–H11, D1): equipment flags (0/1), exterior and
     interior colour of the first line (null = unknown), wheel size of the
     last line that names one (``standard`` if none), shortened model of the
     first line, summed cost, plus ``first_line_cols`` taken from the first
-    line (E10). Text is lower-cased before tokenising, except the model."""
-    order = F.struct(*[F.col(c) for c in line_order])
-    tok = tokenize(F.lower(F.col(option)))
-    size = line_wheel_size(tok, wheel_sizes)
-    aggs = [F.max(F.array_contains(tok, w).cast("int")).cast("bigint").alias(name)
-            for name, w in flag_words.items()]
+    line (E10) and any ``extra_aggs``. Text is lower-cased before
+    tokenising, except the model.
+
+    Each line is tokenised once in a projection; the per-line flags and
+    wheel size are derived from that column, then one ``groupBy`` reduces
+    the lines (partially, before the shuffle)."""
+    order = F.struct(*[F.col(c) for c in line_order]).alias("_ord")
+    per_line = lines.select(vehicle, order, tokenize(F.lower(F.col(option))).alias("_tok"),
+                            F.col(exterior), F.col(interior), F.col(model), F.col(cost),
+                            *[F.col(c) for c in first_line_cols],
+                            *[F.col(c) for c in set(lines.columns) - {vehicle, exterior, interior, model, cost,
+                                                                       *first_line_cols}])
+    per_line = per_line.select(
+        "*", *[F.array_contains("_tok", w).cast("int").alias(f"_f_{name}") for name, w in flag_words.items()],
+        line_wheel_size("_tok", wheel_sizes).alias("_size"))
+    aggs = [F.max(f"_f_{name}").cast("bigint").alias(name) for name in flag_words]
     aggs += [
-        F.min_by(F.lower(F.col(exterior)), order).alias("_ext"),
-        F.min_by(F.lower(F.col(interior)), order).alias("_int"),
-        F.min_by(F.col(model), order).alias("_model"),
-        F.max_by(size, F.when(size.isNotNull(), order)).alias("_wheel"),
+        F.min_by(F.struct(F.lower(F.col(exterior)).alias("e"), F.lower(F.col(interior)).alias("i"),
+                          F.col(model).alias("m"), *[F.col(c) for c in first_line_cols]), "_ord").alias("_first"),
+        F.max_by("_size", F.when(F.col("_size").isNotNull(), F.col("_ord"))).alias("_wheel"),
         F.sum(cost).alias("price_total"),
         F.count(F.lit(1)).alias("n_lines"),
+        *extra_aggs,
     ]
-    aggs += [F.min_by(F.col(c), order).alias(c) for c in first_line_cols]
-    g = lines.groupBy(vehicle).agg(*aggs)
-    ext_tok = tokenize(F.col("_ext"))
-    int_tok = tokenize(F.col("_int"))
+    g = per_line.groupBy(vehicle).agg(*aggs)
+    extra_names = [c for c in g.columns if c not in {vehicle, *flag_words, "_first", "_wheel", "price_total",
+                                                       "n_lines"}]
+    g = g.select(vehicle, *flag_words, "_wheel", "price_total", "n_lines", *extra_names,
+                 *[F.col(f"_first.{c}").alias(c) for c in first_line_cols],
+                 tokenize(F.col("_first.e")).alias("_ext_tok"), tokenize(F.col("_first.i")).alias("_int_tok"),
+                 tokenize(F.col("_first.m")).alias("_model_tok"))
+    ip, isec = interior_vocab
+    g = g.select("*", F.array_intersect(_arr(ip), "_int_tok").alias("_mp"),
+                 F.array_intersect(_arr(isec), "_int_tok").alias("_ms"))
+    g = g.select("*", F.when(F.size("_mp") > 0, F.col("_mp")).otherwise(F.col("_ms")).alias("_im"))
     return g.select(
         vehicle, *flag_words.keys(),
-        first_vocab_match(ext_tok, *exterior_vocab).alias("cor_exterior"),
-        interior_colour(int_tok, *interior_vocab, ruleset=ruleset).alias("cor_interior"),
+        first_vocab_match(F.col("_ext_tok"), *exterior_vocab).alias("cor_exterior"),
+        resolve_interior(F.col("_int_tok"), F.col("_im"), ruleset).alias("cor_interior"),
         F.coalesce(F.col("_wheel").cast("string"), F.lit("standard")).alias("jantes"),
-        shorten_model(tokenize(F.col("_model")), model_lead).alias("modelo"),
-        "price_total", F.col("n_lines").cast("bigint").alias("n_lines"), *first_line_cols)
+        shorten_model(F.col("_model_tok"), model_lead).alias("modelo"),
+        "price_total", F.col("n_lines").cast("bigint").alias("n_lines"), *first_line_cols, *extra_names)
 
 
 def group_table(spark: SparkSession, groups, attr: str = "attr") -> DataFrame:

@@ -18,13 +18,13 @@ def vehicle_table(spark: SparkSession, lines: DataFrame, meta: DataFrame, vehicl
     modelo, custo`` and ``sell_col``; ``meta``: per vehicle ``buy_date`` and
     ``margem``. Vehicles with an unknown colour are dropped (B13)."""
     feats = options.vehicle_features(lines, vehicle, line_order, "opcional", "cor", "interior",
-                                     "modelo", "custo", **feature_kwargs)
-    sell = lines.groupBy(vehicle).agg(F.max(sell_col).alias("sell_date"))
+                                     "modelo", "custo", extra_aggs=[F.max(sell_col).alias("sell_date")],
+                                     **feature_kwargs)
     canon = joins.mapping_table(spark, vocab.COLOUR_CANONICAL)
     v = joins.lookup_replace(feats, "cor_exterior", canon)
     v = joins.lookup_replace(v, "cor_interior", canon)
     v = v.filter(F.col("cor_interior").isNotNull() & F.col("cor_exterior").isNotNull())
-    v = v.join(sell, on=vehicle).join(meta, on=vehicle).filter(F.col("sell_date") >= F.col("buy_date"))
+    v = v.join(meta, on=vehicle).filter(F.col("sell_date") >= F.col("buy_date"))
     v = v.withColumn("stock_days", whole_days("buy_date", "sell_date")) \
          .withColumn("margem_percentagem", ratio(F.col("margem"), F.col("price_total")) * F.lit(100.0))
     v = score.minmax_score(v)
