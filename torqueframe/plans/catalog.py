@@ -638,3 +638,157 @@ def sigmoid_values(spark: SparkSession, d: str) -> DataFrame:
     s = si.sales(spark, d).select(*si.SALE_KEY, (F.col("margem_percentagem") - 5).alias("x"))
     return rounded(s.select(*si.SALE_KEY, sigmoid("x").alias("sig"),
                             sigmoid(sigmoid("x"), derivative=True).alias("sig_deriv")))
+
+
+# ---------------------------------------------------------------- modelling (rows-only checks)
+from ..operators import models as M  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+from . import modelling as ML  # noqa: E402
+
+# Registered model queries use 3 folds and a thinned grid (about four
+# parameter maps) so a check stays short; the library defaults are the
+# original grids and 10 folds.
+_FOLDS = 3
+_TARGET = "new_score"
+
+
+def _model_data(spark, d):
+    lines = si.option_lines(spark, d)
+    v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
+                            "l_shipdate", _FEATURE_KW)
+    ft = ML.feature_table(v, "l_orderkey", new_score_days=si.NEW_SCORE_DAYS)
+    feats = ML.numeric_features(ft, ["l_orderkey", "n_lines", "margem", *ML.TARGETS, "buy_day", "buy_year",
+                                     "sell_day", "sell_month", "sell_year"])
+    train, test = ML.split_assemble(ft, "l_orderkey", _TARGET, feats, folds=_FOLDS)
+    return cut_lineage(train), cut_lineage(test), feats
+
+
+def _thin(grid, n=4):
+    return grid[:: max(1, len(grid) // n)] if grid else grid
+
+
+def _classifier(spark, d, name):
+    train, test, feats = _model_data(spark, d)
+    est, grid = M.classifier_grid(name, _TARGET, train.count(), len(feats),
+                                  weighted=name in ("dt", "rf", "lr", "svm"))
+    cv = M.grid_search(train, est, _thin(grid), "recall", _TARGET)
+    return cv.bestModel, train, test, feats
+
+
+def _register_classifier(name):
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        model, _, test, _ = _classifier(spark, d, name)
+        return M.predictions(model, test, _TARGET, keep=["l_orderkey", "score", "stock_days", "margem_percentagem"])
+    q.__name__ = f"classifier_{name}"
+    q.__doc__ = f"K9–K18/K20: {name} grid search on stratified folds, test predictions."
+    return query(q)
+
+
+for _n in ["dt", "rf", "lr", "svm", "gc", "bayes", "neural"]:
+    _register_classifier(_n)
+
+
+@query
+def classifier_adaboost(spark: SparkSession, d: str) -> DataFrame:
+    """AdaBoost (SAMME) with 10 stumps, test predictions."""
+    train, test, _ = _model_data(spark, d)
+    members = M.adaboost_samme(train, _TARGET, n_estimators=10)
+    return M.adaboost_predict(members, test, keep=["l_orderkey", _TARGET])
+
+
+@query
+def classifier_bagging(spark: SparkSession, d: str) -> DataFrame:
+    """Bagging of 5 decision trees on half the features each."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    train, test, feats = _model_data(spark, d)
+    members = M.bagging(train.drop("features"), feats, _TARGET, lambda: DecisionTreeClassifier(maxDepth=5),
+                        "l_orderkey", n_members=5)
+    return M.bagging_predict(members, test.drop("features"), keep=["l_orderkey", _TARGET])
+
+
+@query
+def classifier_voting(spark: SparkSession, d: str) -> DataFrame:
+    """Soft vote (mean class-1 probability) of tree, logistic and naive Bayes."""
+    train, test, feats = _model_data(spark, d)
+    tables = []
+    for name in ["dt", "lr", "bayes"]:
+        est, grid = M.classifier_grid(name, _TARGET, train.count(), len(feats), weighted=name != "bayes")
+        model = M.grid_search(train, est, _thin(grid, 2), "recall", _TARGET).bestModel
+        tables.append(M.predictions(model, test, _TARGET, keep=["l_orderkey"]))
+    return M.average_probability(tables, "l_orderkey")
+
+
+@query
+def feature_importance_dt(spark: SparkSession, d: str) -> DataFrame:
+    """Ranked feature importances of the best decision tree."""
+    model, _, _, feats = _classifier(spark, d, "dt")
+    return M.feature_importance(spark, model, feats)
+
+
+@query
+def performance_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Performance row of the decision tree as tagged metric rows."""
+    model, _, test, _ = _classifier(spark, d, "dt")
+    pred = M.predictions(model, test, _TARGET)
+    return ML.metrics_rows(spark, ML.run_tag("classification", "dt", _TARGET, "recall"), ML.evaluate(pred))
+
+
+@query
+def kmeans_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """K-means (k=10) on the training rows, test rows assigned,
+    cluster sizes and mean silhouette per cluster."""
+    train, test, _ = _model_data(spark, d)
+    km = M.kmeans(train, k=10)
+    assigned = km.transform(test).select("l_orderkey", F.col("prediction").alias("cluster"),
+                                         vector_to_array_col("features").alias("v"))
+    sil = clustering.silhouette_samples(assigned, "v", "cluster", "l_orderkey")
+    return sil.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg("silhouette").alias("silhouette_avg"))
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(c)
+
+
+@query
+def gap_statistic(spark: SparkSession, d: str) -> DataFrame:
+    """Gap statistic for k = 1..6 on z-scored price, days and margin."""
+    s = score.zscore_population(si.sales(spark, d), ["stock_days", "margem_percentagem", "l_extendedprice"])
+    return M.gap_statistic(s, ["stock_days", "margem_percentagem", "l_extendedprice"], range(1, 7), n_refs=2)
+
+
+@query
+def linear_regression(spark: SparkSession, d: str) -> DataFrame:
+    """Linear regression of margin % on the features; train/test MSE and R²."""
+    lines = si.option_lines(spark, d)
+    v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
+                            "l_shipdate", _FEATURE_KW)
+    ft = ML.feature_table(v, "l_orderkey", new_score_days=si.NEW_SCORE_DAYS)
+    feats = [f for f in ML.numeric_features(ft, ["l_orderkey", "n_lines", "margem", *ML.TARGETS, "buy_day",
+                                                 "buy_year", "sell_day", "sell_month", "sell_year"])]
+    s = sampling.stratified_split(ft, "new_score", "l_orderkey", 0.25, seed=2)
+    s = cut_lineage(M.assemble(s, feats))
+    model = M.linear_regression(s.filter("is_train = 1"), "margem_percentagem")
+    out = []
+    for part, flag in [("train", 1), ("test", 0)]:
+        pred = model.transform(s.filter(f"is_train = {flag}"))
+        out.append(metrics.mse_r2(pred, "margem_percentagem", "prediction").withColumn("part", F.lit(part)))
+    return out[0].unionByName(out[1]).withColumn("n_coefficients", F.lit(len(model.coefficients)))
+
+
+@query
+def per_group_models(spark: SparkSession, d: str) -> DataFrame:
+    """One decision tree per group (automatic gearbox yes/no), tagged
+    performance rows."""
+    train, test, feats = _model_data(spark, d)
+    groups = [r[0] for r in train.select("caixa_auto").distinct().collect()]
+    rows = None
+    for g in sorted(groups):
+        tr, te = train.filter(F.col("caixa_auto") == g), test.filter(F.col("caixa_auto") == g)
+        est, grid = M.classifier_grid("dt", _TARGET, tr.count(), len(feats))
+        model = M.grid_search(tr, est, _thin(grid, 2), "f1_weighted", _TARGET).bestModel
+        perf = ML.evaluate(M.predictions(model, te, _TARGET))
+        r = ML.metrics_rows(spark, ML.run_tag("classification", "dt", _TARGET, "f1_weighted"), perf) \
+              .withColumn("group", F.lit(str(g)))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows

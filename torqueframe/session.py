@@ -28,9 +28,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     settings that are not already set.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            conf["spark.driver.memory"] = os.environ.get("TF_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
