@@ -16,8 +16,11 @@ For every sale, ordered by sell date inside its configuration:
 
 Positions and running sums use the chunked scan of :mod:`.ordered`; the
 per-configuration statistics are one ``groupBy`` with map-side partial
-aggregation, joined back (AQE broadcasts it when it is small at run time and
-splits a skewed key otherwise).
+aggregation. They are broadcast back to the rows when the number of
+configurations (estimated first with one HyperLogLog pass over the key
+columns) fits the broadcast threshold — the rows then keep their
+(configuration, chunk) partitioning and are not shuffled again — and merge-
+joined otherwise, with AQE splitting a skewed configuration.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_per_group, group_count_estimate
 from .ordered import CHUNK, chunk_window, local_window, with_chunk
 
 HISTORY_COLUMNS = [
@@ -69,21 +73,21 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s0"),
         F.lag("_tail", 1).over(chunk_window(keys)).alias("_prev_tail"))
 
-    # 2. local scan inside each chunk, shifted by the offsets
+    # 2. local scan inside each chunk, shifted by the offsets; the offsets
+    #    join uses the (configuration, chunk) partitioning the window needs
     w = local_window(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = base.select(
+    local = base.join(offsets, on=[*keys, CHUNK], how="inner").select(
         "*",
         F.row_number().over(w).alias("_rn"),
         F.sum(x).over(run).alias("_cs"),
         F.lag(x, 1).over(w).alias("_lv"),
         F.lag(F.col(margin).cast("double"), 1).over(w).alias("_lm"),
         F.lag(F.col(days).cast("double"), 1).over(w).alias("_ld"))
-    rows = local.join(offsets, on=[*keys, CHUNK], how="inner")
     pos = (F.col("_rn") + F.col("_n0")).cast("bigint")
     cum = F.col("_cs") + F.col("_s0")
     first_local = F.col("_rn") == 1
-    rows = rows.select(
+    rows = local.select(
         *df.columns,
         pos.alias("_pos"),
         (pos - 1).alias("number_prev_sales"),
@@ -96,7 +100,9 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.when(pos == 1, F.lit(None).cast("double")).when(pos == 2, F.lit(0.0))
          .otherwise((cum - x) / (pos - 1)).alias("prev_average_score_dynamic"))
 
-    # 3. whole-configuration statistics, partially aggregated before the shuffle
+    # 3. whole-configuration statistics, partially aggregated before the
+    #    shuffle; attached with a broadcast when the number of
+    #    configurations (checked first) is small enough, else a merge join
     if exact_quantiles:
         q = F.percentile(x, [0.75, 0.5, 0.25])
     else:
@@ -106,7 +112,7 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.stddev_pop("average_score_dynamic").alias("_dyn_std"),
         F.avg(x).alias("_avg"), F.min(x).alias("_min"), F.max(x).alias("_max"),
         q.alias("_q"))
-    out = rows.join(stats, on=keys, how="inner")
+    out = attach_per_group(rows, stats, keys, group_count_estimate(base, keys), bytes_per_group=160)
     multi = F.col("_size") > 1
 
     def hist(c: Column) -> Column:

@@ -71,3 +71,37 @@ def join_back(df: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataF
     """Attach a per-group result to its rows (C3); null keys drop out on both
     sides (inner equi-join)."""
     return df.join(per_group, on=list(keys), how="inner")
+
+
+def _threshold(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:  # e.g. "10MB"
+        units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "b": 1}
+        s = v.strip().lower()
+        for u, m in units.items():
+            if s.endswith(u):
+                return int(float(s[: -len(u)]) * m)
+        return 10 << 20
+
+
+def group_count_estimate(df: DataFrame, keys: Sequence[str]) -> int:
+    """Approximate number of distinct keys (HyperLogLog, one columnar pass
+    over the key columns only)."""
+    return int(df.select(F.approx_count_distinct(F.struct(*[F.col(k) for k in keys]), 0.05)).first()[0])
+
+
+def attach_per_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], n_groups: int,
+                     bytes_per_group: int = 256) -> DataFrame:
+    """Join a one-row-per-group table back to its rows.
+
+    The size of the per-group side is checked before planning: when
+    ``n_groups · bytes_per_group`` fits under the broadcast threshold it is
+    broadcast (the big side keeps its partitioning and is not shuffled
+    again); otherwise it is a sort-merge join, with AQE splitting skewed
+    keys."""
+    keys = list(keys)
+    limit = _threshold(rows.sparkSession)
+    small = limit > 0 and n_groups * bytes_per_group <= limit
+    return rows.join(F.broadcast(per_group) if small else per_group, on=keys, how="inner")

@@ -1,7 +1,9 @@
 """Deterministic stratified split, over- and under-sampling (K3–K5).
 
-Random draws become a hash order: ``md5(id || ':' || seed)``. The rank of a
-row inside its class in that order is computed with the chunked scan of
+Random draws become a hash order: ``md5(id || ':' || seed)``. Per-class counts
+are attached with a size-checked broadcast (classes are few), so the rows are
+never shuffled by class. The rank of a row inside its class in that order is
+computed with the chunked scan of
 :mod:`.ordered` (chunk = first three hex digits of the hash, 4096 chunks), so
 a dominant class is ranked by many tasks, not one. Results are exact and
 reproducible, and equal to the same definition written in SQL.
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import attach_per_group, group_count_estimate
 from .ordered import running_sums
 
 
@@ -36,7 +39,7 @@ def stratified_split(df: DataFrame, target: str, id_col: str, test_fraction: flo
     go to test and the rest to train; adds ``is_train`` (1/0)."""
     ranked = class_rank(df, target, id_col, seed)
     counts = _class_counts(df, target)
-    j = ranked.join(counts, on=target, how="inner")
+    j = attach_per_group(ranked, counts, [target], group_count_estimate(df, [target]), 32)
     n_train = F.col("_nc") - F.ceil(F.col("_nc") * F.lit(test_fraction))
     return j.withColumn(out, F.when(F.col("_hrank") <= n_train, 1).otherwise(0).cast("bigint")) \
             .drop("_hrank", "_nc")
@@ -50,7 +53,7 @@ def oversample(df: DataFrame, target: str, id_col: str, seed: int = 42) -> DataF
     counts = _class_counts(df, target)
     mx = counts.agg(F.max("_nc")).scalar()
     ranked = class_rank(df, target, id_col, seed)
-    j = ranked.join(counts, on=target, how="inner")
+    j = attach_per_group(ranked, counts, [target], group_count_estimate(df, [target]), 32)
     copies = F.floor(mx / F.col("_nc")) + F.when(F.col("_hrank") <= mx % F.col("_nc"), 1).otherwise(0)
     return (j.withColumn("copy_index", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
              .withColumn("copy_index", F.col("copy_index").cast("bigint"))
