@@ -87,3 +87,20 @@ def test_silhouette_against_pairs(spark):
         b = min(d2[i, lab == c].mean() for c in set(lab) if c != lab[i])
         s = 0.0 if own.sum() == 1 else (b - a) / max(a, b)
         assert got[i] == pytest.approx(s, abs=1e-9)
+
+
+def test_knn_exact_against_brute_force(spark):
+    from torqueframe.operators import neighbors
+    rnd = np.random.default_rng(5)
+    tr = rnd.normal(size=(120, 6))
+    qu = rnd.normal(size=(30, 6)) * 1.5
+    lab = rnd.integers(0, 3, size=120)
+    train = spark.createDataFrame([(i, tr[i].tolist(), int(lab[i])) for i in range(120)],
+                                  "id int, v array<double>, y int")
+    queries = spark.createDataFrame([(1000 + j, qu[j].tolist(), -1) for j in range(30)],
+                                    "id int, v array<double>, y int")
+    got = neighbors.knn_neighbours(train, queries, "v", "id", k=4).toPandas()
+    for j in range(30):
+        d = ((tr - qu[j]) ** 2).sum(1)
+        exp = sorted(np.argsort(d, kind="stable")[:4].tolist())
+        assert sorted(got[got.qid == 1000 + j].tid.tolist()) == exp

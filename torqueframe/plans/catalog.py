@@ -792,3 +792,21 @@ def per_group_models(spark: SparkSession, d: str) -> DataFrame:
               .withColumn("group", F.lit(str(g)))
         rows = r if rows is None else rows.unionByName(r)
     return rows
+
+
+# ---------------------------------------------------------------- nearest neighbours
+from ..operators import neighbors  # noqa: E402
+
+
+@query
+def knn_vote(spark: SparkSession, d: str) -> DataFrame:
+    """5-nearest-neighbour vote for the held-out quarter of the vectors
+    (stratified by label), neighbours from the other three quarters."""
+    from ..sources.tables import table
+    e = table(spark, d, "embeddings")
+    # the split is written once (reliable checkpoint); train and test then
+    # meet again in one plan without re-deriving the split twice
+    s = cut_lineage(sampling.stratified_split(e, "label", "vec_id", 0.25, seed=2))
+    train, test = s.filter("is_train = 1"), s.filter("is_train = 0")
+    vote = neighbors.knn_vote(train, test, "embedding", "vec_id", "label", k=5)
+    return vote.join(test.select("vec_id", "label"), "vec_id")

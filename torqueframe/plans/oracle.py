@@ -677,3 +677,18 @@ SQL["sigmoid_values"] = f"""
 WITH {SALES}, x AS (SELECT {KEY}, margem_percentagem - 5 AS x FROM sales),
 s AS (SELECT *, 1 / (1 + exp(-x)) AS sig FROM x)
 SELECT {KEY}, round(sig, 6) AS sig, round(sig * (1 - sig), 6) AS sig_deriv FROM s"""
+
+SQL["knn_vote"] = """
+WITH r AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+             row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':2'), vec_id) AS rk,
+             count(*) OVER (PARTITION BY label) AS nc FROM embeddings),
+s AS (SELECT vec_id, label, v, rk <= nc - ceil(nc * 0.25) AS is_train FROM r),
+tl AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM s WHERE is_train),
+ql AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM s WHERE NOT is_train),
+d AS (SELECT ql.vec_id AS qid, tl.vec_id AS tid, tl.label, sum((ql.x - tl.x) * (ql.x - tl.x)) AS d2
+      FROM ql JOIN tl ON ql.i = tl.i GROUP BY ql.vec_id, tl.vec_id, tl.label),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM d) WHERE rn <= 5),
+votes AS (SELECT qid, label, count(*) AS n FROM nn GROUP BY qid, label),
+best AS (SELECT qid, label AS predicted_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY n DESC, label) AS rn FROM votes) WHERE rn = 1)
+SELECT b.qid AS vec_id, b.predicted_label, s.label FROM best b JOIN s ON b.qid = s.vec_id"""
