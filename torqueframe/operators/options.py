@@ -165,3 +165,26 @@ def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     order_s = F.struct(*[F.col(c) for c in order])
     g = df.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in others]), order_s).alias("_r"))
     return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
+
+
+def category_groups(spark: SparkSession, df: DataFrame, columns: Mapping[str, Sequence] | None = None,
+                    provenance: str | None = None, drop_raw: bool = True) -> DataFrame:
+    """Run every list grouping (H14): ``{col}_new`` from each group list,
+    provenance renamed (``Viaturas Km 0`` → ``Novos``) into ``{prov}_new``,
+    raw columns dropped. ``columns`` maps column → group list; the default
+    uses the vehicle-table names and the dealer group lists."""
+    columns = dict(columns or {"cor_exterior": vocab.EXTERIOR_GROUPS, "cor_interior": vocab.INTERIOR_GROUPS,
+                               "jantes": vocab.WHEEL_GROUPS, "modelo": vocab.MODEL_GROUPS,
+                               "local_da_venda": vocab.SALES_PLACE_GROUPS})
+    out = df
+    for col, groups in columns.items():
+        if col in out.columns:
+            out = group_map(out, col, group_table(spark, groups))
+    if provenance and provenance in out.columns:
+        p = F.col(provenance)
+        for raw, new in vocab.PROVENANCE_RENAME.items():
+            p = F.when(F.col(provenance) == raw, F.lit(new)).otherwise(p)
+        out = out.withColumn(f"{provenance}_new", p)
+    if drop_raw:
+        out = out.drop(*[c for c in [*columns, provenance] if c and c in df.columns])
+    return out

@@ -810,3 +810,14 @@ def knn_vote(spark: SparkSession, d: str) -> DataFrame:
     train, test = s.filter("is_train = 1"), s.filter("is_train = 0")
     vote = neighbors.knn_vote(train, test, "embedding", "vec_id", "label", k=5)
     return vote.join(test.select("vec_id", "label"), "vec_id")
+
+
+@query
+def category_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Colour, wheel and model groups of every vehicle with the
+    dealer group lists; raw columns dropped."""
+    lines = si.option_lines(spark, d)
+    v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
+                            "l_shipdate", _FEATURE_KW)
+    v = v.select("l_orderkey", "cor_exterior", "cor_interior", "jantes", "modelo")
+    return options.category_groups(spark, v)

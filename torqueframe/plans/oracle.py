@@ -460,8 +460,7 @@ _CANON = ("CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in [
     ("âmbar/preto/pr", "ambar/preto/preto"), ("beige", "bege"), ("kaschmirsilber", "cashmere"),
     ("beje", "bege")]) + " ELSE {c} END")
 
-SQL["vehicle_scores"] = f"""
-WITH {LINES}, {FIRST}, {INTERIOR}, {WHEELS}, {MODEL},
+VEHICLE_CTES = f"""{LINES}, {FIRST}, {INTERIOR}, {WHEELS}, {MODEL},
 fl AS (SELECT l_orderkey,
   CAST(max(CAST(list_contains(tok, 'widget') AS INT)) AS BIGINT) AS navegacao,
   CAST(max(CAST(list_contains(tok, 'gear') AS INT)) AS BIGINT) AS sensores,
@@ -477,7 +476,9 @@ v AS (SELECT fl.*, {_CANON.format(c='ex.c')} AS cor_exterior, {_CANON.format(c='
       WHERE ex.c IS NOT NULL AND it.c IS NOT NULL AND sell_date >= o_orderdate),
 s AS (SELECT *, CAST(date_diff('day', buy_date, sell_date) AS BIGINT) AS stock_days,
              margem / nullif(price_total, 0) * 100.0 AS margem_percentagem FROM v),
-m AS (SELECT min(stock_days) dmin, max(stock_days) dmax, min(margem_percentagem) mmin, max(margem_percentagem) mmax FROM s)
+m AS (SELECT min(stock_days) dmin, max(stock_days) dmax, min(margem_percentagem) mmin, max(margem_percentagem) mmax FROM s)"""
+
+SQL["vehicle_scores"] = "WITH " + VEHICLE_CTES + """
 SELECT l_orderkey, navegacao, sensores, caixa_auto, cor_exterior, cor_interior, jantes, modelo,
   round(price_total, 6) AS price_total, stock_days, round(margem_percentagem, 6) AS margem_percentagem,
   round((1 - (stock_days - dmin) / nullif(CAST(dmax - dmin AS DOUBLE), 0))
@@ -692,3 +693,24 @@ votes AS (SELECT qid, label, count(*) AS n FROM nn GROUP BY qid, label),
 best AS (SELECT qid, label AS predicted_label FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY n DESC, label) AS rn FROM votes) WHERE rn = 1)
 SELECT b.qid AS vec_id, b.predicted_label, s.label FROM best b JOIN s ON b.qid = s.vec_id"""
+
+
+def _group_case(col: str, groups) -> str:
+    mapping = {}
+    for name, members in groups:      # a later list overrides an earlier one
+        for m in members:
+            mapping[m] = name
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {col} {whens} END"
+
+
+def _category_groups_sql() -> str:
+    from ..operators import vocab as V
+    return ("WITH " + VEHICLE_CTES + "\nSELECT l_orderkey, "
+            + _group_case("cor_exterior", V.EXTERIOR_GROUPS) + " AS cor_exterior_new, "
+            + _group_case("cor_interior", V.INTERIOR_GROUPS) + " AS cor_interior_new, "
+            + _group_case("jantes", V.WHEEL_GROUPS) + " AS jantes_new, "
+            + _group_case("modelo", V.MODEL_GROUPS) + " AS modelo_new FROM s")
+
+
+SQL["category_groups"] = _category_groups_sql()
