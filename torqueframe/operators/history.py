@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import attach_per_group, group_count_estimate
+from .joins import attach_per_group
 from .ordered import CHUNK, chunk_window, local_window, with_chunk
 
 HISTORY_COLUMNS = [
@@ -112,7 +112,7 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.stddev_pop("average_score_dynamic").alias("_dyn_std"),
         F.avg(x).alias("_avg"), F.min(x).alias("_min"), F.max(x).alias("_max"),
         q.alias("_q"))
-    out = attach_per_group(rows, stats, keys, group_count_estimate(base, keys), bytes_per_group=160)
+    out = attach_per_group(rows, stats, keys, bytes_per_group=160)
     multi = F.col("_size") > 1
 
     def hist(c: Column) -> Column:

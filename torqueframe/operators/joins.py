@@ -92,16 +92,20 @@ def group_count_estimate(df: DataFrame, keys: Sequence[str]) -> int:
     return int(df.select(F.approx_count_distinct(F.struct(*[F.col(k) for k in keys]), 0.05)).first()[0])
 
 
-def attach_per_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], n_groups: int,
-                     bytes_per_group: int = 256) -> DataFrame:
+def attach_per_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str],
+                     bytes_per_group: int = 256, materialized: bool = False) -> DataFrame:
     """Join a one-row-per-group table back to its rows.
 
-    The size of the per-group side is checked before planning: when
-    ``n_groups · bytes_per_group`` fits under the broadcast threshold it is
-    broadcast (the big side keeps its partitioning and is not shuffled
-    again); otherwise it is a sort-merge join, with AQE splitting skewed
-    keys."""
+    The per-group table is written once (reliable checkpoint) and its exact
+    row count is read from that copy; when ``rows · bytes_per_group`` fits
+    under the broadcast threshold it is broadcast — the big side keeps its
+    partitioning and is not shuffled again — otherwise it is a sort-merge
+    join with AQE splitting skewed keys. The main plan reads the written
+    copy instead of recomputing the aggregate."""
+    from ..session import cut_lineage
     keys = list(keys)
+    small_df = per_group if materialized else cut_lineage(per_group)
+    n_groups = small_df.count()
     limit = _threshold(rows.sparkSession)
     small = limit > 0 and n_groups * bytes_per_group <= limit
-    return rows.join(F.broadcast(per_group) if small else per_group, on=keys, how="inner")
+    return rows.join(F.broadcast(small_df) if small else small_df, on=keys, how="inner")

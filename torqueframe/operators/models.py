@@ -43,8 +43,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.struct(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("c"))).scalar()
     w = counts.select(label, (tot["n"] / (tot["c"] * F.col("_nc"))).alias(out))
-    from .joins import attach_per_group, group_count_estimate
-    return attach_per_group(df, w, [label], group_count_estimate(df, [label]), 32)
+    from .joins import attach_per_group
+    return attach_per_group(df, w, [label], 32)
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 10, seed: int = 2,

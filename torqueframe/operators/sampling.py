@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import attach_per_group, group_count_estimate
+from .joins import attach_per_group
+from ..session import cut_lineage
 from .ordered import running_sums
 
 
@@ -39,7 +40,7 @@ def stratified_split(df: DataFrame, target: str, id_col: str, test_fraction: flo
     go to test and the rest to train; adds ``is_train`` (1/0)."""
     ranked = class_rank(df, target, id_col, seed)
     counts = _class_counts(df, target)
-    j = attach_per_group(ranked, counts, [target], group_count_estimate(df, [target]), 32)
+    j = attach_per_group(ranked, counts, [target], 32)
     n_train = F.col("_nc") - F.ceil(F.col("_nc") * F.lit(test_fraction))
     return j.withColumn(out, F.when(F.col("_hrank") <= n_train, 1).otherwise(0).cast("bigint")) \
             .drop("_hrank", "_nc")
@@ -50,10 +51,10 @@ def oversample(df: DataFrame, target: str, id_col: str, seed: int = 42) -> DataF
     ``floor(max/n_c)`` times plus once more for the first ``max mod n_c``
     rows of its class in hash order. Adds ``copy_index`` (0 = original) and
     keeps ``id_col`` as the original id. Every class ends with ``max`` rows."""
-    counts = _class_counts(df, target)
+    counts = cut_lineage(_class_counts(df, target))
     mx = counts.agg(F.max("_nc")).scalar()
     ranked = class_rank(df, target, id_col, seed)
-    j = attach_per_group(ranked, counts, [target], group_count_estimate(df, [target]), 32)
+    j = attach_per_group(ranked, counts, [target], 32, materialized=True)
     copies = F.floor(mx / F.col("_nc")) + F.when(F.col("_hrank") <= mx % F.col("_nc"), 1).otherwise(0)
     return (j.withColumn("copy_index", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
              .withColumn("copy_index", F.col("copy_index").cast("bigint"))

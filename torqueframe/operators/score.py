@@ -122,10 +122,10 @@ def group_summary(df: DataFrame, keys: Sequence[str], margin: str = "margem_perc
                   days: str = "stock_days") -> DataFrame:
     """Per group: number of sales, mean margin, mean stock days truncated to
     an integer (D3), broadcast back to every row of the group (E12)."""
-    from .joins import attach_per_group, group_count_estimate
+    from .joins import attach_per_group
     keys = list(keys)
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("nr_cars_sold"),
         F.avg(margin).alias("average_percentage_margin"),
         F.avg(days).cast("bigint").alias("average_stock_days"))
-    return attach_per_group(df, agg, keys, group_count_estimate(df, keys), bytes_per_group=64)
+    return attach_per_group(df, agg, keys, bytes_per_group=64)

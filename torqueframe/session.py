@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins (runtime broadcast of
@@ -63,6 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint (survives executor loss), never a local one.
+
+    The input is persisted while the checkpoint is written: an eager
+    checkpoint of an uncached plan would otherwise compute it twice (once to
+    count, once to write the files)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
