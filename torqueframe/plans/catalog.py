@@ -13,6 +13,20 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import encode, history, metrics, ordered, profile, sampling, score, select
 from . import standins as si
+from ..functions.text import last_n, strip_char
+from ..operators import clean, joins
+from ..operators import visits as V
+from . import segmentation as seg
+from ..operators import options
+from . import stock
+from ..functions.dates import date_from_parts, date_parts
+from ..functions.classes import keep_or_other as _keep_or_other
+from ..functions.text import INTERIOR_REPLACEMENTS, remove_suffix_text, replace_chain
+from ..operators import report, clustering
+from ..operators import models as M
+from ..session import cut_lineage
+from . import modelling as ML
+from ..operators import neighbors
 
 QUERIES: dict = {}
 
@@ -22,6 +36,13 @@ def query(fn):
     return fn
 
 
+def query_as(name):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
@@ -192,10 +213,6 @@ def undersample(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- visits / segmentation
-from ..functions.text import last_n, strip_char  # noqa: E402
-from ..operators import clean, joins  # noqa: E402
-from ..operators import visits as V  # noqa: E402
-from . import segmentation as seg  # noqa: E402
 
 
 @query
@@ -315,8 +332,6 @@ def segmentation_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- option lines / vehicles
-from ..operators import options  # noqa: E402
-from . import stock  # noqa: E402
 
 _FEATURE_KW = dict(flag_words=si.FLAG_WORDS, exterior_vocab=si.EXTERIOR_VOCAB,
                    interior_vocab=si.INTERIOR_VOCAB, model_lead=si.MODEL_LEAD)
@@ -407,10 +422,6 @@ def vehicle_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- profiles, sets, sorts
-from ..functions.dates import date_from_parts, date_parts  # noqa: E402
-from ..functions.classes import keep_or_other as _keep_or_other  # noqa: E402
-from ..functions.text import INTERIOR_REPLACEMENTS, remove_suffix_text, replace_chain  # noqa: E402
-from ..operators import report, clustering  # noqa: E402
 
 
 def _visits_profiled(spark, d):
@@ -507,7 +518,7 @@ def lookup_map(spark: SparkSession, d: str) -> DataFrame:
     return joins.lookup_replace(s, "cfg_colour", t)
 
 
-@query
+@query_as("date_parts")
 def date_parts_query(spark: SparkSession, d: str) -> DataFrame:
     """Day, month, year of buy and sell dates, and the sell date
     rebuilt from its parts."""
@@ -641,9 +652,6 @@ def sigmoid_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- modelling (rows-only checks)
-from ..operators import models as M  # noqa: E402
-from ..session import cut_lineage  # noqa: E402
-from . import modelling as ML  # noqa: E402
 
 # Registered model queries use 3 folds and a thinned grid (about four
 # parameter maps) so a check stays short; the library defaults are the
@@ -795,7 +803,6 @@ def per_group_models(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- nearest neighbours
-from ..operators import neighbors  # noqa: E402
 
 
 @query
@@ -821,3 +828,34 @@ def category_groups(spark: SparkSession, d: str) -> DataFrame:
                             "l_shipdate", _FEATURE_KW)
     v = v.select("l_orderkey", "cor_exterior", "cor_interior", "jantes", "modelo")
     return options.category_groups(spark, v)
+
+
+@query
+def last7_key(spark: SparkSession, d: str) -> DataFrame:
+    """H1: last 7 characters of the chassis number (short and null pass)."""
+    v = si.visits(spark, d)
+    return v.select("o_orderkey", "chassis_number", last_n("chassis_number", 7).alias("chassis_7"))
+
+
+@query
+def coalesce_update(spark: SparkSession, d: str) -> DataFrame:
+    """The removal date overrides the contract end date."""
+    c = si.contracts(spark, d)
+    return joins.coalesce_update(c, "cm_date_end", "cm_date_removal").select("registration_number", "cm_date_end")
+
+
+@query
+def regular_pct_vhe(spark: SparkSession, d: str) -> DataFrame:
+    """D23, second variant: regular-visit percentage from the vhe date."""
+    v = si.visits(spark, d)
+    return rounded(V.regular_percentage(v, ["customer", "registration_number"], si.AS_OF,
+                                        "registration_date_vhe", tie_break=["o_orderkey"]))
+
+
+@query
+def undo_oversample(spark: SparkSession, d: str) -> DataFrame:
+    """Original rows recovered after over-sampling (copy_index = 0),
+    counted per class."""
+    s = si.sales(spark, d).withColumn("sale_id", F.concat_ws(":", *si.SALE_KEY))
+    out = sampling.oversample(s, "new_score", "sale_id", seed=42).filter("copy_index = 0")
+    return out.groupBy("new_score").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sale_id").alias("n_ids"))

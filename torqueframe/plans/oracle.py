@@ -324,20 +324,23 @@ _ABANDONED = """ab AS (
 
 SQL["abandoned_flag"] = f"WITH {VISITS}, {_ABANDONED} SELECT * FROM ab"
 
-SQL["regular_pct"] = f"""
+def _regular_pct_sql(reg: str) -> str:
+    return f"""
 WITH {VISITS},
-f AS (SELECT customer, registration_number, registration_date_pse,
+f AS (SELECT customer, registration_number, {reg} AS reg,
         row_number() OVER (PARTITION BY customer, registration_number
                            ORDER BY vehicle_in_date ASC NULLS LAST, o_orderkey) AS rn,
         count(*) OVER (PARTITION BY customer, registration_number) AS n
       FROM visits WHERE customer IS NOT NULL AND registration_number IS NOT NULL),
-e AS (SELECT *, date_diff('day', registration_date_pse, TIMESTAMP '2001-08-01') / 365.25 - 1 AS expected
-      FROM f WHERE rn = 1)
+e AS (SELECT *, date_diff('day', reg, TIMESTAMP '2001-08-01') / 365.25 - 1 AS expected FROM f WHERE rn = 1)
 SELECT customer, registration_number,
-  CASE WHEN registration_date_pse IS NULL THEN 'NULL' WHEN expected < 1 THEN '<2years' ELSE 'pct' END AS regular_status,
+  CASE WHEN reg IS NULL THEN 'NULL' WHEN expected < 1 THEN '<2years' ELSE 'pct' END AS regular_status,
   round(CASE WHEN expected >= 1 THEN least(100.0, n / expected * 100.0) END, 6) AS regular_pct
 FROM e"""
 
+
+SQL["regular_pct"] = _regular_pct_sql("registration_date_pse")
+
 SQL["joinback_agg"] = f"""
 WITH {VISITS}, {_ABANDONED}
 SELECT v.o_orderkey, v.customer, v.registration_number, ab.abandoned
@@ -558,7 +561,7 @@ WITH {SALES} SELECT {KEY},
     AS cfg_colour
 FROM sales"""
 
-SQL["date_parts_query"] = f"""
+SQL["date_parts"] = f"""
 WITH {SALES} SELECT {KEY},
   CAST(day(buy_date) AS BIGINT) AS buy_day, CAST(month(buy_date) AS BIGINT) AS buy_month,
   CAST(year(buy_date) AS BIGINT) AS buy_year, CAST(day(sell_date) AS BIGINT) AS sell_day,
@@ -714,3 +717,13 @@ def _category_groups_sql() -> str:
 
 
 SQL["category_groups"] = _category_groups_sql()
+
+
+SQL["last7_key"] = f"WITH {VISITS} SELECT o_orderkey, chassis_number, right(chassis_number, 7) AS chassis_7 FROM visits"
+
+SQL["coalesce_update"] = f"WITH {CONTRACTS} SELECT registration_number, cm_date_end FROM contracts"
+
+SQL["regular_pct_vhe"] = _regular_pct_sql("registration_date_vhe")
+
+SQL["undo_oversample"] = f"""
+WITH {SALES} SELECT new_score, count(*) AS n, count(DISTINCT {SALE_ID}) AS n_ids FROM sales GROUP BY new_score"""
