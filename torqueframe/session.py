@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files once the DataFrames that read them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
