@@ -202,3 +202,16 @@ def test_oversample_counts(spark):
     counts = {r.y: r["count"] for r in out.groupBy("y").count().collect()}
     assert counts == {0: 5, 1: 5}
     assert out.filter("copy_index = 0").count() == 7
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_attach_per_group_both_ways(spark, threshold):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+        per = rows.groupBy("k").agg(F.sum("v").alias("s"))
+        out = {r.v: r.s for r in joins.attach_per_group(rows, per, ["k"]).collect()}
+        assert out == {1: 3, 2: 3, 3: 3}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -54,11 +54,14 @@ VISIT_DATES = ["Vehicle_In_Date", "Registration_Date_PSE", "Registration_Date_VH
 
 def read_visits(spark: SparkSession, paths, date_format: str | None = None) -> DataFrame:
     """Visit extracts (A1): ';'-separated UTF-8, string keys, three dates,
-    names lower-cased, ``(no column name)`` → ``total``; the source file is
-    kept as ``source_file`` (the original's row order is only valid per file)."""
+    names lower-cased, ``(no column name)`` → ``total``. The original uses
+    file order as time order; ``source_file`` and ``source_row`` (increasing
+    in file order within one scan, not stable across scans) make that order
+    an explicit column."""
     df = read_delimited(spark, paths, ";", True, "UTF-8", date_cols=VISIT_DATES, date_format=date_format,
                         types={"NLR_Code": "bigint", "Kms": "bigint", "SLR_Document_Account": "bigint"})
-    df = df.withColumn("source_file", F.input_file_name())
+    df = df.withColumn("source_file", F.col("_metadata.file_path")) \
+           .withColumn("source_row", F.monotonically_increasing_id())
     df = lower_column_names(df)
     if "(no column name)" in df.columns:
         df = rename(df, {"(no column name)": "total"}).withColumn("total", F.replace(F.col("total"), F.lit(","), F.lit(".")).try_cast("double"))
