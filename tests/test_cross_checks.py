@@ -104,3 +104,23 @@ def test_knn_exact_against_brute_force(spark):
         d = ((tr - qu[j]) ** 2).sum(1)
         exp = sorted(np.argsort(d, kind="stable")[:4].tolist())
         assert sorted(got[got.qid == 1000 + j].tid.tolist()) == exp
+
+
+def test_history_hot_key_struct_chunk(spark):
+    """One configuration holds a third of the rows; chunks are a struct
+    (t, id bucket): it keeps the whole leading order key, so it is
+    non-decreasing in the (t, id) order and splits a hot (key, t) further."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        k = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 9)}"
+        rows.append((k, rnd.randint(0, 40), i, rnd.randint(0, 1)))
+    pdf = pd.DataFrame(rows, columns=["k", "t", "id", "new_score"])
+    df = spark.createDataFrame(pdf).withColumn("margem_percentagem", F.lit(1.0)).withColumn("stock_days", F.lit(1))
+    chunk = F.struct(F.col("t").alias("a"), F.floor(F.col("id") / 50).alias("b"))
+    got = history.config_history(df, ["k"], ["t", "id"], chunk=chunk).toPandas().sort_values(["k", "t", "id"])
+    exp = _pandas_history(pdf.sort_values(["k", "t", "id"]).assign(t=lambda x: x["t"] * 1000 + x["id"]))
+    np.testing.assert_allclose(got["average_score_dynamic"].values, exp["average_score_dynamic"].values, atol=1e-9)
+    np.testing.assert_allclose(got["number_prev_sales"].values, exp["number_prev_sales"].values)
+    np.testing.assert_allclose(got["prev_average_score_dynamic"].values, exp["prev_average_score_dynamic"].values,
+                               atol=1e-9)
