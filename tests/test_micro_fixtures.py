@@ -215,3 +215,22 @@ def test_attach_per_group_both_ways(spark, threshold):
         assert out == {1: 3, 2: 3, 3: 3}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_values_not_in_and_exclusions(spark):
+    a = spark.createDataFrame([("x",), ("y",), ("y",), (None,), ("z",)], "k string")
+    b = spark.createDataFrame([("y",), (None,)], "k string")
+    assert sorted(r.k for r in joins.values_not_in(a, b, ["k"]).collect()) == ["x", "z"]
+    v = spark.createDataFrame([("M3 Série", 1), ("X1", None), ("X5", 2), ("Z4 roadster", 3)], "name string, prov int")
+    kept = clean.exclude_substrings(v, "name", ["Série", "Z4"], null_safe_col="prov", excluded=[2])
+    assert sorted(r.name for r in kept.collect()) == ["X1"]
+
+
+def test_cast_like_and_keep_one_target(spark):
+    orig = spark.createDataFrame([(1, 2.5, 0)], "a bigint, b double, t1 int")
+    back = spark.createDataFrame([(1.0, "2.5", "0")], "a double, b string, t1 string")
+    out = clean.cast_like(back, orig)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double", "int"]
+    assert out.first() == (1, 2.5, 0)
+    wide = spark.createDataFrame([(1, 0, 1, 9)], "t1 int, t2 int, t3 int, x int")
+    assert clean.keep_one_target(wide, "t2", ["t1", "t2", "t3"]).columns == ["t2", "x"]

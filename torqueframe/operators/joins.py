@@ -38,6 +38,16 @@ def semi_membership(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key).distinct(), on=key, how="left_semi")
 
 
+def values_not_in(df: DataFrame, other: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct non-null values of ``cols`` in ``df`` that do not occur in
+    ``other`` (G6, set difference of values). The distinct runs first (partial
+    aggregate before its shuffle); the anti join then reuses that hash
+    partitioning on ``cols``."""
+    cols = list(cols)
+    vals = df.select(*cols).dropna().distinct()
+    return vals.join(other.select(*cols), on=cols, how="left_anti")
+
+
 def semi_membership_counts(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Count of matching rows of ``df`` and distinct keys of ``other`` (C4)."""
     n_match = semi_membership(df, other, key).agg(F.count(F.lit(1)).alias("c")).scalar()

@@ -183,6 +183,44 @@ def mutual_info(spark: SparkSession, d: str) -> DataFrame:
                                              "new_score"))
 
 
+@query
+def k_best_columns(spark: SparkSession, d: str) -> DataFrame:
+    """keep the 2 best feature columns by ANOVA F, in long form
+    (sale key, feature, value) so the output shape does not depend on the
+    chosen names."""
+    s = si.sales(spark, d)
+    kept = select.select_k_best(s, select.anova_f_scores(s, _FEATURES, "new_score"), 2, keep=si.SALE_KEY)
+    feats = [c for c in kept.columns if c not in si.SALE_KEY]
+    long = kept.select(*si.SALE_KEY, *[F.col(c).cast("double").alias(c) for c in feats]).unpivot(
+        si.SALE_KEY, feats, "feature", "value")
+    return rounded(long)
+
+
+# Stand-in targets for the one-target drop (B15): the sales table carries the
+# real target and two alternative ones.
+_TARGETS = ["new_score", "fast_sale", "high_margin"]
+
+
+@query
+def keep_one_target(spark: SparkSession, d: str) -> DataFrame:
+    """Drop every target column but one (here ``fast_sale``)."""
+    s = si.sales(spark, d).select(
+        *si.SALE_KEY, "stock_days", "margem_percentagem", "new_score",
+        (F.col("stock_days") <= 90).cast("bigint").alias("fast_sale"),
+        (F.col("margem_percentagem") >= 5).cast("bigint").alias("high_margin"))
+    return rounded(clean.keep_one_target(s, "fast_sale", _TARGETS))
+
+
+@query
+def cast_back(spark: SparkSession, d: str) -> DataFrame:
+    """Columns that came back from resampling as double / string are
+    cast to the types of the original table."""
+    s = si.sales(spark, d).select(*si.SALE_KEY, "stock_days", "margem_percentagem", "new_score")
+    resampled = s.select(*si.SALE_KEY, F.col("stock_days").cast("double").alias("stock_days"),
+                         "margem_percentagem", F.col("new_score").cast("string").alias("new_score"))
+    return rounded(clean.cast_like(resampled, s))
+
+
 @query
 def top_k_rank(spark: SparkSession, d: str) -> DataFrame:
     """features ranked by ANOVA F, top 3."""
@@ -232,6 +270,27 @@ def null_safe_exclude(spark: SparkSession, d: str) -> DataFrame:
     return clean.exclude_values(v, "slr_document_account", [4, 6])
 
 
+# Stand-in exclusion lists for B11: customer names containing these strings
+# and two provenance codes (a null provenance is kept).
+_EXCLUDED_NAME_PARTS = ["11", "7"]
+_EXCLUDED_PROVENANCE = [701, 999]
+
+
+@query
+def model_exclusions(spark: SparkSession, d: str) -> DataFrame:
+    """Drop names containing any listed part and two provenance codes,
+    null-safe."""
+    v = si.visits(spark, d).select("o_orderkey", "customer", "nlr_code")
+    return clean.exclude_substrings(v, "customer", _EXCLUDED_NAME_PARTS,
+                                    null_safe_col="nlr_code", excluded=_EXCLUDED_PROVENANCE)
+
+
+@query
+def unmatched_plates(spark: SparkSession, d: str) -> DataFrame:
+    """Plates seen in visits that have no contract (set difference)."""
+    return joins.values_not_in(si.visits(spark, d), si.contracts(spark, d), ["registration_number"])
+
+
 @query
 def key_error_flag(spark: SparkSession, d: str) -> DataFrame:
     """Drop null plates, flag wrong length and placeholder plates."""

@@ -158,6 +158,22 @@ f AS (SELECT feature, ((br - s * s / n) / (k - 1)) / nullif(((ss - s * s / n) -
 
 SQL["anova_f"] = _ANOVA + "\nSELECT feature, round(score, 6) AS score FROM f"
 
+SQL["k_best_columns"] = _ANOVA + f""",
+top AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature) AS rk
+                             FROM f) WHERE rk <= 2),
+lf AS ({" UNION ALL ".join(f"SELECT {KEY}, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sales" for c in _FEAT)})
+SELECT {KEY}, lf.feature, round(value, 6) AS value FROM lf JOIN top ON lf.feature = top.feature"""
+
+SQL["keep_one_target"] = f"""
+WITH {SALES}
+SELECT {KEY}, stock_days, round(margem_percentagem, 6) AS margem_percentagem,
+       CAST(stock_days <= 90 AS BIGINT) AS fast_sale
+FROM sales"""
+
+SQL["cast_back"] = f"""
+WITH {SALES}
+SELECT {KEY}, stock_days, round(margem_percentagem, 6) AS margem_percentagem, new_score FROM sales"""
+
 SQL["top_k_rank"] = _ANOVA + """
 SELECT feature, round(score, 6) AS score, rank FROM (
   SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, feature) AS BIGINT) AS rank FROM f)
@@ -242,6 +258,18 @@ WITH {VISITS}
 SELECT o_orderkey, slr_document_account FROM visits
 WHERE slr_document_account IS DISTINCT FROM 4 AND slr_document_account IS DISTINCT FROM 6"""
 
+SQL["model_exclusions"] = f"""
+WITH {VISITS}
+SELECT o_orderkey, customer, nlr_code FROM visits
+WHERE NOT contains(customer, '11') AND NOT contains(customer, '7')
+  AND nlr_code IS DISTINCT FROM 701 AND nlr_code IS DISTINCT FROM 999"""
+
+SQL["unmatched_plates"] = f"""
+WITH {VISITS}, {CONTRACTS}
+SELECT DISTINCT registration_number FROM visits v
+WHERE registration_number IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM contracts c WHERE c.registration_number = v.registration_number)"""
+
 SQL["key_error_flag"] = f"""
 WITH {VISITS},
 p AS (SELECT o_orderkey, CASE WHEN priority = '3-MEDIUM' THEN substr(registration_number, 2, 10)
