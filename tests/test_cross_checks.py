@@ -89,17 +89,23 @@ def test_silhouette_against_pairs(spark):
         assert got[i] == pytest.approx(s, abs=1e-9)
 
 
-def test_knn_exact_against_brute_force(spark):
+@pytest.mark.parametrize("prune,tile", [(None, 2048), (True, 2048), (True, 16), (False, 16)])
+def test_knn_exact_against_brute_force(spark, monkeypatch, prune, tile):
+    """Both paths, and tiles small enough that hot buckets split into many
+    (train block, query block) tiles; a third of the train points sit in one
+    tight cluster."""
     from torqueframe.operators import neighbors
+    monkeypatch.setattr(neighbors, "TILE_ROWS", tile)
     rnd = np.random.default_rng(5)
     tr = rnd.normal(size=(120, 6))
+    tr[:40] = tr[:40] * 0.01 + 0.3
     qu = rnd.normal(size=(30, 6)) * 1.5
     lab = rnd.integers(0, 3, size=120)
     train = spark.createDataFrame([(i, tr[i].tolist(), int(lab[i])) for i in range(120)],
                                   "id int, v array<double>, y int")
     queries = spark.createDataFrame([(1000 + j, qu[j].tolist(), -1) for j in range(30)],
                                     "id int, v array<double>, y int")
-    got = neighbors.knn_neighbours(train, queries, "v", "id", k=4).toPandas()
+    got = neighbors.knn_neighbours(train, queries, "v", "id", k=4, prune=prune).toPandas()
     for j in range(30):
         d = ((tr - qu[j]) ** 2).sum(1)
         exp = sorted(np.argsort(d, kind="stable")[:4].tolist())

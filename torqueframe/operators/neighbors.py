@@ -7,13 +7,23 @@ For any unit direction ``u``, ``|u·x − u·q| ≤ ‖x − q‖``. With ``p =
    scan); each query reads the 2k train points next to it in that order
    (an equi-join on positions) and takes the k-th smallest distance as a
    radius ``r`` — an upper bound of its true k-th neighbour distance.
-2. Every true neighbour then has ``|p_x − p_q| ≤ r``: a band join on ``p``
-   (bucket equi-join, each query exploded over the buckets its band
-   touches) yields the only candidates that can qualify; exact distances,
-   then the k smallest (ties by id) per query, then a majority vote (ties
-   to the smallest label).
-
-The result is exact; the number of candidates follows the data, with no cap.
+2. Every true neighbour then has ``|p_x − p_q| ≤ r``: buckets of ``p``
+   (each query exploded over the buckets its band touches) hold the only
+   candidates that can qualify.
+3. Each bucket is cut into tiles of at most about ``TILE_ROWS`` train and
+   query rows (id-hash blocks, the number from the bucket's counts), so a
+   hot bucket is spread over many groups. A tile computes exact distances
+   in numpy (``applyInPandas`` on a cogroup) and emits only its k smallest
+   (distance, id) per query; a window keeps the k smallest over all tiles,
+   then a majority vote (ties to the smallest label).
+
+When the train side fits in ``BRUTE_FORCE_TILES`` tiles (a size check),
+steps 1–2 are skipped: one bucket, every query against every train point in
+those tiles. On high-dimensional data with no structure the band prunes
+nothing and this is also what the pruned path does, at a higher price.
+
+The result is exact; the number of candidates follows the data, with no cap,
+and no pair becomes a row.
 """
 
 from __future__ import annotations
@@ -22,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import attach_per_group
 from .ordered import running_sums
 
 
@@ -37,11 +48,26 @@ def best_axis(df: DataFrame, vec: str) -> Column:
 
 
 def knn_neighbours(train: DataFrame, queries: DataFrame, vec: str, id_col: str, k: int = 5,
-                   label: str | None = None) -> DataFrame:
-    """``(qid, tid, d2[, label])`` for the k nearest train points of every query."""
+                   label: str | None = None, prune: bool | None = None) -> DataFrame:
+    """``(qid, tid, d2[, label])`` for the k nearest train points of every query.
+
+    ``prune=None`` decides by a size check: when the train side fits in
+    :data:`BRUTE_FORCE_TILES` tiles, every query meets every train point in
+    those tiles (exact, a handful of stages); otherwise the band bound of the
+    module docstring first narrows the buckets each query must visit."""
     t = train.select(F.col(id_col).alias("tid"), F.col(vec).cast("array<double>").alias("tv"),
                      *([F.col(label).alias("label")] if label else []))
     q = queries.select(F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
+    n_train = t.count() if prune is not True else None
+    if prune is None:
+        prune = n_train > BRUTE_FORCE_TILES * TILE_ROWS
+    if not prune:
+        # one bucket; its tile counts are known from the size checks
+        inf = F.lit(float("inf"))
+        n_tiles = (-(-max(n_train, 1) // TILE_ROWS), -(-max(q.count(), 1) // TILE_ROWS))
+        qb = q.select("qid", "qv", F.lit(0.0).alias("p"), inf.alias("r"), inf.alias("r2"), F.lit(0).cast("long").alias("b"))
+        tb = t.select("*", F.lit(0.0).alias("p"), F.lit(0).cast("long").alias("b"))
+        return _tiled(qb, tb, k, label, n_tiles)
     axis = best_axis(t.select(F.col("tv").alias("v")), "v")
     # scalar subqueries are projected into columns before use in generators
     t = t.withColumn("_ax", axis + 1).withColumn("p", F.element_at("tv", F.col("_ax"))).drop("_ax")
@@ -74,14 +100,84 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, vec: str, id_col: str,
                    F.explode(F.sequence(F.floor((F.col("p") - F.col("r")) / F.col("_bw")).cast("long"),
                                         F.floor((F.col("p") + F.col("r")) / F.col("_bw")).cast("long"))).alias("b"))
     tb = t.withColumn("_bw", bucket_width()).withColumn("b", F.floor(F.col("p") / F.col("_bw")).cast("long")).drop("_bw")
-    cand = (qb.join(tb.withColumnRenamed("p", "tp"), "b")
-            .filter(F.abs(F.col("tp") - F.col("p")) <= F.col("r"))
-            .select("qid", "tid", *(["label"] if label else []), "r2",
-                    _sqdist(F.col("qv"), F.col("tv")).alias("d2"))
-            .filter(F.col("d2") <= F.col("r2")))
+
+    return _tiled(qb, tb, k, label)
+
+
+def _tiled(qb: DataFrame, tb: DataFrame, k: int, label: str | None,
+           n_tiles: tuple[int, int] | None = None) -> DataFrame:
+    """Exact k nearest per query among the (query, train) pairs that share a
+    bucket ``b``, evaluated tile by tile. ``n_tiles`` = (train blocks, query
+    blocks) when there is a single bucket of known size."""
+    # 3. tiles: a bucket is cut into ceil(n/TILE_ROWS) train blocks and as
+    #    many query blocks (by id hash); each tile meets in one group, so no
+    #    group exceeds about TILE_ROWS rows a side however hot the bucket.
+    #    Only buckets with both train and query rows are kept.
+    if n_tiles is None:
+        counts = (tb.groupBy("b").agg(F.count(F.lit(1)).alias("_nt"))
+                  .join(qb.groupBy("b").agg(F.count(F.lit(1)).alias("_nq")), "b")
+                  .select("b", F.ceil(F.col("_nt") / TILE_ROWS).cast("int").alias("nt"),
+                          F.ceil(F.col("_nq") / TILE_ROWS).cast("int").alias("nq")))
+        counts = cut_lineage(counts)
+        tb = attach_per_group(tb, counts, ["b"], bytes_per_group=24, materialized=True)
+        qb = attach_per_group(qb, counts, ["b"], bytes_per_group=24, materialized=True)
+    else:
+        sizes = [F.lit(n_tiles[0]).alias("nt"), F.lit(n_tiles[1]).alias("nq")]
+        tb, qb = tb.select("*", *sizes), qb.select("*", *sizes)
+    tt = tb.select(
+        "b", "tid", "tv", F.col("p").alias("tp"), *(["label"] if label else []),
+        F.pmod(F.xxhash64("tid"), F.col("nt")).cast("int").alias("tblock"),
+        F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qblock"))
+    qq = qb.select(
+        "b", "qid", "qv", "p", "r", "r2",
+        F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int").alias("qblock"),
+        F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("tblock"))
+    fields = {f.name: f.dataType.simpleString() for f in tt.schema.fields + qq.schema.fields}
+    schema = f"qid {fields['qid']}, tid {fields['tid']}, d2 double" + (f", label {fields['label']}" if label else "")
+    blk = ["b", "tblock", "qblock"]
+    cand = qq.groupBy(*blk).cogroup(tt.groupBy(*blk)).applyInPandas(_tile_top_k(k, label is not None), schema)
     wk = Window.partitionBy("qid").orderBy("d2", "tid")
     return (cand.select("*", F.row_number().over(wk).alias("rn")).filter(F.col("rn") <= k)
-            .drop("rn", "r2"))
+            .drop("rn"))
+
+
+TILE_ROWS = 2048
+BRUTE_FORCE_TILES = 4
+
+
+def _tile_top_k(k: int, with_label: bool):
+    """Exact squared distances of one tile (numpy, summed over coordinates in
+    order like the column expression), the band and radius tests, and the k
+    smallest (d2, tid) per query of the tile."""
+    import numpy as np
+    import pandas as pd
+
+    cols = ["qid", "tid", "d2"] + (["label"] if with_label else [])
+
+    def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or t.empty:
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "d2" else "int64") for c in cols})
+        qv = np.stack(q["qv"].to_numpy()).astype("float64")
+        tv = np.stack(t["tv"].to_numpy()).astype("float64")
+        d2 = np.zeros((len(q), len(t)))
+        for j in range(qv.shape[1]):
+            diff = qv[:, j, None] - tv[None, :, j]
+            d2 += diff * diff
+        p, r, r2 = (q[c].to_numpy("float64") for c in ("p", "r", "r2"))
+        ok = (np.abs(t["tp"].to_numpy("float64")[None, :] - p[:, None]) <= r[:, None]) & (d2 <= r2[:, None])
+        d2 = np.where(ok, d2, np.inf)
+        tid = t["tid"].to_numpy()
+        order = np.lexsort((np.broadcast_to(tid, d2.shape), d2), axis=-1)[:, :k]
+        rows = np.repeat(np.arange(len(q)), order.shape[1])
+        picked = order.ravel()
+        dist = d2[rows, picked]
+        keep = np.isfinite(dist)
+        out = {"qid": q["qid"].to_numpy()[rows][keep], "tid": tid[picked][keep], "d2": dist[keep]}
+        if with_label:
+            out["label"] = t["label"].to_numpy()[picked][keep]
+        return pd.DataFrame(out)
+
+    return run
 
 
 def knn_vote(train: DataFrame, queries: DataFrame, vec: str, id_col: str, label: str, k: int = 5) -> DataFrame:
