@@ -58,7 +58,8 @@ def tokenize(c) -> Column:
     """Word tokens of a string: punctuation split off, whitespace separated,
     empty tokens removed. Null in → null out."""
     spaced = F.regexp_replace(as_col(c), _PUNCT, " $1 ")
-    return F.filter(F.split(F.trim(spaced), r"\s+"), lambda t: t != F.lit(""))
+    # array_remove is a built-in (code-generated), unlike a filter lambda
+    return F.array_remove(F.split(F.trim(spaced), r"\s+"), "")
 
 
 def shorten_model(tokens, lead: str = "Série") -> Column:

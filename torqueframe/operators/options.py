@@ -68,8 +68,7 @@ def resolve_interior(tok: Column, matches: Column, ruleset: str = "as_coded") ->
 def line_wheel_size(tokens, sizes: Sequence[str] = vocab.WHEEL_SIZES) -> Column:
     """Largest listed size among a line's tokens, null if none."""
     tok = tokens if isinstance(tokens, Column) else F.col(tokens)
-    found = F.filter(_arr(sizes), lambda s: F.array_contains(tok, s))
-    return F.array_max(F.transform(found, lambda s: s.cast("int")))
+    return F.array_max(F.array_intersect(_arr(sizes), tok).cast("array<int>"))
 
 
 def vehicle_features(lines: DataFrame, vehicle: str, line_order: Sequence[str],

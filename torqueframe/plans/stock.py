@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_parts, whole_days
 from ..functions.numeric import ratio
 from ..operators import joins, options, score, vocab
+from ..session import cut_lineage
 
 
 def vehicle_table(spark: SparkSession, lines: DataFrame, meta: DataFrame, vehicle: str,
@@ -27,5 +28,8 @@ def vehicle_table(spark: SparkSession, lines: DataFrame, meta: DataFrame, vehicl
     v = v.join(meta, on=vehicle).filter(F.col("sell_date") >= F.col("buy_date"))
     v = v.withColumn("stock_days", whole_days("buy_date", "sell_date")) \
          .withColumn("margem_percentagem", ratio(F.col("margem"), F.col("price_total")) * F.lit(100.0))
-    v = score.minmax_score(v)
+    # min-max scaling is two passes (global min/max, then every row): write
+    # the per-vehicle rows once so neither pass re-reads and re-aggregates
+    # the option lines
+    v = score.minmax_score(cut_lineage(v))
     return v.select("*", *date_parts("buy", "buy_date"), *date_parts("sell", "sell_date"))
