@@ -31,19 +31,24 @@ def exp_cdf(x) -> Column:
     return F.when(x < 0, F.lit(0.0)).otherwise(F.lit(1.0) - F.exp(-x))
 
 
+# Coefficients of Acklam's rational approximation of the
+# inverse normal CDF (central region a/b, tails c/d) and the tail boundary.
+PROBIT_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+            1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+PROBIT_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+            6.680131188771972e+01, -1.328068155288572e+01]
+PROBIT_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+            -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+PROBIT_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
+            3.754408661907416e+00]
+PROBIT_P_LOW = 0.02425
+
+
 def probit(p) -> Column:
     """Inverse of the standard normal CDF by Acklam's published rational
     approximation (relative error < 1.2e-9). p outside (0, 1) → null."""
     p = as_col(p)
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
-         3.754408661907416e+00]
-    p_low = 0.02425
+    a, b, c, d, p_low = PROBIT_A, PROBIT_B, PROBIT_C, PROBIT_D, PROBIT_P_LOW
 
     def poly(coefs, v):
         out = F.lit(coefs[0])

@@ -755,3 +755,27 @@ SQL["regular_pct_vhe"] = _regular_pct_sql("registration_date_vhe")
 
 SQL["undo_oversample"] = f"""
 WITH {SALES} SELECT new_score, count(*) AS n, count(DISTINCT {SALE_ID}) AS n_ids FROM sales GROUP BY new_score"""
+
+
+def _horner(coefs, v: str) -> str:
+    out = repr(coefs[0])
+    for k in coefs[1:]:
+        out = f"(({out}) * {v} + {k!r})"
+    return out
+
+
+def _probit_sql(p: str) -> str:
+    from ..functions.numeric import PROBIT_A, PROBIT_B, PROBIT_C, PROBIT_D, PROBIT_P_LOW
+    ql, qu, q = f"sqrt(-2.0 * ln({p}))", f"sqrt(-2.0 * ln(1.0 - {p}))", f"({p} - 0.5)"
+    return (f"CASE WHEN {p} IS NULL OR {p} <= 0 OR {p} >= 1 THEN NULL "
+            f"WHEN {p} < {PROBIT_P_LOW!r} THEN {_horner(PROBIT_C, ql)} / ({_horner(PROBIT_D, ql)} * {ql} + 1.0) "
+            f"WHEN {p} <= {1 - PROBIT_P_LOW!r} THEN {_horner(PROBIT_A, f'({q} * {q})')} * {q} / "
+            f"({_horner(PROBIT_B, f'({q} * {q})')} * ({q} * {q}) + 1.0) "
+            f"ELSE -{_horner(PROBIT_C, qu)} / ({_horner(PROBIT_D, qu)} * {qu} + 1.0) END")
+
+
+SQL["probit_scaling"] = f"""
+WITH {SALES},
+e AS (SELECT {KEY}, stock_days,
+             CASE WHEN stock_days < 0 THEN 0.0 ELSE 1.0 - exp(-CAST(stock_days AS DOUBLE)) END AS p FROM sales)
+SELECT {KEY}, stock_days, round({_probit_sql("p")}, 6) AS stock_days_norm_4 FROM e"""
