@@ -4,8 +4,10 @@ Random draws become a hash order: ``md5(id || ':' || seed)``. Per-class counts
 are attached with a size-checked broadcast (classes are few), so the rows are
 never shuffled by class. The rank of a row inside its class in that order is
 computed with the chunked scan of
-:mod:`.ordered` (chunk = first three hex digits of the hash, 4096 chunks), so
-a dominant class is ranked by many tasks, not one. Results are exact and
+:mod:`.ordered` (chunk = first ``CHUNK_HEX_DIGITS`` hex digits of the hash,
+65536 chunks), so a dominant class is ranked by many tasks, not one: a class
+with 10^11 rows is ~1.5·10^6 rows per chunk, while the per-class chunk
+summaries (at most 65536 rows a class) stay small. Results are exact and
 reproducible, and equal to the same definition written in SQL.
 """
 
@@ -19,6 +21,9 @@ from ..session import cut_lineage
 from .ordered import running_sums
 
 
+CHUNK_HEX_DIGITS = 4
+
+
 def hash_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{int(seed)}")))
 
@@ -26,7 +31,8 @@ def hash_key(id_col: str, seed: int) -> Column:
 def class_rank(df: DataFrame, target: str, id_col: str, seed: int, out: str = "_hrank") -> DataFrame:
     """1-based rank of each row inside its class in hash order."""
     h = df.withColumn("_h", hash_key(id_col, seed))
-    ranked = running_sums(h, [target], ["_h", id_col], chunk=F.substring("_h", 1, 3), position=out)
+    ranked = running_sums(h, [target], ["_h", id_col], chunk=F.substring("_h", 1, CHUNK_HEX_DIGITS),
+                          position=out)
     return ranked.drop("_h")
 
 
