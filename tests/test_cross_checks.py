@@ -130,3 +130,13 @@ def test_history_hot_key_struct_chunk(spark):
     np.testing.assert_allclose(got["number_prev_sales"].values, exp["number_prev_sales"].values)
     np.testing.assert_allclose(got["prev_average_score_dynamic"].values, exp["prev_average_score_dynamic"].values,
                                atol=1e-9)
+
+
+def test_knn_null_vectors(spark):
+    """A null train vector is never a neighbour; a null query gets none."""
+    from torqueframe.operators import neighbors
+    train = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, None, 1), (3, [1.0, 0.0], 1), (4, [5.0, 5.0], 1)],
+                                  "id int, v array<double>, y int")
+    queries = spark.createDataFrame([(10, [0.1, 0.0], -1), (11, None, -1)], "id int, v array<double>, y int")
+    got = neighbors.knn_neighbours(train, queries, "v", "id", k=2, label="y").orderBy("qid", "d2").toPandas()
+    assert got.qid.tolist() == [10, 10] and got.tid.tolist() == [1, 3]

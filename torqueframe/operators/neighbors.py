@@ -55,10 +55,14 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, vec: str, id_col: str,
     :data:`BRUTE_FORCE_TILES` tiles, every query meets every train point in
     those tiles (exact, a handful of stages); otherwise the band bound of the
     module docstring first narrows the buckets each query must visit."""
-    t = train.select(F.col(id_col).alias("tid"), F.col(vec).cast("array<double>").alias("tv"),
-                     *([F.col(label).alias("label")] if label else []))
-    q = queries.select(F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
-    n_train = t.count() if prune is not True else None
+    # a null vector has no distance to anything: it is never a neighbour and
+    # a query without one gets no neighbours
+    t = train.filter(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("tid"), F.col(vec).cast("array<double>").alias("tv"),
+        *([F.col(label).alias("label")] if label else []))
+    q = queries.filter(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
+    n_train =t.count() if prune is not True else None
     if prune is None:
         prune = n_train > BRUTE_FORCE_TILES * TILE_ROWS
     if not prune:
