@@ -14,9 +14,11 @@ For every sale, ordered by sell date inside its configuration:
 * configurations with a single sale get 0 in every history column, and every
   remaining null becomes 0.
 
-Positions and running sums use the chunked scan of :mod:`.ordered`; the
-per-configuration statistics are one ``groupBy`` with map-side partial
-aggregation. They are broadcast back to the rows when the number of
+Positions and running sums use the chunked scan of :mod:`.ordered`. The
+per-sale rows are then written once (reliable checkpoint), so the statistics
+pass and the final join both read that copy instead of recomputing the
+scan, the offsets and the windows. The per-configuration statistics are one
+``groupBy`` with map-side partial aggregation. They are broadcast back to the rows when the number of
 configurations (estimated first with one HyperLogLog pass over the key
 columns) fits the broadcast threshold — the rows then keep their
 (configuration, chunk) partitioning and are not shuffled again — and merge-
@@ -30,6 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import attach_per_group
 from .ordered import CHUNK, chunk_window, local_window, with_chunk
 
@@ -107,6 +110,7 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         q = F.percentile(x, [0.75, 0.5, 0.25])
     else:
         q = F.percentile_approx(x, [0.75, 0.5, 0.25], 10000).cast("array<double>")
+    rows = cut_lineage(rows)
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_size"),
         F.stddev_pop("average_score_dynamic").alias("_dyn_std"),
