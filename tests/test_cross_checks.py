@@ -140,3 +140,16 @@ def test_knn_null_vectors(spark):
     queries = spark.createDataFrame([(10, [0.1, 0.0], -1), (11, None, -1)], "id int, v array<double>, y int")
     got = neighbors.knn_neighbours(train, queries, "v", "id", k=2, label="y").orderBy("qid", "d2").toPandas()
     assert got.qid.tolist() == [10, 10] and got.tid.tolist() == [1, 3]
+
+
+@pytest.mark.parametrize("prune", [False, True])
+def test_knn_ties_break_by_id(spark, monkeypatch, prune):
+    """Equal distances are ordered by train id across tiles, as (d2, tid)."""
+    from torqueframe.operators import neighbors
+    monkeypatch.setattr(neighbors, "TILE_ROWS", 2)
+    rows = [(i, [1.0, 1.0], i % 2) for i in range(20, 0, -1)] + [(100, [9.0, 9.0], 1)]
+    train = spark.createDataFrame(rows, "id int, v array<double>, y int")
+    queries = spark.createDataFrame([(500, [0.0, 0.0], -1), (501, [9.0, 8.0], -1)], "id int, v array<double>, y int")
+    got = neighbors.knn_neighbours(train, queries, "v", "id", k=3, prune=prune).toPandas()
+    assert sorted(got[got.qid == 500].tid.tolist()) == [1, 2, 3]
+    assert sorted(got[got.qid == 501].tid.tolist()) == [1, 2, 100]
