@@ -62,7 +62,7 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, vec: str, id_col: str,
         *([F.col(label).alias("label")] if label else []))
     q = queries.filter(F.col(vec).isNotNull()).select(
         F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
-    n_train =t.count() if prune is not True else None
+    n_train = t.count() if prune is not True else None
     if prune is None:
         prune = n_train > BRUTE_FORCE_TILES * TILE_ROWS
     if not prune:
@@ -100,9 +100,16 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, vec: str, id_col: str,
         # shared by two DataFrames
         return F.greatest(qr.agg(F.percentile_approx("r", 0.5)).scalar(), F.lit(1e-9))
     qr = qr.withColumn("_bw", bucket_width())
-    qb = qr.select("qid", "qv", "p", "r", "r2",
-                   F.explode(F.sequence(F.floor((F.col("p") - F.col("r")) / F.col("_bw")).cast("long"),
-                                        F.floor((F.col("p") + F.col("r")) / F.col("_bw")).cast("long"))).alias("b"))
+    # the band is clamped to the buckets the train points span (no train
+    # point lies outside), so an outlier query with a huge radius explodes
+    # into at most that many rows
+    tr = t.agg(F.struct(F.min("p").alias("lo"), F.max("p").alias("hi"))).scalar()
+    qr = qr.withColumn("_tlo", tr["lo"]).withColumn("_thi", tr["hi"])
+    b_lo = F.greatest(F.floor((F.col("p") - F.col("r")) / F.col("_bw")), F.floor(F.col("_tlo") / F.col("_bw")))
+    b_hi = F.least(F.floor((F.col("p") + F.col("r")) / F.col("_bw")), F.floor(F.col("_thi") / F.col("_bw")))
+    qb = (qr.filter(b_lo <= b_hi)
+          .select("qid", "qv", "p", "r", "r2",
+                  F.explode(F.sequence(b_lo.cast("long"), b_hi.cast("long"))).alias("b")))
     tb = t.withColumn("_bw", bucket_width()).withColumn("b", F.floor(F.col("p") / F.col("_bw")).cast("long")).drop("_bw")
 
     return _tiled(qb, tb, k, label)
