@@ -54,9 +54,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def config_history(spark: SparkSession, d: str) -> DataFrame:
     """E2–E8 per configuration, ordered by sell date (flagship)."""
     s = si.sales(spark, d)
+    # chunk = (sell date, order-key range) packed in one long: day · 1024 +
+    # min(key / 2^30, 1023). Non-decreasing in the sale order (sell date — a
+    # date — then order key); a configuration hot on one day is split into
+    # key ranges while its summary stays small (≤ 1024 rows a day)
+    day = F.datediff(F.col("sell_date"), F.lit("1970-01-01").cast("date")).cast("long")
+    chunk = day * 1024 + F.least(F.floor(F.col("l_orderkey") / (1 << 30)), F.lit(1023)).cast("long")
     h = history.config_history(s, si.CONFIG, si.SALE_ORDER, score="new_score",
-                               margin="margem_percentagem", days="stock_days",
-                               chunk=F.to_date("sell_date"))
+                               margin="margem_percentagem", days="stock_days", chunk=chunk)
     return rounded(h.select(*si.SALE_KEY, *si.CONFIG, "new_score", *history.HISTORY_COLUMNS))
 
 
