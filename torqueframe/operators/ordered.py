@@ -55,7 +55,12 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str], order: Sequence[st
     ordk = _order_struct(order)
     w = local_window(keys, order)
     prev_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    next_w = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # "first non-null at or after the row" is the last non-null up to the row
+    # in the reversed order: a growing frame, linear in the partition. (An
+    # unbounded-following frame is re-aggregated for every row: quadratic.)
+    # Descending with nulls last is the exact reverse of the ascending order.
+    next_w = (Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).desc() for c in order])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     summary_aggs = []
     for c in cols:
@@ -65,16 +70,18 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str], order: Sequence[st
     summary = base.groupBy(*keys, CHUNK).agg(*summary_aggs)
     cw = chunk_window(keys)
     before = cw.rowsBetween(Window.unboundedPreceding, -1)
-    after = cw.rowsBetween(1, Window.unboundedFollowing)
+    # later chunks, nearest last: the reversed chunk order, growing frame
+    after = (Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
     offsets = summary.select(
         *keys, CHUNK,
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_f_{c}") for c in cols],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_carry_b_{c}") for c in cols])
+        *[F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_carry_b_{c}") for c in cols])
 
     scanned = base.select(
         "*",
         *[F.last(c, ignorenulls=True).over(prev_w).alias(f"_ff_{c}") for c in cols],
-        *[F.first(c, ignorenulls=True).over(next_w).alias(f"_bf_{c}") for c in cols])
+        *[F.last(c, ignorenulls=True).over(next_w).alias(f"_bf_{c}") for c in cols])
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()

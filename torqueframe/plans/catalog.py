@@ -319,8 +319,10 @@ def ffill_bfill(spark: SparkSession, d: str) -> DataFrame:
     """Forward then backward fill of priority and registration date
     within each plate, in visit order."""
     v = si.visits(spark, d).select("o_orderkey", "registration_number", "priority", "registration_date_pse")
+    # order-key ranges of 2^20: for keys up to ~10^12 a hot plate gets at most
+    # ~10^6 chunks (its summary window) of at most 2^20 keys each
     return V.fill_within(v, "registration_number", ["o_orderkey"], ["priority", "registration_date_pse"],
-                         chunk=F.floor(F.col("o_orderkey") / 1024))
+                         chunk=F.floor(F.col("o_orderkey") / (1 << 20)))
 
 
 @query
