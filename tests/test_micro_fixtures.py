@@ -234,3 +234,10 @@ def test_cast_like_and_keep_one_target(spark):
     assert out.first() == (1, 2.5, 0)
     wide = spark.createDataFrame([(1, 0, 1, 9)], "t1 int, t2 int, t3 int, x int")
     assert clean.keep_one_target(wide, "t2", ["t1", "t2", "t3"]).columns == ["t2", "x"]
+
+
+def test_category_values_bounded(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(12)], "c string")
+    assert len(encode.category_values(df, "c", max_categories=12)) == 12
+    with pytest.raises(ValueError):
+        encode.category_values(df, "c", max_categories=11)

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from ..functions.classes import argmax_label
 
 
-def category_values(df: DataFrame, col: str) -> list[str]:
+MAX_CATEGORIES = 1000
+
+
+def category_values(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
     """Sorted distinct non-null values of a categorical column. The output
     width of a one-hot encoding depends on them, so they are fixed on the
-    driver — bounded by the number of categories, like a fitted
-    ``StringIndexer``."""
-    rows = df.select(F.col(col).cast("string").alias("v")).filter(F.col("v").isNotNull()) \
-             .distinct().orderBy("v").collect()
+    driver, like a fitted ``StringIndexer``. At most ``max_categories + 1``
+    values are read; more is an error (one column per value would not be a
+    sensible encoding), so the driver never receives an unbounded list."""
+    rows = (df.select(F.col(col).cast("string").alias("v")).filter(F.col("v").isNotNull())
+              .distinct().orderBy("v").limit(max_categories + 1).collect())
+    if len(rows) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories; one-hot encoding refused")
     return [r["v"] for r in rows]
 
 
