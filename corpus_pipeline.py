@@ -8,10 +8,6 @@ from torqueframe.llm import stages
 from torqueframe.llm.common import table, written
 
 STAGES = [
-    ("language_id", stages.language_id),
-    ("exact_dedup", stages.exact_dedup),
-    ("ngram_jaccard", stages.ngram_jaccard),
-    ("decontamination", stages.decontamination),
     ("packing", stages.packing),
 ]
 
