@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -25,3 +26,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 200_000  # ids of at most this count (a few MB) are broadcast
+
+
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def having_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``; broadcast if counted small,
+    else a shuffled semi join."""
+    ids = ids.select(id_col)
+    return docs.join(F.broadcast(ids) if small_enough(ids) else ids, id_col, "left_semi")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, tokenids
+from . import exactdedup, langid, packing, pii, tokenids, toxicity
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -17,6 +18,50 @@ def query(fn):
     return fn
 
 
+def held_out(folds: int, fold: int) -> Column:
+    """Whether crc32 of the doc_id as text leaves ``fold``; false for a null id."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(crc % folds == fold, F.lit(False))
+
+
+@query
+def op1_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = langid.fit(docs.where(~held_out(4, 2)))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "language.lang_pred", "language.score")
+
+
+@query
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels").where(~held_out(5, 0)))
+    out = docs.select("doc_id", held_out(5, 0).alias("held_out"), toxicity.scored(F.col("text"), model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op7_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, d, "documents")))
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return exactdedup.dedup(table(spark, d, "documents"))
+
+
+SQL["op8_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents
+), c AS (
+  SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256
+)
+SELECT t.doc_id, c.keep_id, c.group_size, t.doc_id = c.keep_id AS kept, t.text_sha256
+FROM t JOIN c USING (text_sha256)
+"""
+
+
 @query
 def op9_token_ids(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
