@@ -36,8 +36,17 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def having_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``; broadcast if counted small,
-    else a shuffled semi join."""
+def having_ids(docs: DataFrame, ids: DataFrame, id_col: str, null_too: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids`` (null as well, on request);
+    broadcast if counted small, else a shuffled semi join."""
+    ids = ids.select(F.col(id_col).alias("_one_of"))
+    ids = F.broadcast(ids) if small_enough(ids) else ids
+    own = docs[id_col]
+    return docs.join(ids, own.eqNullSafe(ids["_one_of"]) if null_too else own == ids["_one_of"], "left_semi")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``ids``; broadcast if counted small,
+    else a shuffled anti join."""
     ids = ids.select(id_col)
-    return docs.join(F.broadcast(ids) if small_enough(ids) else ids, id_col, "left_semi")
+    return docs.join(F.broadcast(ids) if small_enough(ids) else ids, id_col, "left_anti")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, langid, packing, pii, tokenids, toxicity
+from . import exactdedup, langid, ngramjoin, packing, pii, tokenids, toxicity
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -32,6 +32,12 @@ def op1_language_id(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", held_out(4, 2).alias("held_out"), "language.lang_pred", "language.score")
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngramjoin.classes(table(spark, d, "documents")).select(
+        "doc_id", "class_id", "copy_of", "n_links", "n_shingles")
+
+
 @query
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
