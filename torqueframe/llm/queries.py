@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exactdedup, langid, ngramjoin, packing, pii, tokenids, toxicity
+from . import chatformat, decontam, exactdedup, langid, ngramjoin, packing, pii, tokenids, toxicity
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -43,6 +43,12 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op5_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
+    rows = chatformat.repair(table(spark, d, "conversations"))
+    return rows.withColumn("rendered_sha256", F.sha2(F.concat("head", "text", "tail"), 256)).drop("text")
+
+
 @query
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
