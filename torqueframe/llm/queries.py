@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatformat, decontam, exactdedup, langid, ngramjoin, packing, pii, tokenids, toxicity
+from . import chatformat, decontam, exactdedup, langid, ngramjoin, packing, pii, suffixdedup, tokenids, toxicity
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -38,6 +38,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "class_id", "copy_of", "n_links", "n_shingles")
 
 
+@query
+def op3_suffix_array_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return suffixdedup.digest(docs, suffixdedup.repeats(docs))
+
+
 @query
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
