@@ -137,7 +137,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float =
         (F.bit_count(differ) <= radius) & first).select("key", "p", "item_key")
     pairs = written(pairs, "window-pairs")
     kinds = items.select(F.xxhash64("item_id", "bag").alias("item_key"), "item_id", "m", "bag").dropDuplicates(["item_key"])
-    found = pairs.join(kinds, "item_key").join(own.select("key", "doc_id", "sh"), "key").withColumn(
+    # windows first: rows with bags look small when compressed, and would be broadcast
+    found = pairs.hint("merge").join(own.select("key", "doc_id", "sh"), "key").select(
+        "doc_id", "item_key", "p", "sh").join(kinds, "item_key").withColumn(
         "window", F.slice("sh", F.col("p") + 1, F.col("m")))
     both = overlap(F.col("window"), F.col("bag"))
     found = found.withColumn("similarity", both / (F.size("window") + F.col("m") - both).cast("double"))
