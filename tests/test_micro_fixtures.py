@@ -212,7 +212,7 @@ def test_attach_per_group_both_ways(spark, threshold):
         rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
         per = rows.groupBy("k").agg(F.sum("v").alias("s"))
         out = {r.v: r.s for r in joins.attach_per_group(rows, per, ["k"]).collect()}
-        assert out == {1: 3, 2: 3, 3: 3}
+        assert out == {1: 3, 2: 3, 3: 3, 4: 4}  # a null group is a group: no row is lost
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 

@@ -35,7 +35,7 @@ def test_option_lines_decimal_comma(spark):
     d = tempfile.mkdtemp(prefix="tf-src-")
     p = _write(d, "enc.csv", "Nº Stock;Opcional;Custo;Margem;Data Compra;Data Venda\n"
                "1;Navegação;1.234,50;10,25;2017-01-01;2017-02-01\n")
-    r = C.read_option_lines(spark, p).collect()[0]
+    r = C.read_option_lines(spark, p, thousands=".").collect()[0]
     assert r.Custo == 1234.5 and r.Margem == 10.25
 
 

@@ -64,8 +64,8 @@ def tokenize(c) -> Column:
 
 def shorten_model(tokens, lead: str = "Série") -> Column:
     """First token ``lead`` → first two tokens; otherwise drop the last three
-    tokens (three or fewer tokens → empty string)."""
+    tokens (three or fewer tokens → empty string; no token → empty string)."""
     tok = as_col(tokens)
-    keep = F.when(F.element_at(tok, 1) == F.lit(lead), F.lit(2)).otherwise(
+    keep = F.when(F.try_element_at(tok, F.lit(1)) == F.lit(lead), F.lit(2)).otherwise(
         F.greatest(F.size(tok) - 3, F.lit(0)))
     return F.array_join(F.slice(tok, F.lit(1), keep), " ")

@@ -106,11 +106,11 @@ def keep_one_target(df: DataFrame, target: str, targets: Sequence[str]) -> DataF
 
 
 def constant_columns(df: DataFrame) -> list[str]:
-    """Names of columns with exactly one distinct non-null value (B16), from a
-    single aggregate pass (``count_distinct`` ignores nulls, so an all-null
-    column is not constant)."""
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in df.columns]).first()
-    return [c for c in df.columns if row[c] == 1]
+    """Names of columns with exactly one distinct non-null value (B16): the
+    least equals the greatest, from a single aggregate pass (an all-null column
+    is not constant)."""
+    row = df.agg(*[(F.min(F.col(c)) == F.max(F.col(c))).alias(c) for c in df.columns]).first()
+    return [c for c in df.columns if row[c]]
 
 
 def constant_column_table(df: DataFrame) -> DataFrame:

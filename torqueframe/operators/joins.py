@@ -118,4 +118,8 @@ def attach_per_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str],
     n_groups = small_df.count()
     limit = _threshold(rows.sparkSession)
     small = limit > 0 and n_groups * bytes_per_group <= limit
-    return rows.join(F.broadcast(small_df) if small else small_df, on=keys, how="inner")
+    small_df = small_df.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:  # rows of a null group have their group's row too
+        same = same & rows[k].eqNullSafe(small_df[f"_g_{k}"])
+    return rows.join(F.broadcast(small_df) if small else small_df, on=same, how="inner").drop(*[f"_g_{k}" for k in keys])

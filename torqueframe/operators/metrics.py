@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import running_sums
+from .ordered import quantile_chunk, running_sums
 
 
 def confusion_counts(df: DataFrame, gt: str, pred: str, normalize: bool = False) -> DataFrame:
@@ -37,10 +37,12 @@ def binary_confusion(df: DataFrame, gt: str, pred: str, positive=1) -> DataFrame
 
 
 def _per_label(df: DataFrame, gt: str, pred: str) -> DataFrame:
-    g = df.select(F.col(gt).alias("label"), F.lit(1).alias("in_gt"), F.lit(0).alias("in_pred"),
-                  (F.col(gt) == F.col(pred)).cast("int").alias("hit"))
-    p = df.select(F.col(pred).alias("label"), F.lit(0).alias("in_gt"), F.lit(1).alias("in_pred"),
-                  F.lit(0).alias("hit"))
+    # the rows are counted once; what is doubled has labels² rows
+    c = confusion_counts(df, gt, pred)
+    zero = F.lit(0).cast("bigint")
+    g = c.select(F.col("gt").alias("label"), F.col("n").alias("in_gt"), zero.alias("in_pred"),
+                 F.when(F.col("gt") == F.col("pred"), F.col("n")).otherwise(zero).alias("hit"))
+    p = c.select(F.col("pred").alias("label"), zero.alias("in_gt"), F.col("n").alias("in_pred"), zero.alias("hit"))
     return g.unionByName(p).groupBy("label").agg(
         F.sum("hit").alias("tp"), F.sum("in_gt").alias("support"), F.sum("in_pred").alias("predicted"))
 
@@ -80,17 +82,25 @@ def f1_summary(df: DataFrame, gt: str, pred: str) -> DataFrame:
                     "macro_f1", acc.alias("accuracy"))
 
 
-def roc_points(df: DataFrame, gt: str, score: str, positive=1, buckets: int = 4096) -> DataFrame:
+def unscored(df: DataFrame, score: str) -> DataFrame:
+    """How many rows have no score, and so are left out of the curve."""
+    return df.agg(F.count_if(F.col(score).isNull()).alias("unscored"))
+
+
+def roc_points(df: DataFrame, gt: str, score: str, positive=1, buckets: int = 256) -> DataFrame:
     """ROC points per distinct score (thresholds descending): ``fpr``, ``tpr``.
     Distinct scores are first reduced by a ``groupBy``; the running counts
-    use the chunked scan with ``buckets`` equal-width score ranges as chunks,
-    so no single task orders all thresholds."""
+    use the chunked scan with up to ``buckets`` score ranges of about equal
+    counts as chunks (approximate quantiles, read on the driver: ``buckets``
+    numbers), so no single task orders all thresholds and an outlier does not
+    collapse the ranges. Rows with a null score are no point (see
+    :func:`unscored`)."""
+    df = df.where(F.col(score).isNotNull())
     pos = (F.col(gt) == F.lit(positive)).cast("bigint")
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
-    rng = per.agg(F.struct(F.min("threshold").alias("lo"), F.max("threshold").alias("hi"))).scalar()
-    width = F.try_divide(rng["hi"] - rng["lo"], F.lit(float(buckets)))
-    chunk = -F.coalesce(F.floor(F.try_divide(F.col("threshold") - rng["lo"], width)), F.lit(0))
+    # falls as the threshold rises
+    chunk = -quantile_chunk(per, "threshold", buckets)
     ordered = running_sums(per.withColumn("_t", -F.col("threshold")), [], ["_t"], ["pos", "neg"],
                            chunk=chunk, position=None)
     tot = per.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
@@ -104,8 +114,9 @@ def auc(df: DataFrame, gt: str, score: str, positive=1) -> DataFrame:
     :func:`roc_points` (ties grouped). Each threshold adds
     ``neg·(2·cum_pos − pos) / 2``; no lag is needed."""
     pts = roc_points(df, gt, score, positive)
-    tot = df.agg(F.struct(F.sum((F.col(gt) == F.lit(positive)).cast("bigint")).alias("p"),
-                          F.sum((F.col(gt) != F.lit(positive)).cast("bigint")).alias("n"))).scalar()
+    scored = df.where(F.col(score).isNotNull())
+    tot = scored.agg(F.struct(F.sum((F.col(gt) == F.lit(positive)).cast("bigint")).alias("p"),
+                              F.sum((F.col(gt) != F.lit(positive)).cast("bigint")).alias("n"))).scalar()
     cum_pos = F.col("tpr") * tot["p"]
     return pts.agg(F.try_divide(F.sum(F.col("neg") * (2 * cum_pos - F.col("pos")) / 2),
                                 tot["p"] * tot["n"]).alias("auc"))
@@ -121,13 +132,14 @@ def mse_r2(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns in long form
-    ``(col_a, col_b, corr)``, all pairs from one aggregate pass (D16)."""
+    ``(col_a, col_b, corr)``: one aggregate pass over the pairs of the upper
+    triangle, mirrored in the small result (D16)."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', `_{i}`" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    wide = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"_{i}_{j}")
+                    for i, j in upper])
+    stack = ", ".join(f"'{a}', '{b}', `_{min(i, j)}_{max(i, j)}`" for i, a in enumerate(cols) for j, b in enumerate(cols))
+    return wide.selectExpr(f"stack({len(cols) ** 2}, {stack}) AS (col_a, col_b, corr)")
 
 
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -187,13 +187,13 @@ def bagging(train: DataFrame, features: Sequence[str], label: str, make_estimato
     for m in range(n_members):
         cols = sorted(rng.choice(list(features), size=max(1, int(len(features) * max_features)),
                                  replace=False).tolist())
-        u = (F.abs(F.xxhash64(F.col(id_col), F.lit(seed * 7919 + m))) % 1000003) / F.lit(1000003.0)
-        # Poisson(1) by inversion of the CDF at u (weights 0..5 cover 0.9994 of the mass)
-        cdf = [sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) for i in range(6)]
+        u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed * 7919 + m)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        # Poisson(1) by inversion of the CDF at u; beyond 18 the CDF is 1 in doubles
+        cdf = [sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) for i in range(18)]
         w = F.when(u < cdf[0], 0)
-        for i in range(1, 6):
+        for i in range(1, 18):
             w = w.when(u < cdf[i], i)
-        w = w.otherwise(6).cast("double")
+        w = w.otherwise(18).cast("double")
         part = assemble(train.withColumn("_bw", w).filter(F.col("_bw") > 0), cols, "_fx")
         est = make_estimator().setFeaturesCol("_fx").setLabelCol(label)
         if est.hasParam("weightCol"):
@@ -238,9 +238,10 @@ def gap_statistic(df: DataFrame, features: Sequence[str], k_values: Sequence[int
     count, never collected. Returns ``(k, gap, sk)``; the chosen k is the one
     with the largest gap."""
     spark = df.sparkSession
+    df = cut_lineage(df.select(*features))  # every k reads it
     bounds = df.agg(F.struct(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
                                for c in features]).alias("b")).scalar()
-    data = assemble(df.select(*features), features)
+    data = assemble(df, features)
     refs = []
     for b in range(n_refs):
         r = df.select(*[(bounds[c]["lo"] + F.rand(seed * 1000 + b * 100 + i) * (bounds[c]["hi"] - bounds[c]["lo"]))
@@ -271,14 +272,14 @@ def linear_regression(train: DataFrame, label: str):
 
 # ---------------------------------------------------------------- persistence
 def save_models(models: Mapping[str, Model], folder: str) -> None:
-    """Persist models (A9) as MLlib model folders, overwriting."""
+    """Persist models (A9) as MLlib pipeline folders, overwriting; a model
+    that is no pipeline is saved as a pipeline of one stage."""
     for name, m in models.items():
-        m.write().overwrite().save(f"{folder.rstrip('/')}/{name}")
+        pipe = m if isinstance(m, PipelineModel) else PipelineModel(stages=[m])
+        pipe.write().overwrite().save(f"{folder.rstrip('/')}/{name}")
 
 
-def load_model(folder: str, name: str):
-    return PipelineModel.load(f"{folder.rstrip('/')}/{name}")
-
-
-def pipeline_model(stages) -> PipelineModel:
-    return PipelineModel(stages=list(stages))
+def load_model(folder: str, name: str) -> Model:
+    """A model as it was given to :func:`save_models`."""
+    pipe = PipelineModel.load(f"{folder.rstrip('/')}/{name}")
+    return pipe.stages[0] if len(pipe.stages) == 1 else pipe

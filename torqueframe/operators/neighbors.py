@@ -196,5 +196,5 @@ def knn_vote(train: DataFrame, queries: DataFrame, vec: str, id_col: str, label:
     nn = knn_neighbours(train, queries, vec, id_col, k, label)
     votes = nn.groupBy("qid", "label").agg(F.count(F.lit(1)).alias("n"))
     return votes.groupBy("qid").agg(
-        F.max_by("label", F.struct(F.col("n"), -F.col("label"))).alias("predicted_label")) \
+        F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("predicted_label")) \
         .withColumnRenamed("qid", id_col)

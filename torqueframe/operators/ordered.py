@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 CHUNK = "_chunk"
 
 
@@ -33,6 +35,23 @@ def with_chunk(df: DataFrame, chunk: Column | None) -> DataFrame:
     return df.withColumn(CHUNK, chunk if chunk is not None else F.lit(0))
 
 
+def quantile_chunk(df: DataFrame, col: str, n: int) -> Column:
+    """Chunk number of a numeric column: ``n`` ranges of about equal counts.
+
+    The n - 1 approximate quantiles come to the driver; a value's chunk is the
+    number of them below it, found by bisection (0 for null)."""
+    cuts = df.agg(F.percentile_approx(F.col(col).cast("double"), [i / n for i in range(1, n)], 100 * n)).first()[0]
+    cuts = sorted(set(cuts or []))
+    x, last = F.col(col).cast("double"), len(cuts)
+
+    def below(lo: int, hi: int) -> Column:  # the number of cuts below x, known to be in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x > F.lit(cuts[mid]), below(mid + 1, hi)).otherwise(below(lo, mid))
+    return below(0, last)
+
+
 def local_window(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
@@ -115,7 +134,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = base.select("*", F.row_number().over(w).alias("_rn"),
                         *[F.sum(c).over(run).alias(f"_l_{c}") for c in cols])
-    joined = local.join(F.broadcast(offsets) if not keys else offsets, on=[*keys, CHUNK], how="inner")
+    # null keys are a key like any other: their rows are kept
+    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}" if c == CHUNK else f"_ok_{c}") for c in [*keys, CHUNK]],
+                             "_n0", *[f"_o_{c}" for c in cols])
+    same = F.col(CHUNK).eqNullSafe(F.col(f"_o_{CHUNK}"))
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_ok_{c}"))
+    joined = local.join(offsets, on=same, how="inner")
     sel = [*df.columns]
     if position:
         sel.append((F.col("_rn") + F.col("_n0")).cast("bigint").alias(position))
@@ -123,17 +148,22 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return joined.select(*sel)
 
 
-def sorted_positions(df: DataFrame, order: Sequence[Column], chunk: Column,
+def sorted_positions(df: DataFrame, order: Sequence[Column], chunk: Column | None = None,
                      position: str = "position") -> DataFrame:
     """Global 1-based position of each row in ``order`` (a list of sort
     Columns, nulls placement stated), computed with a chunked scan instead of
-    a single-task global window. ``chunk`` must be non-decreasing in that order
-    (e.g. a prefix of the first sort key)."""
+    a single-task global window. ``chunk`` must be non-decreasing in that order;
+    without it, the rows are dealt to ranges of the whole sort key (Spark samples
+    their bounds) and written once, and a range is a chunk."""
+    if chunk is None:
+        n = 2 * df.sparkSession.sparkContext.defaultParallelism
+        with_c = cut_lineage(df.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id()))
+    else:
+        with_c = with_chunk(df, chunk)
     w = Window.partitionBy(CHUNK).orderBy(*order)
-    with_c = with_chunk(df, chunk)
     summary = with_c.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
     offsets = summary.select(CHUNK, F.coalesce(F.sum("_n").over(
         Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_n0"))
     local = with_c.select("*", F.row_number().over(w).alias("_rn"))
-    out = local.join(F.broadcast(offsets), on=CHUNK, how="inner")
+    out = local.join(offsets, on=CHUNK, how="inner")
     return out.select(*df.columns, (F.col("_rn") + F.col("_n0")).cast("bigint").alias(position))

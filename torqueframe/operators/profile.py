@@ -20,12 +20,13 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def _long_profile(df: DataFrame, per_col, label: str) -> DataFrame:
     cols = df.columns
     n = F.count(F.lit(1)).alias("_rows")
-    wide = df.agg(n, *[per_col(c).cast("bigint").alias(f"_{i}") for i, c in enumerate(cols)])
+    wide = df.agg(n, *[F.coalesce(per_col(c).cast("bigint"), F.lit(0)).cast("bigint").alias(f"_{i}")
+                       for i, c in enumerate(cols)])
     types = dict(df.dtypes)
     stack = ", ".join(f"'{c}', '{types[c]}', `_{i}`" for i, c in enumerate(cols))
     long = wide.selectExpr("_rows", f"stack({len(cols)}, {stack}) as (column_name, column_type, {label})")
     return long.select("column_name", "column_type", label,
-                       (F.col(label) / F.col("_rows") * 100.0).alias(f"pct_{label}"))
+                       (F.try_divide(F.col(label), F.col("_rows")) * 100.0).alias(f"pct_{label}"))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -55,10 +56,9 @@ def distinct_count(df: DataFrame, col: str, out: str = "n_distinct") -> DataFram
     return df.agg(F.count_distinct(col).cast("bigint").alias(out))
 
 
-def unmapped_report(df: DataFrame, mapped: str, raw: str, key: str) -> DataFrame:
-    """Rows whose mapped value is null: their distinct raw values (sorted),
-    the number of rows and the number of distinct keys they cover (D10)."""
-    bad = df.filter(F.col(mapped).isNull())
-    return bad.agg(F.array_sort(F.collect_set(raw)).alias("unknown_values"),
-                   F.count(F.lit(1)).alias("rows_removed"),
-                   F.count_distinct(key).cast("bigint").alias("keys_removed"))
+def unmapped_report(per_key: DataFrame, mapped: str, raw: str, rows: str) -> DataFrame:
+    """Keys whose mapped value is null: per raw value, the rows (summed from
+    the column ``rows``) and keys that it removes (D10). One row per value, so
+    no list of them is held anywhere."""
+    return per_key.filter(F.col(mapped).isNull()).groupBy(F.col(raw).alias("unknown_value")).agg(
+        F.sum(rows).cast("bigint").alias("rows_removed"), F.count(F.lit(1)).alias("keys_removed"))

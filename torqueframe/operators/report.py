@@ -36,10 +36,14 @@ def monthly_counts_dense(df: DataFrame, date: str, category: str, start: str, en
         "n")
 
 
-def metrics_pivot(metrics: DataFrame, index: str, pivot: str, value: str,
+def metrics_pivot(metrics: DataFrame, index: str | list[str], pivot: str, value: str,
                   values: list | None = None) -> DataFrame:
     """Gather a long ``metrics`` table into one comparison table (A12): one
-    row per ``index``, one column per ``pivot`` value."""
-    g = metrics.groupBy(index)
+    row per ``index`` (a column, or several such as the whole run tag), one
+    column per ``pivot`` value. Two different values for one cell are an error:
+    the index does not tell the runs apart."""
+    g = metrics.groupBy(*([index] if isinstance(index, str) else index))
     g = g.pivot(pivot, values) if values else g.pivot(pivot)
-    return g.agg(F.first(value))
+    several = F.lit(f"several values of {value} in one cell")
+    return g.agg(F.when(F.coalesce(F.min(value).eqNullSafe(F.max(value)), F.lit(True)), F.max(value))
+                 .otherwise(F.raise_error(several)))

@@ -32,8 +32,10 @@ def chi2_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFram
 
 
 def anova_f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """One-way ANOVA F of each feature across classes (sklearn ``f_classif``)."""
-    long = _long(df, features, target)
+    """One-way ANOVA F of each feature across classes (sklearn ``f_classif``);
+    null with a single class, or with as many classes as rows."""
+    # a null value is no observation of its feature
+    long = _long(df, features, target).where("x is not null")
     per = long.groupBy("feature", "_y").agg(
         F.count(F.lit(1)).alias("nc"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
     g = per.groupBy("feature").agg(
@@ -42,22 +44,27 @@ def anova_f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataF
     ss_between = F.col("between_raw") - F.col("s") * F.col("s") / F.col("n")
     ss_total = F.col("ss") - F.col("s") * F.col("s") / F.col("n")
     ss_within = ss_total - ss_between
-    f = F.try_divide(ss_between / (F.col("k") - 1), ss_within / (F.col("n") - F.col("k")))
+    f = F.try_divide(F.try_divide(ss_between, F.col("k") - 1), F.try_divide(ss_within, F.col("n") - F.col("k")))
     return g.select("feature", f.alias("score"))
 
 
 def mutual_info_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Mutual information (nats) between each discrete feature and the
-    class: Σ p(x,y)·ln(p(x,y) / (p(x)·p(y))) from counts."""
-    long = _long(df, features, target)
-    joint = long.groupBy("feature", "x", "_y").agg(F.count(F.lit(1)).alias("nxy"))
-    wf = Window.partitionBy("feature")
-    wx = Window.partitionBy("feature", "x")
-    wy = Window.partitionBy("feature", "_y")
-    j = joint.select("*", F.sum("nxy").over(wf).alias("n"), F.sum("nxy").over(wx).alias("nx"),
-                     F.sum("nxy").over(wy).alias("ny"))
-    term = F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
-    return j.groupBy("feature").agg(F.sum(term).alias("score"))
+    class: H(x) + H(y) − H(x, y), with n·H = n·ln n − Σ c·ln c over counts c.
+
+    Three grouped sums of c·ln c, each partially aggregated; no window, so a
+    feature of many distinct values is many tasks' work."""
+    joint = _long(df, features, target).groupBy("feature", "x", "_y").agg(F.count(F.lit(1)).alias("c"))
+
+    def plogp(sign: int, *keys: str) -> DataFrame:
+        part = joint if len(keys) == 3 else joint.groupBy(*keys).agg(F.sum("c").alias("c"))
+        return part.groupBy("feature").agg((F.lit(sign) * F.sum(F.col("c") * F.log("c"))).alias("t"),
+                                           (F.lit(sign) * F.sum("c")).alias("n"))
+
+    parts = plogp(-1, "feature", "x").unionByName(plogp(-1, "feature", "_y")).unionByName(
+        plogp(1, "feature", "x", "_y"))
+    total = parts.groupBy("feature").agg(F.sum("t").alias("t"), (-F.sum("n")).alias("n"))
+    return total.select("feature", (F.log("n") + F.col("t") / F.col("n")).alias("score"))
 
 
 def rank_scores(scores: DataFrame, score: str = "score", name: str = "feature",

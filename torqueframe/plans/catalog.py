@@ -54,12 +54,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def config_history(spark: SparkSession, d: str) -> DataFrame:
     """E2–E8 per configuration, ordered by sell date (flagship)."""
     s = si.sales(spark, d)
-    # chunk = (sell date, order-key range) packed in one long: day · 1024 +
-    # min(key / 2^30, 1023). Non-decreasing in the sale order (sell date — a
-    # date — then order key); a configuration hot on one day is split into
-    # key ranges while its summary stays small (≤ 1024 rows a day)
-    day = F.datediff(F.col("sell_date"), F.lit("1970-01-01").cast("date")).cast("long")
-    chunk = day * 1024 + F.least(F.floor(F.col("l_orderkey") / (1 << 30)), F.lit(1023)).cast("long")
+    # chunk = (sell date, range of 2^20 order keys): non-decreasing in the sale
+    # order, and a configuration hot on one day is split without limit
+    chunk = F.struct(F.to_date("sell_date").alias("day"), F.floor(F.col("l_orderkey") / (1 << 20)).alias("keys"))
     h = history.config_history(s, si.CONFIG, si.SALE_ORDER, score="new_score",
                                margin="margem_percentagem", days="stock_days", chunk=chunk)
     return rounded(h.select(*si.SALE_KEY, *si.CONFIG, "new_score", *history.HISTORY_COLUMNS))
@@ -319,10 +316,10 @@ def ffill_bfill(spark: SparkSession, d: str) -> DataFrame:
     """Forward then backward fill of priority and registration date
     within each plate, in visit order."""
     v = si.visits(spark, d).select("o_orderkey", "registration_number", "priority", "registration_date_pse")
-    # order-key ranges of 2^20: for keys up to ~10^12 a hot plate gets at most
-    # ~10^6 chunks (its summary window) of at most 2^20 keys each
+    # 64 ranges of the order key of about equal counts: a hot plate is up to 64
+    # tasks' work, and a plate's summary has at most 64 rows
     return V.fill_within(v, "registration_number", ["o_orderkey"], ["priority", "registration_date_pse"],
-                         chunk=F.floor(F.col("o_orderkey") / (1 << 20)))
+                         chunk=ordered.quantile_chunk(v, "o_orderkey", 64))
 
 
 @query
@@ -335,7 +332,7 @@ def contract_left_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def null_matching_join(spark: SparkSession, d: str) -> DataFrame:
+def tail_key_left_join(spark: SparkSession, d: str) -> DataFrame:
     """Left join on the 7-character chassis; null keys do not match."""
     v = si.visits(spark, d).select("o_orderkey", last_n("chassis_number", 7).alias("chassis_number"))
     c = si.contracts(spark, d).select("chassis_number", "cm_years")
@@ -344,10 +341,10 @@ def null_matching_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def semi_membership(spark: SparkSession, d: str) -> DataFrame:
-    """C4: visits whose chassis has a contract; count and distinct contract chassis."""
-    v = si.visits(spark, d).select("o_orderkey", last_n("chassis_number", 7).alias("chassis_number"))
+    """C4: contracts whose chassis visits brand 701; count and distinct chassis of that brand."""
+    v = si.visits(spark, d).where(F.col("nlr_code") == 701).select(last_n("chassis_number", 7).alias("chassis_number"))
     c = si.contracts(spark, d).select("chassis_number")
-    return joins.semi_membership_counts(v, c, "chassis_number")
+    return joins.semi_membership_counts(c, v, "chassis_number")
 
 
 @query
@@ -403,10 +400,10 @@ _FEATURE_KW = dict(flag_words=si.FLAG_WORDS, exterior_vocab=si.EXTERIOR_VOCAB,
                    interior_vocab=si.INTERIOR_VOCAB, model_lead=si.MODEL_LEAD)
 
 
-def _vehicles(spark, d, **kw):
+def _vehicles(spark, d, lines=None, **kw):
     kwargs = dict(_FEATURE_KW)
     kwargs.update(kw)
-    return options.vehicle_features(si.option_lines(spark, d), "l_orderkey", si.LINE_ORDER,
+    return options.vehicle_features(si.option_lines(spark, d) if lines is None else lines, "l_orderkey", si.LINE_ORDER,
                                     "opcional", "cor", "interior", "modelo", "custo", **kwargs)
 
 
@@ -465,21 +462,17 @@ def first_per_key(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def unmapped_report(spark: SparkSession, d: str) -> DataFrame:
-    """Unknown exterior colours: raw values, lines and vehicles removed."""
-    lines = si.option_lines(spark, d)
-    v = _vehicles(spark, d).select("l_orderkey", "cor_exterior")
-    first_cor = lines.groupBy("l_orderkey").agg(
-        F.min_by(F.lower("cor"), F.struct(*si.LINE_ORDER)).alias("first_cor"))
-    j = lines.select("l_orderkey").join(v, "l_orderkey").join(first_cor, "l_orderkey")
-    r = profile.unmapped_report(j, "cor_exterior", "first_cor", "l_orderkey")
-    return r.select(F.array_join("unknown_values", ",").alias("unknown_values"),
-                    F.col("rows_removed").cast("bigint").alias("rows_removed"), "keys_removed")
+    """Unknown exterior colours: one row per raw value, with the lines
+    and vehicles that it removes."""
+    lines = si.option_lines(spark, d).withColumn("cor_first", F.lower("cor"))
+    feats = _vehicles(spark, d, lines=lines, first_line_cols=["cor_first"])
+    return profile.unmapped_report(feats, "cor_exterior", "cor_first", "n_lines")
 
 
 @query
 def vehicle_scores(spark: SparkSession, d: str) -> DataFrame:
     """Entry 2 end to end: one scored feature row per vehicle."""
-    lines = si.option_lines(spark, d)
+    lines = si.raw_option_lines(spark, d)
     v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
                             "l_shipdate", _FEATURE_KW)
     return rounded(v.select("l_orderkey", *si.FLAG_WORDS, "cor_exterior", "cor_interior", "jantes", "modelo",
@@ -546,8 +539,7 @@ def sort_nulls_last(spark: SparkSession, d: str) -> DataFrame:
                          ["customer", "slr_document_account", "registration_number"])
     order = [F.asc_nulls_last("customer"), F.asc_nulls_last("slr_document_account"),
              F.asc_nulls_last("registration_number"), F.asc("o_orderkey")]
-    chunk = F.coalesce(F.substring("customer", 1, 2), F.lit("￿"))
-    return ordered.sorted_positions(v, order, chunk)
+    return ordered.sorted_positions(v, order)
 
 
 @query
@@ -694,7 +686,7 @@ def dense_calendar_total(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def silhouette_exact(spark: SparkSession, d: str) -> DataFrame:
+def silhouette_squared(spark: SparkSession, d: str) -> DataFrame:
     """Squared-Euclidean silhouette per vector, clusters = labels."""
     from ..sources.tables import table
     e = table(spark, d, "embeddings")
@@ -727,7 +719,7 @@ _TARGET = "new_score"
 
 
 def _model_data(spark, d):
-    lines = si.option_lines(spark, d)
+    lines = si.raw_option_lines(spark, d)
     v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
                             "l_shipdate", _FEATURE_KW)
     ft = ML.feature_table(v, "l_orderkey", new_score_days=si.NEW_SCORE_DAYS)
@@ -834,7 +826,7 @@ def gap_statistic(spark: SparkSession, d: str) -> DataFrame:
 @query
 def linear_regression(spark: SparkSession, d: str) -> DataFrame:
     """Linear regression of margin % on the features; train/test MSE and R²."""
-    lines = si.option_lines(spark, d)
+    lines = si.raw_option_lines(spark, d)
     v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
                             "l_shipdate", _FEATURE_KW)
     ft = ML.feature_table(v, "l_orderkey", new_score_days=si.NEW_SCORE_DAYS)
@@ -889,7 +881,7 @@ def knn_vote(spark: SparkSession, d: str) -> DataFrame:
 def category_groups(spark: SparkSession, d: str) -> DataFrame:
     """Colour, wheel and model groups of every vehicle with the
     dealer group lists; raw columns dropped."""
-    lines = si.option_lines(spark, d)
+    lines = si.raw_option_lines(spark, d)
     v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
                             "l_shipdate", _FEATURE_KW)
     v = v.select("l_orderkey", "cor_exterior", "cor_interior", "jantes", "modelo")

@@ -1,20 +1,20 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-Written independently of the Spark code: plain SQL windows and aggregates
-over the same stand-in definitions."""
+Plain SQL windows and aggregates over the same stand-in definitions. The
+dealer's group lists (``category_groups``) are taken from the vocabulary, as
+they are fixed values; all else is written out."""
 
 from __future__ import annotations
 
 SALES = """sales AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-         l_shipdate AS sell_date, o_orderdate AS buy_date,
+         greatest(l_shipdate, o_orderdate) AS sell_date, least(l_shipdate, o_orderdate) AS buy_date,
          p_type AS cfg_type, split_part(p_name, ' ', 1) AS cfg_colour, split_part(p_name, ' ', 2) AS cfg_item,
-         CAST(date_diff('day', o_orderdate, l_shipdate) AS BIGINT) AS stock_days,
+         CAST(abs(date_diff('day', o_orderdate, l_shipdate)) AS BIGINT) AS stock_days,
          l_discount * 100 AS margem_percentagem,
-         CAST(CASE WHEN date_diff('day', o_orderdate, l_shipdate) <= 365 AND l_discount * 100 >= 3.5
+         CAST(CASE WHEN abs(date_diff('day', o_orderdate, l_shipdate)) <= 365 AND l_discount * 100 >= 3.5
                    THEN 1 ELSE 0 END AS BIGINT) AS new_score
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_shipdate >= o_orderdate)"""
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"""
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 CFG = "cfg_type, cfg_colour, cfg_item"
@@ -307,16 +307,17 @@ SELECT v.o_orderkey, v.registration_number, v.chassis_number, round(c.cm_years,
        round(c.cm_km, 6) AS cm_km, c.cm_date_start, c.cm_date_end
 FROM visits v LEFT JOIN contracts c ON v.registration_number = c.registration_number"""
 
-SQL["null_matching_join"] = f"""
+SQL["tail_key_left_join"] = f"""
 WITH {VISITS}, {CONTRACTS}
 SELECT v.o_orderkey, right(v.chassis_number, 7) AS chassis_number, round(c.cm_years, 6) AS cm_years
 FROM visits v LEFT JOIN contracts c ON right(v.chassis_number, 7) = c.chassis_number"""
 
 SQL["semi_membership"] = f"""
-WITH {VISITS}, {CONTRACTS}
-SELECT (SELECT CAST(count(*) AS BIGINT) FROM visits
-        WHERE right(chassis_number, 7) IN (SELECT chassis_number FROM contracts)) AS matching_rows,
-       CAST(count(DISTINCT chassis_number) AS BIGINT) AS distinct_keys FROM contracts"""
+WITH {VISITS}, {CONTRACTS},
+u AS (SELECT DISTINCT right(chassis_number, 7) AS chassis_number FROM visits WHERE nlr_code = 701)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM contracts
+        WHERE chassis_number IN (SELECT chassis_number FROM u)) AS matching_rows,
+       CAST(count(chassis_number) AS BIGINT) AS distinct_keys FROM u"""
 
 _WARRANTY = """
 w AS (SELECT v.*, y.wy FROM visits v JOIN (VALUES (101, 5), (701, 2)) y(code, wy) ON v.nlr_code = y.code),
@@ -478,10 +479,30 @@ SELECT l_orderkey, {LORD}, opcional, round(custo, 6) AS custo FROM first"""
 
 SQL["unmapped_report"] = f"""
 WITH {LINES}, {FIRST}, t AS (SELECT l_orderkey, lower(cor) AS first_cor, {_tok('lower(cor)')} AS tok FROM first),
-e AS (SELECT l_orderkey, first_cor, {_EXT} AS cor_exterior FROM t),
-bad AS (SELECT l.l_orderkey, e.first_cor FROM lines l JOIN e USING (l_orderkey) WHERE e.cor_exterior IS NULL)
-SELECT coalesce(array_to_string(list_sort(list_distinct(list(first_cor))), ','), '') AS unknown_values,
-       CAST(count(*) AS BIGINT) AS rows_removed, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS keys_removed FROM bad"""
+e AS (SELECT l_orderkey, first_cor, {_EXT} AS cor_exterior FROM t)
+SELECT e.first_cor AS unknown_value, CAST(count(*) AS BIGINT) AS rows_removed,
+       CAST(count(DISTINCT l_orderkey) AS BIGINT) AS keys_removed
+FROM lines l JOIN e USING (l_orderkey) WHERE e.cor_exterior IS NULL GROUP BY 1"""
+
+# raw lines with price-only lines, symbols, a model suffix and missing colours, then cleaned
+CLEANED_LINES = """raw AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+    CASE WHEN l_linenumber = 7 THEN 'Preço de Venda'
+         ELSE concat_ws(' ', p_type, p_name, CAST(p_size AS VARCHAR)) END AS opcional,
+    CASE WHEN l_linenumber = 6 AND l_partkey % 10 = 0 THEN NULL ELSE '|' || p_name END AS cor,
+    p_name || '.ind. ' || p_type AS interior,
+    concat_ws(' ', p_brand, p_type, p_name, CAST(p_size AS VARCHAR))
+      || CASE WHEN p_size % 2 = 0 THEN ' - não utilizar' ELSE '' END AS modelo,
+    l_extendedprice AS custo
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+lines AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, lower(opcional) AS opcional,
+    replace(lower(cor), '|', '') AS cor,
+    replace(replace(replace(replace(replace(regexp_replace(replace(lower(interior), '|', '/'), 'ind.', '', 'g'),
+      ']', '/'), '.', ' '), chr(39) || 'merino' || chr(39), 'merino'),
+      chr(39) || ' merino' || chr(39), 'merino'), chr(39) || 'vernasca' || chr(39), 'vernasca') AS interior,
+    replace(modelo, ' - não utilizar', '') AS modelo, custo
+  FROM raw WHERE lower(opcional) <> 'preço de venda' AND cor IS NOT NULL)"""
 
 _CANON = ("CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in [
     ("black", "preto"), ("preto/silver", "preto/prateado"), ("tartufo", "truffle"),
@@ -491,7 +512,7 @@ _CANON = ("CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in [
     ("âmbar/preto/pr", "ambar/preto/preto"), ("beige", "bege"), ("kaschmirsilber", "cashmere"),
     ("beje", "bege")]) + " ELSE {c} END")
 
-VEHICLE_CTES = f"""{LINES}, {FIRST}, {INTERIOR}, {WHEELS}, {MODEL},
+VEHICLE_CTES = f"""{CLEANED_LINES}, {FIRST}, {INTERIOR}, {WHEELS}, {MODEL},
 fl AS (SELECT l_orderkey,
   CAST(max(CAST(list_contains(tok, 'widget') AS INT)) AS BIGINT) AS navegacao,
   CAST(max(CAST(list_contains(tok, 'gear') AS INT)) AS BIGINT) AS sensores,
@@ -503,8 +524,8 @@ it AS (SELECT l_orderkey, {_interior("'vernasca'")} AS c FROM ti),
 v AS (SELECT fl.*, {_CANON.format(c='ex.c')} AS cor_exterior, {_CANON.format(c='it.c')} AS cor_interior,
         wheels.jantes, model.modelo, o_orderdate AS buy_date, o_totalprice * 0.05 AS margem
       FROM fl JOIN ex USING (l_orderkey) JOIN it USING (l_orderkey) JOIN wheels USING (l_orderkey)
-      JOIN model USING (l_orderkey) JOIN orders ON fl.l_orderkey = o_orderkey
-      WHERE ex.c IS NOT NULL AND it.c IS NOT NULL AND sell_date >= o_orderdate),
+      JOIN model USING (l_orderkey) LEFT JOIN orders ON fl.l_orderkey = o_orderkey
+      WHERE ex.c IS NOT NULL AND it.c IS NOT NULL),
 s AS (SELECT *, CAST(date_diff('day', buy_date, sell_date) AS BIGINT) AS stock_days,
              margem / nullif(price_total, 0) * 100.0 AS margem_percentagem FROM v),
 m AS (SELECT min(stock_days) dmin, max(stock_days) dmax, min(margem_percentagem) mmin, max(margem_percentagem) mmax FROM s)"""
@@ -688,7 +709,7 @@ SELECT strftime(month, '%Y-%m') AS month, category, CAST(n AS BIGINT) AS n FROM
 UNION ALL
 SELECT strftime(month, '%Y-%m'), 'Month Total', CAST(sum(n) AS BIGINT) FROM dense GROUP BY month"""
 
-SQL["silhouette_exact"] = """
+SQL["silhouette_squared"] = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 d AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
 pq AS (SELECT vec_id, label, list_sum(list_transform(v, lambda t: t * t)) AS sq FROM e),
@@ -764,14 +785,25 @@ def _horner(coefs, v: str) -> str:
     return out
 
 
+# fixed values: Acklam's published coefficients, written out here so that a slip
+# in the operator's copy shows
+_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+      1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+      6.680131188771972e+01, -1.328068155288572e+01]
+_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+      -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+_P_LOW = 0.02425
+
+
 def _probit_sql(p: str) -> str:
-    from ..functions.numeric import PROBIT_A, PROBIT_B, PROBIT_C, PROBIT_D, PROBIT_P_LOW
     ql, qu, q = f"sqrt(-2.0 * ln({p}))", f"sqrt(-2.0 * ln(1.0 - {p}))", f"({p} - 0.5)"
     return (f"CASE WHEN {p} IS NULL OR {p} <= 0 OR {p} >= 1 THEN NULL "
-            f"WHEN {p} < {PROBIT_P_LOW!r} THEN {_horner(PROBIT_C, ql)} / ({_horner(PROBIT_D, ql)} * {ql} + 1.0) "
-            f"WHEN {p} <= {1 - PROBIT_P_LOW!r} THEN {_horner(PROBIT_A, f'({q} * {q})')} * {q} / "
-            f"({_horner(PROBIT_B, f'({q} * {q})')} * ({q} * {q}) + 1.0) "
-            f"ELSE -{_horner(PROBIT_C, qu)} / ({_horner(PROBIT_D, qu)} * {qu} + 1.0) END")
+            f"WHEN {p} < {_P_LOW!r} THEN {_horner(_C, ql)} / ({_horner(_D, ql)} * {ql} + 1.0) "
+            f"WHEN {p} <= {1 - _P_LOW!r} THEN {_horner(_A, f'({q} * {q})')} * {q} / "
+            f"({_horner(_B, f'({q} * {q})')} * ({q} * {q}) + 1.0) "
+            f"ELSE -{_horner(_C, qu)} / ({_horner(_D, qu)} * {qu} + 1.0) END")
 
 
 SQL["probit_scaling"] = f"""

@@ -4,7 +4,7 @@ The original works on dealer extracts that are not shipped; these functions
 derive tables of the same shape from the TPC-H-like tables so every operator
 runs on data that grows with the scale factor:
 
-* ``sales``        one row per shipped line: configuration (part type,
+* ``sales``        one row per line: configuration (part type,
                    colour word, item word), sell date, stock days, margin %
 * ``option_lines`` one row per option line of a vehicle (= order)
 * ``orders_meta``  buy date and margin per vehicle
@@ -39,13 +39,15 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
                                             "l_extendedprice", "l_discount", "l_shipdate")
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    # the earlier date is the purchase, the later one the sale: no line is dropped
     j = (li.join(p, li.l_partkey == p.p_partkey)
            .join(o, li.l_orderkey == o.o_orderkey)
-           .filter(F.col("l_shipdate") >= F.col("o_orderdate")))
-    days = whole_days("o_orderdate", "l_shipdate")
+           .withColumns({"buy_date": F.least("o_orderdate", "l_shipdate"),
+                         "sell_date": F.greatest("o_orderdate", "l_shipdate")}))
+    days = whole_days("buy_date", "sell_date")
     margin = F.col("l_discount") * 100
     return j.select(
-        *SALE_KEY, F.col("l_shipdate").alias("sell_date"), F.col("o_orderdate").alias("buy_date"),
+        *SALE_KEY, "sell_date", "buy_date",
         F.col("p_type").alias("cfg_type"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("cfg_colour"),
         F.split_part("p_name", F.lit(" "), F.lit(2)).alias("cfg_item"),
         days.alias("stock_days"), margin.alias("margem_percentagem"),
@@ -66,6 +68,24 @@ def option_lines(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_extendedprice").alias("custo"))
 
 
+def raw_option_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Option lines as an extract has them: price-only lines, symbols in the
+    colour texts, a model suffix, a missing colour, and code columns that the
+    flow drops."""
+    o = option_lines(spark, d)
+    p = table(spark, d, "part").select("p_partkey", "p_type", "p_size")
+    j = o.join(p, o["l_partkey"] == p["p_partkey"]).drop("p_partkey")
+    return j.select(
+        "l_orderkey", *LINE_ORDER,
+        F.when(F.col("l_linenumber") == 7, F.lit("Preço de Venda")).otherwise(F.col("opcional")).alias("opcional"),
+        F.when((F.col("l_linenumber") == 6) & (F.col("l_partkey") % 10 == 0), F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("|"), "cor")).alias("cor"),
+        F.concat("cor", F.lit(".ind. "), "p_type").alias("interior"),
+        F.concat("modelo", F.when(F.col("p_size") % 2 == 0, F.lit(" - não utilizar")).otherwise(F.lit("")))
+         .alias("modelo"),
+        "custo", F.lit(None).cast("string").alias("cdint"), F.lit(None).cast("string").alias("cdcor"))
+
+
 # Stand-in vocabularies for the option text (the dealer vocabularies are the
 # defaults of the operators; the test tables use other words).
 EXTERIOR_VOCAB = (["red", "blue"], ["hot", "cold", "new"])

@@ -21,14 +21,26 @@ def _parse_ts(c: str, fmt: str | None) -> Column:
     return F.to_timestamp_ntz(F.try_to_timestamp(F.col(c)))
 
 
+def _decimal(c: str, thousands: str | None = None) -> Column:
+    num = F.replace(F.col(c), F.lit(thousands), F.lit("")) if thousands else F.col(c)
+    return F.replace(num, F.lit(","), F.lit(".")).try_cast("double")
+
+
+def unparsable_counts(raw: DataFrame, cols: Sequence[str], thousands: str | None = None) -> DataFrame:
+    """One row: per decimal column, how many non-null texts are no number."""
+    return raw.agg(*[F.count_if(F.col(c).isNotNull() & _decimal(c, thousands).isNull()).alias(c) for c in cols])
+
+
 def read_delimited(spark: SparkSession, path, sep: str = ";", header: bool = True, encoding: str = "UTF-8",
                    columns: Sequence[str] | None = None, date_cols: Sequence[str] = (),
                    date_format: str | None = None, decimal_comma_cols: Sequence[str] = (),
-                   types: Mapping[str, str] | None = None) -> DataFrame:
+                   types: Mapping[str, str] | None = None, thousands: str | None = None) -> DataFrame:
     """Read a delimited text file with every column as string, then type it.
 
     ``columns`` names the fields of a headerless file (positional names);
-    ``decimal_comma_cols`` are numbers written with a decimal comma."""
+    ``decimal_comma_cols`` are numbers written with a decimal comma (a decimal
+    point is read too); ``thousands`` is a separator to strip from them first.
+    What is no number becomes null (``unparsable_counts`` tells how often)."""
     reader = spark.read.option("sep", sep).option("header", header).option("encoding", encoding) \
                        .option("inferSchema", False).option("mode", "PERMISSIVE")
     df = reader.csv(path)
@@ -40,8 +52,7 @@ def read_delimited(spark: SparkSession, path, sep: str = ";", header: bool = Tru
         if c in date_cols:
             out.append(_parse_ts(c, date_format).alias(c))
         elif c in decimal_comma_cols:
-            num = F.replace(F.replace(F.col(c), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-            out.append(num.try_cast("double").alias(c))
+            out.append(_decimal(c, thousands).alias(c))
         elif c in types:
             out.append(F.col(c).try_cast(types[c]).alias(c))
         else:
@@ -69,13 +80,14 @@ def read_visits(spark: SparkSession, paths, date_format: str | None = None) -> D
 
 
 def read_contracts_ca(spark: SparkSession, path, date_format: str | None = None) -> DataFrame:
-    """Plate contracts (A2): 7 columns kept and renamed."""
+    """Plate contracts (A2): 6 columns kept and renamed."""
     df = read_delimited(spark, path, ";", True, date_cols=["DATA_INICIO", "DATA_FIM", "DATA_REMOCAO"],
                         date_format=date_format, types={"ANOS": "double", "KILOMETROS": "double"})
-    df = df.select("MATRICULA", "ANOS", "KILOMETROS", "DATA_INICIO", "DATA_FIM", "DATA_REMOCAO", "VIA_MAR_DES")
+    # the franchise text (VIA_MAR_DES) is not kept
+    df = df.select("MATRICULA", "ANOS", "KILOMETROS", "DATA_INICIO", "DATA_FIM", "DATA_REMOCAO")
     return rename(df, {"MATRICULA": "registration_number", "ANOS": "cm_years", "KILOMETROS": "cm_km",
                        "DATA_INICIO": "cm_date_start", "DATA_FIM": "cm_date_end",
-                       "DATA_REMOCAO": "cm_date_removal", "VIA_MAR_DES": "pt_franchise_desc"})
+                       "DATA_REMOCAO": "cm_date_removal"})
 
 
 def read_contracts_crp(spark: SparkSession, path) -> DataFrame:
@@ -88,11 +100,12 @@ def read_contracts_crp(spark: SparkSession, path) -> DataFrame:
     return df.withColumn("cm_years", F.col("cm_months") / 12.0).drop("_c0", "cm_months")
 
 
-def read_option_lines(spark: SparkSession, paths, date_format: str | None = None) -> DataFrame:
+def read_option_lines(spark: SparkSession, paths, date_format: str | None = None,
+                      thousands: str | None = None) -> DataFrame:
     """Option lines (A4): ';'-separated, decimal comma in money columns, two
     dates; several files (G3) are read as one input."""
     return read_delimited(spark, paths, ";", True, date_cols=["Data Compra", "Data Venda"], date_format=date_format,
-                          decimal_comma_cols=["Custo", "Margem"])
+                          decimal_comma_cols=["Custo", "Margem"], thousands=thousands)
 
 
 def preview_headerless(spark: SparkSession, path, n: int = 5, sep: str = ";") -> DataFrame:

@@ -32,7 +32,7 @@ RUN_COLUMNS = ["approach", "model", "target", "scoring", "oversample", "k_featur
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """Append tagged metric rows to one table partitioned by run identity
-    (A10/A11); re-running a run overwrites only its partitions."""
-    spark = metrics.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    metrics.write.mode("overwrite").partitionBy("approach", "model", "target").parquet(path)
+    (A10/A11): all of ``RUN_COLUMNS`` that the rows have. Writing a run again
+    replaces that run alone; a run that differs in any tag column is kept."""
+    tags = [c for c in RUN_COLUMNS if c in metrics.columns]
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*tags).parquet(path))
