@@ -26,10 +26,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # the minima are written first: a join of two plain inputs can split a hot node
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").distinct()
         # u < v in every edge: the smaller neighbours of v are its u
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        large = written(large, "large-star")
+        least = written(large.groupBy("v").agg(F.min("u").alias("m")), "least")
         small = large.join(least, "v")
         edges = written(small.select(F.col("m").alias("u"), "v").unionByName(
             small.where("u <> m").select(F.col("m").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
