@@ -40,12 +40,13 @@ def numeric_features(df: DataFrame, exclude) -> list[str]:
 
 
 def split_assemble(df: DataFrame, id_col: str, target: str, features, folds: int = 10):
-    """Stratified 75/25 split (K3), balanced weights, CV folds, vectors."""
+    """Stratified 75/25 split (K3); then, from the training rows alone,
+    balanced weights and CV folds; vectors. Test rows carry neither."""
     s = sampling.stratified_split(df, target, id_col, 0.25, seed=2)
-    s = models.balanced_weights(s, target)
-    s = models.stratified_folds(s, target, id_col, k=folds, seed=42)
-    s = models.assemble(s.withColumn(target, F.col(target).cast("double")), features)
-    return s.filter("is_train = 1"), s.filter("is_train = 0")
+    s = cut_lineage(models.assemble(s.withColumn(target, F.col(target).cast("double")), features))
+    train = models.balanced_weights(s.filter("is_train = 1"), target)
+    train = models.stratified_folds(train, target, id_col, k=folds, seed=42)
+    return train, s.filter("is_train = 0")
 
 
 def evaluate(pred: DataFrame, gt: str = "score_class_gt", p: str = "score_class_pred") -> DataFrame:
