@@ -270,6 +270,12 @@ def linear_regression(train: DataFrame, label: str):
                             standardization=False).fit(train)
 
 
+def coefficient_table(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
+    """(feature, coefficient) of a linear model, the intercept included."""
+    rows = [*zip(features, map(float, model.coefficients)), ("intercept", float(model.intercept))]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
 # ---------------------------------------------------------------- persistence
 def save_models(models: Mapping[str, Model], folder: str) -> None:
     """Persist models (A9) as MLlib pipeline folders, overwriting; a model

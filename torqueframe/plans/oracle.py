@@ -811,3 +811,86 @@ WITH {SALES},
 e AS (SELECT {KEY}, stock_days,
              CASE WHEN stock_days < 0 THEN 0.0 ELSE 1.0 - exp(-CAST(stock_days AS DOUBLE)) END AS p FROM sales)
 SELECT {KEY}, stock_days, round({_probit_sql("p")}, 6) AS stock_days_norm_4 FROM e"""
+
+_SPLIT = f"""{SALES},
+id AS (SELECT *, {SALE_ID} AS sale_id FROM sales),
+rk AS (SELECT *, row_number() OVER (PARTITION BY new_score ORDER BY md5(sale_id || ':2'), sale_id) AS r,
+              count(*) OVER (PARTITION BY new_score) AS nc FROM id),
+train AS (SELECT * FROM rk WHERE r <= nc - ceil(nc * 0.25))"""
+
+SQL["class_weights"] = f"""
+WITH {_SPLIT}
+SELECT {KEY}, new_score, round((SELECT count(*) FROM train)::DOUBLE
+       / ((SELECT count(DISTINCT new_score) FROM train) * count(*) OVER (PARTITION BY new_score)), 6) AS weight
+FROM train"""
+
+SQL["cv_folds"] = f"""
+WITH {_SPLIT}
+SELECT {KEY}, new_score, CAST((row_number() OVER (PARTITION BY new_score
+       ORDER BY md5(sale_id || ':42'), sale_id) - 1) % 10 AS BIGINT) AS fold FROM train"""
+
+_MEMBERS = f"""{SALES},
+m AS (SELECT *, least(1.0, margem_percentagem / 10) AS p_margin, greatest(0.0, 1 - stock_days / 1000.0) AS p_days,
+             CASE WHEN l_extendedprice > 30000 THEN 0.75 ELSE 0.25 END AS p_price FROM sales)"""
+
+SQL["soft_vote"] = f"""
+WITH {_MEMBERS}, v AS (SELECT {KEY}, (p_margin + p_days + p_price) / 3.0 AS p FROM m)
+SELECT {KEY}, round(1 - p, 6) AS proba_0, round(p, 6) AS proba_1,
+       CAST(p > 0.5 AS INT)::DOUBLE AS score_class_pred FROM v"""
+
+SQL["run_comparison"] = f"""
+WITH {_MEMBERS},
+p AS (SELECT 'margin' AS model, new_score AS y, CAST(p_margin > 0.5 AS INT) AS h FROM m
+      UNION ALL SELECT 'days', new_score, CAST(p_days > 0.5 AS INT) FROM m
+      UNION ALL SELECT 'price', new_score, CAST(p_price > 0.5 AS INT) FROM m),
+c AS (SELECT model, count(*) FILTER (y = 1 AND h = 1)::DOUBLE AS tp, count(*) FILTER (y = 0 AND h = 1)::DOUBLE AS fp,
+             count(*) FILTER (y = 1 AND h = 0)::DOUBLE AS fn, count(*) FILTER (y = 0 AND h = 0)::DOUBLE AS tn
+      FROM p GROUP BY model),
+f AS (SELECT *, CASE WHEN tp + fp > 0 THEN coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) END AS f1,
+             CASE WHEN tn + fn > 0 THEN coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) END AS f0,
+             CASE WHEN tp + fp > 0 THEN tp ELSE 0 END + CASE WHEN tn + fn > 0 THEN tn ELSE 0 END AS hits,
+             CASE WHEN tp + fp > 0 THEN fp + fn ELSE 0 END + CASE WHEN tn + fn > 0 THEN fn + fp ELSE 0 END AS misses
+      FROM c)
+SELECT 'classification' AS approach, model, 'new_score' AS target, 'recall' AS scoring,
+  round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
+  round((coalesce(f1, 0) + coalesce(f0, 0)) / ((f1 IS NOT NULL)::INT + (f0 IS NOT NULL)::INT), 6) AS macro_f1,
+  round(2 * hits / (2 * hits + misses), 6) AS micro_f1, round(tn / nullif(tn + fp, 0), 6) AS specificity
+FROM f"""
+
+# two features: the normal equations have a closed form
+SQL["regression_coefficients"] = f"""
+WITH {SALES},
+x AS (SELECT margem_percentagem AS y, stock_days::DOUBLE AS a, l_extendedprice / 1000 AS b FROM sales),
+s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb,
+             avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM x),
+w AS (SELECT (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb, ma, mb, my FROM s)
+SELECT 'stock_days' AS feature, round(wa, 5) AS coefficient FROM w
+UNION ALL SELECT 'price_k', round(wb, 5) FROM w
+UNION ALL SELECT 'intercept', round(my - wa * ma - wb * mb, 5) FROM w"""
+
+_BRANCH = """SELECT * REPLACE (
+    coalesce(last_value(customer IGNORE NULLS) OVER w, first_value(customer IGNORE NULLS) OVER b) AS customer,
+    coalesce(last_value(registration_date_pse IGNORE NULLS) OVER w,
+             first_value(registration_date_pse IGNORE NULLS) OVER b) AS registration_date_pse)
+  FROM cleaned WHERE nlr_code = {code}
+  WINDOW w AS (PARTITION BY registration_number ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         b AS (PARTITION BY registration_number ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+
+SQL["visit_merge"] = f"""
+WITH {VISITS}, {CONTRACTS},
+cleaned AS (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE customer END AS customer,
+                              right(chassis_number, 7) AS chassis_number),
+    CAST(CASE WHEN length(registration_number) <> 6 OR registration_number IN ('000000', '000001', '++++++')
+              THEN 1 ELSE 0 END AS BIGINT) AS registration_number_error_flag
+  FROM visits WHERE registration_number IS NOT NULL
+    AND slr_document_account IS DISTINCT FROM 4 AND slr_document_account IS DISTINCT FROM 6),
+ca AS ({_BRANCH.format(code=101)}), crp AS ({_BRANCH.format(code=701)}),
+u AS (SELECT ca.*, c.cm_years, c.cm_km, c.cm_date_start, c.cm_date_end
+      FROM ca LEFT JOIN contracts c ON ca.registration_number = c.registration_number
+      UNION ALL SELECT crp.*, c.cm_years, c.cm_km, c.cm_date_start, c.cm_date_end
+      FROM crp LEFT JOIN contracts c ON crp.chassis_number = c.chassis_number)
+SELECT row_number() OVER (ORDER BY customer NULLS LAST, slr_document_account NULLS LAST,
+                          registration_number NULLS LAST, o_orderkey) AS position,
+  o_orderkey, customer, slr_document_account, registration_number, chassis_number, registration_number_error_flag,
+  registration_date_pse, nlr_code, round(cm_years, 6) AS cm_years, round(cm_km, 6) AS cm_km, cm_date_start, cm_date_end
+FROM u"""

@@ -128,6 +128,17 @@ def visits(spark: SparkSession, d: str) -> DataFrame:
         (F.col("o_totalprice") - 100000.0).alias("total"))
 
 
+def raw_visits(spark: SparkSession, d: str) -> DataFrame:
+    """Visits as an extract has them: dashed plates and customers missing on
+    some visits of a vehicle."""
+    v = visits(spark, d)
+    plate = F.col("registration_number")
+    dashed = F.concat(F.substring(plate, 1, 2), F.lit("-"), F.substring(plate, 3, 2), F.lit("-"),
+                      F.substring(plate, 5, 10))
+    return v.withColumns({"registration_number": dashed,
+                          "customer": F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("customer"))})
+
+
 def contracts(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
     return c.select(
