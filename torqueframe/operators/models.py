@@ -106,11 +106,11 @@ def classifier_grid(name: str, label: str, n_rows: int, n_features: int, weighte
 
 
 def grid_search(train: DataFrame, est: Estimator, grid, scoring: str, label: str, fold_col: str = "fold",
-                parallelism: int = 4):
-    """k-fold grid search on a precomputed fold column; refits the best
+                parallelism: int = 8, folds: int = 10):
+    """Grid search on a precomputed column of ``folds`` folds; refits the best
     parameters on all training rows (``bestModel``)."""
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator(scoring, label),
-                        foldCol=fold_col, parallelism=parallelism, seed=2)
+                        foldCol=fold_col, numFolds=folds, parallelism=parallelism, seed=2)
     return cv.fit(train)
 
 

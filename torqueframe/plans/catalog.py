@@ -806,6 +806,8 @@ def _model_data(spark, d):
 
 
 def _thin(grid, n=4):
+    """About ``n`` points of a grid, so that a registered query ends in minutes
+    on one machine; ``models.classifier_grid`` gives the whole one."""
     return grid[:: max(1, len(grid) // n)] if grid else grid
 
 
