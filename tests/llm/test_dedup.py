@@ -133,17 +133,24 @@ def test_components(spark):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.text(alphabet="ab", min_size=1, max_size=60), st.integers(1, 12))
-def test_longest_previous_factor(text, size):
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    rank = suffix_ranks = suffixdedup.suffix_ranks(data, size)
-    order = sorted(range(len(text)), key=lambda i: text[i:i + size])
-    for i, j in zip(order, order[1:]):
-        assert (rank[i] < rank[j]) == (text[i:i + size] < text[j:j + size]) or len(text) - max(i, j) < size
-    starts = np.arange(max(0, len(text) - size + 1))
-    lpf, source = suffixdedup.longest_previous(suffix_ranks[starts], starts, size)
-    for p in starts:
-        earlier = [q for q in range(p) if text[q:q + size] == text[p:p + size]]
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=30), min_size=1, max_size=4), st.integers(1, 14),
+       st.integers(1, 14))
+def test_longest_previous_factor(texts, size, depth):
+    depth = min(size, depth)
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    length = np.array([len(t) for t in texts])
+    count = np.maximum(0, length - size + 1)
+    begin = np.cumsum(length) - length
+    rank = suffixdedup.suffix_ranks(data, begin, count, depth)
+    windows = [t[i:i + size] for t in texts for i in range(len(t) - size + 1)]
+    assert len(rank) == len(windows)
+    for i, a in enumerate(windows):
+        for j, b in enumerate(windows):
+            assert (rank[i] < rank[j]) == (a[:depth] < b[:depth])
+    names = np.array([sorted(set(windows)).index(w) for w in windows], dtype=np.int64)
+    lpf, source = suffixdedup.longest_previous(rank, names[::1] * 7919 % 101, np.arange(len(windows)), size)
+    for p, w in enumerate(windows):
+        earlier = [q for q in range(p) if windows[q] == w]
         assert (lpf[p] >= size) == bool(earlier)
         if earlier:
             assert source[p] in earlier

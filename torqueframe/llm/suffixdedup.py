@@ -10,8 +10,9 @@ UTF-8 bytes; matches never cross documents, and are judged on the input.
 2. An anchor's context holds all windows that it can anchor. Where contexts are
    equal, all of an anchor's windows are repeats: one row of counts tells, however
    many copies there are.
-3. Contexts that differ but share their anchor's string come together in blocks,
-   one of each kind. A block is sorted into suffix order; the previous and next
+3. Contexts that differ but share their anchor's string are kept, one of each
+   kind, if they share one of ``PARTS`` longer strings as well; any window that two
+   of them share holds one of those. What is left comes together in blocks. A block is sorted into suffix order; the previous and next
    smaller positions there give each window's longest earlier match, its LPF.
    Windows whose LPF reaches ``size`` are later copies, and point at an earlier one.
 4. A string with more than ``BLOCK`` kinds of context is too much for a block: its
@@ -36,10 +37,17 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import small_enough, written
 
-BLOCK = 8192  # contexts in a block, about
+BLOCK = 4096  # contexts in a block, about: a block's suffix order takes some 100 MB
+PARTS = 8  # strings that a context must share one of; each is size - (size - gram) / PARTS long
+DEPTH = 64  # bytes to which suffixes are ordered before their windows' fingerprints tell
 PIECE = 1 << 22  # bytes of a very long text that are worked on at a time
 
 
+def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """As ``span_hashes``, for arrays of any shape, as signed numbers."""
+    return T.span_hashes(data, start.ravel(), end.ravel()).view(np.int64).reshape(start.shape)
+
+
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every run of w values."""
     n = len(x) - w + 1
@@ -105,31 +113,36 @@ def text_anchors(data: np.ndarray, offsets: np.ndarray, size: int, gram: int):
     return np.zeros(len(one), np.int64), a[one], s0[one], s1, g[one], c[one]
 
 
-def suffix_ranks(data: np.ndarray, size: int) -> np.ndarray:
-    """Rank of the first ``size`` bytes (at most) from every place, by prefix doubling."""
-    n = len(data)
-    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    start = min(8, size)
-    for i in range(start):
-        key = (key << np.uint64(8)) | wide[i:i + n]
+def suffix_ranks(data: np.ndarray, begin: np.ndarray, count: np.ndarray, depth: int) -> np.ndarray:
+    """Ranks by their first ``depth`` bytes of the suffixes that start in the
+    runs [begin, begin + count), by prefix doubling. Only the places that the
+    runs reach are ranked on the way."""
+    first = min(8, depth)
+    length = count + depth - first
+    edge = np.cumsum(length)
+    place = np.repeat(begin - (edge - length), length) + np.arange(int(edge[-1]) if len(edge) else 0)
+    wide = np.concatenate([data, np.zeros(depth + 8, np.uint8)])
+    key = np.zeros(len(place), dtype=np.uint64)
+    for i in range(first):
+        key = (key << np.uint64(8)) | wide[place + i]
 
     def ranked(key):
         order = np.argsort(key)
-        sorted_ = key[order]
-        step = np.zeros(n, dtype=np.int64)
-        step[1:] = sorted_[1:] != sorted_[:-1]
-        rank = np.empty(n, dtype=np.int64)
+        in_order = key[order]
+        step = np.zeros(len(key), dtype=np.uint64)
+        step[1:] = in_order[1:] != in_order[:-1]
+        rank = np.empty(len(key), dtype=np.uint64)
         rank[order] = np.cumsum(step)
         return rank
 
-    rank, have = ranked(key), start
-    while have < size and n:
-        jump = min(have, size - have)
-        after = np.zeros(n, dtype=np.int64)  # past the end sorts first
-        after[:max(0, n - jump)] = rank[jump:] + 1
-        rank, have = ranked((rank.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)), have + jump
-    return rank
+    rank, have = ranked(key), first
+    while have < depth:
+        jump = min(have, depth - have)
+        after = np.zeros(len(rank), dtype=np.uint64)
+        after[:max(0, len(rank) - jump)] = rank[jump:]
+        rank, have = ranked((rank << np.uint64(32)) | after), have + jump
+    start = np.repeat(edge - length - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    return rank[start]
 
 
 def _smaller(position: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,14 +162,18 @@ def _smaller(position: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, low
 
 
-def longest_previous(rank: np.ndarray, position: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """LPF of suffixes with the given ranks, cut at ``size`` (0: below it), and
-    the index of the earlier suffix that gives it (-1: none).
+def longest_previous(rank: np.ndarray, window: np.ndarray, position: np.ndarray,
+                     size: int) -> tuple[np.ndarray, np.ndarray]:
+    """LPF of suffixes, cut at ``size`` (0: below it), and the index of the
+    earlier suffix that gives it (-1: none).
 
-    ``position`` is the order of the suffixes in the text. In suffix order the
-    longest earlier match of each is its previous or its next smaller position."""
-    order = np.lexsort((position, rank))
-    pos, r = position[order], rank[order]
+    Suffixes are in order of ``rank`` and, where that ends, of ``window``, the
+    fingerprint of their first ``size`` bytes; ``position`` is their order in the
+    text. In suffix order the longest earlier match of each is its previous or
+    its next smaller position. Only matches of ``size`` bytes count, and those
+    lie together, so the order need not go on to their last byte."""
+    order = np.lexsort((position, window, rank))
+    pos, r = position[order], window[order]
     lcp = np.zeros(len(order), dtype=np.int64)
     lcp[1:] = np.where(r[1:] == r[:-1], size, 0)
     before, low_b = _smaller(pos, lcp)
@@ -207,33 +224,44 @@ def repeats(docs: DataFrame, size: int = 400, gram: int = 128, keep_first: bool
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "place", "s0", "s1")).alias("first"))
     grams = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).where("all > 1")
     kinds = written(kinds.join(grams.drop("all"), "gram"), "contexts")
-    work = written(kinds.where("kinds > 1").select("gram", "context", "kinds", "first.*"), "unlike-contexts")
+    work = written(kinds.where("kinds > 1").select("gram", "context", "first.*"), "unlike-contexts")
 
     # the bytes of one context of each kind
     by_text = work.groupBy("doc_id", "th").agg(F.collect_list(
-        F.struct("gram", "context", "kinds", "place", "s0", "s1")).alias("a"))
+        F.struct("gram", "context", "place", "s0", "s1")).alias("a"))
     texts = _texts(source, by_text).dropDuplicates(["doc_id", "th"])
-    cut = ("gram long, context long, kinds long, doc_id long, place int, s0 int, s1 int, bytes binary")
+    cut = ("gram long, context long, doc_id long, place int, s0 int, s1 int, bytes binary, parts array<long>")
+    step = math.ceil(reach / PARTS)
 
     def contexts(batches):
+        types = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for doc_id, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for text, doc_id, own in zip(batch.column(1), batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 raw = text.as_py().encode()
-                for x in own:
-                    a = x["place"]
-                    for col, v in zip(out, (x["gram"], x["context"], x["kinds"], doc_id, a, x["s0"], x["s1"],
-                                            raw[max(0, a - reach):a + size])):
-                        col.append(v)
-            types = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             names=[c.split()[0] for c in cut.split(", ")])
+                data = np.frombuffer(raw, dtype=np.uint8)
+                at = np.array([x["place"] for x in own], dtype=np.int64)[:, None]
+                # a window that starts d before the anchor holds the part number d // step
+                lo, hi = at - step * np.arange(PARTS), at + size - step * np.arange(1, PARTS + 1)
+                ok = (lo >= 0) & (hi <= len(raw))
+                parts = _span_hashes(data, np.where(ok, lo, 0), np.where(ok, hi, 1))
+                rows = [(x["gram"], x["context"], doc_id, x["place"], x["s0"], x["s1"],
+                         raw[max(0, x["place"] - reach):x["place"] + size],
+                         [p if o else None for p, o in zip(ps, os)])
+                        for x, ps, os in zip(own, parts.tolist(), ok.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                                 names=[c.split()[0] for c in cut.split(", ")])
 
     held = texts.join(by_text, texts["doc_id"].eqNullSafe(by_text["doc_id"]) & (texts["th"] == by_text["th"])).select(
         texts["doc_id"], "t", "a").mapInArrow(contexts, cut)
     held = written(held, "context-bytes")
+    parts = held.select("gram", "context", F.posexplode("parts").alias("i", "part")).where("part is not null")
+    shared = parts.groupBy("gram", "i", "part").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    alike = written(parts.join(shared, ["gram", "i", "part"]).select("gram", "context").distinct(), "alike-contexts")
+    kinds_left = alike.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
+    alike = written(alike.join(kinds_left, "gram"), "contexts-to-compare")
+    held = held.drop("parts").join(alike, ["gram", "context"])
     few, many = held.where(F.col("kinds") <= BLOCK), held.where(F.col("kinds") > BLOCK)
-    blocks = max(1, math.ceil(2 * work.count() / BLOCK))
+    blocks = max(1, math.ceil(2 * alike.count() / BLOCK))
     span = "gram long, context long, spans array<struct<lo:int,hi:int>>"
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -242,12 +270,13 @@ def repeats(docs: DataFrame, size: int = 400, gram: int = 128, keep_first: bool
         length = pdf["bytes"].str.len().to_numpy()
         base = np.cumsum(length) - length
         lead = np.minimum(pdf["place"].to_numpy(), reach)  # bytes of the context before the anchor
-        one = base + lead - (pdf["place"] - pdf["s0"]).to_numpy()
-        count = (pdf["s1"] - pdf["s0"] + 1).to_numpy()
+        one = (base + lead - (pdf["place"] - pdf["s0"]).to_numpy()).astype(np.int64)
+        count = (pdf["s1"] - pdf["s0"] + 1).to_numpy().astype(np.int64)
         which = np.repeat(np.arange(len(pdf)), count)
         starts = np.repeat(one - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        rank = suffix_ranks(data, size)[starts]
-        lpf, earlier = longest_previous(rank, np.arange(len(starts)), size)
+        rank = suffix_ranks(data, one, count, min(DEPTH, size))
+        window = T.span_hashes(data, starts, starts + size)
+        lpf, earlier = longest_previous(rank, window, np.arange(len(starts)), size)
         flag = lpf >= size
         if not keep_first:
             flag[earlier[flag]] = True
@@ -258,7 +287,7 @@ def repeats(docs: DataFrame, size: int = 400, gram: int = 128, keep_first: bool
         return pd.DataFrame(out, columns=["gram", "context", "spans"])
 
     marked = few.withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks))).groupBy("block").applyInPandas(block, span)
-    if not many.isEmpty():
+    if not alike.where(F.col("kinds") > BLOCK).isEmpty():
         marked = marked.unionByName(_by_windows(many, size, reach, keep_first))
     marked = written(marked, "marked-contexts")
     own = anchors.join(kinds.select("gram", "context", "n", F.struct("first.doc_id", "first.th", "first.place").alias("f")),
