@@ -74,13 +74,14 @@ def screen(batch: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
 def same_bytes(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Of pairs (text_sha256, first_id, old_id), those with equal normalised bytes."""
     ids = pairs.select(F.col("first_id").alias("doc_id")).union(pairs.select("old_id"))
-    texts = having_ids(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), ids, "doc_id")
+    texts = having_ids(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), ids, "doc_id", null_too=True)
     texts = texts.select("doc_id", normalised(F.col("text")).alias("t"))
     texts = texts.withColumn("text_sha256", F.sha2("t", 256))
-    a = texts.select(F.col("doc_id").alias("first_id"), F.col("t").alias("new_t"), "text_sha256")
-    b = texts.select(F.col("doc_id").alias("old_id"), F.col("t").alias("old_t"), "text_sha256")
-    return (pairs.join(a, ["text_sha256", "first_id"]).join(b, ["text_sha256", "old_id"])
-            .where("new_t = old_t").select("text_sha256").distinct())
+    a = texts.select(F.col("doc_id").alias("a_id"), F.col("t").alias("new_t"), F.col("text_sha256").alias("a_sha"))
+    b = texts.select(F.col("doc_id").alias("b_id"), F.col("t").alias("old_t"), F.col("text_sha256").alias("b_sha"))
+    new = (pairs["text_sha256"] == a["a_sha"]) & pairs["first_id"].eqNullSafe(a["a_id"])
+    old = (pairs["text_sha256"] == b["b_sha"]) & pairs["old_id"].eqNullSafe(b["b_id"])
+    return pairs.join(a, new).join(b, old).where("new_t = old_t").select("text_sha256").distinct()
 
 
 def dedup(docs: DataFrame, snapshots: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

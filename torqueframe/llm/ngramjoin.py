@@ -213,7 +213,8 @@ def classes(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall: float =
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id that links lead
     to), copy_of (smallest doc_id with the same set), n_links (other documents
-    at or over the threshold), n_shingles, and fp1, fp2 and rid of the set and row."""
+    at or over the threshold), n_shingles, and component (of the class: two
+    classes have one class_id if ids repeat), fp1, fp2 and rid of the set and row."""
     bands = bands_for(threshold, recall, rows)
     signed = written(signatures(docs, k, bands, rows, id_col, text_col), "signatures")
     reps = written(signed.where("n > 0").groupBy("fp1", "fp2", "n").agg(
@@ -247,12 +248,12 @@ def classes(docs: DataFrame, k: int = 5, threshold: float = 0.8, recall: float =
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     info = reps.select("rep", "fp1", "fp2", "n", "copies", "copy_of").join(
         named.select("rep", "component"), "rep").join(ids, "component").join(links, "rep", "left").select(
-        "fp1", "fp2", "n", "class_id", "copy_of", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "fp1", "fp2", "n", "component", "class_id", "copy_of", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = signed.where("n > 0").join(info, ["fp1", "fp2", "n"]).select(
-        "doc_id", "class_id", "copy_of", "n_links", F.col("n").alias("n_shingles"), "fp1", "fp2", "rid")
+        "doc_id", "class_id", "copy_of", "n_links", F.col("n").alias("n_shingles"), "component", "fp1", "fp2", "rid")
     alone = signed.where("n = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"),
-        F.col("n").alias("n_shingles"), "fp1", "fp2", "rid")
+        F.col("n").alias("n_shingles"), F.col("rid").alias("component"), "fp1", "fp2", "rid")
     return out.unionByName(alone)
 
 
@@ -266,7 +267,7 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     if twice.isEmpty():
         return without_ids(docs, gone, id_col)
     # an id with several rows does not tell them apart: their sets do
-    first = found.where("n_shingles > 0").groupBy("class_id").agg(
+    first = found.where("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct(mark.cast("int") * -1, "doc_id", "fp1", "fp2")).alias("r")).select("r.doc_id", "r.fp1", "r.fp2")
     prints = docs.withColumn("_set", _set_prints(F.col(text_col), parameters.get("k", 5)))
     match = prints[id_col].cast("long").eqNullSafe(first["doc_id"]) & (prints["_set.fp1"] == first["fp1"]) & (
