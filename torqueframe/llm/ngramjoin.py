@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int, id_col: str, text
     def signed(batches):
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for row, data, offsets in T.runs(T.lowered(batch.column(1)), 1 << 18):
+            for row, data, offsets in T.runs(batch.column(1), 1 << 18, lower=True):
                 n = len(offsets) - 1
                 sh, first = distinct_shingles(data, offsets, k)
                 fp1, fp2 = _prints(sh, first)
@@ -105,7 +105,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     """The sets of (doc_id, text) rows."""
     def sets(batches):
         for batch in batches:
-            for row, data, offsets in T.runs(T.lowered(batch.column(1))):
+            for row, data, offsets in T.runs(batch.column(1), lower=True):
                 sh, first = distinct_shingles(data, offsets, k)
                 fp1, fp2 = _prints(sh, first)
                 yield pa.RecordBatch.from_arrays(
@@ -282,7 +282,7 @@ def _set_prints(text, k: int):
     @F.arrow_udf("fp1 long, fp2 long, n int")
     def prints(t: pa.Array) -> pa.Array:
         parts = [[], [], []]
-        for _, data, offsets in T.runs(T.lowered(t)):
+        for _, data, offsets in T.runs(t, lower=True):
             sh, first = distinct_shingles(data, offsets, k)
             for p, x in zip(parts, (*_prints(sh, first), np.diff(first))):
                 p.append(x)

@@ -56,7 +56,7 @@ def assign(sizes: list[int], seq_len: int, linear: float, quadratic: float) -> l
     return rows
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, seq_len: int = 2048, block_docs: int = 8192,
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, seq_len: int = 2048, block_docs: int = 4096,
          linear: float = 1.0, quadratic: float = 1.0 / 2048, words_keep_space: bool = True,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece; see the module for the method and ``PIECES``.
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, seq_len: int = 2048,
                     n_seq += 1
                 if whole < len(ids):
                     rest.append((doc_ids[row], len(ids), whole, ids[whole:].copy()))
-                if len(rest) >= block_docs or len(out[0]) >= 1 << 16:
+                if len(rest) >= block_docs or len(out[0]) >= 1 << 14:
                     yield flush()
         yield flush()
 

@@ -182,7 +182,7 @@ def term_totals(docs: DataFrame, text_col: str = "text", held: int = 1 << 21) ->
             return got
 
         for batch in batches:
-            for _, data, offsets in T.runs(T.lowered(batch.column(0))):
+            for _, data, offsets in T.runs(batch.column(0), lower=True):
                 hashes = T.word_hashes(data, offsets)[0]
                 waiting.append(hashes)
                 size += len(hashes)

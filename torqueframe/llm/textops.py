@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -30,7 +31,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = CHUNK * 2
+    size = 1 << 20
     while size < n:
         size *= 2
     return _powers(size)
@@ -45,24 +46,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def runs(texts: pa.Array, chunk: int = CHUNK):
-    """Yield (first row, byte buffer, offsets) for runs of whole documents;
-    null counts as empty. Offsets start at 0 and have one entry more than
-    there are documents."""
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    texts = texts.cast(pa.large_binary())
+    n = len(texts)
+    off = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + n + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[off[0]:off[-1]], off - off[0]
+
+
+def runs(texts: pa.Array, chunk: int = CHUNK, lower: bool = False):
+    """Yield (first row, byte buffer, offsets) for runs of whole documents,
+    in lower case (Unicode) on request; null counts as empty. Offsets start at
+    0 and have one entry more than there are documents."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"")
     n = len(texts)
     if not n:
         return
-    off = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + n + 1]
-    data = texts.buffers()[2]
-    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+    _, off = _buffers(texts)
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + chunk, side="right")) - 1)
         j = min(j, n)
-        yield i, data[off[i]:off[j]], off[i:j + 1] - off[i]
+        own = texts.slice(i, j - i)
+        yield (i, *_buffers(pc.utf8_lower(own) if lower else own))
         i = j
 
 
@@ -100,12 +109,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def lowered(texts: pa.Array) -> pa.Array:
-    """Lower case of every text (Unicode), as Arrow does it."""
-    import pyarrow.compute as pc
-    return pc.utf8_lower(texts)
-
-
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of lower-cased text, and the index
     of each document's first word (with one entry more)."""

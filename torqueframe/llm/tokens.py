@@ -19,8 +19,9 @@ import pyarrow as pa
 
 from . import textops as T
 
-CHUNK = 1 << 21  # bytes of text that are worked on at a time
-MAX_WORDS = 2_000_000  # words a worker remembers before it starts anew
+CHUNK = 1 << 19  # bytes of text that are worked on at a time
+MAX_WORDS = 600_000  # words a worker remembers before it starts anew
+AT_ONCE = 4096  # words that the library is given in one text
 
 _MARKS = b".,;:!?"
 _IS_MARK = np.zeros(256, dtype=bool)
@@ -88,14 +89,19 @@ class BatchTokenizer:
     def _learn(self, hashes, words: list[bytes], lead: np.ndarray, letters: np.ndarray) -> None:
         """Ids of new words: those of letters in one long text, the rest one by one."""
         joined = letters & (lead | (not self.spaced))
-        if joined.any():
-            text = " " + b" ".join([w for w, j in zip(words, joined.tolist()) if j]).decode()
-            ids = self._fast(text)
-            edge = np.flatnonzero(self.border[ids])
-            size = np.diff(np.append(edge, len(ids))) if self.spaced else np.diff(np.append(-1, edge))
-            if len(size) != int(joined.sum()) or int(size.sum()) != len(ids):
+        own = np.flatnonzero(joined)
+        ids, sizes = [], []
+        for at in range(0, len(own), AT_ONCE):
+            text = " " + b" ".join([words[i] for i in own[at:at + AT_ONCE].tolist()]).decode()
+            part = self._fast(text)
+            edge = np.flatnonzero(self.border[part])
+            ids.append(part)
+            sizes.append(np.diff(np.append(edge, len(part))) if self.spaced else np.diff(np.append(-1, edge)))
+        if len(own):
+            ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+            if len(sizes) != len(own) or int(sizes.sum()) != len(ids):
                 raise AssertionError("the words and their ids do not match")
-            self._keep(hashes[joined], ids, size)
+            self._keep(hashes[own], ids, sizes)
         rest = np.flatnonzero(~joined)
         if len(rest):
             parts = [(" " if lead[i] and self.spaced else "") + words[i].decode() for i in rest.tolist()]
