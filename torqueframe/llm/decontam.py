@@ -29,6 +29,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .common import having_ids, small_enough, written
 
@@ -106,7 +107,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float =
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most log(MAX_ITEM) / log(ratio)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     if not sizes:
-        return _result(source.where("false").select("doc_id").crossJoin(F.broadcast(items.limit(0))))
+        return docs.sparkSession.createDataFrame([], StructType([
+            StructField("doc_id", docs.schema[id_col].dataType), StructField("item_id", benchmark.schema[item_col].dataType),
+            StructField("similarity", DoubleType()), StructField("start_word", IntegerType()),
+            StructField("n_words", IntegerType())]))
     # documents with any shingle of the benchmark; then their texts once more
     # (a plain explode would add a filter on the size of sh, and compute sh for it again)
     some = with_shingles(source, k).select("doc_id", F.explode_outer("sh").alias("g")).join(near, "g", "left_semi")
@@ -143,17 +147,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float =
         "window", F.slice("sh", F.col("p") + 1, F.col("m")))
     both = overlap(F.col("window"), F.col("bag"))
     found = found.withColumn("similarity", both / (F.size("window") + F.col("m") - both).cast("double"))
-    return _result(found.where(F.col("similarity") >= threshold), k)
-
-
-def _result(found: DataFrame, k: int = 5) -> DataFrame:
-    if "similarity" not in found.columns:
-        found = found.withColumns({"similarity": F.lit(0.0), "p": F.lit(0), "window": F.col("bag")})
     best = F.max_by(F.struct("similarity", "p", F.size("window").alias("n")),
                     F.struct("similarity", -F.col("p"), -F.size("window")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", "b.similarity", F.col("b.p").alias("start_word"),
-        (F.col("b.n") + k - 1).alias("n_words"))
+    return found.where(F.col("similarity") >= threshold).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+        "doc_id", "item_id", "b.similarity", F.col("b.p").alias("start_word"), (F.col("b.n") + k - 1).alias("n_words"))
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

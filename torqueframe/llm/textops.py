@@ -61,7 +61,8 @@ def runs(texts: pa.Array, chunk: int = CHUNK, lower: bool = False):
     0 and have one entry more than there are documents."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"")
+    binary = pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)
+    texts = texts.fill_null(b"" if binary else "")
     n = len(texts)
     if not n:
         return
