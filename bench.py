@@ -20,7 +20,8 @@ from torqueframe.session import get_session  # noqa: E402
 
 HEADLINE = ["config_history", "vehicle_scores", "segmentation_flags", "ffill_bfill", "config_summary",
             "minmax_score", "stratified_split", "oversample", "chi2_score", "roc_points",
-            "dense_calendar_total", "silhouette_squared", "sort_nulls_last", "symbol_replace", "knn_vote"]
+            "dense_calendar_total", "silhouette_squared", "sort_nulls_last", "symbol_replace", "knn_vote",
+            "margin_pct", "unmapped_report", "visit_merge"]
 
 
 def run(spark, name, d):
