@@ -16,15 +16,6 @@ def whole_days(start, end) -> Column:
     return F.timestamp_diff("DAY", as_col(start), as_col(end)).cast("bigint")
 
 
-def years_between(start, end, days_per_year: float = DAYS_PER_YEAR) -> Column:
-    """Elapsed whole days divided by ``days_per_year``."""
-    return whole_days(start, end) / F.lit(days_per_year)
-
-
-def add_days(ts, days) -> Column:
-    return F.timestamp_add("DAY", days if isinstance(days, Column) else F.lit(int(days)), as_col(ts))
-
-
 def date_parts(prefix: str, ts) -> list[Column]:
     """Day, month and year of a date as ``{prefix}_day`` etc. (BIGINT)."""
     c = as_col(ts)

@@ -122,8 +122,3 @@ def constant_column_table(df: DataFrame) -> DataFrame:
 
 def drop_constant_columns(df: DataFrame) -> DataFrame:
     return df.drop(*constant_columns(df))
-
-
-def brand_filter(df: DataFrame, col: str = "nlr_code", codes: Sequence = (101, 701)) -> DataFrame:
-    """Keep only the listed brand codes."""
-    return df.filter(F.col(col).isin(list(codes)))

@@ -96,12 +96,6 @@ def _threshold(spark: SparkSession) -> int:
         return 10 << 20
 
 
-def group_count_estimate(df: DataFrame, keys: Sequence[str]) -> int:
-    """Approximate number of distinct keys (HyperLogLog, one columnar pass
-    over the key columns only)."""
-    return int(df.select(F.approx_count_distinct(F.struct(*[F.col(k) for k in keys]), 0.05)).first()[0])
-
-
 def attach_per_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str],
                      bytes_per_group: int = 256, materialized: bool = False) -> DataFrame:
     """Join a one-row-per-group table back to its rows.

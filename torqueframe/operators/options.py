@@ -158,14 +158,6 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Last row of each key in ``order`` (E10, ``tail(1)``)."""
-    others = [c for c in df.columns if c != key]
-    order_s = F.struct(*[F.col(c) for c in order])
-    g = df.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in others]), order_s).alias("_r"))
-    return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
-
-
 def category_groups(spark: SparkSession, df: DataFrame, columns: Mapping[str, Sequence] | None = None,
                     provenance: str | None = None, drop_raw: bool = True) -> DataFrame:
     """Run every list grouping (H14): ``{col}_new`` from each group list,

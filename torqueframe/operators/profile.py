@@ -48,10 +48,6 @@ def zero_profile(df: DataFrame) -> DataFrame:
     return _long_profile(df, is_zero, "n_zero")
 
 
-def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols).distinct()
-
-
 def distinct_count(df: DataFrame, col: str, out: str = "n_distinct") -> DataFrame:
     return df.agg(F.count_distinct(col).cast("bigint").alias(out))
 

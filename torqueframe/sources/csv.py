@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import months_to_years
 from ..operators.clean import lower_column_names, rename
 
 
@@ -97,7 +98,7 @@ def read_contracts_crp(spark: SparkSession, path) -> DataFrame:
                         columns=["_c0", "chassis_number", "cm_months", "cm_km", "cm_date_start", "cm_date_end"],
                         date_cols=["cm_date_start", "cm_date_end"], date_format="dd/MM/yyyy",
                         types={"cm_months": "double", "cm_km": "double"})
-    return df.withColumn("cm_years", F.col("cm_months") / 12.0).drop("_c0", "cm_months")
+    return df.withColumn("cm_years", months_to_years("cm_months")).drop("_c0", "cm_months")
 
 
 def read_option_lines(spark: SparkSession, paths, date_format: str | None = None,
