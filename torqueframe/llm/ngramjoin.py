@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import having_ids, small_enough, without_ids, written
+from .common import having_ids, release, without_ids, written
 from .components import components
 
 BLOCK_SETS = 512
@@ -97,6 +97,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int, id_col: str, text
                      pa.array(size.astype(np.int32)), _lists(band.ravel(), at)],
                     names=["rid", "doc_id", "fp1", "fp2", "n", "bands"])
                 rid += n
+        release()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(signed, _SIGNATURE)
 
@@ -112,6 +113,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column(0).slice(row, len(fp1)), pa.array(fp1), pa.array(fp2),
                      pa.array(np.diff(first).astype(np.int32)), _lists(sh, first)],
                     names=["doc_id", "fp1", "fp2", "n", "shingles"])
+        release()
 
     return docs.mapInArrow(sets, _SETS)
 

@@ -107,5 +107,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, seq_len: int = 2048,
                 if len(rest) >= block_docs or len(out[0]) >= 1 << 14:
                     yield flush()
         yield flush()
+        tok.close()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(packed, PIECES)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import small_enough, written
+from .common import release, small_enough, written
 
 BLOCK = 4096  # contexts in a block, about: a block's suffix order takes some 100 MB
 PARTS = 8  # strings that a context must share one of; each is size - (size - gram) / PARTS long
@@ -217,6 +217,7 @@ def repeats(docs: DataFrame, size: int = 400, gram: int = 128, keep_first: bool
                      *[pa.array(x.astype(np.int32)) for x in (a, s0, s1)],
                      pa.array(g.view(np.int64)), pa.array(c.view(np.int64))],
                     names=["doc_id", "th", "place", "s0", "s1", "gram", "context"])
+        release()
 
     anchors = written(source.where(F.octet_length("t") >= size).select("doc_id", "th", "t").mapInArrow(found, _ANCHOR),
                       "anchors")

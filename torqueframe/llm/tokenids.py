@@ -100,6 +100,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, word
                 ordinal, start = ordinal + 1, start + len(ids)
         if have:
             yield block()
+        tok.close()
 
     (docs.repartitionByRange(shards, F.col("doc_id"), F.xxhash64("text"))
          .sortWithinPartitions("doc_id", F.xxhash64("text"))

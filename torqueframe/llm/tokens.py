@@ -5,7 +5,7 @@ or line feed between two other characters is always a border between pieces,
 as is the place between letters and a punctuation mark after them. So the ids
 of a text are those of its words in a row. Words are hashed for a whole batch
 at once, each distinct word is looked up once in sorted arrays, and only words
-that this worker has not seen go to the ``tokenizers`` library. A text in which
+that this task has not seen go to the ``tokenizers`` library. A text in which
 white space does not stand alone, or that spells out a special token, is given
 to the library whole.
 """
@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 
 from . import textops as T
+from .common import release
 
 CHUNK = 1 << 19  # bytes of text that are worked on at a time
-MAX_WORDS = 600_000  # words a worker remembers before it starts anew
+MAX_WORDS = 300_000  # words a task remembers before it starts anew
 AT_ONCE = 4096  # words that the library is given in one text
 
 _MARKS = b".,;:!?"
@@ -185,6 +186,11 @@ class BatchTokenizer:
                  else out[bounds[d]:bounds[d + 1]] for d in range(n_docs)]
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
+    def close(self) -> None:
+        """Forget the words; what they took goes back to the system."""
+        self._forget()
+        release()
+
     def documents(self, texts: pa.Array):
         """Yield (row, ids as uint32 array) for every text; null is empty."""
         for row, data, offsets in T.runs(texts, CHUNK):
@@ -200,7 +206,7 @@ _KEPT: dict[tuple[str, bool], BatchTokenizer] = {}
 
 
 def tokenizer(path: str, words_keep_space: bool) -> BatchTokenizer:
-    """One tokenizer and word memory per worker process."""
+    """One tokenizer per worker process; ``close`` it at a task's end."""
     key = (path, words_keep_space)
     if key not in _KEPT:
         _KEPT[key] = BatchTokenizer(*key)
