@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from torqueframe.llm import decontam, langid, pii, toxicity
+from torqueframe.llm import decontam, langid, pii, stages, toxicity
 from torqueframe.llm import textops as T
 
 WORDS = {"en": "the of and that with this from have which people", "de": "der die und nicht mit eine auch sich werden",
@@ -226,6 +226,16 @@ def test_decontamination(spark, make_docs, odd_rows):
     assert decontam.clean_rows(frame, bench.where("false")).count() == len(docs)
 
 
+def test_decontamination_stage_drops_only_the_rows_that_leak(spark, make_docs, tmp_path):
+    item = " ".join(f"v{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = "nothing of the benchmark is in this text"
+    docs = make_docs([(None, item), (None, clean), (None, None), (7, item), (7, clean), (7, clean), (8, item)])
+    kept = stages.decontamination(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == {(None, clean): 1, (None, None): 1, (7, clean): 2}
+
+
 def test_long_benchmark_items_are_searched_in_parts(spark, make_docs, monkeypatch):
     monkeypatch.setattr(decontam, "MAX_ITEM", 20)
     item = " ".join(f"v{i}" for i in range(54))

@@ -29,7 +29,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from .common import having_ids, small_enough, written
 
@@ -92,11 +92,11 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(plain, F.size(both)).otherwise(many)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8, radius: int = 19,
-          ratio: float = 1.08, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, similarity, start_word, n_words) of every leak; the
-    best window of each document and item."""
+def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8, radius: int = 19,
+               ratio: float = 1.08, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+               item_text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, item_id, similarity, start_word, n_words) of every
+    leak; the best window of each id, text (by its hash) and item."""
     items = with_shingles(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("t")), k)
     items = items.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.size("sh") - 1) / MAX_ITEM).cast("int"))))
     items = items.withColumn("bag", F.slice("sh", F.col("part") * MAX_ITEM + 1, MAX_ITEM)).drop("sh", "part")
@@ -108,7 +108,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float =
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     if not sizes:
         return docs.sparkSession.createDataFrame([], StructType([
-            StructField("doc_id", docs.schema[id_col].dataType), StructField("item_id", benchmark.schema[item_col].dataType),
+            StructField("doc_id", docs.schema[id_col].dataType), StructField("text_key", LongType()),
+            StructField("item_id", benchmark.schema[item_col].dataType),
             StructField("similarity", DoubleType()), StructField("start_word", IntegerType()),
             StructField("n_words", IntegerType())]))
     # documents with any shingle of the benchmark; then their texts once more
@@ -142,21 +143,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float =
     pairs = written(pairs, "window-pairs")
     kinds = items.select(F.xxhash64("item_id", "bag").alias("item_key"), "item_id", "m", "bag").dropDuplicates(["item_key"])
     # windows first: rows with bags look small when compressed, and would be broadcast
-    found = pairs.hint("merge").join(own.select("key", "doc_id", "sh"), "key").select(
-        "doc_id", "item_key", "p", "sh").join(kinds, "item_key").withColumn(
+    found = pairs.hint("merge").join(own.select("key", "doc_id", "text_key", "sh"), "key").select(
+        "doc_id", "text_key", "item_key", "p", "sh").join(kinds, "item_key").withColumn(
         "window", F.slice("sh", F.col("p") + 1, F.col("m")))
     both = overlap(F.col("window"), F.col("bag"))
     found = found.withColumn("similarity", both / (F.size("window") + F.col("m") - both).cast("double"))
     best = F.max_by(F.struct("similarity", "p", F.size("window").alias("n")),
                     F.struct("similarity", -F.col("p"), -F.size("window")))
-    return found.where(F.col("similarity") >= threshold).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", "b.similarity", F.col("b.p").alias("start_word"), (F.col("b.n") + k - 1).alias("n_words"))
+    found = found.where(F.col("similarity") >= threshold).groupBy("doc_id", "text_key", "item_id").agg(best.alias("b"))
+    return found.select("doc_id", "text_key", "item_id", "b.similarity", F.col("b.p").alias("start_word"),
+                        (F.col("b.n") + k - 1).alias("n_words"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
+    """(doc_id, item_id, similarity, start_word, n_words) of every leak; the
+    best window of each document and item. Parameters as of ``text_leaks``."""
+    best = F.max_by(F.struct("similarity", "start_word", "n_words"),
+                    F.struct("similarity", -F.col("start_word"), -F.col("n_words")))
+    return text_leaks(docs, benchmark, **parameters).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+        "doc_id", "item_id", "b.*")
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               **parameters) -> DataFrame:
-    """The rows of ``docs`` whose id leaks no item, with all their columns."""
-    found = written(leaks(docs, benchmark, id_col=id_col, text_col=text_col, **parameters)
-                    .select("doc_id").distinct(), "leaking-ids")
+               whole_ids: bool = True, **parameters) -> DataFrame:
+    """The rows of ``docs`` whose id leaks no item, with all their columns; or,
+    without ``whole_ids``, those whose own text leaks none, whatever the other
+    rows of their id hold."""
+    found = text_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **parameters)
+    found = written(found.select("doc_id", *([] if whole_ids else ["text_key"])).distinct(), "leaking-ids")
     found = F.broadcast(found) if small_enough(found) else found
-    return docs.join(found, docs[id_col].eqNullSafe(found["doc_id"]), "left_anti")
+    same = docs[id_col].eqNullSafe(found["doc_id"])
+    if not whole_ids:
+        same &= F.xxhash64(docs[text_col]) == found["text_key"]
+    return docs.join(found, same, "left_anti")

@@ -33,8 +33,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Op 4: documents that leak a benchmark item go."""
-    return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+    """Op 4: rows whose text leaks a benchmark item go."""
+    return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"), whole_ids=False)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
