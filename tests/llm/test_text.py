@@ -175,6 +175,15 @@ def test_simhash_counts_every_bit(spark):
             assert (r.p >> bit & 1) == (n > len(bags[r.i]) / 2)
 
 
+def test_simhash_is_the_same_in_wider_lanes(spark):
+    rng = np.random.default_rng(2)
+    bags = [rng.integers(-2 ** 63, 2 ** 63, n).tolist() for n in (1, 2, 301)] + [[-1] * 40_000, [-1] * 20_000 + [0] * 20_001]
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate(bags)], "i int, bag array<long>")
+    wide = {r.i: r.p for r in decontam.with_simhash(rows, "p", lane=32).collect()}
+    narrow = {r.i: r.p for r in decontam.with_simhash(rows.where("i < 3"), "p").collect()}
+    assert wide == narrow | {3: -1, 4: 0}
+
+
 def test_blocks_tile_the_fingerprint():
     for radius in (0, 3, 19, 63):
         blocks = decontam.blocks_of(radius)
@@ -236,6 +245,19 @@ def test_decontamination_stage_drops_only_the_rows_that_leak(spark, make_docs, t
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == {(None, clean): 1, (None, None): 1, (7, clean): 2}
 
 
+def test_long_benchmark_items_are_compared_whole(spark, make_docs, monkeypatch):
+    words = [f"v{i}" for i in range(8193 + 4)]  # 8193 shingles
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert decontam.leaks(make_docs([(1, " ".join(words[-5:]), None), (2, "v1 v2 v3 v4 v5 v6", None)]), bench).count() == 0
+    monkeypatch.setattr(decontam, "NARROW", 20)
+    items = [(1, " ".join(words[:54])), (2, "la " * 70)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, items[0][1]), (2, " ".join(words[20:50])), (3, " ".join(words[3:54])), (4, "la " * 66), (5, "la " * 40)]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.leaks(make_docs(docs), bench).collect()}
+    want = brute_leaks(docs, items)
+    assert got.keys() == want.keys() == {(1, 1), (3, 1), (4, 2)} and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+
+
 def test_long_benchmark_items_are_searched_in_parts(spark, make_docs, monkeypatch):
     monkeypatch.setattr(decontam, "MAX_ITEM", 20)
     item = " ".join(f"v{i}" for i in range(54))

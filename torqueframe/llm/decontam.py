@@ -17,8 +17,9 @@ fewer cannot reach the threshold.
 
 Words are runs of digits, letters and other non-ASCII characters of the
 lower-cased text. Null and empty texts, and items or documents below five
-words, have no shingle and no leak. Items over ``MAX_ITEM`` shingles are
-searched in parts of that many. Of rows repeating id and text, and of items
+words, have no shingle and no leak. An item is compared whole, however long;
+only over ``MAX_ITEM`` shingles, which no row can hold, would it be searched in
+parts of at least that many. Of rows repeating id and text, and of items
 repeating an id, one finding is given per (doc_id, item_id); a null id is an id.
 An empty table on either side gives no rows. Other columns are not read.
 """
@@ -33,8 +34,8 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 
 from .common import having_ids, small_enough, written
 
-MAX_ITEM = 8192  # the lane counters of simhash hold 14 bits
-_LANES = 0x0001000100010001
+NARROW = 8192  # bags that simhash counts in lanes of 16 bits; larger ones have lanes of 32
+MAX_ITEM = 1 << 28  # more shingles do not fit an array of Spark
 _WORDS = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 
@@ -48,20 +49,23 @@ def with_shingles(rows: DataFrame, k: int) -> DataFrame:
         "sh", F.when(F.size("_w") >= k, runs).otherwise(F.array().cast("array<bigint>"))).drop("_w", "t")
 
 
-def with_simhash(rows: DataFrame, name: str, bag: str = "bag") -> DataFrame:
+def with_simhash(rows: DataFrame, name: str, bag: str = "bag", lane: int = 16) -> DataFrame:
     """Add the 64-bit SimHash of an array of hashes: bit i is set if it is in
     more than half of the array.
 
-    Sixteen longs count four bit positions each, in lanes of 16 bits. They are
-    a column of their own, so they are summed once and read sixteen times."""
-    zero = F.struct(*[F.lit(0).cast("long").alias(f"c{t}") for t in range(16)])
+    ``lane`` longs count 64 / ``lane`` bit positions each, in lanes of that many
+    bits. They are a column of their own, so they are summed once and read
+    ``lane`` times. The lane's width does not change the fingerprint."""
+    lanes = sum(1 << at for at in range(0, 64, lane))
+    top = lane - 2
+    zero = F.struct(*[F.lit(0).cast("long").alias(f"c{t}") for t in range(lane)])
     sums = F.aggregate(F.col(bag), zero, lambda acc, h: F.struct(*[
-        (acc[f"c{t}"] + F.shiftright(h, t).bitwiseAND(F.lit(_LANES))).alias(f"c{t}") for t in range(16)]))
+        (acc[f"c{t}"] + F.shiftright(h, t).bitwiseAND(F.lit(lanes))).alias(f"c{t}") for t in range(lane)]))
     rows = rows.withColumn("_sums", sums)
-    # a lane over half carries into its bit 14
-    rows = rows.withColumn("_carry", (F.lit(1 << 14) - (F.floor(F.size(bag) / 2) + 1)).cast("long") * F.lit(_LANES))
-    bits = [F.shiftleft(F.shiftright(F.col("_sums")[f"c{t}"] + F.col("_carry"), 14).bitwiseAND(F.lit(_LANES)), t)
-            for t in range(16)]
+    # a lane over half carries into its bit ``top``
+    rows = rows.withColumn("_carry", (F.lit(1 << top) - (F.floor(F.size(bag) / 2) + 1)).cast("long") * F.lit(lanes))
+    bits = [F.shiftleft(F.shiftright(F.col("_sums")[f"c{t}"] + F.col("_carry"), top).bitwiseAND(F.lit(lanes)), t)
+            for t in range(lane)]
     while len(bits) > 1:
         bits = [x.bitwiseOR(y) for x, y in zip(bits[::2], bits[1::2])]
     return rows.withColumn(name, bits[0]).drop("_sums", "_carry")
@@ -83,13 +87,20 @@ def _block(print_: Column, at: int, bits: int) -> Column:
     return F.shiftrightunsigned(print_, at).bitwiseAND(F.lit((1 << bits) - 1))
 
 
+def _repeated(bag: Column) -> Column:
+    """The shingles that occur more than once."""
+    s = F.array_sort(bag)
+    return F.array_distinct(F.array_compact(F.zip_with(
+        s, F.slice(s, 2, F.greatest(F.lit(0), F.size(bag) - 1)), lambda x, y: F.when(x == y, x))))
+
+
 def overlap(a: Column, b: Column) -> Column:
     """Sum over shingles of the lesser number of occurrences."""
     both = F.array_intersect(a, b)
-    plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
-    many = F.aggregate(both, F.lit(0), lambda acc, x: acc + F.least(
+    plain = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    more = F.aggregate(F.array_intersect(_repeated(a), _repeated(b)), F.lit(0), lambda acc, x: acc - 1 + F.least(
         F.size(F.filter(a, lambda y: y == x)), F.size(F.filter(b, lambda y: y == x))))
-    return F.when(plain, F.size(both)).otherwise(many)
+    return F.when(plain, F.size(both)).otherwise(F.size(both) + more)
 
 
 def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8, radius: int = 19,
@@ -98,13 +109,16 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: flo
     """(doc_id, text_key, item_id, similarity, start_word, n_words) of every
     leak; the best window of each id, text (by its hash) and item."""
     items = with_shingles(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("t")), k)
-    items = items.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.size("sh") - 1) / MAX_ITEM).cast("int"))))
-    items = items.withColumn("bag", F.slice("sh", F.col("part") * MAX_ITEM + 1, MAX_ITEM)).drop("sh", "part")
+    parts = F.greatest(F.lit(1), F.floor(F.size("sh") / MAX_ITEM).cast("int"))  # the last has the remainder too
+    items = items.withColumn("part", F.explode(F.sequence(F.lit(1), parts)))
+    before = (F.col("part") - 1) * MAX_ITEM
+    items = items.withColumn("bag", F.slice("sh", before + 1, F.when(F.col("part") < parts, F.lit(MAX_ITEM)).otherwise(
+        F.size("sh") - before))).drop("sh", "part")
     items = items.withColumn("m", F.size("bag")).withColumn("size", class_of(F.greatest(F.lit(1), "m"), ratio))
-    items = written(with_simhash(items, "item_print"), "benchmark-items").where("m > 0")
+    items = written(items, "benchmark-items").where("m > 0")
     wanted = written(items.select(F.explode("bag").alias("g")).distinct(), "benchmark-shingles")
     near = F.broadcast(wanted) if small_enough(wanted) else wanted
-    sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most log(MAX_ITEM) / log(ratio)
+    sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most log(longest) / log(ratio)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     if not sizes:
         return docs.sparkSession.createDataFrame([], StructType([
@@ -112,6 +126,8 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: flo
             StructField("item_id", benchmark.schema[item_col].dataType),
             StructField("similarity", DoubleType()), StructField("start_word", IntegerType()),
             StructField("n_words", IntegerType())]))
+    lane = 16 if max(sizes) * ratio < NARROW else 32  # an item is less than ratio times its class
+    items = written(with_simhash(items, "item_print", lane=lane), "benchmark-prints")
     # documents with any shingle of the benchmark; then their texts once more
     # (a plain explode would add a filter on the size of sh, and compute sh for it again)
     some = with_shingles(source, k).select("doc_id", F.explode_outer("sh").alias("g")).join(near, "g", "left_semi")
@@ -126,7 +142,7 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: flo
                .withColumn("size", F.explode(F.array(*[F.lit(s) for s in sorted(sizes)])))
                .where(held >= F.col("size") - (1 - threshold) * ratio * F.col("size") - 1)
                .select("key", "p", "size", F.slice("sh", F.col("p") + 1, F.col("size")).alias("bag")))
-    windows = written(with_simhash(windows, "print").drop("bag"), "window-prints")
+    windows = written(with_simhash(windows, "print", lane=lane).drop("bag"), "window-prints")
     blocks = blocks_of(radius)
     cut = lambda c: F.array(*[_block(F.col(c), at, bits) for at, bits in blocks])
     left = windows.select("key", "p", "size", "print", F.posexplode(cut("print")).alias("block", "value"))
