@@ -140,6 +140,19 @@ def test_pii_terms_that_tell_of_an_entity(make_docs, odd_rows):
     assert pii.digest(pii.find(make_docs(odd_rows))).count() == len(odd_rows)
 
 
+def test_pii_terms_far_from_their_entity_are_marked_too(make_docs):
+    rng = np.random.default_rng(5)
+    filler = lambda: " ".join(f"w{x}" for x in rng.integers(0, 60, 30))
+    rows = [(i, f"Mallory heads {filler()} Mallory writes from m@x.org {filler()} MALLORY", None) for i in range(5)]
+    rows += [(9, f"Mallory {filler()}", None)]  # no entity in it
+    rows += [(100 + i, filler(), None) for i in range(60)]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find(make_docs(rows))).collect()}
+    for i, text, _ in rows[:5]:
+        spans = [(k, text[int(a):int(b)]) for k, a, b in (x.split(":") for x in got[i].split(","))]
+        assert [t for k, t in spans if k in ("generalise", "remove") and t.lower() == "mallory"] == ["Mallory", "Mallory", "MALLORY"]
+    assert got[9] == ""
+
+
 def test_term_totals(make_docs, odd_rows):
     want = Counter(w for _, t, _ in odd_rows for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower()))
     got = pii.term_totals(make_docs(odd_rows), held=500).collect()

@@ -10,7 +10,8 @@ words in all,
 
 is the share of the entity's information that the term gives away. Terms seen
 with the entity at least ``support`` times are generalised from one threshold
-on and removed from a higher one, wherever they stand near that entity.
+on and removed from a higher one, wherever they stand in a text that holds that
+entity, be it near or far. A pair seen less often is no evidence: its terms stay.
 
 Null text is empty. Offsets are code points, ends exclusive. Repeated rows are
 rows of their own and count as often as they occur; a null id stays null. An
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import written
+from .common import small_enough, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -95,17 +96,23 @@ def base_spans(text: str) -> list[tuple[int, str, int, str]]:
 _HAS_DIGIT = re.compile("[0-9]")
 
 
-def _contexts(text: str, found, window: int):
-    """(entity, lower-cased term, start, end) of the words near each entity."""
+def _words(text: str, found):
+    """(start, end) of every word, and whether it lies in an entity."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     starts = [w[0] for w in words]
-    taken = [(s, e) for s, _, e, _ in found]
     inside = [False] * len(words)
-    for s, e in taken:
+    for s, _, e, _ in found:
         i = max(0, bisect_left(starts, s) - 1)
         while i < len(words) and words[i][0] < e:
             inside[i] |= words[i][1] > s
             i += 1
+    return words, inside
+
+
+def _contexts(text: str, found, window: int):
+    """(entity, lower-cased term, start, end) of the words near each entity."""
+    words, inside = _words(text, found)
+    starts = [w[0] for w in words]
     for s, kind, e, value in found:
         after = bisect_left(starts, s)
         for step, i in ((-1, after - 1), (1, after)):
@@ -126,22 +133,24 @@ def _hashes(strings: list[str]) -> np.ndarray:
 
 
 _FOUND = ("rid long, doc_id long, base array<struct<start:int, kind:string, end:int>>, "
-          "near array<struct<entity:long, term:long, start:int, end:int>>, own array<long>")
+          "near array<struct<entity:long, term:long, start:int, end:int>>, own array<long>, text string")
 _BASE = pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])
 _NEAR = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
 def find_base(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: a row id, its base spans, the terms near them and its entities."""
+    """Per row: a row id, its base spans, the terms near them, its entities and,
+    if it has any, its text."""
     def found(batches):
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            base, near, own = [], [], []
+            base, near, own, texts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 spans = base_spans(text or "")
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e, _ in spans])
                 own.append([f"{k}:{v}" for _, k, _, v in spans])
                 near.append(list(dict.fromkeys(_contexts(text, spans, window))) if spans else [])
+                texts.append(text if spans else None)
             terms, entities = [x[1] for n in near for x in n], [x[0] for n in near for x in n]
             th = iter(_hashes(terms).tolist() if terms else ())
             eh = iter(_hashes(entities).tolist() if entities else ())
@@ -150,14 +159,37 @@ def find_base(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataF
             own = [[next(oh) for _ in o] for o in own]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(rid, rid + len(base)), pa.int64()), batch.column(0), pa.array(base, pa.list_(_BASE)),
-                 pa.array(near, pa.list_(_NEAR)), pa.array(own, pa.list_(pa.int64()))],
-                names=["rid", "doc_id", "base", "near", "own"])
+                 pa.array(near, pa.list_(_NEAR)), pa.array(own, pa.list_(pa.int64())),
+                 pa.array(texts, pa.string())],
+                names=["rid", "doc_id", "base", "near", "own", "text"])
             rid += len(base)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
         found, _FOUND)
 
 
+_AT = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
+
+def places(rows: DataFrame) -> DataFrame:
+    """(rid, term, at) of ``rows`` (rid, text): where each term stands outside
+    the entities, a row per term and text."""
+    def found(batches):
+        for batch in batches:
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at: dict[str, list[dict]] = {}
+                words, inside = _words(text, base_spans(text))
+                for (s, e), skip in zip(words, inside):
+                    if not skip:
+                        at.setdefault(text[s:e].lower(), []).append({"start": s, "end": e})
+                if at:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([rid] * len(at), pa.int64()), pa.array(_hashes(list(at))),
+                         pa.array(list(at.values()), pa.list_(_AT))], names=["rid", "term", "at"])
+
+    return rows.select("rid", "text").mapInArrow(found, "rid long, term long, at array<struct<start:int, end:int>>")
+
+
 def term_totals(docs: DataFrame, text_col: str = "text", held: int = 1 << 21) -> DataFrame:
     """Occurrences of every term of the corpus, by hash; ``held`` bounds what a
     task keeps before it passes its sums on."""
@@ -212,8 +244,12 @@ def find(docs: DataFrame, window: int = 8, support: int = 3, generalise: float =
     told = pairs.join(entities, "entity").join(totals, "term").select(
         "entity", "term", F.when(p < 1, pmi / -F.log2(p)).alias("disclosure")).where(F.col("disclosure") >= generalise)
     told = written(told, "pii-disclosed")
-    terms = (near.join(told, ["entity", "term"]).groupBy("rid", "start", "end")
-             .agg(F.max("disclosure").alias("disclosure"))
+    # a term is told of few entities, an entity by many terms and in many texts: join by term, then by text
+    own = found.where(F.size("own") > 0).select("rid", F.explode(F.array_distinct("own")).alias("entity"))
+    by_term = F.broadcast(told) if small_enough(told) else told
+    terms = (places(found.where(F.size("own") > 0)).join(by_term, "term").join(own, ["rid", "entity"], "left_semi")
+             .groupBy("rid", "term").agg(F.first("at").alias("at"), F.max("disclosure").alias("disclosure"))
+             .select("rid", "disclosure", F.inline("at"))
              .groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(
                  "start", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("kind"),
                  "end", "disclosure"))).alias("terms")))
