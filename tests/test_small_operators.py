@@ -5,7 +5,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from torqueframe.operators import clean, score
+from torqueframe.operators import clean, models, score
+from torqueframe.plans import catalog
 from torqueframe.sources import csv, sinks
 
 
@@ -50,3 +51,17 @@ def test_preview_and_selected_sink(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "x int, y string, z double")
     sinks.write_selected(df.withColumn("w", F.lit(1)), ["x", "z"], out)
     assert spark.read.parquet(out).columns == ["x", "z"]
+
+
+def test_kmeans_takes_the_best_of_its_starts(spark):
+    rows = [(float(x), float(y)) for x in range(0, 60, 10) for y in (0, 1, 50, 53)]
+    df = models.assemble(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    costs = [models.kmeans(df, k=5, seed=s).summary.trainingCost for s in range(2, 8)]
+    assert models.kmeans(df, k=5, seed=2, n_init=6).summary.trainingCost == min(costs)
+
+
+def test_cluster_queries_search_as_widely_as_the_reference(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(models, "gap_statistic", lambda df, cols, k_values, **kw: asked.update(k=list(k_values), **kw))
+    catalog.gap_statistic(spark, "/root/testdata/sf0.001")
+    assert asked == {"k": list(range(1, 30))}  # and the default of 3 reference sets

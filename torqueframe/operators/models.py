@@ -226,8 +226,10 @@ def average_probability(member_tables: Sequence[DataFrame], key: str) -> DataFra
 
 
 # ---------------------------------------------------------------- clustering, regression
-def kmeans(df: DataFrame, k: int = 10, seed: int = 2, max_iter: int = 50):
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES).fit(df)
+def kmeans(df: DataFrame, k: int = 10, seed: int = 2, max_iter: int = 50, n_init: int = 1):
+    """The fit of least training cost from ``n_init`` seeds on; the first of equals."""
+    fits = (KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=FEATURES).fit(df) for i in range(n_init))
+    return min(fits, key=lambda m: m.summary.trainingCost)
 
 
 def gap_statistic(df: DataFrame, features: Sequence[str], k_values: Sequence[int], n_refs: int = 3,
