@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatformat, decontam, exactdedup, langid, ngramjoin, packing, pii, suffixdedup, tokenids, toxicity
+from . import (chatformat, decontam, exactdedup, langid, merkle, ngramjoin, packing, pii, suffixdedup, tokenids,
+               toxicity)
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -95,3 +96,85 @@ def op9_token_ids(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
+def tampered_leaves(docs: DataFrame) -> DataFrame:
+    """Leaves of ``docs``; where 5 divides the crc32 of the doc_id as text, also
+    those after text's A-Z became lower case."""
+    return merkle.leaves(docs, held_out(5, 0), merkle.lower_ascii(F.col("text")))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.audit(merkle.build(tampered_leaves(table(spark, d, "documents"))))
+
+
+SQL["op13_merkle_manifest"] = r"""
+WITH RECURSIVE coded AS (
+  SELECT doc_id, source, text,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id END
+    || CASE WHEN source IS NULL THEN '-' ELSE octet_length(encode(source)) || ':' || source END
+    || CASE WHEN lang IS NULL THEN '-' ELSE octet_length(encode(lang)) || ':' || lang END
+    || CASE WHEN n_chars IS NULL THEN '-' ELSE octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars END AS head,
+    CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(text)) || ':' || text END AS body,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    -- crc32 bit by bit: a code of a character, or -1 for one shift of the register
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+          lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END),
+      4294967295) AS crc
+  FROM documents
+), leaf AS (
+  SELECT doc_id, source, sha256(head || body) AS leaf,
+    CASE WHEN crc % 5 = 0 AND text IS NOT NULL
+         THEN sha256(head || octet_length(encode(low)) || ':' || low) ELSE sha256(head || body) END AS value
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER () AS rid,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM leaf
+), node AS (
+  SELECT 0 AS lvl, source, idx, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT lvl + 1, source, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM node WHERE n > 1 GROUP BY lvl, source, idx // 16, n
+), subroot AS (
+  SELECT source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM node WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, idx, n, digest FROM subroot
+  UNION ALL
+  SELECT lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM top WHERE n > 1 GROUP BY lvl, idx // 16, n
+), node_step AS (
+  SELECT a.lvl, a.source, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM node a JOIN node b ON a.lvl = b.lvl AND a.source IS NOT DISTINCT FROM b.source AND a.idx // 16 = b.idx // 16
+  WHERE a.n > 1 GROUP BY ALL
+), top_step AS (
+  SELECT a.lvl, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM top a JOIN top b ON a.lvl = b.lvl AND a.idx // 16 = b.idx // 16 WHERE a.n > 1 GROUP BY ALL
+), step AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY part, lvl) AS k, l, r FROM (
+    SELECT p.rid, 0 AS part, s.lvl, s.l, s.r FROM placed p JOIN node_step s
+      ON p.source IS NOT DISTINCT FROM s.source AND s.idx = p.idx // (16 ** s.lvl)::BIGINT
+    UNION ALL
+    SELECT p.rid, 1, s.lvl, s.l, s.r FROM placed p JOIN subroot t ON p.source IS NOT DISTINCT FROM t.source
+      JOIN top_step s ON s.idx = t.idx // (16 ** s.lvl)::BIGINT)
+), fold AS (
+  SELECT rid, 0 AS k, value FROM placed
+  UNION ALL
+  SELECT f.rid, f.k + 1, sha256(s.l || f.value || s.r) FROM fold f JOIN step s ON s.rid = f.rid AND s.k = f.k + 1
+), folded AS (
+  SELECT rid, arg_max(value, k) AS folded_root FROM fold GROUP BY rid
+), proof AS (
+  SELECT p.rid, sha256(coalesce(string_agg(s.l || s.r, '' ORDER BY s.k), '')) AS proof_sha256,
+    coalesce(sum(length(s.l) + length(s.r)) // 64, 0)::BIGINT AS n_siblings
+  FROM placed p LEFT JOIN step s USING (rid) GROUP BY p.rid
+)
+SELECT p.doc_id, p.leaf, t.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root, q.proof_sha256, q.n_siblings,
+  f.folded_root, f.folded_root = (SELECT digest FROM top WHERE n = 1) AS verified
+FROM placed p JOIN subroot t ON p.source IS NOT DISTINCT FROM t.source JOIN folded f USING (rid) JOIN proof q USING (rid)
+"""
