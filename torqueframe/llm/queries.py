@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chatformat, decontam, exactdedup, langid, merkle, ngramjoin, packing, pii, suffixdedup, tokenids,
-               toxicity)
+from . import (chatformat, decontam, divergence, exactdedup, langid, merkle, ngramjoin, packing, pii, suffixdedup, tokenids,
+               toxicity, vectorscan)
 from .common import scratch_path, table
 
 QUERIES: dict = {}
@@ -98,6 +98,61 @@ def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+@query
+def op11_vector_scan(spark: SparkSession, d: str) -> DataFrame:
+    index = vectorscan.build(table(spark, d, "embeddings"), k=10)
+    found = vectorscan.search(index, vectorscan.member_queries(index, every=100), k=10)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(table(spark, d, "documents"), min_docs=30, top=50)
+
+
+SQL["op12_source_divergence"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), occurrence AS (
+  SELECT rid, lang, source, unnest(terms) AS term FROM doc
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM occurrence GROUP BY lang, term HAVING count(DISTINCT rid) >= 30
+), size AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), grp AS (
+  SELECT DISTINCT lang, source FROM doc
+), cell AS (
+  SELECT g.lang, g.source, k.term, count(o.rid) AS n
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN occurrence o
+    ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+  GROUP BY ALL
+), total AS (
+  SELECT lang, source, sum(n) AS n FROM cell GROUP BY lang, source
+), p AS (
+  SELECT c.lang, c.source, c.term, c.n,
+    1 + (1000000000::HUGEINT * (c.n + 5)) // (t.n + 5 * s.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 5)) // (s.n + 5 * s.v) AS q
+  FROM cell c JOIN total t USING (lang, source) JOIN size s USING (lang) JOIN kept k USING (lang, term)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def tampered_leaves(docs: DataFrame) -> DataFrame:
     """Leaves of ``docs``; where 5 divides the crc32 of the doc_id as text, also
     those after text's A-Z became lower case."""
