@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, written
+from .common import release, small_enough, written
 
 SCALE = 1_000_000_000
 PRIOR = 5
@@ -126,10 +126,13 @@ def kept_terms(rows: DataFrame, min_docs: int = 30) -> DataFrame:
     kept = rows.where("term is not null").groupBy("lang", "term").agg(
         F.sum("n").alias("total"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
     kept = written(kept.select("lang", "term", "total"), "divergence-kept")
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
+    langs = written(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n")),
+                    "divergence-langs")
+    langs = F.broadcast(langs) if small_enough(langs) else langs
     buckets = F.expr(f"(v + {WORD_TERMS - 1}) div {WORD_TERMS}")
     dealt = kept.join(langs, "lang").withColumn("_buckets", buckets).withColumn(
         "_bucket", F.pmod(F.xxhash64("term"), F.col("_buckets")))
+    dealt = dealt.repartition("lang", "_bucket")  # said outright: a partitioning by lang would do for the window too
     slot = F.row_number().over(Window.partitionBy("lang", "_bucket").orderBy("term")) - 1
     dealt = dealt.withColumn("_slot", slot)
     return dealt.select("lang", "term", "total", "v", "lang_n",
