@@ -1,9 +1,11 @@
 """Gradient fits of many models at once.
 
 A search over C values, folds and starts is one array of parameter vectors. A
-pass over the blocks gives every model's loss and gradient, and L-BFGS moves all
-of them on the driver, each with its own step length; models that have converged
-leave the passes. Losses are means over a model's training rows plus
+pass over the blocks gives every model's loss and gradient, and the driver moves
+all of them, each with its own step length; models that have converged leave the
+passes. Linear models move by Newton's method as long as their Hessians together
+have at most ``HESSIANS`` entries (a few passes), wider ones and the network by
+L-BFGS (more passes, and memory in proportion to the weights). Losses are means over a model's training rows plus
 ``|w|^2 / (2 C n)``, so C has the meaning it has in the original's library; the
 intercept is not penalised.
 """
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from .blocks import Block, Blocks, counted, feature_array, scores
 
 HISTORY = 10
+HESSIANS = 1 << 23  # entries of all Hessians of a pass, 64 MB
 SMOOTHINGS = (1.0, 0.1, 0.01)  # widths of the parabola that rounds the hinge, one after another
 
 
@@ -72,6 +75,34 @@ def minimise(evaluate: Callable, x: np.ndarray, scale: np.ndarray | None = None,
     return x, f, used
 
 
+def newton(evaluate: Callable, x: np.ndarray, passes: int = 100, tol: float = 1e-8) -> tuple[np.ndarray, np.ndarray, int]:
+    """Damped Newton steps on every row of ``x``. ``evaluate(x, which)`` returns
+    values, gradients and Hessians. Results as of ``minimise``."""
+    x = x.copy()
+    f, g, h = evaluate(x, np.arange(len(x)))
+    used, step = 1, np.ones(len(x))
+    ridge = 1e-10 * np.eye(x.shape[1])
+    d = -np.linalg.solve(h + ridge, g[..., None])[..., 0]
+    active = np.abs(g).max(1) > tol
+    while active.any() and used < passes:
+        which = np.flatnonzero(active)
+        trial = x[which] + step[which, None] * d[which]
+        ft, gt, ht = evaluate(trial, which)
+        used += 1
+        slope = np.einsum("ij,ij->i", g[which], d[which])
+        good = np.isfinite(ft) & (ft <= f[which] + 1e-4 * step[which] * slope + 1e-14 * np.abs(f[which]))
+        on = which[good]
+        gain = f[on] - ft[good]
+        x[on], f[on], g[on] = trial[good], ft[good], gt[good]
+        d[on] = -np.linalg.solve(ht[good] + ridge, gt[good][..., None])[..., 0]
+        step[on] = 1.0
+        active[on] = (np.abs(g[on]).max(1) > tol) & (gain > 1e-14 * np.maximum(1.0, np.abs(f[on])))
+        off = which[~good]
+        step[off] *= 0.4
+        active[off] = step[off] > 1e-10
+    return x, f, used
+
+
 def _direction(g, scale, s_hist, y_hist, rho, n):
     q = g.copy()
     order = [j % HISTORY for j in range(max(0, n - HISTORY), n)]
@@ -100,6 +131,14 @@ def _loss(kind: str, z: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarra
     return value, -np.clip(u / width, 0, 1)
 
 
+def _curvature(kind: str, z: np.ndarray, width: float) -> np.ndarray:
+    """Second derivative of ``_loss``."""
+    if kind == "logistic":
+        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        return p * (1 - p)
+    return ((z < 1) & (z > 1 - width)) / width
+
+
 @dataclass
 class LinearModel:
     kind: str  # logistic or hinge
@@ -161,27 +200,56 @@ def linear_fits(blocks: Blocks, kind: str, cs: Sequence[float], folds: Sequence[
     diagonal = 0.25 * np.concatenate([squares[fold_at] / n[:, None], np.ones((len(c), 1))], axis=1)
     diagonal[:, :width] += reg[:, None]
 
-    def evaluate_at(smooth: float):
+    def first_order(w: np.ndarray, which: np.ndarray, smooth: float):
+        at = fold_at[which]
+
+        def one(b: Block):
+            y = np.where(b.y > 0.5, 1.0, -1.0)[:, None]
+            value, slope = _loss(kind, y * (b.x @ w[:, :-1].T + w[:, -1]), smooth)
+            mask = seen(b)[:, at]
+            slope = slope * y * mask
+            return [(value * mask).sum(0), np.concatenate([slope.T @ b.x, slope.sum(0)[:, None]], axis=1)]
+        return one
+
+    def penalised(w: np.ndarray, which: np.ndarray, value: np.ndarray, grad: np.ndarray):
+        value, grad = value / n[which], grad / n[which, None]
+        value = value + 0.5 * reg[which] * (w[:, :-1] ** 2).sum(1)
+        grad[:, :-1] += reg[which, None] * w[:, :-1]
+        return value, grad
+
+    def sloped_at(smooth: float):
+        return lambda w, which: penalised(w, which, *blocks.summed(first_order(w, which, smooth)))
+
+    def curved_at(smooth: float):
         def evaluate(w: np.ndarray, which: np.ndarray):
             at = fold_at[which]
 
-            def one(b: Block):
+            def hessian(b: Block):
                 y = np.where(b.y > 0.5, 1.0, -1.0)[:, None]
-                value, slope = _loss(kind, y * (b.x @ w[:, :-1].T + w[:, -1]), smooth)
-                mask = seen(b)[:, at]
-                slope = slope * y * mask
-                return [(value * mask).sum(0), np.concatenate([slope.T @ b.x, slope.sum(0)[:, None]], axis=1)]
-
-            value, grad = blocks.summed(one)
-            value, grad = value / n[which], grad / n[which, None]
-            value = value + 0.5 * reg[which] * (w[:, :-1] ** 2).sum(1)
-            grad[:, :-1] += reg[which, None] * w[:, :-1]
-            return value, grad
+                x = np.concatenate([b.x, np.ones((len(b.y), 1))], axis=1)
+                bend = np.sqrt(_curvature(kind, y * (x @ w.T), smooth) * seen(b)[:, at])
+                out = np.empty((len(w), width + 1, width + 1))
+                for i in range(len(w)):
+                    rows = np.flatnonzero(bend[:, i])
+                    own = x[rows] * bend[rows, i:i + 1]
+                    out[i] = own.T @ own
+                return out
+
+            slopes = first_order(w, which, smooth)
+            value, grad, h = blocks.summed(lambda b: [*slopes(b), hessian(b)])
+            value, grad = penalised(w, which, value, grad)
+            h = h / n[which, None, None]
+            h[:, np.arange(width), np.arange(width)] += reg[which, None]
+            return value, grad, h
         return evaluate
 
     w, used = np.zeros((len(c), width + 1)), 1
+    small = len(c) * (width + 1) ** 2 <= HESSIANS
     for smooth in (SMOOTHINGS if kind == "hinge" else (1.0,)):
-        w, f, more = minimise(evaluate_at(smooth), w, 1 / np.maximum(diagonal, 1e-12), passes, tol)
+        if small:
+            w, f, more = newton(curved_at(smooth), w, passes, tol)
+        else:
+            w, f, more = minimise(sloped_at(smooth), w, 1 / np.maximum(diagonal, 1e-12), passes, tol)
         used += more
     return Fits(w, f, used)
 

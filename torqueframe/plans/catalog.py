@@ -7,6 +7,8 @@ be compared with the SQL oracle across engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -24,9 +26,11 @@ from ..functions.classes import keep_or_other as _keep_or_other
 from ..functions.text import INTERIOR_REPLACEMENTS, remove_suffix_text, replace_chain
 from ..operators import report, clustering
 from ..operators import models as M
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import modelling as ML
-from ..operators import neighbors
+from ..operators import lloyd, neighbors
+from . import runs
+from . import training as T
 
 QUERIES: dict = {}
 
@@ -794,86 +798,111 @@ _FOLDS = 10
 _TARGET = "new_score"
 
 
-def _model_data(spark, d):
+def _model_rows(spark, d):
     lines = si.raw_option_lines(spark, d)
     v = stock.vehicle_table(spark, lines, si.orders_meta(spark, d), "l_orderkey", si.LINE_ORDER,
                             "l_shipdate", _FEATURE_KW)
-    ft = ML.feature_table(v, "l_orderkey", new_score_days=si.NEW_SCORE_DAYS)
-    feats = ML.numeric_features(ft, ["l_orderkey", "n_lines", "margem", *ML.TARGETS, "buy_day", "buy_year",
-                                     "sell_day", "sell_month", "sell_year"])
-    train, test = ML.split_assemble(ft, "l_orderkey", _TARGET, feats, folds=_FOLDS)
-    return cut_lineage(train), test, feats
+    v = v.drop(*[c for c in v.columns if c.endswith("_norm") or c == "score"])
+    return ML.modelling_rows(spark, si.with_places(v, spark, d), "l_orderkey", si.GROUPS, si.EXCLUDED_MODELS,
+                             new_score_days=si.NEW_SCORE_DAYS)
 
 
-def _thin(grid, n=4):
-    """About ``n`` points of a grid, so that a registered query ends in minutes
-    on one machine; ``models.classifier_grid`` gives the whole one."""
-    return grid[:: max(1, len(grid) // n)] if grid else grid
+def _model_data(spark, d):
+    data = ML.prepared(_model_rows(spark, d), "l_orderkey", _TARGET, folds=_FOLDS)
+    return data.train, data.test, data.model.features
+
+
+@query
+def prepared_features(spark: SparkSession, d: str) -> DataFrame:
+    """K1: cleanup, groups, history, split, scales and category lists of training rows, the 12 best
+    features by ANOVA F, oversampling: every non-zero feature of every prepared row."""
+    data = ML.prepared(_model_rows(spark, d), "l_orderkey", _TARGET, k_features=12, criterion="anova_f", oversample=True)
+    names = F.array(*[F.lit(f) for f in data.model.features])
+    rows = data.train.select("l_orderkey", F.lit("train").alias("part"), "copy_index", "features").unionByName(
+        data.test.select("l_orderkey", F.lit("test").alias("part"), F.lit(0).cast("bigint").alias("copy_index"), "features"))
+    long = rows.select("l_orderkey", "part", "copy_index",
+                       F.explode(F.arrays_zip(names.alias("feature"), vector_to_array_col("features").alias("value"))).alias("f"))
+    return rounded(long.select("l_orderkey", "part", "copy_index", "f.feature", "f.value").where("value <> 0"))
+
+
+@query
+def run_report(spark: SparkSession, d: str) -> DataFrame:
+    """Three runs of fixed rules written to a run store, one of them twice; class
+    report, metric and rank rows as they are read back."""
+    store = runs.RunStore(spark, f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}")
+    scores = select.anova_f_scores(si.sales(spark, d), ["stock_days", "margem_percentagem", "l_extendedprice"], _TARGET)
+    ranks = cut_lineage(select.rank_scores(scores.withColumn("score", F.round("score", 6))))
+    members = _members(spark, d)
+    for name in [*members, "margin"]:
+        pred = members[name].select(F.col("new_score").cast("string").alias("score_class_gt"),
+                                    (F.col("proba_1") > 0.5).cast("int").cast("string").alias("score_class_pred"))
+        tag = ML.run_tag("classification", name, _TARGET, "recall")
+        tables = runs.evaluation_tables(pred)
+        tables["performance"] = ML.evaluate(pred.select(*[F.col(c).cast("double") for c in pred.columns]))
+        store.write(tag, {**tables, "importances": ranks})
+    report = store.read("class_report").selectExpr(
+        "model", "'class' AS kind", "class AS name",
+        "stack(4, 'precision', precision, 'recall', recall, 'f1_score', f1_score, 'support', CAST(support AS DOUBLE)) AS (metric, value)")
+    perf = store.read("performance").selectExpr(
+        "model", "'run' AS kind", "'all' AS name",
+        "stack(4, 'micro_f1', micro_f1, 'macro_f1', macro_f1, 'accuracy', accuracy, 'specificity', specificity) AS (metric, value)")
+    rank = store.read("importances").selectExpr("model", "'feature' AS kind", "feature AS name", "'rank' AS metric",
+                                                "CAST(rank AS DOUBLE) AS value")
+    return rounded(report.unionByName(perf).unionByName(rank))
+
+
+@query
+def run_flow(spark: SparkSession, d: str) -> DataFrame:
+    """Prepare with oversampling, fit the tree, evaluate, write the run; its predictions of
+    training and test rows as read back."""
+    store = runs.RunStore(spark, f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}")
+    data = ML.prepared(_model_rows(spark, d), "l_orderkey", _TARGET, oversample=True, folds=_FOLDS)
+    runs.run_classification(store, data, "dt")
+    return store.read("predictions").drop("run")
 
 
 def _classifier(spark, d, name):
     train, test, feats = _model_data(spark, d)
-    est, grid = M.classifier_grid(name, _TARGET, train.count(), len(feats),
-                                  weighted=name in ("dt", "rf", "lr", "svm"))
-    cv = M.grid_search(train, est, _thin(grid, 2 if name == "gc" else 4), "recall", _TARGET)
-    return cv.bestModel, train, test, feats
+    return T.fit(name, train, _TARGET, "l_orderkey", len(feats)), test, feats
 
 
-def _register_classifier(name):
+_KEPT = ["l_orderkey", "score", "stock_days", "margem_percentagem"]
+
+
+def _register_classifier(name, key=None):
     def q(spark: SparkSession, d: str) -> DataFrame:
-        model, _, test, _ = _classifier(spark, d, name)
-        return M.predictions(model, test, _TARGET, keep=["l_orderkey", "score", "stock_days", "margem_percentagem"])
+        found, test, _ = _classifier(spark, d, key or name)
+        return T.predictions(found.model, test, _TARGET, keep=_KEPT)
     q.__name__ = f"classifier_{name}"
-    q.__doc__ = f"K9–K18/K20: {name} grid search on stratified folds, test predictions."
+    q.__doc__ = f"K9–K18/K20: {name}, the whole grid on ten stratified folds, test predictions."
     return query(q)
 
 
-for _n in ["dt", "rf", "lr", "svm", "gc", "bayes", "neural"]:
+for _n in ["dt", "rf", "lr", "svm", "gc", "bayes", "neural", "bagging"]:
     _register_classifier(_n)
-
-
-@query
-def classifier_adaboost(spark: SparkSession, d: str) -> DataFrame:
-    """AdaBoost (SAMME) with 10 stumps, test predictions."""
-    train, test, _ = _model_data(spark, d)
-    members = M.adaboost_samme(train, _TARGET, n_estimators=10)
-    return M.adaboost_predict(members, test, keep=["l_orderkey", _TARGET])
-
-
-@query
-def classifier_bagging(spark: SparkSession, d: str) -> DataFrame:
-    """Bagging of 5 decision trees on half the features each."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-    train, test, feats = _model_data(spark, d)
-    members = M.bagging(train.drop("features"), feats, _TARGET, lambda: DecisionTreeClassifier(maxDepth=5),
-                        "l_orderkey", n_members=5)
-    return M.bagging_predict(members, test.drop("features"), keep=["l_orderkey", _TARGET])
+_register_classifier("adaboost", "ab")
 
 
 @query
 def classifier_voting(spark: SparkSession, d: str) -> DataFrame:
-    """Soft vote (mean class-1 probability) of tree, logistic and naive Bayes."""
+    """Soft vote (mean class-1 probability) of the best model of seven families."""
     train, test, feats = _model_data(spark, d)
-    tables = []
-    for name in ["dt", "lr", "bayes"]:
-        est, grid = M.classifier_grid(name, _TARGET, train.count(), len(feats), weighted=name != "bayes")
-        model = M.grid_search(train, est, _thin(grid, 2), "recall", _TARGET).bestModel
-        tables.append(M.predictions(model, test, _TARGET, keep=["l_orderkey"]))
-    return M.average_probability(tables, "l_orderkey")
+    return T.predictions(T.vote(train, _TARGET, "l_orderkey", len(feats)).model, test, _TARGET, keep=["l_orderkey"])
 
 
 @query
 def feature_importance_dt(spark: SparkSession, d: str) -> DataFrame:
     """Ranked feature importances of the best decision tree."""
-    model, _, _, feats = _classifier(spark, d, "dt")
-    return M.feature_importance(spark, model, feats)
+    found, _, feats = _classifier(spark, d, "dt")
+    rows = [(f, float(v)) for f, v in zip(feats, found.model.importance)]
+    return select.rank_scores(spark.createDataFrame(rows, "feature string, importance double"), "importance", "feature")
 
 
 @query
 def performance_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Performance row of the decision tree as tagged metric rows."""
-    model, _, test, _ = _classifier(spark, d, "dt")
-    pred = M.predictions(model, test, _TARGET)
+    found, test, _ = _classifier(spark, d, "dt")
+    pred = T.predictions(found.model, test, _TARGET)
     return ML.metrics_rows(spark, ML.run_tag("classification", "dt", _TARGET, "recall"), ML.evaluate(pred))
 
 
@@ -882,9 +911,8 @@ def kmeans_clusters(spark: SparkSession, d: str) -> DataFrame:
     """K-means (k=10, best of 50 starts) on the training rows, test rows assigned,
     cluster sizes and mean silhouette per cluster."""
     train, test, _ = _model_data(spark, d)
-    km = M.kmeans(train, k=10, n_init=50)
-    assigned = km.transform(test).select("l_orderkey", F.col("prediction").alias("cluster"),
-                                         vector_to_array_col("features").alias("v"))
+    km = lloyd.kmeans(train, k=10, n_init=50)
+    assigned = km.transform(test).select("l_orderkey", "cluster", vector_to_array_col("features").alias("v"))
     sil = clustering.silhouette_samples(assigned, "v", "cluster", "l_orderkey")
     return sil.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg("silhouette").alias("silhouette_avg"))
 
@@ -896,9 +924,9 @@ def vector_to_array_col(c):
 
 @query
 def gap_statistic(spark: SparkSession, d: str) -> DataFrame:
-    """Gap statistic for k = 1..29 on z-scored price, days and margin."""
+    """Gap statistic for k = 1..29 on z-scored price, days and margin, with the k it names."""
     s = score.zscore_population(si.sales(spark, d), ["stock_days", "margem_percentagem", "l_extendedprice"])
-    return M.gap_statistic(s, ["stock_days", "margem_percentagem", "l_extendedprice"], range(1, 30))
+    return lloyd.gap_statistic(s, ["stock_days", "margem_percentagem", "l_extendedprice"], range(1, 30))
 
 
 @query
@@ -929,9 +957,8 @@ def per_group_models(spark: SparkSession, d: str) -> DataFrame:
     rows = None
     for g in sorted(groups):
         tr, te = train.filter(F.col("caixa_auto") == g), test.filter(F.col("caixa_auto") == g)
-        est, grid = M.classifier_grid("dt", _TARGET, tr.count(), len(feats))
-        model = M.grid_search(tr, est, _thin(grid, 2), "f1_weighted", _TARGET).bestModel
-        perf = ML.evaluate(M.predictions(model, te, _TARGET))
+        found = T.fit("dt", tr, _TARGET, "l_orderkey", len(feats), "f1_weighted")
+        perf = ML.evaluate(T.predictions(found.model, te, _TARGET))
         r = ML.metrics_rows(spark, ML.run_tag("classification", "dt", _TARGET, "f1_weighted"), perf) \
               .withColumn("group", F.lit(str(g)))
         rows = r if rows is None else rows.unionByName(r)

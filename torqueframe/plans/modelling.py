@@ -1,20 +1,88 @@
 """Modelling flow (entry 3 of the original): vehicle table → cleanup →
-targets → category groups → classes → history → z-scores → one-hot →
-stratified split → model → evaluation tables (K1, K2, K21)."""
+targets → category groups → classes → history → zero fill → stratified split →
+preparation learned from training rows → oversampling → model → evaluation
+tables (K1, K2, K21)."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classes import binary_target
-from ..operators import encode, history, metrics, models, sampling, score
+from ..operators import clean, encode, history, metrics, models, options, sampling, score
+from ..operators.prepare import Preparation, PreparationModel
 from ..session import cut_lineage
 
 CONFIG7 = ["navegacao", "sensores", "caixa_auto", "cor_exterior", "cor_interior", "jantes", "modelo"]
 TARGETS = ["margem_percentagem", "stock_days", "score", "stock_class1", "stock_class2", "margem_class1",
            "score_class", "new_score"]
 
+# What the original leaves out before modelling, and its columns.
+EXCLUDED_MODELS = ["Série", "Z4", "MINI"]
+EXCLUDED_PROVENANCE = ["Demonstração", "Em utilização"]
+CONFIG_NEW = ["navegacao", "sensores", "caixa_auto", "cor_exterior_new", "cor_interior_new", "jantes_new", "modelo_new"]
+ENCODED = ["jantes_new", "cor_interior_new", "cor_exterior_new", "local_da_venda_new", "modelo_new", "prov_new",
+           "buy_day", "buy_month", "buy_year"]
+SCALED = ["price_total", "number_prev_sales", "last_margin", "last_stock_days"]
+
+
+def database_cleanup(vehicles: DataFrame, excluded_models: Sequence[str] = EXCLUDED_MODELS) -> DataFrame:
+    """No vehicles whose model contains a listed word, no demonstration or
+    used-in-house cars (a null provenance stays)."""
+    return clean.exclude_substrings(vehicles, "modelo", excluded_models, "prov", EXCLUDED_PROVENANCE)
+
+
+def modelling_rows(spark: SparkSession, vehicles: DataFrame, id_col: str, groups: Mapping[str, Sequence] | None = None,
+                   excluded_models: Sequence[str] = EXCLUDED_MODELS, new_score_days: float = 45,
+                   min_margin: float = 3.5) -> DataFrame:
+    """K1 as far as nothing is learned: cleanup, score and targets over what is
+    left, category groups, classes, history per configuration, nulls to zero."""
+    v = database_cleanup(vehicles, excluded_models)
+    v = score.score_targets(cut_lineage(v), max_days=new_score_days, min_margin=min_margin)
+    v = options.category_groups(spark, v, groups, provenance="prov")
+    v = score.bucket_classes(v)
+    v = history.config_history(v, CONFIG_NEW, ["sell_date", id_col], chunk=F.to_date("sell_date"))
+    return cut_lineage(clean.fill_numeric_zero(v))
+
+
+@dataclass
+class Prepared:
+    """Training rows (oversampled on request, with folds and weights) and test
+    rows, both with features, and the preparation they went through."""
+    train: DataFrame
+    test: DataFrame
+    model: PreparationModel
+    key: str
+    target: str
+    attributes: list[str]
+    configuration: list[str]
+    oversampled: bool = False
+    k_features: int | None = None
+    criterion: str | None = None
+
+
+def prepared(rows: DataFrame, id_col: str, target: str = "new_score", k_features: int | None = None,
+             criterion: str = "mutual_info", oversample: bool = False, folds: int = 10) -> Prepared:
+    """K1: split, learn the preparation from the training rows, apply it to both
+    parts; then, in the training part alone, oversampling, weights and folds.
+
+    Copies of a row share its fold (folds are dealt to rows before they are
+    repeated), so a held-out fold has no copy of a training row."""
+    s = cut_lineage(sampling.stratified_split(rows, target, id_col, 0.25, seed=2))
+    train, test = s.filter("is_train = 1"), s.filter("is_train = 0")
+    numeric = ["navegacao", "sensores", "caixa_auto", *[c for c in history.HISTORY_COLUMNS if c not in SCALED]]
+    model = Preparation([c for c in ENCODED if c in rows.columns], SCALED, numeric, k_features, criterion).fit(train, target)
+    both = [model.transform(part).withColumn(target, F.col(target).cast("double")) for part in (train, test)]
+    train = models.stratified_folds(both[0], target, id_col, k=folds, seed=42)
+    if oversample:
+        train = sampling.oversample(train, target, id_col, seed=42)
+    train = models.balanced_weights(train, target)
+    return Prepared(cut_lineage(train), both[1], model, id_col, target, rows.columns, CONFIG_NEW, oversample, k_features,
+                    criterion if k_features else None)
+
 
 def feature_table(vehicles: DataFrame, id_col: str, new_score_days: float = 45, min_margin: float = 3.5,
                   ohe_cols=("jantes", "cor_interior", "cor_exterior", "buy_month"),

@@ -894,3 +894,125 @@ SELECT row_number() OVER (ORDER BY customer NULLS LAST, slr_document_account NUL
   o_orderkey, customer, slr_document_account, registration_number, chassis_number, registration_number_error_flag,
   registration_date_pse, nlr_code, round(cm_years, 6) AS cm_years, round(cm_km, 6) AS cm_km, cm_date_start, cm_date_end
 FROM u"""
+
+
+# ---------------------------------------------------------------- the prepared feature table
+def _prepared_sql() -> str:
+    groups = {
+        "cor_exterior": [("vermelho", ["vermelho"]), ("azul", ["azul"]), ("outros", ["hot", "cold", "new"])],
+        "cor_interior": [("preto", ["preto"]), ("quente", ["vermelho", "hot"]), ("azul", ["azul", "cold"]),
+                         ("outros", ["vernasca", "new", "gear", "bolt", "ring"])],
+        "jantes": [("Standard", ["standard", "15", "16"]), ("17", ["17"]), ("18", ["18"]), ("19/20", ["19", "20"])],
+        "local_da_venda": [("norte", ["DCC - Feira", "DCN-Porto"]), ("centro", ["DCC - Aveiro"]),
+                           ("sul", ["DCS-Cascais", "DCS-Lisboa Usados"]), ("algarve", ["DCA - Faro"])]}
+    cfg = "navegacao, sensores, caixa_auto, cor_exterior_new, cor_interior_new, jantes_new, modelo_new"
+    words = ", ".join(f"'{w}'" for w in ["STANDARD", "SMALL", "MEDIUM", "LARGE", "ECONOMY", "PROMO"])
+    plain = ["navegacao", "sensores", "caixa_auto", "prev_sales_check", "last_score", "average_score_dynamic",
+             "average_score_dynamic_std", "prev_average_score_dynamic", "prev_average_score_dynamic_std",
+             "average_score_global", "min_score_global", "max_score_global", "q3_score_global", "median_score_global",
+             "q1_score_global"]
+    scaled = ["price_total", "number_prev_sales", "last_margin", "last_stock_days"]
+    coded = ["jantes_new", "cor_interior_new", "cor_exterior_new", "local_da_venda_new", "modelo_new", "prov_new",
+             "buy_day", "buy_month", "buy_year"]
+    numbers = " UNION ALL ".join(
+        [f"SELECT l_orderkey, new_score, is_train, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM split" for c in plain]
+        + [f"SELECT l_orderkey, new_score, is_train, '{c}', coalesce(({c} - (SELECT avg({c}) FROM split WHERE is_train = 1)) "
+           f"/ nullif((SELECT stddev_pop({c}) FROM split WHERE is_train = 1), 0), 0) FROM split" for c in scaled])
+    blocks = " UNION ALL ".join(
+        f"SELECT l_orderkey, new_score, is_train, '{c}_' || CAST({c} AS VARCHAR), 1.0 FROM split "
+        f"WHERE {c} IN (SELECT {c} FROM split WHERE is_train = 1)" for c in coded)
+    return "WITH " + VEHICLE_CTES + f""",
+pl AS (SELECT s.*, ['DCC - Feira', 'DCC - Aveiro', 'DCS-Cascais', 'DCA - Faro', 'DCN-Porto', 'DCS-Lisboa Usados'][o_custkey % 6 + 1]
+         AS local_da_venda,
+         CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'Em utilização'
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Demonstração'
+              WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Novos' ELSE 'Usados' END AS prov_new
+       FROM s JOIN orders ON l_orderkey = o_orderkey),
+cl AS (SELECT l_orderkey, navegacao, sensores, caixa_auto, price_total, sell_date, stock_days, margem_percentagem, prov_new,
+         {", ".join(_group_case(c, g) + f" AS {c}_new" for c, g in groups.items())},
+         CASE WHEN split_part(modelo, ' ', 2) IN ({words}) AND len(string_split(modelo, ' ')) = 2
+               AND CAST(regexp_extract(modelo, '^Brand#([0-9]+) ', 1) AS INT) BETWEEN 1 AND 25
+              THEN 'S' || ((CAST(regexp_extract(modelo, '^Brand#([0-9]+) ', 1) AS INT) - 1) % 5 + 1) END AS modelo_new,
+         day(buy_date) AS buy_day, month(buy_date) AS buy_month, year(buy_date) AS buy_year,
+         CASE WHEN stock_days <= 365 AND margem_percentagem >= 3.5 THEN 1 ELSE 0 END AS new_score
+       FROM pl WHERE NOT contains(modelo, 'PROMO') AND prov_new NOT IN ('Demonstração', 'Em utilização')),
+h AS (
+  SELECT *, row_number() OVER w AS pos, count(*) OVER p AS size,
+         lag(new_score) OVER w AS lv, lag(margem_percentagem) OVER w AS lm, lag(stock_days) OVER w AS ld,
+         sum(new_score) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs,
+         avg(new_score) OVER p AS g_avg, min(new_score) OVER p AS g_min, max(new_score) OVER p AS g_max,
+         quantile_cont(new_score, 0.75) OVER p AS g_q3, quantile_cont(new_score, 0.5) OVER p AS g_q2,
+         quantile_cont(new_score, 0.25) OVER p AS g_q1
+  FROM cl WHERE cor_exterior_new IS NOT NULL AND cor_interior_new IS NOT NULL AND jantes_new IS NOT NULL AND modelo_new IS NOT NULL
+  WINDOW p AS (PARTITION BY {cfg}), w AS (PARTITION BY {cfg} ORDER BY sell_date, l_orderkey)),
+d AS (SELECT *, CASE WHEN pos = 1 THEN 0.0 ELSE CAST(cs AS DOUBLE) / pos END AS dyn FROM h),
+e AS (SELECT *, stddev_pop(dyn) OVER (PARTITION BY {cfg}) AS dyn_std,
+             lag(dyn) OVER (PARTITION BY {cfg} ORDER BY sell_date, l_orderkey) AS prev_dyn FROM d),
+hist AS (SELECT l_orderkey, {cfg}, local_da_venda_new, prov_new, buy_day, buy_month, buy_year, price_total, new_score,
+  CASE WHEN size > 1 AND pos > 1 THEN 1 ELSE 0 END AS prev_sales_check,
+  CASE WHEN size > 1 THEN pos - 1 ELSE 0 END AS number_prev_sales,
+  CASE WHEN size > 1 THEN coalesce(CAST(lv AS DOUBLE), 0) ELSE 0 END AS last_score,
+  CASE WHEN size > 1 THEN coalesce(lm, 0) ELSE 0 END AS last_margin,
+  CASE WHEN size > 1 THEN coalesce(CAST(ld AS DOUBLE), 0) ELSE 0 END AS last_stock_days,
+  CASE WHEN size > 1 THEN dyn ELSE 0 END AS average_score_dynamic,
+  CASE WHEN size > 1 THEN dyn_std ELSE 0 END AS average_score_dynamic_std,
+  CASE WHEN size > 1 THEN coalesce(prev_dyn, 0) ELSE 0 END AS prev_average_score_dynamic,
+  CASE WHEN size > 1 AND pos > 1 THEN dyn_std ELSE 0 END AS prev_average_score_dynamic_std,
+  CASE WHEN size > 1 THEN g_avg ELSE 0 END AS average_score_global,
+  CASE WHEN size > 1 THEN g_min ELSE 0 END AS min_score_global, CASE WHEN size > 1 THEN g_max ELSE 0 END AS max_score_global,
+  CASE WHEN size > 1 THEN g_q3 ELSE 0 END AS q3_score_global, CASE WHEN size > 1 THEN g_q2 ELSE 0 END AS median_score_global,
+  CASE WHEN size > 1 THEN g_q1 ELSE 0 END AS q1_score_global FROM e),
+split AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY new_score ORDER BY md5(l_orderkey || ':2'), l_orderkey)
+    <= count(*) OVER (PARTITION BY new_score) - ceil(count(*) OVER (PARTITION BY new_score) * 0.25) THEN 1 ELSE 0 END AS is_train
+  FROM hist),
+feat AS MATERIALIZED ({numbers} UNION ALL {blocks}),
+cls AS (SELECT new_score, count(*) AS nc FROM split WHERE is_train = 1 GROUP BY new_score),
+per AS (SELECT feature, new_score, sum(value) AS s, sum(value * value) AS ss FROM feat WHERE is_train = 1 GROUP BY ALL),
+st AS (SELECT feature, sum(s) AS s, sum(ss) AS ss, sum(s * s / nc) AS between_raw FROM per JOIN cls USING (new_score) GROUP BY feature),
+sc AS (SELECT feature, round(((between_raw - s * s / n) / (k - 1))
+           / nullif((ss - s * s / n - (between_raw - s * s / n)) / (n - k), 0), 9) AS score
+       FROM st, (SELECT sum(nc) AS n, count(*) AS k FROM cls)),
+best AS (SELECT feature FROM sc ORDER BY score DESC NULLS LAST, feature LIMIT 12),
+cop AS (SELECT l_orderkey, unnest(generate_series(0, mx // nc + CASE WHEN r <= mx % nc THEN 1 ELSE 0 END - 1)) AS copy_index FROM (
+    SELECT l_orderkey, nc, (SELECT max(nc) FROM cls) AS mx,
+           row_number() OVER (PARTITION BY new_score ORDER BY md5(l_orderkey || ':42'), l_orderkey) AS r
+    FROM split JOIN cls USING (new_score) WHERE is_train = 1))
+SELECT l_orderkey, CASE is_train WHEN 1 THEN 'train' ELSE 'test' END AS part,
+       CAST(coalesce(copy_index, 0) AS BIGINT) AS copy_index, feature, round(value, 6) AS value
+FROM feat JOIN best USING (feature) LEFT JOIN cop USING (l_orderkey) WHERE value <> 0"""
+
+
+SQL["prepared_features"] = _prepared_sql()
+
+SQL["run_report"] = f"""
+WITH {_MEMBERS},
+p AS (SELECT 'margin' AS model, new_score AS y, CAST(p_margin > 0.5 AS INT) AS h FROM m
+      UNION ALL SELECT 'days', new_score, CAST(p_days > 0.5 AS INT) FROM m
+      UNION ALL SELECT 'price', new_score, CAST(p_price > 0.5 AS INT) FROM m),
+lab AS (SELECT model, label, count(*) FILTER (y = label AND h = label)::DOUBLE AS tp, count(*) FILTER (y = label)::DOUBLE AS support,
+               count(*) FILTER (h = label)::DOUBLE AS predicted FROM p, (SELECT unnest([0, 1]) AS label) GROUP BY ALL),
+r AS (SELECT model, CAST(label AS VARCHAR) AS class, coalesce(tp / nullif(predicted, 0), 0) AS pr,
+             coalesce(tp / nullif(support, 0), 0) AS rc, support,
+             coalesce(2 * tp / nullif(predicted + support, 0), 0) AS f1 FROM lab WHERE support + predicted > 0),
+rep AS (SELECT * FROM r UNION ALL
+        SELECT model, 'avg/total', sum(pr * support) / sum(support), sum(rc * support) / sum(support), sum(support),
+               sum(f1 * support) / sum(support) FROM r GROUP BY model),
+c AS (SELECT model, sum(tp) AS hits, max(tp) FILTER (label = 0) AS tn, max(predicted) FILTER (label = 1) AS p1,
+             max(tp) FILTER (label = 1) AS tp1, sum(support) AS n,
+             sum(tp) FILTER (predicted > 0) AS mtp, sum(predicted + support - 2 * tp) FILTER (predicted > 0) AS miss,
+             avg(coalesce(2 * tp / nullif(predicted + support, 0), 0)) FILTER (predicted > 0) AS macro FROM lab GROUP BY model),
+long AS MATERIALIZED (SELECT new_score AS y, unnest(['stock_days', 'margem_percentagem', 'l_extendedprice']) AS feature,
+                unnest([stock_days::DOUBLE, margem_percentagem, l_extendedprice]) AS x FROM m),
+g AS (SELECT feature, sum(nc) AS n, count(*) AS k, sum(s) AS s, sum(ss) AS ss, sum(s * s / nc) AS br FROM (
+        SELECT feature, y, count(*) AS nc, sum(x) AS s, sum(x * x) AS ss FROM long GROUP BY ALL) GROUP BY feature),
+f AS (SELECT feature, round(((br - s * s / n) / (k - 1)) / ((ss - s * s / n - (br - s * s / n)) / (n - k)), 6) AS score FROM g)
+SELECT model, 'class' AS kind, class AS name, 'precision' AS metric, round(pr, 6) AS value FROM rep
+UNION ALL SELECT model, 'class', class, 'recall', round(rc, 6) FROM rep
+UNION ALL SELECT model, 'class', class, 'f1_score', round(f1, 6) FROM rep
+UNION ALL SELECT model, 'class', class, 'support', support FROM rep
+UNION ALL SELECT model, 'run', 'all', 'accuracy', round(hits / n, 6) FROM c
+UNION ALL SELECT model, 'run', 'all', 'micro_f1', round(2 * mtp / (2 * mtp + miss), 6) FROM c
+UNION ALL SELECT model, 'run', 'all', 'macro_f1', round(macro, 6) FROM c
+UNION ALL SELECT model, 'run', 'all', 'specificity', round(tn / nullif(tn + p1 - tp1, 0), 6) FROM c
+UNION ALL SELECT models.model, 'feature', feature, 'rank', row_number() OVER (PARTITION BY models.model ORDER BY score DESC, feature)::DOUBLE
+FROM f, (SELECT DISTINCT model FROM p) models"""

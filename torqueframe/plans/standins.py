@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import binary_target
 from ..functions.dates import whole_days
+from ..operators import vocab
 from ..sources.tables import table
 
 SALE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -100,6 +101,32 @@ def orders_meta(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("o_totalprice") * 0.05).alias("margem"))
 
 
+# Stand-in groups of the option words; wheels and sales places have the dealer's.
+MODEL_WORDS = ["STANDARD", "SMALL", "MEDIUM", "LARGE", "ECONOMY", "PROMO"]
+GROUPS = {
+    "cor_exterior": [("vermelho", ["vermelho"]), ("azul", ["azul"]), ("outros", ["hot", "cold", "new"])],
+    "cor_interior": [("preto", ["preto"]), ("quente", ["vermelho", "hot"]), ("azul", ["azul", "cold"]),
+                     ("outros", ["vernasca", "new", "gear", "bolt", "ring"])],
+    "jantes": vocab.WHEEL_GROUPS,
+    "modelo": [(f"S{n}", [f"Brand#{b} {w}" for b in range(n, 26, 5) for w in MODEL_WORDS]) for n in range(1, 6)],
+    "local_da_venda": vocab.SALES_PLACE_GROUPS,
+}
+PLACES = ["DCC - Feira", "DCC - Aveiro", "DCS-Cascais", "DCA - Faro", "DCN-Porto", "DCS-Lisboa Usados"]
+EXCLUDED_MODELS = ["PROMO"]
+
+
+def with_places(vehicles: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    """Vehicles with the provenance and the sales place of their order."""
+    o = table(spark, d, "orders")
+    place = F.element_at(F.array(*[F.lit(p) for p in PLACES]), (F.col("o_custkey") % len(PLACES) + 1).cast("int"))
+    low = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")
+    prov = (F.when(low, "Em utilização").when(F.col("o_orderpriority") == "1-URGENT", "Novos")
+            .when(F.col("o_orderpriority") == "2-HIGH", "Viaturas Km 0")
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Demonstração").otherwise("Usados"))
+    meta = o.select(F.col("o_orderkey").alias("l_orderkey"), prov.alias("prov"), place.alias("local_da_venda"))
+    return vehicles.join(meta, "l_orderkey", "left")
+
+
 def visits(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
