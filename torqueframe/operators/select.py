@@ -33,7 +33,8 @@ def chi2_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFram
 
 def anova_f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """One-way ANOVA F of each feature across classes (sklearn ``f_classif``);
-    null with a single class, or with as many classes as rows."""
+    null with a single class, or with as many classes as rows; infinite if the
+    classes explain all that varies."""
     # a null value is no observation of its feature
     long = _long(df, features, target).where("x is not null")
     per = long.groupBy("feature", "_y").agg(
@@ -45,7 +46,8 @@ def anova_f_scores(df: DataFrame, features: Sequence[str], target: str) -> DataF
     ss_total = F.col("ss") - F.col("s") * F.col("s") / F.col("n")
     ss_within = ss_total - ss_between
     f = F.try_divide(F.try_divide(ss_between, F.col("k") - 1), F.try_divide(ss_within, F.col("n") - F.col("k")))
-    return g.select("feature", f.alias("score"))
+    parted = (ss_within <= 0) & (ss_between > 0) & (F.col("n") > F.col("k")) & (F.col("k") > 1)
+    return g.select("feature", F.when(parted, F.lit(float("inf"))).otherwise(f).alias("score"))
 
 
 def mutual_info_scores(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -61,6 +61,20 @@ class Edges:
             cuts[r["f"]] = own[own < r["top"]]
         return cls(cuts)
 
+    @classmethod
+    def within(cls, x: np.ndarray, max_bins: int = 32) -> Edges:
+        """The same for rows at hand."""
+        cuts = []
+        for f in range(x.shape[1]):
+            own = np.sort(x[~np.isnan(x[:, f]), f])
+            if not len(own):
+                cuts.append(np.empty(0))
+                continue
+            at = np.ceil(np.arange(1, max_bins) / max_bins * len(own)).astype(int) - 1
+            cut = np.unique([own[0], *own[np.maximum(at, 0)]])
+            cuts.append(cut[cut < own[-1]])
+        return cls(cuts)
+
     @property
     def bins(self) -> int:
         return int(self.offsets[-1])
@@ -250,20 +264,29 @@ class StagedModel:
         out = df.withColumn("proba_1", proba(feature_array(df, features)))
         return out.withColumn("prediction", (F.col("proba_1") > 0.5).cast("double"))
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """One row: settings as JSON and the arrays, overwriting ``path``."""
+    def packed(self) -> tuple[str, bytes]:
+        """Settings as JSON, and the arrays."""
         arrays = io.BytesIO()
         np.savez_compressed(arrays, split=self.split, leaf=self.leaf, sizes=self.sizes, importance=self.importance,
                             **{f"cut{i}": c for i, c in enumerate(self.edges.cuts)})
         meta = {"kind": self.kind, "depth": self.depth, "init": self.init, "rate": self.rate, "width": len(self.edges.cuts)}
-        spark.createDataFrame([("StagedModel", json.dumps(meta), bytearray(arrays.getvalue()))],
+        return json.dumps(meta), arrays.getvalue()
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row, overwriting ``path``."""
+        settings, arrays = self.packed()
+        spark.createDataFrame([("StagedModel", settings, bytearray(arrays))],
                               "model string, settings string, arrays binary").coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> StagedModel:
         row = spark.read.parquet(path).first()
-        m = json.loads(row["settings"])
-        z = np.load(io.BytesIO(bytes(row["arrays"])))
+        return cls.unpacked(row["settings"], bytes(row["arrays"]))
+
+    @classmethod
+    def unpacked(cls, settings: str, arrays: bytes) -> StagedModel:
+        m = json.loads(settings)
+        z = np.load(io.BytesIO(arrays))
         edges = Edges([z[f"cut{i}"] for i in range(m["width"])])
         return cls(m["kind"], edges, z["split"], z["leaf"], m["depth"], m["init"], m["rate"], z["sizes"], z["importance"])
 
@@ -306,10 +329,16 @@ def tree_search(train: DataFrame, label: str, fold: str = "fold", folds: int = 1
     edges = Edges.of(train, features)
     blocks = Blocks.of(train, features, label, fold, keep=False).mapped(lambda b: b._replace(x=edges.encode(b.x)))
     try:
-        grid = grow(blocks, edges, [*range(folds), -1], min_rows, max(depths), balanced)
-        mean = tree_scores(blocks, grid, depths, scoring)
+        return searched(blocks, edges, folds, scoring, min_rows, depths, balanced)
     finally:
         blocks.done()
+
+
+def searched(blocks, edges: Edges, folds: int, scoring: str, min_rows: Sequence[int], depths: Sequence[int],
+             balanced: bool = True) -> Search:
+    """``tree_search`` over anything that sums functions of blocks of bins."""
+    grid = grow(blocks, edges, [*range(folds), -1], min_rows, max(depths), balanced)
+    mean = tree_scores(blocks, grid, depths, scoring)
     points = [{"max_depth": d, "min_samples_leaf": m} for d in depths for m in min_rows]
     at = _chosen(points, mean.ravel())
     best = points[at]

@@ -28,7 +28,8 @@ from ..operators import report, clustering
 from ..operators import models as M
 from ..session import cut_lineage, ensure_checkpoint_dir
 from . import modelling as ML
-from ..operators import lloyd, neighbors
+from ..operators import grouped, lloyd, neighbors
+from ..operators.prepare import Preparation
 from . import runs
 from . import training as T
 
@@ -950,19 +951,29 @@ def linear_regression(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def per_group_models(spark: SparkSession, d: str) -> DataFrame:
-    """One decision tree per group (automatic gearbox yes/no), tagged
-    performance rows."""
-    train, test, feats = _model_data(spark, d)
-    groups = [r[0] for r in train.select("caixa_auto").distinct().collect()]
-    rows = None
-    for g in sorted(groups):
-        tr, te = train.filter(F.col("caixa_auto") == g), test.filter(F.col("caixa_auto") == g)
-        found = T.fit("dt", tr, _TARGET, "l_orderkey", len(feats), "f1_weighted")
-        perf = ML.evaluate(T.predictions(found.model, te, _TARGET))
-        r = ML.metrics_rows(spark, ML.run_tag("classification", "dt", _TARGET, "f1_weighted"), perf) \
-              .withColumn("group", F.lit(str(g)))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    """One decision tree per sales place, split and searched within the place; its best
+    parameters and its performance on the place's test rows."""
+    fitted, pred = _place_models(spark, d)
+    perf = grouped.grouped_performance(pred)
+    return rounded(fitted.select("group", "n_train", "parameters", "score").join(perf, "group"))
+
+
+def _place_rows(spark, d) -> DataFrame:
+    """Prepared rows with their place; split and folds are dealt within (place, class)."""
+    rows = _model_rows(spark, d).withColumn("_stratum", F.concat_ws("|", "local_da_venda_new", _TARGET))
+    return sampling.stratified_split(rows.where("local_da_venda_new is not null"), "_stratum", "l_orderkey", 0.25, seed=2)
+
+
+def _place_models(spark, d):
+    s = cut_lineage(_place_rows(spark, d))
+    train, test = s.where("is_train = 1"), s.where("is_train = 0")
+    numeric = ["navegacao", "sensores", "caixa_auto", *[c for c in history.HISTORY_COLUMNS if c not in ML.SCALED]]
+    encoded = [c for c in ML.ENCODED if c != "local_da_venda_new"]
+    prep = Preparation(encoded, ML.SCALED, numeric).fit(train, _TARGET)
+    train = M.stratified_folds(prep.transform(train), "_stratum", "l_orderkey", k=_FOLDS, seed=42)
+    fitted = cut_lineage(grouped.grouped_trees(train, "local_da_venda_new", _TARGET, folds=_FOLDS,
+                                               min_rows=T.PLACE_LEAVES, depths=T.PLACE_DEPTHS))
+    return fitted, grouped.grouped_predictions(prep.transform(test), fitted, "local_da_venda_new", "l_orderkey", _TARGET)
 
 
 # ---------------------------------------------------------------- nearest neighbours
