@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -215,3 +216,58 @@ def test_suffix_dedup_of_odd_and_empty_tables(make_docs, odd_rows):
     by = {r.doc_id: r for r in got if r.doc_id is not None}
     assert by[6].n_removed == by[6].n_bytes and by[7].n_removed == by[7].n_bytes and by[8].n_removed == 0
     assert suffixdedup.digest(make_docs([]), suffixdedup.repeats(make_docs([]))).count() == 0
+
+
+def removed_by_hash(raws, size):
+    """Per text the bytes that a window of ``size`` found elsewhere covers: all
+    windows of all texts, compared by a 64-bit polynomial hash."""
+    rng = np.random.default_rng(1)
+    code = rng.integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    base = np.uint64(0x9E3779B97F4A7C15)
+    most = max(map(len, raws), default=0) + 1
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(most, base)]))
+        inverse = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(most, np.uint64(pow(int(base), -1, 2 ** 64)))]))
+        hashes = []
+        for raw in raws:
+            v = code[np.frombuffer(raw, dtype=np.uint8)] * power[:len(raw)]
+            p = np.concatenate([[np.uint64(0)], np.add.accumulate(v)]) if len(raw) else np.zeros(1, np.uint64)
+            n = max(0, len(raw) - size + 1)
+            hashes.append((p[size:size + n] - p[:n]) * inverse[:n])
+    every, counts = np.unique(np.concatenate(hashes) if hashes else np.empty(0, np.uint64), return_counts=True)
+    twice = every[counts > 1]
+    for raw, own in zip(raws, hashes):
+        cover = np.zeros(len(raw) + 1, dtype=np.int64)
+        starts = np.flatnonzero(np.isin(own, twice))
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, np.minimum(starts + size, len(raw)), -1)
+        yield np.cumsum(cover[:-1]) > 0
+
+
+def expected_digests(rows, size=400):
+    raws = [(t or "").encode() for _, t in rows]
+    for (i, _), raw, gone in zip(rows, raws, removed_by_hash(raws, size)):
+        edge = np.diff(np.concatenate([[0], gone.astype(np.int8)]))
+        kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
+        yield i, len(raw), int(gone.sum()), int((edge == 1).sum()), hashlib.sha256(kept).hexdigest()
+
+
+def test_suffix_dedup_of_a_test_table(spark):
+    """The contract's 400 bytes, on every document of a given table."""
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test table")
+    docs = spark.read.parquet(path)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    got = Counter(tuple(r) for r in suffixdedup.digest(docs, suffixdedup.repeats(docs)).collect())
+    assert got == Counter(expected_digests(rows))
+
+
+def test_suffix_dedup_of_many_equal_rows(make_docs):
+    """Rows that repeat a text under one id: a text's spans do not grow with them."""
+    text = " ".join(f"word{i * 7919 % 1013}" for i in range(300))
+    rows = [(None, text)] * 1500 + [(7, text + " tail"), (8, "another " * 3)]
+    docs = make_docs([(i, t, None) for i, t in rows])
+    found = suffixdedup.repeats(docs)
+    assert max(r[0] for r in found.selectExpr("size(spans)").collect()) < 40
+    assert Counter(tuple(r) for r in suffixdedup.digest(docs, found).collect()) == Counter(expected_digests(rows))

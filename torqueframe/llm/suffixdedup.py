@@ -300,7 +300,8 @@ def repeats(docs: DataFrame, size: int = 400, gram: int = 128, keep_first: bool
     twins = own.where(twin).select("doc_id", "th", whole.alias("spans"))
     rest = own.where(~twin).join(marked, ["gram", "context"]).select("doc_id", "th", F.transform(
         "spans", lambda x: F.struct((x["lo"] + F.col("place")).alias("lo"), (x["hi"] + F.col("place")).alias("hi"))).alias("spans"))
-    return twins.unionByName(rest).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # rows that repeat a text under one id have the same spans: each is kept once
+    return twins.unionByName(rest).groupBy("doc_id", "th").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def _texts(source: DataFrame, ids: DataFrame) -> DataFrame:
