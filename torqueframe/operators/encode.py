@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +60,31 @@ def reverse_one_hot(df: DataFrame, prefixes: Sequence[str], strip: str = "_new")
         name = p.replace(strip, "") if strip else p
         out = out.withColumn(name, argmax_label(block, [c[len(p) + 1:] for c in block])).drop(*block)
     return out
+
+
+def sparse_one_hot(train: DataFrame, cols: Sequence[str], suffix: str = "_ohe") -> PipelineModel:
+    """One-hot blocks of any width, learned from ``train`` (H27 beyond
+    :data:`MAX_CATEGORIES`): ``transform`` adds one sparse vector ``{col}{suffix}`` a
+    column, whose metadata names the category of every place. Categories are in
+    alphabetical order; an unseen or null value has an empty vector."""
+    cols = list(cols)
+    index = StringIndexer(inputCols=cols, outputCols=[f"{c}_index" for c in cols], stringOrderType="alphabetAsc",
+                          handleInvalid="keep")
+    hot = OneHotEncoder(inputCols=[f"{c}_index" for c in cols], outputCols=[f"{c}{suffix}" for c in cols], dropLast=True,
+                        handleInvalid="error")
+    return Pipeline(stages=[index, hot]).fit(train)
+
+
+def reverse_sparse(df: DataFrame, cols: Sequence[str], suffix: str = "_ohe") -> DataFrame:
+    """H28 for the vectors of :func:`sparse_one_hot`: ``{col}_value`` is the category
+    that the metadata names at the vector's place, null for an empty vector."""
+    from pyspark.ml.functions import vector_to_array
+    out = df
+    for c in cols:
+        meta = df.schema[f"{c}{suffix}"].metadata["ml_attr"]["attrs"]
+        names = [a["name"] for kind in sorted(meta) for a in sorted(meta[kind], key=lambda a: a["idx"])]
+        dense = vector_to_array(f"{c}{suffix}")
+        place = F.array_position(dense, 1.0)
+        named = F.array(*[F.lit(n) for n in names])
+        out = out.withColumn(f"{c}_value", F.when(place > 0, F.element_at(named, place.cast("int"))))
+    return out

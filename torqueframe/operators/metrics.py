@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import quantile_chunk, running_sums
 
 
@@ -97,8 +98,8 @@ def roc_points(df: DataFrame, gt: str, score: str, positive=1, buckets: int = 25
     :func:`unscored`)."""
     df = df.where(F.col(score).isNotNull())
     pos = (F.col(gt) == F.lit(positive)).cast("bigint")
-    per = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
+    per = cut_lineage(df.groupBy(F.col(score).alias("threshold")).agg(
+        F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")))  # read four times below
     # falls as the threshold rises
     chunk = -quantile_chunk(per, "threshold", buckets)
     ordered = running_sums(per.withColumn("_t", -F.col("threshold")), [], ["_t"], ["pos", "neg"],

@@ -113,11 +113,44 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str], order: Sequence[st
     return out.select(*df.columns)
 
 
+HOT_ROWS = 1_000_000  # rows of a key that one task may order
+
+
+def fill_routed(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                chunk_col: str, hot_rows: int = HOT_ROWS, ranges: int = 64) -> DataFrame:
+    """:func:`fill_forward_backward` for keys of very different sizes: one count per
+    key (a partial aggregate) tells which exceed ``hot_rows``; only their rows go
+    through chunks (``ranges`` of the numeric ``chunk_col``, the first of ``order``),
+    the rest through one plain window each way."""
+    keys, order, cols = list(keys), list(order), list(cols)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    hot = cut_lineage(df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > hot_rows).select(*keys))
+    any_hot = not hot.isEmpty()
+    cool = df.where(known)
+    if any_hot:
+        cool = cool.join(hot, keys, "left_anti")
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    up = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+    down = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(*frame)
+    out = cool.select("*", *[F.last(c, ignorenulls=True).over(up).alias(f"_ff_{c}") for c in cols],
+                      *[F.last(c, ignorenulls=True).over(down).alias(f"_bf_{c}") for c in cols])
+    out = out.select(*[F.coalesce(F.col(f"_ff_{c}"), F.col(f"_bf_{c}")).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+    if any_hot:
+        rows = df.where(known).join(hot, keys, "left_semi")
+        out = out.unionByName(fill_forward_backward(rows, keys, order, cols, quantile_chunk(rows, chunk_col, ranges)))
+    return out.unionByName(df.where(~known))
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  cols: Sequence[str] = (), chunk: Column | None = None,
-                 position: str | None = "_pos") -> DataFrame:
+                 position: str | None = "_pos", size: str | None = None) -> DataFrame:
     """Inclusive running sums of ``cols`` (as ``cum_{c}``) and the 1-based
-    position (``position``) of each row inside its key, in ``order``.
+    position (``position``) of each row inside its key, in ``order``; on request
+    the number of rows of the key (``size``), from the same chunk summary.
     ``keys`` may be empty (one global order); then only the per-chunk
     summary — one row per chunk — is ordered globally."""
     keys, order, cols = list(keys), list(order), list(cols)
@@ -129,6 +162,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     offsets = summary.select(
         *keys, CHUNK,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        *([F.sum("_n").over(Window.partitionBy(*keys)).alias("_of")] if size else []),
         *[F.sum(f"_s_{c}").over(before).alias(f"_o_{c}") for c in cols])
     w = local_window(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -136,7 +170,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                         *[F.sum(c).over(run).alias(f"_l_{c}") for c in cols])
     # null keys are a key like any other: their rows are kept
     offsets = offsets.select(*[F.col(c).alias(f"_o_{c}" if c == CHUNK else f"_ok_{c}") for c in [*keys, CHUNK]],
-                             "_n0", *[f"_o_{c}" for c in cols])
+                             "_n0", *(["_of"] if size else []), *[f"_o_{c}" for c in cols])
     same = F.col(CHUNK).eqNullSafe(F.col(f"_o_{CHUNK}"))
     for c in keys:
         same = same & F.col(c).eqNullSafe(F.col(f"_ok_{c}"))
@@ -144,6 +178,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     sel = [*df.columns]
     if position:
         sel.append((F.col("_rn") + F.col("_n0")).cast("bigint").alias(position))
+    if size:
+        sel.append(F.col("_of").cast("bigint").alias(size))
     sel += [(F.col(f"_l_{c}") + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"cum_{c}") for c in cols]
     return joined.select(*sel)
 

@@ -23,12 +23,13 @@ from ..operators import options
 from . import stock
 from ..functions.dates import date_from_parts, date_parts
 from ..functions.classes import keep_or_other as _keep_or_other
+from ..functions.numeric import ratio
 from ..functions.text import INTERIOR_REPLACEMENTS, remove_suffix_text, replace_chain
 from ..operators import report, clustering
 from ..operators import models as M
 from ..session import cut_lineage, ensure_checkpoint_dir
 from . import modelling as ML
-from ..operators import grouped, lloyd, neighbors
+from ..operators import grouped, lloyd, neighbors, neighbour_info, pivots, quantiles
 from ..operators.prepare import Preparation
 from . import runs
 from . import training as T
@@ -321,10 +322,9 @@ def ffill_bfill(spark: SparkSession, d: str) -> DataFrame:
     """Forward then backward fill of priority and registration date
     within each plate, in visit order."""
     v = si.visits(spark, d).select("o_orderkey", "registration_number", "priority", "registration_date_pse")
-    # 64 ranges of the order key of about equal counts: a hot plate is up to 64
-    # tasks' work, and a plate's summary has at most 64 rows
-    return V.fill_within(v, "registration_number", ["o_orderkey"], ["priority", "registration_date_pse"],
-                         chunk=ordered.quantile_chunk(v, "o_orderkey", 64))
+    # a plate of over a million visits goes through 64 ranges of the order key
+    return ordered.fill_routed(v, ["registration_number"], ["o_orderkey"], ["priority", "registration_date_pse"],
+                               "o_orderkey")
 
 
 @query
@@ -497,6 +497,20 @@ def vehicle_scores(spark: SparkSession, d: str) -> DataFrame:
                             "buy_day", "buy_month", "buy_year", "sell_day", "sell_month", "sell_year"))
 
 
+@query
+def vehicle_handover(spark: SparkSession, d: str) -> DataFrame:
+    """A5: cleaned option lines handed over once as a table bucketed by vehicle; totals (D1), margin
+    percentage (D2) and first line (E9) read it without an exchange."""
+    from ..sources.tables import bucketed
+    lines = stock.clean_lines(si.raw_option_lines(spark, d)).join(
+        si.orders_meta(spark, d).select("l_orderkey", "margem"), "l_orderkey")
+    own = bucketed(lines, "l_orderkey", spark.sparkContext.defaultParallelism, si.LINE_ORDER)
+    totals = own.groupBy("l_orderkey").agg(F.sum("custo").alias("price_total"), F.first("margem").alias("margem"))
+    totals = totals.withColumn("margem_percentagem", ratio(F.col("margem"), F.col("price_total")) * 100.0)
+    first = options.first_per_key(own, "l_orderkey", si.LINE_ORDER).select("l_orderkey", "opcional")
+    return rounded(totals.join(first, "l_orderkey").drop("margem"))
+
+
 # ---------------------------------------------------------------- profiles, sets, sorts
 
 
@@ -993,6 +1007,41 @@ def knn_vote(spark: SparkSession, d: str) -> DataFrame:
     return vote.join(test.select("vec_id", "label"), "vec_id")
 
 
+@query
+def knn_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Cross-validated accuracy of the nearest-neighbour vote for k = 1..49 from one search
+    of a pivot index over the training vectors."""
+    from ..sources.tables import table
+    e = table(spark, d, "embeddings")
+    train = sampling.stratified_split(e, "label", "vec_id", 0.25, seed=2).where("is_train = 1")
+    train = cut_lineage(M.stratified_folds(train, "label", "vec_id", k=10, seed=42))
+    return rounded(pivots.knn_grid(train, "embedding", "vec_id", "label"))
+
+
+@query
+def mutual_info_continuous(spark: SparkSession, d: str) -> DataFrame:
+    """K8: mutual information of continuous features and new_score by the nearest-neighbour estimator."""
+    return rounded(neighbour_info.mutual_info_continuous(
+        si.sales(spark, d), ["stock_days", "margem_percentagem", "l_extendedprice"], "new_score"))
+
+
+@query
+def group_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact quartiles and decile of price per class, without a value map per group."""
+    s = si.sales(spark, d).select("new_score", "l_extendedprice")
+    return rounded(quantiles.exact_quantiles(s, ["new_score"], "l_extendedprice", [0.25, 0.5, 0.75, 0.9]))
+
+
+@query
+def sparse_encoding(spark: SparkSession, d: str) -> DataFrame:
+    """Every part number one-hot encoded as a sparse block (no bound on the categories),
+    reversed through its metadata and counted."""
+    from ..sources.tables import table
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("part"))
+    back = encode.reverse_sparse(encode.sparse_one_hot(li, ["part"]).transform(li), ["part"])
+    return back.groupBy("part", "part_value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def category_groups(spark: SparkSession, d: str) -> DataFrame:
     """Colour, wheel and model groups of every vehicle with the

@@ -1016,3 +1016,66 @@ UNION ALL SELECT model, 'run', 'all', 'macro_f1', round(macro, 6) FROM c
 UNION ALL SELECT model, 'run', 'all', 'specificity', round(tn / nullif(tn + p1 - tp1, 0), 6) FROM c
 UNION ALL SELECT models.model, 'feature', feature, 'rank', row_number() OVER (PARTITION BY models.model ORDER BY score DESC, feature)::DOUBLE
 FROM f, (SELECT DISTINCT model FROM p) models"""
+
+
+SQL["knn_grid"] = """
+WITH r AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+             row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':2'), vec_id) AS rk,
+             count(*) OVER (PARTITION BY label) AS nc FROM embeddings),
+s AS (SELECT vec_id, label, v, (row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42'), vec_id) - 1) % 10
+        AS fold FROM r WHERE rk <= nc - ceil(nc * 0.25)),
+l AS (SELECT vec_id, label, fold, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM s),
+d AS (SELECT a.vec_id AS qid, b.vec_id AS tid, b.label, sum((a.x - b.x) * (a.x - b.x)) AS d2
+      FROM l a JOIN l b ON a.i = b.i AND a.fold <> b.fold GROUP BY a.vec_id, b.vec_id, b.label),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, tid) AS rn FROM d) WHERE rn <= 49),
+votes AS (SELECT qid, k, label, count(*) AS n FROM nn, (SELECT unnest(generate_series(1, 49)) AS k) WHERE rn <= k GROUP BY ALL),
+best AS (SELECT qid, k, label AS predicted FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY n DESC, label) AS rn FROM votes) WHERE rn = 1),
+acc AS (SELECT k, fold, avg(CAST(predicted = s.label AS INT)) AS a FROM best JOIN s ON qid = vec_id GROUP BY k, fold)
+SELECT CAST(k AS INT) AS k, round(avg(a), 6) AS score FROM acc GROUP BY k"""
+
+
+def _digamma_sql(x: str) -> str:
+    z = f"({x} + 8.0)"
+    return (f"(ln({z}) - 1 / (2 * {z}) - 1 / (12 * {z} ** 2) + 1 / (120 * {z} ** 4) - 1 / (252 * {z} ** 6) + 1 / (240 * {z} ** 8)"
+            + "".join(f" - 1 / ({x} + {i}.0)" for i in range(8)) + ")")
+
+
+_NEAR = [f"{fn}(x, {i}) OVER w" for fn in ("lag", "lead") for i in (1, 2, 3)]
+SQL["mutual_info_continuous"] = f"""
+WITH {SALES},
+l AS (SELECT unnest(['stock_days', 'margem_percentagem', 'l_extendedprice']) AS feature,
+             unnest([stock_days::DOUBLE, margem_percentagem, l_extendedprice]) AS x, new_score AS y FROM sales),
+c AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS nc FROM l),
+g AS (SELECT *, [{", ".join(_NEAR[:3])}] AS before, [{", ".join(_NEAR[3:])}] AS after FROM c WHERE nc > 1
+      WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+k AS (SELECT feature, x, nc, before, after, least(3, nc - 1) AS near,
+        list_sort([v for v in list_transform(before, lambda v: x - v) if v IS NOT NULL]
+                  || [v for v in list_transform(after, lambda v: v - x) if v IS NOT NULL]) AS dist FROM g),
+r AS (SELECT *, dist[near] AS r FROM k),
+e AS (SELECT row_number() OVER () AS id, feature, x, nc, near, r,
+        CASE WHEN r = 0 THEN x ELSE coalesce(list_max([v for v in before if x - v = r]), x - r) END AS lo,
+        CASE WHEN r = 0 THEN x ELSE coalesce(list_min([v for v in after if v - x = r]), x + r) END AS hi FROM r),
+ev AS (SELECT id, feature, x AS v, 1 AS tie, 1 AS c, 0 AS sign FROM e
+       UNION ALL SELECT id, feature, lo, CASE WHEN r = 0 THEN 0 ELSE 2 END, 0, -1 FROM e
+       UNION ALL SELECT id, feature, hi, CASE WHEN r = 0 THEN 2 ELSE 0 END, 0, 1 FROM e),
+run AS (SELECT id, sign, sum(c) OVER (PARTITION BY feature ORDER BY v, tie) AS cum FROM ev),
+m AS (SELECT id, sum(sign * cum) AS m FROM run WHERE sign <> 0 GROUP BY id)
+SELECT feature, round(greatest(0.0, {_digamma_sql("count(*)")}
+  + avg({_digamma_sql("near")} - {_digamma_sql("nc")} - {_digamma_sql("m")})), 6) AS score
+FROM e JOIN m USING (id) GROUP BY feature"""
+
+SQL["group_quantiles"] = f"""
+WITH {SALES} SELECT new_score, round(quantile_cont(l_extendedprice, 0.25), 6) AS q0, round(quantile_cont(l_extendedprice, 0.5), 6) AS q1,
+  round(quantile_cont(l_extendedprice, 0.75), 6) AS q2, round(quantile_cont(l_extendedprice, 0.9), 6) AS q3
+FROM sales GROUP BY new_score"""
+
+SQL["sparse_encoding"] = """
+SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(l_partkey AS VARCHAR) AS part_value, count(*) AS n FROM lineitem GROUP BY 1"""
+
+SQL["vehicle_handover"] = f"""
+WITH {CLEANED_LINES}, {FIRST},
+t AS (SELECT l_orderkey, sum(custo) AS price_total FROM lines GROUP BY l_orderkey)
+SELECT l_orderkey, round(price_total, 6) AS price_total,
+       round(o_totalprice * 0.05 / nullif(price_total, 0) * 100.0, 6) AS margem_percentagem, opcional
+FROM t JOIN first USING (l_orderkey) JOIN orders ON l_orderkey = o_orderkey"""

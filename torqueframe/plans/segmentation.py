@@ -25,8 +25,8 @@ def visit_branch(visits: DataFrame, order: str, ranges: int = 64) -> DataFrame:
     in the order of ``order`` (E1)."""
     v = clean.exclude_values(clean.normalise_keys(visits), "slr_document_account", EXCLUDED_ACCOUNTS)
     v = clean.registration_flag(v)
-    return V.fill_within(v, "registration_number", [order], ["customer", "registration_date_pse"],
-                         chunk=ordered.quantile_chunk(v, order, ranges))
+    return ordered.fill_routed(v, ["registration_number"], [order], ["customer", "registration_date_pse"], order,
+                               ranges=ranges)
 
 
 def visit_merge(plate_visits: DataFrame, chassis_visits: DataFrame, plate_contracts: DataFrame,
