@@ -171,7 +171,9 @@ def _salted(a: DataFrame, b: DataFrame, per_task: int = 2_000_000) -> DataFrame:
     parts of ``a`` as its number of pairs asks for, and ``b`` once for each."""
     size = a.groupBy("lang").agg(F.count(F.lit(1)).alias("_a")).join(
         b.groupBy(F.col("b_lang").alias("lang")).agg(F.count(F.lit(1)).alias("_b")), "lang")
-    size = size.select("lang", F.ceil(F.col("_a") * F.col("_b") / per_task).cast("int").alias("_parts"))
+    size = written(size.select("lang", F.ceil(F.col("_a") * F.col("_b") / per_task).cast("int").alias("_parts")),
+                   "divergence-parts")
+    size = F.broadcast(size) if small_enough(size) else size  # else a hot language would be one task's rows
     a = a.join(size, "lang").withColumn("_part", F.pmod(F.xxhash64("gid", "p"), F.col("_parts")).cast("int"))
     b = b.join(size.select(F.col("lang").alias("b_lang"), "_parts"), "b_lang").withColumn(
         "b_part", F.explode(F.expr("sequence(0, _parts - 1)"))).drop("_parts")
