@@ -96,7 +96,7 @@ def newton(evaluate: Callable, x: np.ndarray, passes: int = 100, tol: float = 1e
         x[on], f[on], g[on] = trial[good], ft[good], gt[good]
         d[on] = -np.linalg.solve(ht[good] + ridge, gt[good][..., None])[..., 0]
         step[on] = 1.0
-        active[on] = (np.abs(g[on]).max(1) > tol) & (gain > 1e-14 * np.maximum(1.0, np.abs(f[on])))
+        active[on] = (np.abs(g[on]).max(1) > tol) & (gain > 1e-3 * tol * np.maximum(1e-3, np.abs(f[on])))
         off = which[~good]
         step[off] *= 0.4
         active[off] = step[off] > 1e-10
@@ -247,7 +247,8 @@ def linear_fits(blocks: Blocks, kind: str, cs: Sequence[float], folds: Sequence[
     small = len(c) * (width + 1) ** 2 <= HESSIANS
     for smooth in (SMOOTHINGS if kind == "hinge" else (1.0,)):
         if small:
-            w, f, more = newton(curved_at(smooth), w, passes, tol)
+            # the hinge's kinks leave little to gain from more digits
+            w, f, more = newton(curved_at(smooth), w, passes, max(tol, 1e-5) if kind == "hinge" else tol)
         else:
             w, f, more = minimise(sloped_at(smooth), w, 1 / np.maximum(diagonal, 1e-12), passes, tol)
         used += more

@@ -236,14 +236,15 @@ VISITS = """visits AS (
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 CONTRACTS = """contracts AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS registration_number,
-    CASE WHEN c_acctbal < 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS chassis_number,
-    CAST(c_nationkey AS DOUBLE) / 5 + 1 AS cm_years,
-    c_acctbal * 5 + 20000 AS cm_km,
-    TIMESTAMP '1994-01-01' AS cm_date_start,
-    coalesce(CASE WHEN c_acctbal < 0 THEN TIMESTAMP '1995-06-01' + to_days(CAST(c_nationkey * 20 AS INTEGER)) END,
-             TIMESTAMP '1996-01-01' + to_days(CAST(c_nationkey * 73 AS INTEGER))) AS cm_date_end
-  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
+  SELECT CASE WHEN held THEN lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS registration_number,
+    CASE WHEN held AND c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS chassis_number,
+    CASE WHEN held THEN CAST(c_nationkey AS DOUBLE) / 5 + 1 END AS cm_years,
+    CASE WHEN held THEN c_acctbal * 5 + 20000 END AS cm_km,
+    CASE WHEN held THEN TIMESTAMP '1994-01-01' END AS cm_date_start,
+    CASE WHEN NOT held THEN NULL
+         WHEN c_acctbal < 0 THEN TIMESTAMP '1995-06-01' + to_days(CAST(c_nationkey * 20 AS INTEGER))
+         ELSE TIMESTAMP '1996-01-01' + to_days(CAST(c_nationkey * 73 AS INTEGER)) END AS cm_date_end
+  FROM (SELECT *, c_mktsegment <> 'HOUSEHOLD' AS held FROM customer))"""
 
 SQL["normalise_keys"] = f"""
 WITH {VISITS}

@@ -10,7 +10,7 @@ runs on data that grows with the scale factor:
 * ``orders_meta``  buy date and margin per vehicle
 * ``visits``       one row per workshop visit (= order) of a vehicle
                    (= customer), with injected nulls
-* ``contracts``    maintenance contracts for part of the vehicles
+* ``contracts``    maintenance contracts; null for part of the vehicles
 """
 
 from __future__ import annotations
@@ -167,8 +167,10 @@ def raw_visits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def contracts(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
-    return c.select(
+    """Every customer's row; one of the HOUSEHOLD segment has no contract, so its
+    keys and contract columns are null."""
+    c = table(spark, d, "customer")
+    rows = c.select(
         F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("registration_number"),
         F.when(F.col("c_acctbal") < 0, F.lit(None))
          .otherwise(F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("chassis_number"),
@@ -177,4 +179,6 @@ def contracts(spark: SparkSession, d: str) -> DataFrame:
         _ts("1994-01-01").alias("cm_date_start"),
         F.timestamp_add("DAY", F.col("c_nationkey") * 73, _ts("1996-01-01")).alias("cm_date_end"),
         F.when(F.col("c_acctbal") < 0, F.timestamp_add("DAY", F.col("c_nationkey") * 20, _ts("1995-06-01")))
-         .alias("cm_date_removal"))
+         .alias("cm_date_removal"), "c_mktsegment")
+    held = F.col("c_mktsegment") != "HOUSEHOLD"
+    return rows.select(*[F.when(held, F.col(n)).alias(n) for n in rows.columns if n != "c_mktsegment"])
