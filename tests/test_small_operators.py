@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from torqueframe.operators import clean, models, score
+from torqueframe.operators import clean, lloyd, models, score
 from torqueframe.plans import catalog
 from torqueframe.sources import csv, sinks
 
@@ -62,6 +62,6 @@ def test_kmeans_takes_the_best_of_its_starts(spark):
 
 def test_cluster_queries_search_as_widely_as_the_reference(spark, monkeypatch):
     asked = {}
-    monkeypatch.setattr(models, "gap_statistic", lambda df, cols, k_values, **kw: asked.update(k=list(k_values), **kw))
+    monkeypatch.setattr(lloyd, "gap_statistic", lambda df, cols, k_values, **kw: asked.update(k=list(k_values), **kw))
     catalog.gap_statistic(spark, "/root/testdata/sf0.001")
     assert asked == {"k": list(range(1, 30))}  # and the default of 3 reference sets

@@ -247,8 +247,9 @@ def linear_fits(blocks: Blocks, kind: str, cs: Sequence[float], folds: Sequence[
     small = len(c) * (width + 1) ** 2 <= HESSIANS
     for smooth in (SMOOTHINGS if kind == "hinge" else (1.0,)):
         if small:
-            # the hinge's kinks leave little to gain from more digits
-            w, f, more = newton(curved_at(smooth), w, passes, max(tol, 1e-5) if kind == "hinge" else tol)
+            # the hinge's kinks leave little to gain from more digits or passes
+            few = kind == "hinge"
+            w, f, more = newton(curved_at(smooth), w, 40 if few else passes, max(tol, 1e-5) if few else tol)
         else:
             w, f, more = minimise(sloped_at(smooth), w, 1 / np.maximum(diagonal, 1e-12), passes, tol)
         used += more

@@ -113,6 +113,14 @@ def fill_forward_backward(df: DataFrame, keys: Sequence[str], order: Sequence[st
     return out.select(*df.columns)
 
 
+def _whole(col: str, forward, keys: Sequence[str]) -> Column:
+    """The sum over all chunks of a key as two growing frames: up to this chunk,
+    and those after it in the reversed order."""
+    back = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+    upto = F.sum(col).over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return upto + F.coalesce(F.sum(col).over(back.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 HOT_ROWS = 1_000_000  # rows of a key that one task may order
 
 
@@ -162,7 +170,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     offsets = summary.select(
         *keys, CHUNK,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-        *([F.sum("_n").over(Window.partitionBy(*keys)).alias("_of")] if size else []),
+        *([_whole("_n", cw, keys).alias("_of")] if size else []),
         *[F.sum(f"_s_{c}").over(before).alias(f"_o_{c}") for c in cols])
     w = local_window(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
