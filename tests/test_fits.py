@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from torqueframe.operators import blocks as B
-from torqueframe.operators import descent, lloyd, trees
+from torqueframe.operators import descent, forest, lloyd, trees
 
 
 def data(n=600, seed=0):
@@ -197,7 +197,7 @@ def test_logistic_path_equals_mllib(train, monkeypatch, hessians):
 def test_hinge_path_is_no_worse_than_mllib(train):
     x, y, _ = data()
     bl = B.Blocks.of(train, label="y", fold="fold")
-    cs = [0.05, 2.0]
+    cs = [0.05, 2.0, 100.0]
     fits = descent.linear_fits(bl, "hinge", cs, [-1])
 
     def objective(w, b, c):
@@ -268,3 +268,28 @@ def test_scores():
     assert B.scores(counts, "accuracy").tolist() == [0.75, 1.0]
     f1, f0 = 2 * 4 / (8 + 1 + 2), 2 * 5 / (10 + 1 + 2)
     assert B.scores(counts, "f1_weighted")[0] == pytest.approx((f1 * 6 + f0 * 6) / 12)
+
+
+def test_forest_tree_equals_a_plain_one():
+    """With every feature tried and no repetition, a forest's tree is the plain tree."""
+    x, y, _ = data(200)
+    edges = trees.Edges.within(x, 8)
+    bins = edges.encode(x)
+    want = plain_tree(bins, y, np.ones(len(y)), edges, 1, 5)
+    split = np.array([want.get(i, (-1, 0))[0] for i in range(31)])
+    share = np.array([want.get(i, (-1, 0))[1] for i in range(63)])
+    local = bins - edges.offsets[:-1]
+    tree = forest.grow_tree(local, y, np.ones(len(y)), 9, 5, 4, np.random.default_rng(0))
+    for d in (1, 3, 4):
+        assert np.allclose(forest.reached(tree, local, d), share[trees.walk(bins, split, edges.feature, d)])
+
+
+def test_forest_search(spark, train, tmp_path):
+    found = forest.forest_search(train, "y", folds=3, scoring="accuracy", sizes=(3, 8), depths=(2, 12), key="id")
+    assert len(found.scores) == 4 and found.score > 0.65 and len(found.model.trees) == found.best["n_estimators"]
+    assert found.model.importance.argmax() == 0
+    out = found.model.transform(train).select("y", "prediction").toPandas()
+    assert (out["y"] == out["prediction"]).mean() > 0.7
+    found.model.save(spark, str(tmp_path / "f"))
+    again = forest.ForestModel.load(spark, str(tmp_path / "f"))
+    assert np.allclose(again.probability(data()[0]), found.model.probability(data()[0]))

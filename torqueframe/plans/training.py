@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import descent, models, trees
+from ..operators import descent, forest, models, trees
 
 # The grids of the original.
 TREE_LEAVES = (3, 5, 7, 9, 10, 15, 20, 30)
@@ -93,7 +93,7 @@ class VotingModel:
         return cls({n: load(spark, f"{path}/{n}") for n in names})
 
 
-MODELS = {c.__name__: c for c in (MllibModel, VotingModel, trees.StagedModel, descent.LinearModel, descent.NetworkModel)}
+MODELS = {c.__name__: c for c in (MllibModel, VotingModel, trees.StagedModel, forest.ForestModel, descent.LinearModel, descent.NetworkModel)}
 
 
 def _note(spark: SparkSession, what: dict, path: str) -> None:
@@ -129,6 +129,8 @@ def fit(name: str, train: DataFrame, label: str, key: str, n_features: int, scor
         found = descent.linear_search(train, label, "hinge", SVM_CS, folds=folds, scoring=scoring)
     elif name == "neural":
         found = descent.network_search(train, label, folds=folds, scoring=scoring)
+    elif name == "rf" and forest.fits(train.count(), n_features):
+        found = forest.forest_search(train, label, folds=folds, scoring=scoring, key=key)
     elif name in ("rf", "bayes"):
         est, grid = models.classifier_grid(name, label, train.count(), n_features, weighted=name == "rf")
         if not any(grid):  # one point: nothing to choose, as in the original's last fit
