@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter
 
@@ -153,6 +154,58 @@ def test_pii_terms_far_from_their_entity_are_marked_too(make_docs):
     assert got[9] == ""
 
 
+def brute_terms(rows, window=8, support=3, generalise=0.8, remove=0.95):
+    """{doc_id: [(start, kind, end)]} of the terms that tell of an entity, by plain loops."""
+    word = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+    texts = [t or "" for _, t, _ in rows]
+    bases = [pii.base_spans(t) for t in texts]
+    outside = [[m for m in word.finditer(t) if not any(m.start() < e and m.end() > s for s, _, e, _ in b)]
+               for t, b in zip(texts, bases)]
+    total = Counter(m.group().lower() for t in texts for m in word.finditer(t.lower()))
+    n, seen, near = sum(total.values()), Counter(), Counter()
+    for b, free in zip(bases, outside):
+        seen.update(name for _, k, _, v in b for name in pii.levels(k, v))
+        beside = {(name, m) for s, k, _, v in b for name in pii.levels(k, v) for m in
+                  [m for m in free if m.start() < s][-window:] + [m for m in free if m.start() >= s][:window]}
+        near.update((name, m.group().lower()) for name, m in beside)
+    told = {}
+    for (name, term), c in near.items():
+        p = seen[name] / n
+        share = math.log2(c / total[term] / p) / -math.log2(p)
+        if c >= support and share >= generalise:
+            told[name, term] = share
+    out = {}
+    for (i, _, _), b, free in zip(rows, bases, outside):
+        names = {next((x for x in pii.levels(k, v) if seen[x] >= support), None) for _, k, _, v in b}
+        shares = [(m, max((told[x, m.group().lower()] for x in names if (x, m.group().lower()) in told), default=0))
+                  for m in free]
+        out[i] = [(m.start(), "remove" if s >= remove else "generalise", m.end()) for m, s in shares if s]
+    return out
+
+
+def test_pii_terms_equal_plain_loops(make_docs):
+    rng = np.random.default_rng(8)
+    filler = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 90, n))
+    rows = [(i, f"{filler(9)} Clerk desk {filler(2)} p{i}@acme.example answers {filler(20)}", None) for i in range(6)]
+    rows += [(20 + i, f"{filler(5)} host rack 10.0.{i}.7 {filler(3)} or 10.0.{i}.8 rack {filler(9)}", None) for i in range(4)]
+    rows += [(40 + i, f"ring Ada +49 30 1234567 {filler(4)} Ada and q@solo{i}.example {filler(8)}", None) for i in range(4)]
+    rows += [(60, "lone card 4111 1111 1111 1111 here", None), (61, None, None), (62, "", None)]
+    rows += [(100 + i, filler(30) + " desk" * (i % 2), None) for i in range(80)]
+    found = {r.doc_id: r for r in pii.find(make_docs(rows)).collect()}
+    want = brute_terms(rows)
+    got = {i: [(x.start, x.kind, x.end) for x in r.terms or ()] for i, r in found.items()}
+    assert got == want
+    # a rare address is known by its domain, one of a rare domain by being an address
+    marked = {i: {t[s:e] for s, _, e in want[i]} for i, t, _ in rows if t}
+    assert "Clerk" in marked[0] and "answers" in marked[0] and "Ada" in marked[40] and not marked[60] and not marked[100]
+    hashes = {r.doc_id: r.sanitised_sha256 for r in pii.digest(pii.find(make_docs(rows))).collect()}
+    for i, t, _ in rows:
+        spans = [(s, k, e) for s, k, e, _ in pii.base_spans(t or "")] + want[i]
+        clean = pii.sanitise(t or "", spans)
+        assert found[i].sanitised == (clean if pii.base_spans(t or "") else None)
+        assert hashes[i] == hashlib.sha256(clean.encode()).hexdigest()
+
+
 def test_term_totals(make_docs, odd_rows):
     want = Counter(w for _, t, _ in odd_rows for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower()))
     got = pii.term_totals(make_docs(odd_rows), held=500).collect()
