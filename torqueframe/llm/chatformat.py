@@ -43,6 +43,7 @@ FINAL = ("start", "assistant")
 
 COSTS = {"merge": 2, "relabel": 5, "insert": 3}
 BLOCK = 1000  # turns a block holds at most
+TURNS = 16_000  # turns of a task, about
 _BIG = 1 << 40
 
 
@@ -210,9 +211,11 @@ def repair(conversations: DataFrame, costs: dict | None = None, head: str = "<|{
                         for i, r in enumerate(plan.ending(int(end))[1])]
         return pd.DataFrame(out, columns=["conv", "pos", "sub", "new_role", "merged", "inserted", "cost"])
 
-    # blocks of several conversations share a task; no block is split
-    tasks = max(1, -(-slim.count() // (BLOCK * 16)))
-    deal = lambda df, *by: df.withColumn("task", F.pmod(F.xxhash64(*by), F.lit(tasks))).groupBy("task")
+    # blocks of several conversations share a task; no block is split. The number of
+    # partitions is given: AQE would melt them by bytes, but the work goes by turns
+    tasks = max(1, -(-slim.count() // TURNS))
+    deal = lambda df, *by: df.withColumn("task", F.pmod(F.xxhash64(*by), F.lit(tasks))).repartition(
+        tasks, "task").groupBy("task")
     matrices = deal(slim, "conv", "block").applyInPandas(summed, "conv string, block long, matrix array<long>")
     borders = written(deal(matrices, "conv").applyInPandas(
         walked, "conv string, block long, begin int, end int, cost long, last boolean"), "borders")
