@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from torqueframe.functions.numeric import probit
-from torqueframe.operators import clustering, history, ordered
+from torqueframe.operators import clustering, history, metrics, ordered, quantiles
 
 
 def _pandas_history(pdf):
@@ -153,3 +153,29 @@ def test_knn_ties_break_by_id(spark, monkeypatch, prune):
     got = neighbors.knn_neighbours(train, queries, "v", "id", k=3, prune=prune).toPandas()
     assert sorted(got[got.qid == 500].tid.tolist()) == [1, 2, 3]
     assert sorted(got[got.qid == 501].tid.tolist()) == [1, 2, 100]
+
+
+def test_history_of_large_configurations_takes_bracketed_quantiles(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(k, i, float(rng.normal()) if i % 7 else None) for k, n in (("a", 900), ("b", 40), ("c", 1)) for i in range(n)]
+    rows += [(None, i, 1.0) for i in range(3)] + [("d", i, None) for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, t int, new_score double").withColumns(
+        {"margem_percentagem": F.lit(1.0), "stock_days": F.lit(2.0)})
+    want = history.config_history(df, ["k"], ["t"], chunk=F.floor(F.col("t") / 50)).toPandas()
+    monkeypatch.setattr(history, "PERCENTILE_ROWS", 100)
+    monkeypatch.setattr(quantiles, "FEW", 60)
+    got = history.config_history(df, ["k"], ["t"], chunk=F.floor(F.col("t") / 50)).toPandas()
+    a, b = (x.sort_values(["k", "t"]).reset_index(drop=True) for x in (want, got))
+    pd.testing.assert_frame_equal(a, b)
+    assert history.without_configuration(df, ["k"]).first()[0] == 3
+
+
+def test_roc_points_of_many_ranges(spark):
+    rng = np.random.default_rng(4)
+    gt, score = rng.integers(0, 2, 3000), np.concatenate([rng.normal(size=2000).round(2), np.full(999, 0.5), [1e9]])
+    df = spark.createDataFrame([(int(g), float(s)) for g, s in zip(gt, score)], "gt int, score double")
+    got = {r.threshold: (r.fpr, r.tpr) for r in metrics.roc_points(df.repartition(5), "gt", "score").collect()}
+    for t in np.unique(score):
+        up = score >= t
+        assert got[t] == pytest.approx(((up & (gt == 0)).sum() / (gt == 0).sum(), (up & (gt == 1)).sum() / (gt == 1).sum()))
+    assert len(got) == len(np.unique(score))

@@ -31,6 +31,23 @@ def test_visits_and_contracts(spark):
     assert c.cm_years == 2.0 and c.cm_date_end == dt.datetime(2017, 1, 31)
 
 
+def test_visit_rows_keep_their_place_under_any_split(spark):
+    d = tempfile.mkdtemp(prefix="tf-src-")
+    head = "Customer;Registration_Number;Vehicle_In_Date;Registration_Date_PSE;Registration_Date_VHE;NLR_Code;Kms;SLR_Document_Account\n"
+    for f, lines in (("b.csv", 400), ("a.csv", 250)):
+        _write(d, f, head + "".join(f"{f[0]}{i};98-IQ-85;2017-05-01;;;4;{i};101\n" for i in range(lines)))
+    want = [f"a{i}" for i in range(250)] + [f"b{i}" for i in range(400)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "4k", "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = C.read_visits(spark, d).collect()
+            assert [r.customer for r in sorted(rows, key=lambda r: r.source_row)] == want
+            assert sorted(r.source_row for r in rows) == list(range(650))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_option_lines_decimal_comma(spark):
     d = tempfile.mkdtemp(prefix="tf-src-")
     p = _write(d, "enc.csv", "Nº Stock;Opcional;Custo;Margem;Data Compra;Data Venda\n"

@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .joins import attach_per_group
 from .ordered import CHUNK, chunk_window, local_window, with_chunk
+from .quantiles import exact_quantiles as bracketed_quantiles
+
+PERCENTILE_ROWS = 1_000_000  # sales of a configuration whose scores one buffer may hold
 
 HISTORY_COLUMNS = [
     "prev_sales_check", "number_prev_sales", "last_score", "last_margin", "last_stock_days",
@@ -44,6 +47,14 @@ HISTORY_COLUMNS = [
 ]
 
 
+def without_configuration(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many rows have a null key, and so no history."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return df.agg(F.count_if(~known).alias("without_configuration"))
+
+
 def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    score: str = "new_score", margin: str = "margem_percentagem",
                    days: str = "stock_days", chunk: Column | None = None,
@@ -53,7 +64,12 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``keys`` is the configuration, ``order`` a total order of sales inside it
     (sell date first, then a unique tie-break). ``chunk`` must be a
     non-decreasing function of ``order`` (e.g. ``to_date(sell_date)``).
-    Rows with a null key are dropped (a null key is no configuration).
+    Rows with a null key are dropped (a null key is no configuration;
+    :func:`without_configuration` counts them).
+
+    Quantiles are exact. Where some configuration has more than
+    ``PERCENTILE_ROWS`` sales they come from :func:`.quantiles.exact_quantiles`,
+    whose state is bounded, else from Spark's ``percentile``; the values are equal.
     """
     keys, order = list(keys), list(order)
     notnull = F.lit(True)
@@ -106,16 +122,19 @@ def config_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # 3. whole-configuration statistics, partially aggregated before the
     #    shuffle; attached with a broadcast when the number of
     #    configurations (checked first) is small enough, else a merge join
-    if exact_quantiles:
-        q = F.percentile(x, [0.75, 0.5, 0.25])
-    else:
-        q = F.percentile_approx(x, [0.75, 0.5, 0.25], 10000).cast("array<double>")
     rows = cut_lineage(rows)
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_size"),
-        F.stddev_pop("average_score_dynamic").alias("_dyn_std"),
-        F.avg(x).alias("_avg"), F.min(x).alias("_min"), F.max(x).alias("_max"),
-        q.alias("_q"))
+    aggs = [F.count(F.lit(1)).alias("_size"), F.stddev_pop("average_score_dynamic").alias("_dyn_std"),
+            F.avg(x).alias("_avg"), F.min(x).alias("_min"), F.max(x).alias("_max")]
+    qs = [0.75, 0.5, 0.25]
+    # positions run to the size of the configuration
+    largest = rows.agg(F.max("_pos")).first()[0] or 0 if exact_quantiles else 0
+    if largest > PERCENTILE_ROWS:
+        found = bracketed_quantiles(rows.withColumn("_x", x), keys, "_x", qs).select(
+            *keys, F.array("q0", "q1", "q2").alias("_q"))
+        stats = rows.groupBy(*keys).agg(*aggs).join(found, keys, "left")
+    else:
+        q = F.percentile(x, qs) if exact_quantiles else F.percentile_approx(x, qs, 10000).cast("array<double>")
+        stats = rows.groupBy(*keys).agg(*aggs, q.alias("_q"))
     out = attach_per_group(rows, stats, keys, bytes_per_group=160)
     multi = F.col("_size") > 1
 

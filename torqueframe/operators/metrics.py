@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ordered import quantile_chunk, running_sums
+from .ordered import running_sums
 
 
 def confusion_counts(df: DataFrame, gt: str, pred: str, normalize: bool = False) -> DataFrame:
@@ -88,22 +88,19 @@ def unscored(df: DataFrame, score: str) -> DataFrame:
     return df.agg(F.count_if(F.col(score).isNull()).alias("unscored"))
 
 
-def roc_points(df: DataFrame, gt: str, score: str, positive=1, buckets: int = 256) -> DataFrame:
+def roc_points(df: DataFrame, gt: str, score: str, positive=1) -> DataFrame:
     """ROC points per distinct score (thresholds descending): ``fpr``, ``tpr``.
-    Distinct scores are first reduced by a ``groupBy``; the running counts
-    use the chunked scan with up to ``buckets`` score ranges of about equal
-    counts as chunks (approximate quantiles, read on the driver: ``buckets``
-    numbers), so no single task orders all thresholds and an outlier does not
-    collapse the ranges. Rows with a null score are no point (see
+    Distinct scores are first reduced by a ``groupBy`` and written once, dealt to
+    ranges as Spark's own sort does (sampled bounds, as many ranges as the shuffle
+    has partitions, small ones merged). A range is a chunk of the chunked scan, so
+    no single task orders all thresholds and an outlier does not collapse them. Rows with a null score are no point (see
     :func:`unscored`)."""
     df = df.where(F.col(score).isNotNull())
     pos = (F.col(gt) == F.lit(positive)).cast("bigint")
-    per = cut_lineage(df.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")))  # read four times below
-    # falls as the threshold rises
-    chunk = -quantile_chunk(per, "threshold", buckets)
-    ordered = running_sums(per.withColumn("_t", -F.col("threshold")), [], ["_t"], ["pos", "neg"],
-                           chunk=chunk, position=None)
+    per = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
+    per = cut_lineage(per.withColumn("_t", -F.col("threshold")).repartitionByRange("_t").withColumn(
+        "_range", F.spark_partition_id()))  # read three times below
+    ordered = running_sums(per, [], ["_t"], ["pos", "neg"], chunk=F.col("_range"), position=None)
     tot = per.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     return ordered.select("threshold", "pos", "neg",
                           F.try_divide(F.col("cum_neg"), tot["n"]).alias("fpr"),

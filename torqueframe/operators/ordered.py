@@ -197,11 +197,11 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], chunk: Column | Non
     """Global 1-based position of each row in ``order`` (a list of sort
     Columns, nulls placement stated), computed with a chunked scan instead of
     a single-task global window. ``chunk`` must be non-decreasing in that order;
-    without it, the rows are dealt to ranges of the whole sort key (Spark samples
-    their bounds) and written once, and a range is a chunk."""
+    without it, the rows are dealt to ranges of the whole sort key as Spark's own
+    sort does (sampled bounds, ``spark.sql.shuffle.partitions`` ranges, small ones
+    merged) and written once, and a range is a chunk."""
     if chunk is None:
-        n = 2 * df.sparkSession.sparkContext.defaultParallelism
-        with_c = cut_lineage(df.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id()))
+        with_c = cut_lineage(df.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id()))
     else:
         with_c = with_chunk(df, chunk)
     w = Window.partitionBy(CHUNK).orderBy(*order)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import months_to_years
 from ..operators.clean import lower_column_names, rename
+from ..operators.ordered import sorted_positions
 
 
 def _parse_ts(c: str, fmt: str | None) -> Column:
@@ -67,13 +68,15 @@ VISIT_DATES = ["Vehicle_In_Date", "Registration_Date_PSE", "Registration_Date_VH
 def read_visits(spark: SparkSession, paths, date_format: str | None = None) -> DataFrame:
     """Visit extracts (A1): ';'-separated UTF-8, string keys, three dates,
     names lower-cased, ``(no column name)`` → ``total``. The original uses
-    file order as time order; ``source_file`` and ``source_row`` (increasing
-    in file order within one scan, not stable across scans) make that order
-    an explicit column."""
+    file order as time order; ``source_file`` and ``source_row`` (the row's place
+    in the files by name, from 0) make that order explicit columns. They hang on
+    file, place in the file and nothing else: other splits give the same rows."""
     df = read_delimited(spark, paths, ";", True, "UTF-8", date_cols=VISIT_DATES, date_format=date_format,
                         types={"NLR_Code": "bigint", "Kms": "bigint", "SLR_Document_Account": "bigint"})
-    df = df.withColumn("source_file", F.col("_metadata.file_path")) \
-           .withColumn("source_row", F.monotonically_increasing_id())
+    df = df.withColumns({"source_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+                         "_at": F.monotonically_increasing_id()})  # rises within a block
+    df = sorted_positions(df, [F.asc("source_file"), F.asc("_block"), F.asc("_at")], position="source_row").withColumn(
+        "source_row", F.col("source_row") - 1).drop("_block", "_at")
     df = lower_column_names(df)
     if "(no column name)" in df.columns:
         df = rename(df, {"(no column name)": "total"}).withColumn("total", F.replace(F.col("total"), F.lit(","), F.lit(".")).try_cast("double"))
