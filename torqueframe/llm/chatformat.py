@@ -214,7 +214,8 @@ def repair(conversations: DataFrame, costs: dict | None = None, head: str = "<|{
     # blocks of several conversations share a task; no block is split. The number of
     # partitions is given: AQE would melt them by bytes, but the work goes by turns
     tasks = max(1, -(-slim.count() // TURNS))
-    deal = lambda df, *by: df.withColumn("task", F.pmod(F.xxhash64(*by), F.lit(tasks))).repartition(
+    # many small groups, so that the hash of their numbers fills the partitions evenly
+    deal = lambda df, *by: df.withColumn("task", F.pmod(F.xxhash64(*by), F.lit(16 * tasks))).repartition(
         tasks, "task").groupBy("task")
     matrices = deal(slim, "conv", "block").applyInPandas(summed, "conv string, block long, matrix array<long>")
     borders = written(deal(matrices, "conv").applyInPandas(
