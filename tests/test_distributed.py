@@ -4,6 +4,7 @@ routed fill and the bucketed hand-over, against plain versions."""
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,16 @@ def test_bucketed_lines_need_no_exchange(spark, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan, plan
     assert price_total(own, "vehicle", "cost").agg(F.sum("price_total")).first()[0] == pytest.approx(1.5 * 1999 * 1000)
+
+
+def test_probes_of_many_cells_come_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(pivots, "PROBES", 100)
+    rng = np.random.default_rng(6)
+    x, centres = rng.standard_normal((50, 4)), rng.standard_normal((30, 4))
+    pdf = pd.DataFrame({"qid": range(50), "qv": list(x), "qgrp": 0, "radius": 1.0})
+    at, cells = np.repeat(np.arange(50), 30), np.tile(np.arange(30), 50).astype(np.int32)
+    pieces = list(pivots._asked(pdf, at, cells, centres))
+    assert max(map(len, pieces)) == 100
+    got = pd.concat(pieces)
+    assert got["qid"].tolist() == at.tolist() and got["cell"].tolist() == cells.tolist()
+    assert np.allclose(got["dq"], np.linalg.norm(x[at] - centres[cells], axis=1))

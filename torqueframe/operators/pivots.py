@@ -28,6 +28,7 @@ from .blocks import Blocks
 
 MAX_PIVOTS = 1024
 TILE = 2048  # points, and queries, that a task compares
+PROBES = 1 << 14  # (query, cell) rows, each with the query's vector, that a task holds at a time
 
 
 @dataclass
@@ -132,6 +133,17 @@ def _tiles(index: PivotIndex, asked: DataFrame, k: int) -> DataFrame:
         run, f"qid {kinds['qid']}, tid {kinds['tid']}, label {kinds['label']}, d2 double")
 
 
+def _asked(pdf: pd.DataFrame, at: np.ndarray, cells: np.ndarray, pivots: np.ndarray):
+    """Rows ``at`` of the queries with the cell that each asks, a bounded number at
+    a time: a batch of queries may ask every cell, each time with its vector."""
+    for lo in range(0, len(at), PROBES):
+        cell = cells[lo:lo + PROBES]
+        out = pdf.iloc[at[lo:lo + PROBES]].copy()
+        out["cell"] = cell
+        out["dq"] = np.sqrt(_distance(np.stack(out["qv"].to_numpy()), pivots[cell]))
+        yield out[["qid", "qv", "qgrp", "radius", "cell", "dq"]]
+
+
 def search(index: PivotIndex, queries: DataFrame, vec: str, id_col: str, k: int, group: str | None = None) -> DataFrame:
     """(qid, tid, label, d2, rank): the k nearest points of every query with a
     vector, ties to the smaller id; points of the query's own group are passed
@@ -164,11 +176,7 @@ def search(index: PivotIndex, queries: DataFrame, vec: str, id_col: str, k: int,
                     at.append(np.full(len(own), i))
                     cells.append(own)
                 at, cells = np.concatenate(at), np.concatenate(cells).astype(np.int32)
-                if len(at):
-                    out = pdf.iloc[at].copy()
-                    out["cell"] = cells
-                    out["dq"] = np.sqrt(_distance(np.stack(out["qv"].to_numpy()), pivots[cells]))
-                    yield out[["qid", "qv", "qgrp", "radius", "cell", "dq"]]
+                yield from _asked(pdf, at, cells, pivots)
         return run
 
     schema = f"qid {qid}, qv array<double>, qgrp int, radius double, cell int, dq double"
