@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from torqueframe.operators import encode, neighbour_info, ordered, pivots, quantiles
@@ -166,3 +167,15 @@ def test_probes_of_many_cells_come_in_bounded_pieces(monkeypatch):
     got = pd.concat(pieces)
     assert got["qid"].tolist() == at.tolist() and got["cell"].tolist() == cells.tolist()
     assert np.allclose(got["dq"], np.linalg.norm(x[at] - centres[cells], axis=1))
+
+
+def test_sparse_reversal_does_not_widen_rows(spark):
+    df = spark.range(3000).select((F.col("id") % 1500).cast("string").alias("a"))
+    out = encode.reverse_sparse(encode.sparse_one_hot(df, ["a"]).transform(df), ["a"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "vector_to_array" not in plan and plan.count("1499") == 0  # no dense vector, no name in the plan
+    assert out.where("a <=> a_value").count() == 3000
+    dense = spark.createDataFrame([(Vectors.dense([0.0, 1.0]),), (Vectors.dense([0.0, 0.0]),)], ["b_ohe"])
+    names = {"ml_attr": {"attrs": {"binary": [{"idx": 0, "name": "x"}, {"idx": 1, "name": "y"}]}}}
+    dense = dense.withColumn("b_ohe", F.col("b_ohe").alias("b_ohe", metadata=names))
+    assert sorted(map(str, (r["b_value"] for r in encode.reverse_sparse(dense, ["b"]).collect()))) == ["None", "y"]
