@@ -179,3 +179,17 @@ def test_sparse_reversal_does_not_widen_rows(spark):
     names = {"ml_attr": {"attrs": {"binary": [{"idx": 0, "name": "x"}, {"idx": 1, "name": "y"}]}}}
     dense = dense.withColumn("b_ohe", F.col("b_ohe").alias("b_ohe", metadata=names))
     assert sorted(map(str, (r["b_value"] for r in encode.reverse_sparse(dense, ["b"]).collect()))) == ["None", "y"]
+
+
+def test_quantiles_read_their_input_once(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", 50)
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"))
+    got = quantiles.exact_quantiles(df.mapInArrow(passed, df.schema), ["g"], "x", [0.5]).collect()
+    assert {r["g"]: r["q0"] for r in got} == {0: 2499.0, 1: 2500.0} and read.value == 5000
