@@ -193,3 +193,25 @@ def test_quantiles_read_their_input_once(spark, monkeypatch):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"))
     got = quantiles.exact_quantiles(df.mapInArrow(passed, df.schema), ["g"], "x", [0.5]).collect()
     assert {r["g"]: r["q0"] for r in got} == {0: 2499.0, 1: 2500.0} and read.value == 5000
+
+
+def test_members_and_weights_read_sales_once(spark, monkeypatch):
+    from torqueframe.plans import catalog
+    from torqueframe.plans import standins as si
+    plain, read = si.sales, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    def sales(s, d):
+        df = plain(s, d)
+        return df.mapInArrow(counted, df.schema)
+
+    monkeypatch.setattr(si, "sales", sales)
+    rows = plain(spark, "/root/testdata/sf0.001").count()
+    for name in ("run_report", "soft_vote", "run_comparison", "class_weights", "cv_folds"):
+        before = read.value
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        assert read.value - before == rows, name
