@@ -215,3 +215,21 @@ def test_members_and_weights_read_sales_once(spark, monkeypatch):
         before = read.value
         catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
         assert read.value - before == rows, name
+
+
+def test_running_sums_deal_rows_once(spark):
+    df = spark.range(400).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"))
+    kept = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = ordered.running_sums(df, ["k"], ["id"], ["id"], chunk=F.floor(F.col("id") / 50), size="n")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: (r["_pos"], r["n"], r["cum_id"]) for r in out.collect()}
+    finally:
+        for c, v in kept.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    assert plan.count("Exchange hashpartitioning") == 4  # the rows once, the chunk summary three times
+    for k in (0, 1, 2):  # 0 is the null key
+        own = list(range(k, 400, 3))
+        assert [got[i] for i in own] == [(p + 1, len(own), sum(own[:p + 1])) for p in range(len(own))]
