@@ -330,3 +330,22 @@ def test_long_benchmark_items_are_searched_in_parts(spark, make_docs, monkeypatc
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     docs = make_docs([(1, item, None), (2, " ".join(f"v{i}" for i in range(20, 50)), None), (3, "v1 v2 v3 v4 v5 v6", None)])
     assert {r.doc_id for r in decontam.leaks(docs, bench).collect()} == {1, 2}
+
+
+def test_windows_are_listed_without_the_shingles_of_their_document(spark, make_docs, monkeypatch):
+    # an explode holds all its rows at once: thousands of windows with a long document each do not fit
+    plans, write = {}, decontam.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(decontam, "written", watched)
+    items = [(j, " ".join(f"v{j}x{i}" for i in range(14 + 9 * j))) for j in range(4)]
+    docs = [(d, " ".join(f"{items[(d + n) % 4][1]} u{n} t{d} {items[n % 4][1]}" for n in range(8))) for d in range(3)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.leaks(make_docs([(*r, None) for r in docs]), bench).collect()}
+    want = brute_leaks(docs, items)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+    listed = [line for line in plans["window-prints"].splitlines() if "Generate explode" in line]
+    assert listed and not any(re.search(r"\bsh#\d+", line) for line in listed)

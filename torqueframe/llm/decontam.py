@@ -137,31 +137,36 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: flo
     own = written(own.withColumn("key", F.xxhash64("doc_id", "text_key")), "benchmark-candidates")
     hits = own.select("key", F.posexplode("sh").alias("p", "g")).join(near, "g", "left_semi").groupBy("key").agg(
         F.array_sort(F.collect_list("p")).alias("hits"))
-    held = F.size(F.filter("hits", lambda h: (h >= F.col("p")) & (h < F.col("p") + F.col("size"))))
-    windows = (own.join(hits, "key").withColumn("p", F.explode("hits"))
-               .withColumn("size", F.explode(F.array(*[F.lit(s) for s in sorted(sizes)])))
-               .where(held >= F.col("size") - (1 - threshold) * ratio * F.col("size") - 1)
-               .select("key", "p", "size", F.slice("sh", F.col("p") + 1, F.col("size")).alias("bag")))
+    # of a window that begins at the i-th hit, as many hits as needed are in it if the last of them is
+    held = {n: max(1, math.ceil(n - (1 - threshold) * ratio * n - 1)) for n in sorted(sizes)}
+    need = F.array(*[F.struct(F.lit(n).alias("size"), F.lit(h).alias("held")) for n, h in held.items()])
+    enough = lambda p, i: F.filter(need, lambda s: F.get("hits", i + s["held"] - 1) < p + s["size"])["size"]
+    starts = hits.select("key", F.explode(F.transform("hits", lambda p, i: F.struct(
+        p.alias("p"), enough(p, i).alias("sizes")))).alias("s"))
+    places = starts.select("key", "s.p", F.explode("s.sizes").alias("size"))
+    # joined place by place: an explode holds all its rows at once, so none carries the shingles of a document
+    windows = places.hint("merge").join(own.select("key", "sh"), "key").select(
+        "key", "p", "size", F.slice("sh", F.col("p") + 1, F.col("size")).alias("bag"))
     windows = written(with_simhash(windows, "print", lane=lane).drop("bag"), "window-prints")
     blocks = blocks_of(radius)
     cut = lambda c: F.array(*[_block(F.col(c), at, bits) for at, bits in blocks])
     left = windows.select("key", "p", "size", "print", F.posexplode(cut("print")).alias("block", "value"))
     right = items.select("item_id", "size", "item_print", F.posexplode(cut("item_print")).alias("block", "value"),
                          "m", "bag")
-    right = right.select(F.xxhash64("item_id", "bag").alias("item_key"), "size", "item_print", "block", "value")
+    right = right.select(F.xxhash64("item_id", "bag").alias("item_key"), "size", "item_print", "block", "value", "m")
     differ = F.col("print").bitwiseXOR(F.col("item_print"))
     first = F.lit(True)  # a pair counts in the first block that it shares
     for b, (at, bits) in enumerate(blocks):
         first = first & ((F.col("block") <= b) | (_block(differ, at, bits) != 0))
     right = F.broadcast(right) if small_enough(right) else right
     pairs = left.join(right, ["size", "block", "value"]).where(
-        (F.bit_count(differ) <= radius) & first).select("key", "p", "item_key")
+        (F.bit_count(differ) <= radius) & first).select("key", "p", "item_key", "m")
     pairs = written(pairs, "window-pairs")
     kinds = items.select(F.xxhash64("item_id", "bag").alias("item_key"), "item_id", "m", "bag").dropDuplicates(["item_key"])
     # windows first: rows with bags look small when compressed, and would be broadcast
     found = pairs.hint("merge").join(own.select("key", "doc_id", "text_key", "sh"), "key").select(
-        "doc_id", "text_key", "item_key", "p", "sh").join(kinds, "item_key").withColumn(
-        "window", F.slice("sh", F.col("p") + 1, F.col("m")))
+        "doc_id", "text_key", "item_key", "p", F.slice("sh", F.col("p") + 1, F.col("m")).alias("window")).join(
+        kinds, "item_key")
     both = overlap(F.col("window"), F.col("bag"))
     found = found.withColumn("similarity", both / (F.size("window") + F.col("m") - both).cast("double"))
     best = F.max_by(F.struct("similarity", "p", F.size("window").alias("n")),
