@@ -254,6 +254,19 @@ def test_lloyd_equals_a_plain_loop(spark):
     assert sorted(r["count"] for r in got) == [100, 100, 100]
 
 
+def test_blocks_are_dealt_to_all_tasks(spark):
+    n = 12 * 10_000
+    df = spark.range(n, numPartitions=1).select(F.array(F.col("id").cast("double")).alias("features"))
+    lone = df.union(df.where("false"))
+    bl = B.Blocks.of(lone, keep=False)
+    sizes = bl.rdd.mapPartitions(lambda b: [sum(len(x.y) for x in b)]).collect()
+    assert len(sizes) == min(12, max(1, spark.sparkContext.defaultParallelism)) and max(sizes) <= n / 2
+    firsts = bl.rdd.map(lambda b: (float(b.x[0, 0]), len(b.y))).collect()
+    assert firsts == [(float(i), 10_000) for i in range(0, n, 10_000)]  # none is cut, merged or moved past another
+    empty = B.Blocks.of(df.where("false"), keep=False)
+    assert empty.rdd.count() == 0
+
+
 def test_gap_statistic_names_its_k(spark):
     rows = [(float(a), float(b)) for a, b in blobs(240)] + [(None, 1.0)]
     got = lloyd.gap_statistic(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], range(1, 7)).toPandas()
