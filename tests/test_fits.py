@@ -267,6 +267,20 @@ def test_blocks_are_dealt_to_all_tasks(spark):
     assert empty.rdd.count() == 0
 
 
+def test_sums_reach_the_driver_once(spark, monkeypatch):
+    added, calls = B._added, []
+
+    def watched(a, b):
+        calls.append(1)  # seen here only if the driver itself adds
+        return added(a, b)
+
+    monkeypatch.setattr(B, "_added", watched)
+    for tasks in (1, 3, 12):
+        df = spark.range(120, numPartitions=tasks).select(F.array(F.col("id").cast("double")).alias("features"))
+        got = B.Blocks.of(df, keep=False).summed(lambda b: [b.x.sum(0), np.array([len(b.y)])])
+        assert got[0].tolist() == [7140.0] and got[1].tolist() == [120] and not calls
+
+
 def test_gap_statistic_names_its_k(spark):
     rows = [(float(a), float(b)) for a, b in blobs(240)] + [(None, 1.0)]
     got = lloyd.gap_statistic(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], range(1, 7)).toPandas()
