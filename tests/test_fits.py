@@ -227,6 +227,28 @@ def test_linear_and_network_search(spark, train, tmp_path):
     assert np.allclose(again.margin(data()[0]), net.model.margin(data()[0]))
 
 
+def test_boosting_holds_few_rows_at_a_time(train, monkeypatch):
+    edges = trees.Edges.of(train)
+    bl = B.Blocks.of(train, "features", "y", "fold").mapped(lambda b: b._replace(x=edges.encode(b.x)))
+    members = [trees.Member(f) for f in range(3)] + [trees.Member(-1, 5, np.array([0, 2]))]
+    seen, write = [], trees.binned_sums
+    local = [B.Block(*z) for z in bl.rdd.collect()]
+
+    class Here:  # the same blocks in this process, where the sizes can be seen
+        def summed(self, fn):
+            return [sum(z) for z in zip(*map(fn, local))]
+
+    monkeypatch.setattr(trees, "binned_sums", lambda bins, *z: (seen.append(len(bins)), write(bins, *z))[1])
+    whole = {k: trees.boost(Here(), edges, members, 5, k, d) for k, d in (("samme", 1), ("boost", 2))}
+    monkeypatch.setattr(trees, "TILE", 4 * 50)
+    seen.clear()
+    for k, d in (("samme", 1), ("boost", 2)):
+        again = trees.boost(Here(), edges, members, 5, k, d)
+        assert (again.split == whole[k].split).all() and np.allclose(again.leaf, whole[k].leaf)
+    assert max(seen) <= 50
+    bl.done()
+
+
 def plain_lloyd(x, c, rounds):
     for _ in range(rounds):
         near = ((x[:, None] - c) ** 2).sum(2).argmin(1)
