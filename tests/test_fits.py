@@ -1,5 +1,8 @@
 """Batched fits against plain versions and MLlib."""
 
+import threading
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LinearSVC, LogisticRegression
@@ -8,6 +11,8 @@ from pyspark.sql import functions as F
 
 from torqueframe.operators import blocks as B
 from torqueframe.operators import descent, forest, lloyd, trees
+from torqueframe.operators.blocks import Block
+from torqueframe.plans import training
 
 
 def data(n=600, seed=0):
@@ -342,3 +347,8 @@ def test_forest_search(spark, train, tmp_path):
     found.model.save(spark, str(tmp_path / "f"))
     again = forest.ForestModel.load(spark, str(tmp_path / "f"))
     assert np.allclose(again.probability(data()[0]), found.model.probability(data()[0]))
+
+
+def test_forest_takes_a_byte_a_value():
+    assert forest.fits(250_000, 91) and not forest.fits(10_000_000, 91)
+    assert max(len(c) + 1 for c in trees.Edges.within(np.random.default_rng(0).normal(size=(5000, 2))).cuts) <= 256
