@@ -349,6 +349,26 @@ def test_forest_search(spark, train, tmp_path):
     assert np.allclose(again.probability(data()[0]), found.model.probability(data()[0]))
 
 
+def test_equal_nodes_of_a_tree_grid_are_counted_once():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 4))
+    edges = trees.Edges.within(x)
+    block = Block(edges.encode(x), (x[:, 0] + x[:, 1] > 0).astype(float), np.arange(3000) % 5, None, None)
+    nodes = []
+
+    class Here:
+        def summed(self, fn):
+            out = fn(block)
+            nodes.append(len(out[0]))
+            return out
+
+    grid = trees.grow(Here(), edges, [*range(5), -1], (1, 2, 3, 4), 3)
+    assert nodes[:2] == [6, 12]  # for each fold, not for each of the 24 trees
+    alone = trees.grow(Here(), edges, [3], (4,), 3)
+    t = next(i for i, (f, m) in enumerate(zip(grid.folds, grid.min_rows)) if (f, m) == (3, 4))
+    assert np.array_equal(grid.split[t], alone.split[0]) and np.array_equal(grid.counts[t], alone.counts[0])
+
+
 def test_forest_takes_a_byte_a_value():
     assert forest.fits(250_000, 91) and not forest.fits(10_000_000, 91)
     assert max(len(c) + 1 for c in trees.Edges.within(np.random.default_rng(0).normal(size=(5000, 2))).cuts) <= 256
