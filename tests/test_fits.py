@@ -372,3 +372,30 @@ def test_equal_nodes_of_a_tree_grid_are_counted_once():
 def test_forest_takes_a_byte_a_value():
     assert forest.fits(250_000, 91) and not forest.fits(10_000_000, 91)
     assert max(len(c) + 1 for c in trees.Edges.within(np.random.default_rng(0).normal(size=(5000, 2))).cuts) <= 256
+
+
+def test_network_holds_few_rows_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(20_000, 6))
+    block = Block(x, (x[:, 0] > 0).astype(float), np.arange(20_000) % 10, None, None)
+
+    class Here:
+        def summed(self, fn):
+            return fn(block)
+
+        def done(self):
+            pass
+
+    monkeypatch.setattr(descent.Blocks, "of", classmethod(lambda cls, *a, **k: Here()))
+
+    def found():
+        return descent.network_search(None, "y", passes=3)
+
+    tracemalloc.start()
+    tiled = found()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # a layer of all rows is 16 MB
+    monkeypatch.setattr(descent, "TILE", 1 << 20)
+    whole = found()
+    assert np.allclose(tiled.model.hidden, whole.model.hidden) and np.allclose(tiled.model.out, whole.model.out)
