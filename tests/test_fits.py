@@ -399,3 +399,15 @@ def test_network_holds_few_rows_at_a_time(monkeypatch):
     monkeypatch.setattr(descent, "TILE", 1 << 20)
     whole = found()
     assert np.allclose(tiled.model.hidden, whole.model.hidden) and np.allclose(tiled.model.out, whole.model.out)
+
+
+def test_vote_searches_several_models_at_a_time(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=30)
+
+    def fit(name, *rest):
+        both.wait()
+        return training.Fitted({"name": name}, None, [], name)
+
+    monkeypatch.setattr(training, "fit", fit)
+    found = training.vote(spark.range(1), "y", "id", 1, voters=("dt", "lr"))
+    assert found.best == {"dt": {"name": "dt"}, "lr": {"name": "lr"}} and list(found.model.members) == ["dt", "lr"]
