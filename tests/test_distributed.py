@@ -233,3 +233,36 @@ def test_running_sums_deal_rows_once(spark):
     for k in (0, 1, 2):  # 0 is the null key
         own = list(range(k, 400, 3))
         assert [got[i] for i in own] == [(p + 1, len(own), sum(own[:p + 1])) for p in range(len(own))]
+
+
+def test_a_tile_orders_few_pairs():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from torqueframe.operators import neighbors
+
+    rng = np.random.default_rng(4)
+    tv, qv = rng.normal(size=(2000, 8)), rng.normal(size=(1500, 8))
+    tv[:40] = tv[40]           # copies: ties go to the smaller id
+    qv[:5] = tv[40]
+    tv[50], qv[6] = 1e160, 1e160  # their squares overflow, their distance is 0
+    tv[60] = np.nan
+    ids = rng.permutation(2000)
+    t = pd.DataFrame({"tid": ids, "tv": list(tv), "tp": 0.0, "label": ids % 3})
+    q = pd.DataFrame({"qid": np.arange(1500), "qv": list(qv), "p": 0.0, "r": np.inf, "r2": np.inf})
+    tracemalloc.start()
+    out = neighbors._tile_top_k(5, True)(q, t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # three arrays of all pairs are 72 MB
+    for i in [*range(10), 700, 1499]:
+        d2 = np.zeros(len(tv))
+        for j in range(8):
+            d2 += (qv[i, j] - tv[:, j]) ** 2
+        order = np.lexsort((ids, d2))[:5]
+        order = order[np.isfinite(d2[order])]
+        own = out[out["qid"] == i]
+        assert own["tid"].tolist() == ids[order].tolist() and own["d2"].tolist() == d2[order].tolist()
+        assert own["label"].tolist() == (ids[order] % 3).tolist()

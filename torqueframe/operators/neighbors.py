@@ -154,12 +154,15 @@ def _tiled(qb: DataFrame, tb: DataFrame, k: int, label: str | None,
 
 TILE_ROWS = 2048
 BRUTE_FORCE_TILES = 4
+SLICE_ROWS = 256   # queries of a tile whose distances are held at a time
 
 
 def _tile_top_k(k: int, with_label: bool):
-    """Exact squared distances of one tile (numpy, summed over coordinates in
-    order like the column expression), the band and radius tests, and the k
-    smallest (d2, tid) per query of the tile."""
+    """The k smallest (d2, tid) per query of one tile among its pairs that pass the
+    band and radius tests. A matrix product gives every distance to within a
+    rounding bound; pairs that the bound does not put behind k others get their
+    exact squared distance (summed over coordinates in order like the column
+    expression), and those alone are ordered."""
     import numpy as np
     import pandas as pd
 
@@ -170,22 +173,44 @@ def _tile_top_k(k: int, with_label: bool):
             return pd.DataFrame({c: pd.Series(dtype="float64" if c == "d2" else "int64") for c in cols})
         qv = np.stack(q["qv"].to_numpy()).astype("float64")
         tv = np.stack(t["tv"].to_numpy()).astype("float64")
-        d2 = np.zeros((len(q), len(t)))
-        for j in range(qv.shape[1]):
-            diff = qv[:, j, None] - tv[None, :, j]
-            d2 += diff * diff
         p, r, r2 = (q[c].to_numpy("float64") for c in ("p", "r", "r2"))
-        ok = (np.abs(t["tp"].to_numpy("float64")[None, :] - p[:, None]) <= r[:, None]) & (d2 <= r2[:, None])
-        d2 = np.where(ok, d2, np.inf)
-        tid = t["tid"].to_numpy()
-        order = np.lexsort((np.broadcast_to(tid, d2.shape), d2), axis=-1)[:, :k]
-        rows = np.repeat(np.arange(len(q)), order.shape[1])
-        picked = order.ravel()
-        dist = d2[rows, picked]
-        keep = np.isfinite(dist)
-        out = {"qid": q["qid"].to_numpy()[rows][keep], "tid": tid[picked][keep], "d2": dist[keep]}
+        tp, tid = t["tp"].to_numpy("float64"), t["tid"].to_numpy()
+        with np.errstate(all="ignore"):
+            t_norm = np.einsum("ij,ij->i", tv, tv)
+            most = t_norm[np.isfinite(t_norm)].max(initial=0.0)
+            found = []
+            for at in range(0, len(qv), SLICE_ROWS):
+                own = qv[at:at + SLICE_ROWS]
+                near = np.abs(tp[None, :] - p[at:at + SLICE_ROWS, None]) <= r[at:at + SLICE_ROWS, None]
+                norm = np.einsum("ij,ij->i", own, own)
+                about = norm[:, None] + t_norm - 2 * (own @ tv.T)
+                unsure = ~np.isfinite(about)  # an overflow says nothing of the distance
+                about[unsure | ~near] = np.inf
+                limit = (np.partition(about, k - 1, axis=1)[:, k - 1] if k < len(tv) else np.full(len(own), np.inf))
+                limit = limit + 8 * (qv.shape[1] + 8) * np.finfo(float).eps * (norm + most)
+                limit[~np.isfinite(limit)] = np.inf
+                rows, cols = np.nonzero(near & (unsure | (about <= limit[:, None])))
+                if 4 * len(rows) > about.size:  # equal or nearly equal distances: no pair is left out
+                    d2 = np.zeros(about.shape)
+                    for j in range(qv.shape[1]):
+                        diff = own[:, j, None] - tv[None, :, j]
+                        d2 += diff * diff
+                    d2 = d2[rows, cols]
+                else:
+                    d2 = np.zeros(len(rows))
+                    for j in range(qv.shape[1]):
+                        diff = own[rows, j] - tv[cols, j]
+                        d2 += diff * diff
+                keep = np.isfinite(d2) & (d2 <= r2[at + rows])
+                rows, cols, d2 = rows[keep], cols[keep], d2[keep]
+                order = np.lexsort((tid[cols], d2, rows))
+                rows, cols, d2 = rows[order], cols[order], d2[order]
+                first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+                found.append((at + rows[first], cols[first], d2[first]))
+        rows, cols, dist = (np.concatenate(c) for c in zip(*found))
+        out = {"qid": q["qid"].to_numpy()[rows], "tid": tid[cols], "d2": dist}
         if with_label:
-            out["label"] = t["label"].to_numpy()[picked][keep]
+            out["label"] = t["label"].to_numpy()[cols]
         return pd.DataFrame(out)
 
     return run
