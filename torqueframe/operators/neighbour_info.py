@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
 from .ordered import running_sums
 from .select import _long
 
@@ -39,7 +39,7 @@ def digamma(x: Column) -> Column:
 
 def _ranged(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """``df`` with the number of its sorted range, written once."""
-    return cut_lineage(df.repartitionByRange(max(1, math.ceil(n / RANGE_ROWS)), *order).withColumn(
+    return stored(df.repartitionByRange(max(1, math.ceil(n / RANGE_ROWS)), *order).withColumn(
         "_cut", F.spark_partition_id()))
 
 
@@ -94,7 +94,7 @@ def mutual_info_continuous(df: DataFrame, features: Sequence[str], target: str,
     is a row whose class the feature has only once."""
     long = _long(df, features, target).where("x is not null and _y is not null").withColumn("x", F.col("x") + 0.0)
     values = long.groupBy("feature", "_y", "x").agg(F.count(F.lit(1)).alias("w"))
-    values = cut_lineage(values)
+    values = stored(values)
     classes = values.groupBy("feature", "_y").agg(F.sum("w").alias("nc")).where("nc > 1")
     values = values.join(classes, ["feature", "_y"])
     n = values.count()
@@ -108,7 +108,7 @@ def mutual_info_continuous(df: DataFrame, features: Sequence[str], target: str,
         _halos(k), f"feature string, _y string, _cut int, before {point}, after {point}")
     rows = cut.groupBy(*keys).cogroup(halos.groupBy(*keys)).applyInPandas(
         _radii(k), "feature string, w long, nc long, near long, lo double, lo_tie int, hi double, hi_tie int")
-    rows = cut_lineage(rows)
+    rows = stored(rows)
     # m by row: values before the upper end less those up to the lower one
     zero, one = F.lit(0).cast("long"), F.lit(1)
     points = values.groupBy("feature", F.col("x").alias("v"), one.alias("tie")).agg(F.sum("w").alias("c"))
@@ -117,7 +117,7 @@ def mutual_info_continuous(df: DataFrame, features: Sequence[str], target: str,
     events = _ranged(events, ["feature", "v", "tie"], 3 * n)
     counts = running_sums(events.withColumnRenamed("_cut", "_part"), ["feature"], ["v", "tie"], ["c"],
                           chunk=F.col("_part"), position=None).select("feature", "v", "tie", "cum_c")
-    counts = cut_lineage(counts)
+    counts = stored(counts)
     out = rows
     for e in ("lo", "hi"):
         own = counts.select("feature", F.col("v").alias(e), F.col("tie").alias(f"{e}_tie"), F.col("cum_c").alias(f"_{e}"))
