@@ -166,11 +166,11 @@ def _tile_top_k(k: int, with_label: bool):
     import numpy as np
     import pandas as pd
 
-    cols = ["qid", "tid", "d2"] + (["label"] if with_label else [])
+    names = ["qid", "tid", "d2"] + (["label"] if with_label else [])
 
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
-            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "d2" else "int64") for c in cols})
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "d2" else "int64") for c in names})
         qv = np.stack(q["qv"].to_numpy()).astype("float64")
         tv = np.stack(t["tv"].to_numpy()).astype("float64")
         p, r, r2 = (q[c].to_numpy("float64") for c in ("p", "r", "r2"))
