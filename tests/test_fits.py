@@ -411,3 +411,28 @@ def test_vote_searches_several_models_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(training, "fit", fit)
     found = training.vote(spark.range(1), "y", "id", 1, voters=("dt", "lr"))
     assert found.best == {"dt": {"name": "dt"}, "lr": {"name": "lr"}} and list(found.model.members) == ["dt", "lr"]
+
+
+def test_only_one_model_of_each_c_has_a_hessian(spark):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=(900, 3)), np.eye(4)[rng.integers(0, 4, 900)]])
+    y = (rng.random(900) < 1 / (1 + np.exp(-(x[:, 0] - x[:, 3])))).astype(float)
+    rows = [([float(v) for v in a], float(b), i % 5) for i, (a, b) in enumerate(zip(x, y))]
+    bl = B.Blocks.of(spark.createDataFrame(rows, "features array<double>, y double, fold int"), label="y", fold="fold")
+    hessians, summed = [], bl.summed
+
+    def counted(fn):
+        out = summed(fn)
+        hessians.extend(len(a) for a in out if a.ndim == 3)
+        return out
+
+    bl.summed = counted
+    cs, folds = [0.1, 1.0, 20.0], [0, 1, 2, 3, 4, -1]
+    fits = descent.linear_fits(bl, "logistic", cs, folds)
+    assert hessians and max(hessians) <= len(cs)  # not one for each of the folds as well
+    for i, (f, c) in enumerate((f, c) for f in folds for c in cs):
+        own = np.arange(900) % 5 != f
+        p = 1 / (1 + np.exp(-(x[own] @ fits.weights[i, :-1] + fits.weights[i, -1])))
+        slope = x[own].T @ (p - y[own]) / own.sum() + fits.weights[i, :-1] / (c * own.sum())
+        assert np.abs(slope).max() < 1e-6 and abs((p - y[own]).mean()) < 1e-6
+    bl.done()
