@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from torqueframe.operators import grouped, trees
+from torqueframe.operators import grouped, models, sampling, trees
 from torqueframe.operators.prepare import Preparation, PreparationModel
 from torqueframe.plans import modelling as ML
 from torqueframe.plans import runs, training
@@ -84,6 +84,38 @@ def test_run_classification_and_voting(spark, tmp_path):
     assert np.allclose(out.set_index("id")["proba_1"], sum(each) / 3)
 
 
+def test_folds_and_copies_share_one_rank(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 7 == 0)) for i in range(60)], "id long, y double")
+    dealt = models.stratified_folds(df, "y", "id", k=3, seed=42)
+    ranked = models.stratified_folds(df, "y", "id", k=3, seed=42, rank="r").cache()
+    shared = sampling.oversample(ranked, "y", "id", seed=42, rank="r")
+    again = sampling.oversample(dealt, "y", "id", seed=42)
+    assert shared.columns == again.columns
+    assert sorted(map(tuple, shared.collect())) == sorted(map(tuple, again.collect()))
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("InMemoryRelation")[0]  # rows keep their place
+
+    rng = np.random.default_rng(2)
+    v = spark.createDataFrame([(i, *[float(a) for a in rng.random(4)], int(i % 5 == 0)) for i in range(80)],
+                              "id long, price_total double, number_prev_sales double, last_margin double, "
+                              "last_stock_days double, new_score int")
+    for c in ["navegacao", "sensores", "caixa_auto", *[c for c in ML.history.HISTORY_COLUMNS if c not in ML.SCALED]]:
+        v = v.withColumn(c, F.lit(1.0))
+    ranks, rank = [], sampling.class_rank
+
+    def counted(*args, **kw):
+        ranks.append(args)
+        return rank(*args, **kw)
+
+    monkeypatch.setattr(sampling, "class_rank", counted)
+    monkeypatch.setattr(models, "class_rank", counted)
+    data = ML.prepared(v, "id", oversample=True, folds=3)
+    assert len(ranks) == 2  # the split and the folds
+    assert data.train.columns == [*v.columns, "is_train", "features", "fold", "copy_index", "weight"]
+    sizes = data.train.groupBy("new_score").agg(F.count("*").alias("n"), F.min("weight"), F.max("weight")).collect()
+    assert {tuple(r)[1:] for r in sizes} == {(48, 1.0, 1.0)}
+
+
 def test_grouped_trees(spark, monkeypatch):
     rng = np.random.default_rng(1)
     x = rng.random((900, 2))
