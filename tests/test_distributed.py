@@ -266,3 +266,26 @@ def test_a_tile_orders_few_pairs():
         own = out[out["qid"] == i]
         assert own["tid"].tolist() == ids[order].tolist() and own["d2"].tolist() == d2[order].tolist()
         assert own["label"].tolist() == (ids[order] % 3).tolist()
+
+
+def test_a_query_reaches_a_tile_of_cells_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 16))  # nothing to prune: every query asks nearly every cell
+    df = vectors(spark, x, np.zeros(400))
+    index = pivots.build(df, "v", "id", "label")
+    assert len(index.pivots) == 20 and index.tile.max() == 0
+    pdf = pd.DataFrame({"qid": range(50), "qv": list(x[:50]), "qgrp": -1, "radius": np.inf})
+    at, cells = np.repeat(np.arange(50), 20), np.tile(np.arange(20), 50).astype(np.int32)
+    sent = pd.concat(pivots._by_tile(pdf, at, cells, index.pivots, index.tile))
+    assert sent["qid"].tolist() == list(range(50)) and all(len(c) == 20 for c in sent["cells"])
+    monkeypatch.setattr(pivots, "TILE", 64)
+    assert np.bincount(pivots._grouped(index.pivots, index.size), index.size).max() <= max(64, index.size.max())
+    measured = []
+    monkeypatch.setattr(pivots, "_distance", lambda a, b: measured.append(len(a)) or ((a - b) ** 2).sum(1))
+    points = pd.DataFrame({"tid": range(400), "tv": list(x), "label": 0, "grp": -1, "cell": 0, "dp": np.linalg.norm(x, axis=1)})
+    asked = pdf.assign(cells=[np.array([0])] * 50, dqs=[np.array([np.linalg.norm(v)]) for v in x[:50]])
+    rows, cols, d2, looked = pivots._nearest(points, asked, 5)
+    assert looked.tolist() == [400] * 50 and sum(measured) < 50 * 8  # of 20,000 pairs few are measured by coordinate
+    for q in range(50):
+        want = nearest(x, range(400), x[q], 5, lambda t: False)
+        assert cols[rows == q].tolist() == [t for _, t in want] and np.allclose(d2[rows == q], [d for d, _ in want])

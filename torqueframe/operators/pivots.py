@@ -7,8 +7,9 @@ triangle inequality puts every point of the cell at least ``d - outer`` and
 less the distance to the query's own nearest pivot. A query searches its nearest
 cells first, which gives it a radius, then only cells whose bound lies within
 that, and in a cell only points whose distance from the pivot differs from its
-own by no more. Cells and their queries are cut into tiles of bounded size. One
-search for the largest k serves every smaller one.
+own by no more. Small cells share a tile, which a query reaches once with its vector;
+large ones and their queries are cut into tiles of bounded size. One search for the
+largest k serves every smaller one.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from .blocks import Blocks
 MAX_PIVOTS = 1024
 TILE = 2048  # points, and queries, that a task compares
 PROBES = 1 << 14  # (query, cell) rows, each with the query's vector, that a task holds at a time
+SLICE = 256  # queries of a tile whose distances are held at a time
 
 
 @dataclass
@@ -38,6 +41,7 @@ class PivotIndex:
     size: np.ndarray     # per cell
     inner: np.ndarray
     outer: np.ndarray
+    tile: np.ndarray     # of a cell
     kinds: dict
 
 
@@ -91,42 +95,98 @@ def build(train: DataFrame, vec: str, id_col: str, label: str | None = None, gro
     size, inner, outer = np.zeros(len(pivots), dtype=np.int64), np.zeros(len(pivots)), np.zeros(len(pivots))
     for r in cells:
         size[r["cell"]], inner[r["cell"]], outer[r["cell"]] = r["n"], r["lo"], r["hi"]
-    return PivotIndex(made, pivots, size, inner, outer, kinds)
+    return PivotIndex(made, pivots, size, inner, outer, _grouped(pivots, size), kinds)
+
+
+def _grouped(pivots: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The tile of every cell: cells next to each other on the axis of the pivots' largest
+    spread share one as long as they have at most ``TILE`` points together."""
+    axis = np.linalg.svd(np.nan_to_num(pivots - pivots.mean(0)), full_matrices=False)[2][0]
+    tile, held, out = 0, 0, np.zeros(len(size), dtype=np.int32)
+    for cell in np.argsort(np.nan_to_num(pivots @ axis), kind="stable"):
+        if held and held + size[cell] > TILE:
+            tile, held = tile + 1, 0
+        out[cell], held = tile, held + size[cell]
+    return out
 
 
-def _tiles(index: PivotIndex, asked: DataFrame, k: int) -> DataFrame:
-    """The k nearest points of every (query, cell) of ``asked``, tile by tile; a row
-    without a point carries the number of distances that were measured."""
-    load = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("batches"))
-    sizes = index.rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
-    load = cut_lineage(load.join(sizes, "cell"))
-    own = index.rows.join(load, "cell").withColumn("part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")).withColumn(
+def _nearest(points: pd.DataFrame, queries: pd.DataFrame, k: int):
+    """Positions of the queries and points of a tile that are among the k nearest, their
+    squared distances, and how many points each query looked at.
+
+    A matrix product gives every distance to within a rounding bound; pairs that it does not
+    put behind the radius or behind k others are measured coordinate by coordinate, and
+    those alone are ordered."""
+    x, dp = np.stack(points["tv"].to_numpy()), points["dp"].to_numpy()
+    grp, tid = points["grp"].to_numpy(), points["tid"].to_numpy()
+    cells, cell_of = np.unique(points["cell"].to_numpy(), return_inverse=True)
+    qv, qgrp = np.stack(queries["qv"].to_numpy()), queries["qgrp"].to_numpy()
+    radius = queries["radius"].to_numpy() * (1 + 1e-9) + 1e-9
+    asked, from_pivot = queries["cells"].to_numpy(), queries["dqs"].to_numpy()
+    square = np.einsum("ij,ij->i", x, x)
+    most = square[np.isfinite(square)].max(initial=0.0)
+    found, looked = [], []
+    for at in range(0, len(qv), SLICE):
+        own, r = qv[at:at + SLICE], radius[at:at + SLICE]
+        row = np.repeat(np.arange(len(own)), [len(c) for c in asked[at:at + SLICE]])
+        cell, d = np.concatenate(asked[at:at + SLICE]), np.concatenate(from_pivot[at:at + SLICE])
+        place = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
+        here = cells[place] == cell
+        dq = np.full((len(own), len(cells)), np.nan)  # of cells that a query does not ask
+        dq[row[here], place[here]] = d[here]
+        near = np.abs(dq[:, cell_of] - dp) <= r[:, None]
+        near &= (grp != qgrp[at:at + SLICE, None]) | (qgrp[at:at + SLICE, None] < 0)
+        looked.append(near.sum(1))
+        norm = np.einsum("ij,ij->i", own, own)
+        about = norm[:, None] + square - 2 * (own @ x.T)
+        unsure = ~np.isfinite(about)  # an overflow says nothing of the distance
+        about[unsure | ~near] = np.inf
+        slack = 8 * (x.shape[1] + 8) * np.finfo(float).eps * (norm + most)
+        limit = r * r
+        many = np.flatnonzero((about <= (limit + slack)[:, None]).sum(1) > k)
+        if len(many):
+            limit[many] = np.minimum(limit[many], np.partition(about[many], k - 1, axis=1)[:, k - 1])
+        limit += slack
+        limit[~np.isfinite(limit)] = np.inf
+        rows, cols = np.nonzero(near & (unsure | (about <= limit[:, None])))
+        d2 = np.zeros(len(rows))
+        for lo in range(0, len(rows), PROBES):
+            d2[lo:lo + PROBES] = _distance(own[rows[lo:lo + PROBES]], x[cols[lo:lo + PROBES]])
+        keep = np.sqrt(d2) <= r[rows]
+        rows, cols, d2 = rows[keep], cols[keep], d2[keep]
+        order = np.lexsort((tid[cols], d2, rows))
+        rows, cols, d2 = rows[order], cols[order], d2[order]
+        first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        found.append((at + rows[first], cols[first], d2[first]))
+    return *(np.concatenate(c) for c in zip(*found)), np.concatenate(looked)
+
+
+def _tiles(index: PivotIndex, asked: DataFrame, load: DataFrame, k: int) -> DataFrame:
+    """The k nearest points of every (query, tile) of ``asked``, cut by ``load``, the queries
+    of each tile; a row without a point carries the number of points that were looked at."""
+    spark = index.rows.sparkSession
+    points = np.bincount(index.tile, index.size, index.tile.max() + 1)
+    parts = np.maximum(1, np.ceil(points / TILE)).astype(np.int32)
+    of_cell = spark.createDataFrame(pa.table({"cell": np.arange(len(index.tile), dtype=np.int32), "tile": index.tile,
+                                              "parts": parts[index.tile]}))
+    load = cut_lineage(load.select("tile", F.ceil(F.col("n") / TILE).cast("int").alias("batches")).join(
+        of_cell.select("tile", "parts").distinct(), "tile"))
+    own = index.rows.join(F.broadcast(of_cell.select("cell", "tile")), "cell").join(F.broadcast(load), "tile").withColumn(
+        "part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")).withColumn(
         "batch", F.explode(F.expr("sequence(0, batches - 1)"))).drop("parts", "batches")
-    ask = asked.join(load, "cell").withColumn("batch", F.pmod(F.xxhash64("qid"), F.col("batches")).cast("int")).withColumn(
+    ask = asked.join(F.broadcast(load), "tile").withColumn("batch", F.pmod(F.xxhash64("qid"), F.col("batches")).cast("int")).withColumn(
         "part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts", "batches")
-    keys = ["cell", "part", "batch"]
+    keys = ["tile", "part", "batch"]
 
     def run(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"qid": [], "tid": [], "label": [], "d2": []}
-        if len(points) and len(queries):
-            points = points.sort_values("dp")
-            x, dp = np.stack(points["tv"].to_numpy()), points["dp"].to_numpy()
-            grp, tid, label = points["grp"].to_numpy(), points["tid"].to_numpy(), points["label"].to_numpy()
-            r = queries["radius"].to_numpy() * (1 + 1e-9) + 1e-9
-            lo = np.searchsorted(dp, queries["dq"].to_numpy() - r, side="left")
-            hi = np.searchsorted(dp, queries["dq"].to_numpy() + r, side="right")
-            for q, (qid, qv, own, a, b, bound) in enumerate(zip(queries["qid"], queries["qv"], queries["qgrp"], lo, hi, r)):
-                at = np.arange(a, b)
-                at = at[(grp[at] != own) | (own < 0)]
-                d2 = _distance(np.broadcast_to(qv, (len(at), len(qv))), x[at]) if len(at) else np.empty(0)
-                near = np.flatnonzero(np.sqrt(d2) <= bound)
-                near = near[np.lexsort((tid[at[near]], d2[near]))[:k]]
-                out["qid"] += [qid] * (len(near) + 1)
-                out["tid"] += [*tid[at[near]].tolist(), None]
-                out["label"] += [*label[at[near]].tolist(), None]
-                out["d2"] += [*d2[near].tolist(), float(len(at))]
-        return pd.DataFrame({"qid": out["qid"], "tid": pd.array(out["tid"], dtype=object),
-                             "label": pd.array(out["label"], dtype=object), "d2": out["d2"]})
+        if not len(points) or not len(queries):
+            return pd.DataFrame({c: pd.array([], dtype=object) for c in ("qid", "tid", "label", "d2")})
+        with np.errstate(all="ignore"):
+            rows, cols, d2, looked = _nearest(points, queries, k)
+        none, qid = np.full(len(queries), None, dtype=object), queries["qid"].to_numpy()
+        return pd.DataFrame({"qid": np.concatenate([qid[rows], qid]), "d2": np.concatenate([d2, looked.astype(float)]),
+                             **{c: pd.array([*points[c].to_numpy()[cols].tolist(), *none], dtype=object) for c in ("tid", "label")}})[
+            ["qid", "tid", "label", "d2"]]
 
     kinds = {**index.kinds, "qid": dict(asked.dtypes)["qid"]}
     return own.groupBy(*keys).cogroup(ask.groupBy(*keys)).applyInPandas(
@@ -144,11 +204,23 @@ def _asked(pdf: pd.DataFrame, at: np.ndarray, cells: np.ndarray, pivots: np.ndar
         yield out[["qid", "qv", "qgrp", "radius", "cell", "dq"]]
 
 
+def _by_tile(pdf: pd.DataFrame, at: np.ndarray, cells: np.ndarray, pivots: np.ndarray, tile: np.ndarray):
+    """``_asked`` with a row for each tile, which lists the cells asked there."""
+    order = np.lexsort((cells, tile[cells], at))
+    at, cells, lo = at[order], cells[order], 0
+    for piece in _asked(pdf, at, cells, pivots):
+        own, there = at[lo:lo + len(piece)], tile[cells[lo:lo + len(piece)]]
+        lo += len(piece)
+        first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (there[1:] != there[:-1])])
+        yield piece.iloc[first][["qid", "qv", "qgrp", "radius"]].assign(
+            tile=there[first], cells=np.split(piece["cell"].to_numpy(), first[1:]), dqs=np.split(piece["dq"].to_numpy(), first[1:]))
+
+
 def search(index: PivotIndex, queries: DataFrame, vec: str, id_col: str, k: int, group: str | None = None) -> DataFrame:
     """(qid, tid, label, d2, rank): the k nearest points of every query with a
     vector, ties to the smaller id; points of the query's own group are passed
     over. A row of null ``tid`` tells how many distances a query took (``d2``)."""
-    pivots, size, inner, outer = index.pivots, index.size, index.inner, index.outer
+    pivots, size, inner, outer, tile = index.pivots, index.size, index.inner, index.outer, index.tile
     q = queries.where(F.col(vec).isNotNull()).select(
         F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"),
         (F.col(group).cast("int") if group else F.lit(-1)).alias("qgrp"))
@@ -160,7 +232,8 @@ def search(index: PivotIndex, queries: DataFrame, vec: str, id_col: str, k: int,
         order = order[size[order] > 0]
         return order[:np.searchsorted(np.cumsum(size[order]), spare * k) + 1]
 
-    def probe(first: bool):
+    def probe(first: bool, bare: bool = False):
+        """The tiles that each query asks; ``bare`` names them without the queries."""
         def run(batches):
             for pdf in batches:
                 if not len(pdf):
@@ -176,22 +249,32 @@ def search(index: PivotIndex, queries: DataFrame, vec: str, id_col: str, k: int,
                     at.append(np.full(len(own), i))
                     cells.append(own)
                 at, cells = np.concatenate(at), np.concatenate(cells).astype(np.int32)
-                yield from _asked(pdf, at, cells, pivots)
+                if bare:
+                    asked = np.unique(at.astype(np.int64) * (tile.max() + 1) + tile[cells]) % (tile.max() + 1)
+                    number, n = np.unique(asked, return_counts=True)
+                    yield pd.DataFrame({"tile": number.astype(np.int32), "n": n})
+                else:
+                    yield from _by_tile(pdf, at, cells, pivots, tile)
         return run
 
-    schema = f"qid {qid}, qv array<double>, qgrp int, radius double, cell int, dq double"
+    schema = f"qid {qid}, qv array<double>, qgrp int, radius double, tile int, cells array<int>, dqs array<double>"
+
+    def found(asking: DataFrame, first: bool) -> DataFrame:
+        load = asking.mapInPandas(probe(first, bare=True), "tile int, n long").groupBy("tile").agg(F.sum("n").alias("n"))
+        return _tiles(index, asking.mapInPandas(probe(first), schema), load, k)
+
     w = Window.partitionBy("qid").orderBy("d2", "tid")
 
-    def best(found: DataFrame) -> DataFrame:
-        points = found.where("tid is not null").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        looked = found.where("tid is null").groupBy("qid", "tid", "label").agg(F.sum("d2").alias("d2"))
+    def best(rows: DataFrame) -> DataFrame:
+        points = rows.where("tid is not null").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        looked = rows.where("tid is null").groupBy("qid", "tid", "label").agg(F.sum("d2").alias("d2"))
         return points.unionByName(looked.withColumn("rank", F.lit(0)))
 
     start = q.withColumn("radius", F.lit(float("inf"))).select("qid", "qv", "qgrp", "radius")
-    near = cut_lineage(best(_tiles(index, start.mapInPandas(probe(True), schema), k)))
+    near = cut_lineage(best(found(start, True)))
     radius = near.where(F.col("rank") == k).select("qid", F.sqrt("d2").alias("radius"))
     again = q.join(radius, "qid", "left").na.fill(float("inf"), ["radius"]).select("qid", "qv", "qgrp", "radius")
-    more = _tiles(index, again.mapInPandas(probe(False), schema), k)
+    more = found(again, False)
     return best(near.drop("rank").unionByName(more))
 
 
