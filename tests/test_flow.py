@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from torqueframe.operators import grouped, models, sampling, trees
+from torqueframe.operators import grouped, metrics, models, sampling, trees
 from torqueframe.operators.prepare import Preparation, PreparationModel
 from torqueframe.plans import modelling as ML
 from torqueframe.plans import runs, training
@@ -140,3 +140,22 @@ def test_grouped_trees(spark, monkeypatch):
         assert perf[g]["accuracy"] == pytest.approx((own["gt"] == own["pred"]).mean())
         neg = own[own["gt"] == 0]
         assert perf[g]["specificity"] == pytest.approx((neg["pred"] == 0).mean()) and perf[g]["n_test"] == len(own)
+
+
+def test_evaluation_makes_predictions_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [(1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (0.0, 0.0), (0.0, 1.0), (1.0, None), (None, 0.0)] * 3
+    pred = spark.createDataFrame(rows, "score_class_gt double, score_class_pred double")
+    got = ML.evaluate(pred.mapInArrow(counted, pred.schema)).first().asDict()
+    assert made.value == len(rows)
+    f1 = metrics.f1_summary(pred, "score_class_gt", "score_class_pred").first().asDict()
+    assert {k: got[k] for k in f1} == pytest.approx(f1)
+    assert got["accuracy"] == pytest.approx(3 / 5)
+    spec = metrics.binary_confusion(pred, "score_class_gt", "score_class_pred", positive=1.0).first()["specificity"]
+    assert got["specificity"] == pytest.approx(spec) == pytest.approx(2 / 3)
