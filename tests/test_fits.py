@@ -436,3 +436,51 @@ def test_only_one_model_of_each_c_has_a_hessian(spark):
         slope = x[own].T @ (p - y[own]) / own.sum() + fits.weights[i, :-1] / (c * own.sum())
         assert np.abs(slope).max() < 1e-6 and abs((p - y[own]).mean()) < 1e-6
     bl.done()
+
+
+def test_stumps_keep_no_score_a_row(train):
+    """Ensembles of stumps hold a number a bin and member, however many rows and rounds."""
+    edges = trees.Edges.of(train)
+    bl = B.Blocks.of(train, "features", "y", "fold").mapped(lambda b: b._replace(x=edges.encode(b.x)))
+    local = [B.Block(*z) for z in bl.rdd.collect()]
+    assert all(b.x.dtype == np.uint16 for b in local)
+
+    class Here:
+        def summed(self, fn):
+            return [sum(z) for z in zip(*map(fn, local))]
+
+        def with_state(self, fn):
+            raise AssertionError("scores of all rows and members are written")
+
+    members = [trees.Member(f, i, np.array([0, 1 + i])) for f in range(3) for i in range(2)]
+    whole = trees.boost(Here(), edges, members, 2 * trees.RENEWED + 3, "samme", 1)
+    assert (whole.split[-1] >= 0).any()
+    for i, x in enumerate(members):  # shared passes give what each member gives alone
+        alone = trees.boost(Here(), edges, [x], 5, "samme", 1)
+        assert (alone.split[:, 0] == whole.split[:5, i]).all() and np.allclose(alone.leaf[:, 0], whole.leaf[:5, i])
+    bl.done()
+
+
+def test_a_boosting_pass_sums_only_what_it_needs(train, monkeypatch):
+    edges = trees.Edges.of(train)
+    bl = B.Blocks.of(train, "features", "y", "fold").mapped(lambda b: b._replace(x=edges.encode(b.x)))
+    local = [B.Block(*z) for z in bl.rdd.collect()]
+    bl.done()
+    shapes, write = [], trees.binned_sums
+
+    class Here:
+        def summed(self, fn):
+            return [sum(z) for z in zip(*map(fn, local))]
+
+    def sums(*z):
+        out = write(*z)
+        shapes.append(out.shape)
+        return out
+
+    monkeypatch.setattr(trees, "binned_sums", sums)
+    trees.boost(Here(), edges, [trees.Member(f) for f in range(4)], 3, "boost", 2)
+    assert {w for _, w in shapes} == {edges.bins - len(edges.cuts) + 1}  # no column for a feature's last bin
+    assert min(k for k, _ in shapes) == 4  # roots of later rounds: slopes alone
+    shapes.clear()
+    trees.boost(Here(), edges, [trees.Member(f) for f in range(4)], 3, "samme", 1)
+    assert {k for k, _ in shapes} == {4}  # one number a row and member, not two
