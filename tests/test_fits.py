@@ -484,3 +484,33 @@ def test_a_boosting_pass_sums_only_what_it_needs(train, monkeypatch):
     shapes.clear()
     trees.boost(Here(), edges, [trees.Member(f) for f in range(4)], 3, "samme", 1)
     assert {k for k, _ in shapes} == {4}  # one number a row and member, not two
+
+
+def test_lloyd_measures_only_centres_that_bounds_leave(monkeypatch):
+    monkeypatch.setattr(lloyd, "SLICE", 256)
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 1, (8192, 3))
+    x[:300] = x[0]  # copies, and centres that stand in the same place: ties go to the first
+    own = B.Block(x, np.zeros(len(x)), np.zeros(len(x), dtype=np.int32), np.zeros(len(x), dtype=np.int64), None)
+    (block,) = lloyd.placed(iter([own._replace(x=z) for z in np.split(x, 4)]))
+    assert sorted(map(tuple, block.x)) == sorted(map(tuple, x))
+    volume = np.mean([np.prod(z.max(0) - z.min(0)) for z in np.split(block.x, 32)])
+    assert volume < 0.1  # of 1, which unordered rows nearly fill
+    measured, write = [], lloyd.nearest
+
+    def nearest(columns, square, c, *room):
+        measured.append(len(c) * columns.shape[1])
+        return write(columns, square, c, *room)
+
+    class Here:
+        def summed(self, fn):
+            return fn(block)
+
+    monkeypatch.setattr(lloyd, "nearest", nearest)
+    start = x[rng.choice(len(x), 29, replace=False)]
+    start[7] = start[3]
+    fits = [lloyd.Fit(0, start.copy())]
+    want = plain_lloyd(x, start, 5)
+    (fit,) = lloyd.run(Here(), fits, 5, tol=0)
+    assert np.allclose(fit.centres, want[0]) and fit.cost == pytest.approx(want[1])
+    assert sum(measured) < 0.6 * 6 * 29 * len(x)
