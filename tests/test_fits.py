@@ -482,8 +482,8 @@ def test_a_boosting_pass_sums_only_what_it_needs(train, monkeypatch):
     assert {w for _, w in shapes} == {edges.bins - len(edges.cuts) + 1}  # no column for a feature's last bin
     assert min(k for k, _ in shapes) == 8  # roots of later rounds: their weights are known
     shapes.clear()
-    trees.boost(Here(), edges, [trees.Member(f) for f in range(4)], 3, "samme", 1)
-    assert {k for k, _ in shapes} == {4}  # one number a row and member, not two
+    trees.boost(Here(), edges, [trees.Member(f, f) for f in range(4)], 3, "samme", 1)
+    assert max(k for k, _ in shapes) == 4  # bags: one number a row and member, not two
 
 
 def test_lloyd_measures_only_centres_that_bounds_leave(monkeypatch):
